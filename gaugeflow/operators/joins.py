@@ -1,0 +1,26 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension broadcast to every task (rows). A gauge catalog has a few
+# hundred rows; anything over this bound goes through a shuffle join instead.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``.
+
+    The check is ``limit(max_rows + 1).count()``: it stops reading once the bound
+    is passed. Call it on a persisted or written table (the dimension is one),
+    so the check costs no recomputation.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def assert_unique_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key occurs more than once (empty = unique)."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
