@@ -22,7 +22,7 @@ class Query:
 
 
 _REGISTRY: dict[str, Query] = {}
-_MODULES = ["mart_queries", "landing_queries", "catalog_queries"]
+_MODULES = ["mart_queries", "landing_queries", "catalog_queries", "write_queries"]
 
 
 def register(name: str, sql: str | None, note: str = "") -> Callable[[Plan], Plan]:
