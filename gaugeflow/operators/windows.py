@@ -46,20 +46,23 @@ def lag_by_key(
     cols = df.columns
     d = df.withColumn("_split", split_expr)
     w = Window.partitionBy(*keys, "_split").orderBy(order)
-    lagged = d.withColumns(
-        {"_prev_order": F.lag(order).over(w), **{out: F.lag(src).over(w) for out, src in values.items()}}
-    )
-    # Last record of every (key, split), then carried to the next split.
-    last = d.groupBy(*keys, "_split").agg(
-        *[F.max_by(src, order).alias(f"_last_{out}") for out, src in values.items()]
-    )
+    lagged = d.withColumns({
+        "_prev_order": F.lag(order).over(w),
+        "_next_order": F.lead(order).over(w),
+        **{out: F.lag(src).over(w) for out, src in values.items()},
+    })
+    # Last record of every (key, split), read off the same window output (no
+    # second pass over the input), then carried to the next split of the key:
+    # a table of one row per (key, split).
+    last = lagged.where(F.col("_next_order").isNull()).select(
+        *keys, "_split", *[F.col(src).alias(f"_last_{out}") for out, src in values.items()])
     wk = Window.partitionBy(*keys).orderBy("_split")
     carry = last.select(
         *keys,
         "_split",
         *[F.lag(f"_last_{out}").over(wk).alias(f"_carry_{out}") for out in values],
     )
-    joined = lagged.join(carry, [*keys, "_split"], "left")
+    joined = lagged.drop("_next_order").join(carry, [*keys, "_split"], "left")
     first = F.col("_prev_order").isNull()
     return joined.select(
         *[

@@ -99,7 +99,7 @@ def render_capacity_report(spark: SparkSession, sf_dir: str, path: str) -> None:
 # Rendered files: one per entity and span of RENDER_SPAN_DAYS days (at most that
 # many daily rows), under <root>/dam_key=<key>/span=<n>/.
 RENDER_KEY_PATTERN = r"dam_key=([^/]+)/"
-RENDER_SPAN_DAYS = 1024
+RENDER_SPAN_DAYS = 4096
 RENDER_EPOCH = "1900-01-01"
 
 

@@ -91,13 +91,22 @@ _PARSE_SQL = with_ctes(
 )
 
 
-@register("s1_s2_s3_s4_p9_p10_landing_parse", _PARSE_SQL)
-def q_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = render_messy(proxy_raw(spark, sf_dir), scratch_path(spark, "landing"))
+def prepare_parse(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Render the landing files of :func:`q_parse` (fixture step)."""
+    return render_messy(proxy_raw(spark, sf_dir), scratch_path(spark, "landing"))
+
+
+def parse_prepared(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Scan and parse rendered landing files (the operator step)."""
     rows, _, _ = landing.load_lines(_lines(spark, paths))
     return rows.select(S.KEY, S.DATE, *S.MEASURES)
 
 
+@register("s1_s2_s3_s4_p9_p10_landing_parse", _PARSE_SQL)
+def q_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_prepared(spark, prepare_parse(spark, sf_dir))
+
+
 @register("s4_rejected_lines", with_ctes(
     "SELECT dam_key, 'ragged,1,2' AS value FROM raw WHERE vertedor_m3s = 1.0", raw=PROXY_RAW_SQL))
 def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugeflow.operators import marts, quality
 from gaugeflow.plans import marts_plan as mp
 from gaugeflow.plans.oracle import marts_ctes, marts_sql, with_ctes
-from gaugeflow.plans.proxy import PROXY_RAW_SQL, proxy_catalog, proxy_raw
+from gaugeflow.plans.proxy import PROXY_RAW_SQL, proxy_raw
 from gaugeflow.plans.registry import register
 from gaugeflow.sinks import export
 
@@ -70,9 +70,8 @@ def q_top(spark: SparkSession, sf_dir: str) -> DataFrame:
            (SELECT count(*) FROM fct)          AS fact_rows
     """, "fct"))
 def q_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = mp.persisted_dim(spark, sf_dir)
-    f = marts.build_fact(mp.staged(spark, sf_dir), d)
-    return export.global_stats(f, marts.build_snapshot(f, d))
+    m = mp.ProxyMarts(spark, sf_dir)
+    return export.global_stats(m.fact_table, m.snapshot())
 
 
 @register("a5_distinct_states", marts_sql(
@@ -128,10 +127,6 @@ _DQ_SQL = with_ctes(_DQ_BODY, **marts_ctes("fct"), snap=_SNAP_CTE)
 
 @register("q1_q2_q3_q4_dq_suite", _DQ_SQL)
 def q_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cat = proxy_catalog(spark, sf_dir)
-    raw = proxy_raw(spark, sf_dir)
-    d = mp.persisted_dim(spark, sf_dir)
-    f = marts.build_fact(mp.staged(spark, sf_dir), d)
-    snap = marts.build_snapshot(f, d)
-    return quality.run_suite(quality.default_suite(cat, raw, d, f, snap))
+    m = mp.ProxyMarts(spark, sf_dir)
+    return quality.run_suite(quality.default_suite(m.catalog, m.raw, m.dim, m.fact_table, m.snapshot()))
 

@@ -22,7 +22,7 @@ from gaugeflow.plans.fixtures import render_gauge_files
 from gaugeflow.plans.oracle import marts_sql, with_ctes
 from gaugeflow.plans.proxy import PROXY_RAW_SQL, proxy_raw
 from gaugeflow.plans.registry import register
-from gaugeflow.session import scratch_path
+from gaugeflow.session import materialize, scratch_path
 from gaugeflow.sinks import export
 from gaugeflow.streaming import ingest
 
@@ -133,10 +133,10 @@ INCR_LATE_FROM = "2001-02-24"
 INCR_MISSING_STATE = "NATION 4"
 
 
-def _partial_target(spark: SparkSession, sf_dir: str, dim: DataFrame) -> DataFrame:
+def _partial_target(m: mp.ProxyMarts) -> DataFrame:
     """An older fact: built from the source before INCR_UNTIL, without late
     rows of its last days and without the entities of one state."""
-    src = mp.staged(spark, sf_dir)
+    src, dim = m.staged, m.dim
     missing = dim.where(F.col("state") == INCR_MISSING_STATE).select(S.KEY)
     old = (src.where(F.col(S.DATE) < _d(INCR_UNTIL))
            .where(~((F.col(S.DATE) >= _d(INCR_LATE_FROM)) & _late()))
@@ -148,11 +148,9 @@ def _partial_target(spark: SparkSession, sf_dir: str, dim: DataFrame) -> DataFra
 def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental refresh == full refresh (late rows in the look-back window,
     entities new to the target, lag right at each window edge)."""
-    dim = mp.persisted_dim(spark, sf_dir)
-    target = _partial_target(spark, sf_dir, dim)
-    stage = scratch_path(spark, "fact-target")
-    target.write.parquet(stage)
-    return incremental.refresh_fact(mp.staged(spark, sf_dir), spark.read.parquet(stage), dim)
+    m = mp.ProxyMarts(spark, sf_dir)
+    target = materialize(spark, _partial_target(m), "fact-target")
+    return incremental.refresh_fact(m.staged, target, m.dim)
 
 
 @register("m5_append_new_columns", marts_sql(
@@ -227,11 +225,9 @@ def q_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _publish(spark: SparkSession, sf_dir: str):
-    d = mp.persisted_dim(spark, sf_dir)
-    f = marts.build_fact(mp.staged(spark, sf_dir), d)
-    snap = marts.build_snapshot(f, d)
+    m = mp.ProxyMarts(spark, sf_dir)
     root = scratch_path(spark, "export")
-    return export.export_all(spark, d, f, snap, root, dt.date(2001, 7, 1),
+    return export.export_all(spark, m.dim, m.fact_table, m.snapshot(), root, dt.date(2001, 7, 1),
                              generated_at=dt.datetime(2001, 7, 1, 6, 0, tzinfo=dt.timezone.utc))
 
 

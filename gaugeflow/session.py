@@ -86,3 +86,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def makedirs_local(path: str) -> None:
     os.makedirs(local_path(path), exist_ok=True)
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` as parquet to a new path under the shared folder and read
+    it back: a table that cuts the lineage and is read column-pruned."""
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
