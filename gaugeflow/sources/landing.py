@@ -33,6 +33,7 @@ from gaugeflow import schemas as S
 from gaugeflow.functions.expr import null_tokens, try_double
 from gaugeflow.operators.joins import bounded_broadcast
 from gaugeflow.operators.windows import latest_per_key
+from gaugeflow.session import materialize
 
 # Default: entity key = file stem of "<key>.csv".
 STEM_PATTERN = r"([^/]+)\.[cC][sS][vV]$"
@@ -57,6 +58,8 @@ class Parsed:
     rows: DataFrame
     rejects: DataFrame
     status: DataFrame
+    parsed: DataFrame | None = None
+    heads: DataFrame | None = None
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str], key_pattern: str = STEM_PATTERN,
@@ -103,9 +106,13 @@ def file_heads(lines: DataFrame, metadata_lines: int = S.GAUGE_METADATA_LINES) -
 
 
 def split_cells(line: Column) -> Column:
-    """Quote-aware split, outer quotes removed, doubled quotes unescaped."""
-    cells = F.split(line, QUOTE_AWARE_COMMA, -1)
-    return F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"'))
+    """Quote-aware split, outer quotes removed, doubled quotes unescaped.
+    Lines without a quote take the plain split."""
+    quoted = F.transform(
+        F.split(line, QUOTE_AWARE_COMMA, -1),
+        lambda c: F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"'),
+    )
+    return F.when(F.instr(line, '"') > 0, quoted).otherwise(F.split(line, ",", -1))
 
 
 def _lookup(cells: Column, header: Column, names: Sequence[str]) -> Column:
@@ -164,6 +171,11 @@ def parse_lines(lines: DataFrame, heads: DataFrame | None = None, aliases: dict[
         _parse_date(date_cell, date_formats).alias(S.DATE),
         *[m.alias(c) for c, m in measures.items()],
     )
+    return _finish(parsed, heads, h)
+
+
+def _finish(parsed: DataFrame, heads: DataFrame, h: DataFrame) -> Parsed:
+    """Status, rows and rejects from parsed lines (see :func:`parse_lines`)."""
     counts = parsed.groupBy("file").agg(
         F.count_if(~F.col("_ragged") & F.col(S.DATE).isNotNull()).alias("data_rows"),
         F.count_if(F.col("_ragged")).alias("rejected_rows"),
@@ -183,7 +195,7 @@ def parse_lines(lines: DataFrame, heads: DataFrame | None = None, aliases: dict[
     rows = parsed.where(~F.col("_ragged") & F.col(S.DATE).isNotNull()).select(
         S.KEY, S.DATE, *S.MEASURES, "file", *ORDER_COLS)
     rejects = parsed.where(F.col("_ragged")).select("file", S.KEY, *ORDER_COLS, "value")
-    return Parsed(rows=rows, rejects=rejects, status=status)
+    return Parsed(rows=rows, rejects=rejects, status=status, parsed=parsed, heads=h)
 
 
 def accepted_rows(parsed: Parsed, status: DataFrame | None = None) -> DataFrame:
@@ -210,10 +222,18 @@ def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: st
 
 def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,
                date_formats: Sequence[str] = DATE_FORMATS,
-               metadata_lines: int = S.GAUGE_METADATA_LINES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Parse and keep the rows of good files: (rows, rejects, status). The
-    per-file head table is small (one row per file) and computed once."""
+               metadata_lines: int = S.GAUGE_METADATA_LINES,
+               stage: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parse and keep the rows of good files: (rows, rejects, status).
+
+    The per-file head table (one row per file) is computed once. With
+    ``stage`` the parsed lines are written once to the shared folder, so the
+    text is split and cast a single time and status, rows and rejects are
+    read from that table (which also cuts the lineage back to the text)."""
     heads = file_heads(lines, metadata_lines).persist()
     p = parse_lines(lines, heads, aliases, date_formats, metadata_lines, broadcast_heads=True)
+    if stage:
+        spark = lines.sparkSession
+        p = _finish(materialize(spark, p.parsed, "parsed-lines"), heads, p.heads)
     status = p.status.persist()
     return accepted_rows(p, status), p.rejects, status
