@@ -47,7 +47,7 @@ WHITESPACE = " \t\n\u000b\f\r"
 
 
 def strip_ws(col: Column | str) -> Column:
-    """Strip leading and trailing whitespace of every kind; NULL stays NULL (P5).
+    r"""Strip leading and trailing whitespace of every kind; NULL stays NULL (P5).
 
     ``trim`` only removes spaces; ``btrim`` with the full set of regex ``\s``
     characters matches ``str.strip()`` on these characters without a regex."""
