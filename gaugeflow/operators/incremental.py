@@ -66,8 +66,11 @@ def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame,
         lagged.where(~F.col("_seed"))
         .withColumn("delta_volumen_mm3", F.col(S.VOLUME) - F.col("volumen_prev_mm3"))
         .select(*S.FACT_COLUMNS)
-    )
-    kept = target.join(fresh.select(key, date_col), [key, date_col], "left_anti")
+    ).persist()
+    # The recomputed rows are normally a few days per entity: their keys are
+    # broadcast (behind the size bound) so the target is not shuffled.
+    replaced = bounded_broadcast(fresh.select(key, date_col))
+    kept = target.join(replaced, [key, date_col], "left_anti")
     return evolve_union(kept, fresh)
 
 

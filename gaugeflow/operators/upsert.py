@@ -49,7 +49,7 @@ def dedupe_batch(batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
 
 def merge_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
                mode: str = "new_dates", key: str = S.KEY, date_col: str = S.DATE,
-               loaded_at: dt.datetime | Column | None = None) -> DataFrame:
+               loaded_at: dt.datetime | Column | None = None, broadcast_keys: bool = True) -> DataFrame:
     """Result of the keyed upsert as a lazy DataFrame (M1).
 
     ``mode='new_dates'``: batch rows at or before the key's watermark are
@@ -65,7 +65,10 @@ def merge_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = (S.K
     ts = loaded_at if isinstance(loaded_at, Column) else (
         F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp"))
     incoming = batch.withColumn("ingested_at", ts).select(*existing.columns)
-    kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
+    # A batch is normally small next to the table: its keys are broadcast
+    # (behind the size bound) so the existing rows are not shuffled.
+    batch_keys = bounded_broadcast(incoming.select(*keys)) if broadcast_keys else incoming.select(*keys)
+    kept = existing.join(batch_keys, list(keys), "left_anti")
     return kept.unionByName(incoming)
 
 

@@ -6,8 +6,10 @@ the window is partitioned by ``(key, split)`` where ``split`` cuts each key's
 time line into ranges (by default the year of the date). The only value that
 crosses a split boundary for ``lag`` is the last row of the previous non-empty
 split of the same key; it is computed by a partial/final aggregate (one row per
-(key, split)) and a window over that small table (one row per split per key),
-then joined back on (key, split). Results equal the unsplit window.
+(key, split), combined map-side before its shuffle) and a window over that
+small table (one row per split per key), then joined back on (key, split); the
+big side of that join is already partitioned by (key, split) from the window,
+so it is not shuffled again. Results equal the unsplit window.
 """
 
 from __future__ import annotations
@@ -48,21 +50,20 @@ def lag_by_key(
     w = Window.partitionBy(*keys, "_split").orderBy(order)
     lagged = d.withColumns({
         "_prev_order": F.lag(order).over(w),
-        "_next_order": F.lead(order).over(w),
         **{out: F.lag(src).over(w) for out, src in values.items()},
     })
-    # Last record of every (key, split), read off the same window output (no
-    # second pass over the input), then carried to the next split of the key:
-    # a table of one row per (key, split).
-    last = lagged.where(F.col("_next_order").isNull()).select(
-        *keys, "_split", *[F.col(src).alias(f"_last_{out}") for out, src in values.items()])
+    # Last record of every (key, split): a partial/final aggregate, combined
+    # map-side, so only one row per (key, split) and task is shuffled; the
+    # scan below it reads just the key, order and value columns.
+    last = d.groupBy(*keys, "_split").agg(
+        *[F.max_by(src, order).alias(f"_last_{out}") for out, src in values.items()])
     wk = Window.partitionBy(*keys).orderBy("_split")
     carry = last.select(
         *keys,
         "_split",
         *[F.lag(f"_last_{out}").over(wk).alias(f"_carry_{out}") for out in values],
     )
-    joined = lagged.drop("_next_order").join(carry, [*keys, "_split"], "left")
+    joined = lagged.join(carry, [*keys, "_split"], "left")
     first = F.col("_prev_order").isNull()
     return joined.select(
         *[
