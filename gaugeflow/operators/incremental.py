@@ -10,13 +10,16 @@ source row before it, so lag/delta stay right at the window edge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.operators import marts
 from gaugeflow.operators.joins import bounded_broadcast
 from gaugeflow.operators.windows import lag_by_key
+from gaugeflow.session import exists, scratch_path
+
+PARTITION_COL = "year"
 
 
 def changed_rows(source: DataFrame, target: DataFrame, lookback_days: int = S.LOOKBACK_DAYS,
@@ -34,15 +37,10 @@ def changed_rows(source: DataFrame, target: DataFrame, lookback_days: int = S.LO
     return recent.unionByName(new_keys)
 
 
-def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame,
-                 lookback_days: int = S.LOOKBACK_DAYS, key: str = S.KEY,
-                 lookback_only: bool = False, split=True) -> DataFrame:
-    """New fact table = target rows not recomputed ∪ recomputed rows (M3).
-
-    ``source`` is the staged daily table, ``target`` the current fact, ``dim``
-    the rebuilt dimension. Returns a lazy DataFrame; stage it before writing
-    over the target (never read and overwrite one path in a plan).
-    """
+def fresh_rows(source: DataFrame, target: DataFrame, dim: DataFrame,
+               lookback_days: int = S.LOOKBACK_DAYS, key: str = S.KEY,
+               lookback_only: bool = False, split=True) -> DataFrame:
+    """The recomputed fact rows of an incremental run (persisted; small)."""
     date_col = S.DATE
     changed = changed_rows(source, target, lookback_days, key, date_col, lookback_only)
     cuts = changed.groupBy(key).agg(F.min(date_col).alias("_cut"))
@@ -66,14 +64,67 @@ def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame,
         lagged.where(~F.col("_seed"))
         .withColumn("delta_volumen_mm3", F.col(S.VOLUME) - F.col("volumen_prev_mm3"))
         .select(*S.FACT_COLUMNS)
-    ).persist()
-    # The recomputed rows are normally a few days per entity: their keys are
-    # broadcast (behind the size bound) so the target is not shuffled.
+    )
+    return fresh.persist()
+
+
+def replace_rows(target: DataFrame, fresh: DataFrame, key: str = S.KEY, date_col: str = S.DATE) -> DataFrame:
+    """target rows without a fresh counterpart ∪ fresh rows. The recomputed
+    rows are normally a few days per entity: their keys are broadcast (behind
+    the size bound) so the target is not shuffled."""
     replaced = bounded_broadcast(fresh.select(key, date_col))
     kept = target.join(replaced, [key, date_col], "left_anti")
     return evolve_union(kept, fresh)
 
 
+def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame,
+                 lookback_days: int = S.LOOKBACK_DAYS, key: str = S.KEY,
+                 lookback_only: bool = False, split=True) -> DataFrame:
+    """New fact table = target rows not recomputed ∪ recomputed rows (M3).
+
+    ``source`` is the staged daily table, ``target`` the current fact, ``dim``
+    the rebuilt dimension. Returns a lazy DataFrame; stage it before writing
+    over the target (never read and overwrite one path in a plan), or use
+    :func:`refresh_fact_table`, which rewrites only the touched partitions.
+    """
+    fresh = fresh_rows(source, target, dim, lookback_days, key, lookback_only, split)
+    return replace_rows(target, fresh, key)
+
+
+def write_fact_table(fact: DataFrame, path: str) -> None:
+    """Full rebuild of the fact as a year-partitioned table (M4)."""
+    fact.withColumn(PARTITION_COL, F.year(S.DATE)).write.mode("overwrite") \
+        .partitionBy(PARTITION_COL).parquet(path)
+
+
+def refresh_fact_table(spark: SparkSession, source: DataFrame, path: str, dim: DataFrame,
+                       lookback_days: int = S.LOOKBACK_DAYS, key: str = S.KEY,
+                       lookback_only: bool = False) -> int:
+    """Incremental refresh of the year-partitioned fact at ``path`` (M3).
+
+    Only the years holding recomputed rows are read, merged, staged under the
+    shared folder and published with a dynamic partition overwrite; a missing
+    table is built in full. Returns the number of recomputed rows."""
+    if not exists(spark, path):
+        write_fact_table(marts.build_fact(source, dim, key), path)
+        return -1
+    table = spark.read.parquet(path)
+    fresh = fresh_rows(source, table.drop(PARTITION_COL), dim, lookback_days, key, lookback_only)
+    try:
+        years = [r[0] for r in fresh.select(F.year(S.DATE)).distinct().collect()]
+        if not years:
+            return 0
+        touched = table.where(F.col(PARTITION_COL).isin(years)).drop(PARTITION_COL)
+        merged = replace_rows(touched, fresh, key).withColumn(PARTITION_COL, F.year(S.DATE))
+        stage = scratch_path(spark, "fact-stage")
+        merged.write.partitionBy(PARTITION_COL).parquet(stage)
+        (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(PARTITION_COL).parquet(path))
+        return fresh.count()
+    finally:
+        fresh.unpersist()
+
+
 def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
     """Append-new-columns schema evolution (M5): columns only in ``new`` are
     NULL for old rows; columns only in ``old`` are kept (NULL for new rows).
