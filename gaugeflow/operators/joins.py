@@ -4,21 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest dimension broadcast to every task (rows). A gauge catalog has a few
-# hundred rows; anything over this bound goes through a shuffle join instead.
+# Largest table broadcast to every task. A gauge catalog has a few hundred
+# rows; anything over either bound goes through a shuffle join instead (with
+# AQE's skew-join splitting).
 MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``.
-
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the bound
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def _width(dt: T.DataType) -> int:
+    """Rough bytes per value; strings and binaries are taken as 64 bytes."""
+    if isinstance(dt, T.StructType):
+        return sum(_width(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return 8 * _width(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return 8 * (_width(dt.keyType) + _width(dt.valueType))
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return 64
+    if isinstance(dt, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(dt, (T.ShortType, T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    return 8
+
+
+def row_bound(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> int:
+    """Row count under which ``df`` may be broadcast: ``max_rows``, lowered so
+    that rows x estimated row width stays under ``max_bytes``."""
+    width = max(8, _width(df.schema))
+    return max(1, min(max_rows, max_bytes // width))
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when it is provably small, else ``df`` unchanged.
+
+    The check is ``limit(bound + 1).count()``: it stops reading once the bound
     is passed. Call it on a persisted or written table (the dimension is one),
     so the check costs no recomputation.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    bound = row_bound(df, max_rows, max_bytes)
+    n = df.limit(bound + 1).count()
+    return F.broadcast(df) if n <= bound else df
 
 
 def assert_unique_key(df: DataFrame, key: str) -> DataFrame:

@@ -20,7 +20,8 @@ from gaugeflow.plans.fixtures import (
     render_gauge_files,
 )
 from gaugeflow.plans.oracle import with_ctes
-from gaugeflow.plans.proxy import PROXY_RAW_SQL, proxy_raw
+from gaugeflow.plans.marts_plan import ProxyMarts
+from gaugeflow.plans.proxy import PROXY_RAW_SQL
 from gaugeflow.plans.registry import register
 from gaugeflow.session import scratch_path
 from gaugeflow.sources import landing
@@ -93,7 +94,7 @@ _PARSE_SQL = with_ctes(
 
 def prepare_parse(spark: SparkSession, sf_dir: str) -> list[str]:
     """Render the landing files of :func:`q_parse` (fixture step)."""
-    return render_messy(proxy_raw(spark, sf_dir), scratch_path(spark, "landing"))
+    return render_messy(ProxyMarts(spark, sf_dir).raw, scratch_path(spark, "landing"))
 
 
 def parse_prepared(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -110,7 +111,7 @@ def q_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("s4_rejected_lines", with_ctes(
     "SELECT dam_key, 'ragged,1,2' AS value FROM raw WHERE vertedor_m3s = 1.0", raw=PROXY_RAW_SQL))
 def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = render_messy(proxy_raw(spark, sf_dir), scratch_path(spark, "landing"))
+    paths = render_messy(ProxyMarts(spark, sf_dir).raw, scratch_path(spark, "landing"))
     _, rejects, _ = landing.load_lines(_lines(spark, paths))
     return rejects.select(S.KEY, "value")
 
@@ -142,7 +143,7 @@ _STATUS_SQL = with_ctes(
 
 @register("s5_file_status", _STATUS_SQL)
 def q_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     root = scratch_path(spark, "landing")
     paths = render_messy(raw, root) + list(render_broken(raw, root).values())
     _, _, status = landing.load_lines(_lines(spark, paths))
@@ -169,7 +170,7 @@ def q_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """, raw=PROXY_RAW_SQL))
 def q_good_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file with a bad date is dropped whole; the others load."""
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     paths = render_broken(raw, scratch_path(spark, "landing"))
     rows, _, _ = landing.load_lines(_lines(spark, [paths["bad"], paths["variant"]]))
     return rows.select(S.KEY, S.DATE, S.VOLUME)
@@ -181,7 +182,7 @@ def q_good_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM raw WHERE fecha >= DATE '{BROKEN_FROM}'
     """, raw=PROXY_RAW_SQL))
 def q_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     paths = render_broken(raw, scratch_path(spark, "landing"))
     rows, _, _ = landing.load_lines(_lines(spark, paths["variant"]), aliases=landing.VARIANT_ALIASES)
     return rows.select(S.KEY, S.DATE, S.VOLUME, "precipitacion_mm")
@@ -195,7 +196,7 @@ def q_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """, raw=PROXY_RAW_SQL))
 def q_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing-tail")
-    render_gauge_files(proxy_raw(spark, sf_dir), path, S.GAUGE_HEADER)
+    render_gauge_files(ProxyMarts(spark, sf_dir).raw, path, S.GAUGE_HEADER)
     lines = _lines(spark, path)
     heads = landing.file_heads(lines).persist()
     trimmed = landing.tail_lines(lines, heads, S.TAIL_ROWS)

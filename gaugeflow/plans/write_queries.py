@@ -20,7 +20,8 @@ from gaugeflow.operators import incremental, marts, upsert
 from gaugeflow.plans import marts_plan as mp
 from gaugeflow.plans.fixtures import render_gauge_files
 from gaugeflow.plans.oracle import marts_sql, with_ctes
-from gaugeflow.plans.proxy import PROXY_RAW_SQL, proxy_raw
+from gaugeflow.plans.marts_plan import ProxyMarts
+from gaugeflow.plans.proxy import PROXY_RAW_SQL
 from gaugeflow.plans.registry import register
 from gaugeflow.session import materialize, scratch_path
 from gaugeflow.sinks import export
@@ -78,7 +79,7 @@ _NEW_DATES_SQL = with_ctes(
 def q_upsert_new_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Default mode: batch rows at or before their key's watermark are dropped
     (late rows never land), duplicates inside the batch keep the first line."""
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     batch = upsert.dedupe_batch(_batch_with_duplicates(raw), order=["line_order"]).drop("line_order")
     merged = upsert.merge_rows(_existing(raw), batch, mode="new_dates", loaded_at=LOADED_AT)
     return merged.select(*RAW_OUT)
@@ -92,7 +93,7 @@ def q_upsert_new_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """, raw=PROXY_RAW_SQL, wm=_WM_SQL))
 def q_after_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch rows kept by the per-key watermark filter alone."""
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     batch = raw.where((F.col(S.DATE) >= _d(OVERLAP_FROM)) | _late())
     return upsert.after_watermark(batch, upsert.watermarks(_existing(raw))).select(*RAW_OUT)
 
@@ -101,7 +102,7 @@ def q_after_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              raw=PROXY_RAW_SQL))
 def q_upsert_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``upsert`` mode: corrected values replace existing rows, late rows land."""
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     existing = raw.where(F.col(S.DATE) < _d(SPLIT)).withColumn(
         S.VOLUME, F.when(_late(), F.lit(-1.0)).otherwise(F.col(S.VOLUME))).withColumn(
         "ingested_at", F.lit(dt.datetime(2001, 1, 1)).cast("timestamp"))
@@ -114,7 +115,7 @@ def q_upsert_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert into a year-partitioned parquet table: only touched years are
     rewritten (staged, then dynamic partition overwrite); applied twice."""
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     target = scratch_path(spark, "raw-table")
     existing = raw.where(F.col(S.DATE) < _d(SPLIT)).withColumn(
         S.VOLUME, F.when(_late(), F.lit(-1.0)).otherwise(F.col(S.VOLUME))).withColumn(
@@ -261,7 +262,7 @@ def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landing runs, each picked up by a run-once stream: the first creates
     the raw table, the second upserts the newer rows."""
-    raw = proxy_raw(spark, sf_dir)
+    raw = ProxyMarts(spark, sf_dir).raw
     root = scratch_path(spark, "stream")
     landing_dir, target, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/checkpoint"
     kw = dict(key_pattern=r"dam_key=([^/]+)/", glob="*.txt", loaded_at=LOADED_AT)

@@ -113,3 +113,15 @@ def test_fact_and_snapshot_invariants(spark):
                      (F.col("delta_volumen_mm3") != F.col(S.VOLUME) - F.col("volumen_prev_mm3")))
     assert bad.count() == 0
     assert m.dim.select(S.KEY).distinct().count() == m.dim.count()
+
+
+def test_bounded_broadcast_respects_row_and_byte_bounds(spark):
+    from gaugeflow.operators.joins import bounded_broadcast, row_bound
+
+    df = spark.range(100).selectExpr("cast(id as string) AS k", "id AS v")
+    assert row_bound(df) > 100
+    hinted = bounded_broadcast(df)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in hinted
+    plain = bounded_broadcast(df, max_rows=50)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in plain
+    assert row_bound(df, max_bytes=72 * 10) == 10
