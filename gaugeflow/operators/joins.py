@@ -48,8 +48,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     bound = row_bound(df, max_rows, max_bytes)
     n = df.limit(bound + 1).count()
     return F.broadcast(df) if n <= bound else df
-
-
-def assert_unique_key(df: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key occurs more than once (empty = unique)."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")

@@ -3,7 +3,6 @@ scratch folder (``spark.checkpoint.dir``) for staged writes."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -15,6 +14,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Shuffle partitions are sized by AQE from this target, not by a fixed count.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
@@ -63,19 +64,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/gaugeflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places that need an OS path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Path existence through the Hadoop filesystem of the path."""
     jvm = spark.sparkContext._jvm
@@ -84,10 +72,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def makedirs_local(path: str) -> None:
-    os.makedirs(local_path(path), exist_ok=True)
-
-
 def materialize(spark: SparkSession, df, name: str):
     """Write ``df`` as parquet to a new path under the shared folder and read
     it back: a table that cuts the lineage and is read column-pruned."""
