@@ -65,7 +65,8 @@ def build_marts(spark: SparkSession, root: str, catalog: DataFrame, run_date: dt
         incremental.refresh_fact_table(spark, staged, fact_path, dim)
     else:
         incremental.write_fact_table(marts.build_fact(staged, dim), fact_path)
-    fact = spark.read.parquet(fact_path).drop(incremental.PARTITION_COL)
+    # Years rewritten after a column was added carry it; the others do not.
+    fact = spark.read.option("mergeSchema", "true").parquet(fact_path).drop(incremental.PARTITION_COL)
     return raw, dim, fact, marts.build_snapshot(fact, dim)
 
 

@@ -24,6 +24,7 @@ from gaugeflow.plans.marts_plan import ProxyMarts
 from gaugeflow.plans.proxy import PROXY_RAW_SQL
 from gaugeflow.plans.registry import register
 from gaugeflow.session import scratch_path
+from gaugeflow.sinks import export
 from gaugeflow.sources import landing
 
 # Rows before this date are rendered with the canonical header, later rows
@@ -157,6 +158,35 @@ def q_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_BAD_FILES_SQL = f"""
+SELECT dam_key, {_SPAN_SQL} AS span, count(*) AS n, count(*) FILTER (WHERE vertedor_m3s = 1.0) AS bad
+FROM raw WHERE fecha >= DATE '{BROKEN_FROM}' GROUP BY 1, 2
+"""
+
+
+@register("a4_load_stats", with_ctes(
+    f"""
+    SELECT cast((SELECT count(*) FROM raw) + (SELECT coalesce(sum(n), 0) FROM bf WHERE bad = 0) AS bigint)
+               AS total_rows,
+           (SELECT max(fecha) FROM raw) AS max_fecha,
+           cast((SELECT count(*) FROM (SELECT DISTINCT dam_key, {_SPAN_SQL} FROM raw) f)
+                + (SELECT count(*) FROM bf WHERE bad = 0) AS bigint) AS files_ok,
+           (SELECT count(*) FROM bf WHERE bad > 0) AS files_failed
+    """, raw=PROXY_RAW_SQL, bf=_BAD_FILES_SQL))
+def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, newest date and file counts after loading the good files of one
+    landing directory and the bad-date copies of the newest rows."""
+    raw = ProxyMarts(spark, sf_dir).raw
+    root = scratch_path(spark, "landing")
+    good = f"{root}/good"
+    render_gauge_files(raw, good, S.GAUGE_HEADER)
+    bad = render_broken(raw, root)["bad"]
+    rows, _, status = landing.load_lines(_lines(spark, [good, bad]))
+    return export.load_stats(rows, status).select(
+        F.col("total_rows").cast("long").alias("total_rows"), "max_fecha",
+        F.col("files_ok").cast("long").alias("files_ok"), F.col("files_failed").cast("long").alias("files_failed"))
+
+
 @register("s5_good_files_only", with_ctes(
     f"""
     SELECT dam_key || '_BADDATE' AS dam_key, fecha, volumen_alm_mm3

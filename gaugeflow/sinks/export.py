@@ -98,6 +98,23 @@ def global_stats(fact: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
+def load_stats(raw: DataFrame, status: DataFrame | None = None) -> DataFrame:
+    """One row after a load (A4): total rows and newest date of the raw table,
+    and, given the per-file status, files loaded and files failed."""
+    out = raw.agg(F.count(F.lit(1)).alias("total_rows"), F.max(S.DATE).alias("max_fecha"))
+    if status is None:
+        return out
+    files = status.agg(
+        F.count_if(F.col("status") == "ok").alias("files_ok"),
+        F.count_if(F.col("status") != "ok").alias("files_failed"),
+    )
+    none_long = F.lit(None).cast("long")
+    return out.select("total_rows", "max_fecha", none_long.alias("files_ok"), none_long.alias("files_failed")) \
+        .unionByName(files.select(none_long.alias("total_rows"), F.lit(None).cast("date").alias("max_fecha"),
+                                  "files_ok", "files_failed")) \
+        .agg(*[F.max(c).alias(c) for c in ("total_rows", "max_fecha", "files_ok", "files_failed")])
+
+
 def archive_due(run_date: dt.date, force: bool = False) -> bool:
     """The monthly archive is written on day 1 or when forced (K4)."""
     return force or run_date.day == 1
