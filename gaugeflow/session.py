@@ -65,11 +65,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Path existence through the Hadoop filesystem of the path."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """Whether a parquet table exists at ``path`` (schema readable). Uses only
+    the DataFrame API, so it works on classic and Connect sessions."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
 
 
 def materialize(spark: SparkSession, df, name: str):
