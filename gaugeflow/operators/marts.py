@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gaugeflow import schemas as S
 from gaugeflow.functions.expr import pct_of, rel_diff_pct
 from gaugeflow.operators.joins import bounded_broadcast
+from gaugeflow.operators.percentile import HOT_KEY_ROWS, hot_keys, hot_percentile
 from gaugeflow.operators.windows import lag_by_key, latest_per_key
 
 
@@ -43,25 +44,38 @@ def history_stats(
     date_col: str = S.DATE,
     value_col: str = S.VOLUME,
     quantile: float = S.CAPACITY_QUANTILE,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per-entity history statistics (A1) and exact continuous percentile (A2).
 
     One hash aggregate with partial aggregation; ``percentile`` is exact
     (linear interpolation like ``quantile_cont``) and keeps one value->count
-    map per key, i.e. at most one entry per distinct (key, date) row.
+    map per key. Keys with more than ``hot_rows`` values (found by a count
+    pre-pass) get their percentile from the range-partitioned path of
+    :mod:`gaugeflow.operators.percentile`, so no task holds a whole hot key.
     """
     v = F.col(value_col)
-    return (
-        daily.where(v.isNotNull())
-        .groupBy(key)
-        .agg(
+    values = daily.where(v.isNotNull())
+
+    def stats(df: DataFrame, with_percentile: bool) -> DataFrame:
+        aggs = [
             F.min(date_col).alias("first_record_date"),
             F.max(date_col).alias("last_record_date"),
             F.count(F.lit(1)).alias("total_records"),
             F.max(v).alias("max_volumen_historico_mm3"),
-            F.percentile(v, F.lit(quantile)).alias("volumen_p99_mm3"),
-        )
-    )
+        ]
+        if with_percentile:
+            aggs.append(F.percentile(v, F.lit(quantile)).alias("volumen_p99_mm3"))
+        return df.groupBy(key).agg(*aggs)
+
+    hot = hot_keys(values.select(key), key, hot_rows)
+    if hot is None:
+        return stats(values, True)
+    normal = stats(values.join(hot.select(key), key, "left_anti"), True)
+    hot_p = hot_percentile(values.select(key, value_col), hot, key, value_col, quantile)
+    hot_stats = stats(values.join(hot.select(key), key, "left_semi"), False).join(
+        hot_p.withColumnRenamed("percentile", "volumen_p99_mm3"), key, "left")
+    return normal.unionByName(hot_stats)
 
 
 def build_dim(catalog: DataFrame, daily: DataFrame, key: str = S.KEY, **kw) -> DataFrame:

@@ -4,6 +4,9 @@ data-quality suite over the proxy tables."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugeflow import schemas as S
 
 from gaugeflow.operators import marts, quality
 from gaugeflow.plans import marts_plan as mp
@@ -23,6 +26,16 @@ def q_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.history_stats(mp.staged(spark, sf_dir))
 
 
+@register("a2_percentile_hot_key_path", marts_sql("SELECT * FROM hist", "hist"))
+def q_hist_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History stats with the hot-key threshold at the median rows per key:
+    half the entities take the range-partitioned percentile path."""
+    staged = mp.ProxyMarts(spark, sf_dir).staged
+    per_key = staged.where(F.col(S.VOLUME).isNotNull()).groupBy(S.KEY).count()
+    median = per_key.agg(F.percentile_approx("count", 0.5)).first()[0]
+    return marts.history_stats(staged, hot_rows=int(median))
+
+
 @register("j3_p13_dim", marts_sql("SELECT * FROM dim", "dim"))
 def q_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mp.dim(spark, sf_dir)

@@ -125,3 +125,36 @@ def test_bounded_broadcast_respects_row_and_byte_bounds(spark):
     plain = bounded_broadcast(df, max_rows=50)._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in plain
     assert row_bound(df, max_bytes=72 * 10) == 10
+
+
+def test_hot_key_percentile_equals_builtin(spark):
+    from gaugeflow.operators.percentile import percentile_by_key
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(4000):  # hot key: duplicates, NULLs, negative values
+        rows.append(("HOT", None if i % 97 == 0 else float(rnd.randint(-50, 300))))
+    for k in range(6):
+        for i in range(30 + k * 40):
+            rows.append((f"K{k}", rnd.uniform(0, 100)))
+    rows.append(("ONE", 7.0))
+    rows.append(("EQ", 2.5))
+    rows.append(("EQ", 2.5))
+    df = spark.createDataFrame(rows, "k string, v double")
+    want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", F.lit(0.99)).alias("p")).collect()}
+    for q in (0.99, 0.5, 0.0, 1.0):
+        want_q = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", F.lit(q)).alias("p")).collect()}
+        got = {r.k: r.percentile for r in percentile_by_key(df, "k", "v", q, hot_rows=100, rows_per_part=50).collect()}
+        assert got == want_q, q
+    assert want["ONE"] == 7.0
+
+
+def test_history_stats_hot_path_matches(spark):
+    from gaugeflow.plans.marts_plan import ProxyMarts
+    from tests.conftest import SF_SMALL
+
+    staged = ProxyMarts(spark, SF_SMALL).staged
+    plain = marts.history_stats(staged)
+    split = marts.history_stats(staged, hot_rows=150)
+    assert split.select(plain.columns).exceptAll(plain).count() == 0
+    assert plain.exceptAll(split.select(plain.columns)).count() == 0
