@@ -149,6 +149,21 @@ def file_inventory(spark: SparkSession, path: str, base: str | None = None) -> D
     )
 
 
+def dataset_summary(inventory: DataFrame) -> DataFrame:
+    """One row per output directory (dim, snapshot, one per state, an archive
+    month): file count, bytes, and a content hash that does not depend on
+    file order or part-file names. The hash combines the per-file SHA-256
+    prefixes with a sum (a partial aggregate; no list of files is built)."""
+    d = inventory.withColumn("dataset", F.regexp_replace("relpath", "/[^/]*$", ""))
+    h = F.sum(F.xxhash64("hash").cast("decimal(38,0)"))
+    label = F.regexp_extract("dataset", STATE_PART + r"=([^/]+)$", 1)
+    return d.groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("size_bytes").alias("size_bytes"),
+        F.substring(F.sha2(h.cast("string"), 256), 1, 16).alias("hash"),
+    ).withColumn("state", F.when(F.regexp_extract("dataset", STATE_PART + r"=([^/]+)$", 1) != "", label))
+
+
 def manifest(
     inventory: DataFrame,
     stats: DataFrame,
@@ -157,23 +172,19 @@ def manifest(
     empty_states: DataFrame | None = None,
 ) -> DataFrame:
     """Manifest as one JSON text row (K6): schema version, generation time,
-    date range, entity count, ``current`` file map (with the state of each
-    fact file), latest archive entry, states without rows, total bytes.
+    date range, entity count, ``current`` map of output directories (files,
+    bytes, content hash, state), latest archive entry, states without rows,
+    total bytes.
 
-    The inputs are metadata (one row per output file / per state), so the
-    single aggregate row is bounded by the file count.
+    Entries are per directory, not per part file, so the single row is
+    bounded by the number of states; the per-file list is
+    :func:`file_inventory`.
     """
-    inv = inventory.withColumn(
-        "state_label",
-        F.regexp_extract("relpath", STATE_PART + r"=([^/]+)/", 1),
-    )
-    entries = inv.select(
+    ds = dataset_summary(inventory)
+    entries = ds.select(
         F.struct(
-            F.col("relpath").alias("key"),
-            F.struct(
-                "size_bytes", "hash",
-                F.when(F.col("state_label") != "", F.col("state_label")).alias("state"),
-            ).alias("value"),
+            F.col("dataset").alias("key"),
+            F.struct("files", "size_bytes", "hash", "state").alias("value"),
         ).alias("e"),
         "size_bytes",
     )
@@ -181,19 +192,19 @@ def manifest(
         F.map_from_entries(F.array_sort(F.collect_list("e"))).alias("current"),
         F.sum("size_bytes").alias("total_bytes"),
     )
-    arch_col = F.lit(None).cast("struct<month:string,size_bytes:bigint,hash:string>")
     body = files
     if archive is not None:
-        a = archive.agg(
+        arch = dataset_summary(archive).agg(
             F.struct(
-                F.first("month").alias("month"),
+                F.first(F.regexp_extract("dataset", r"month=([^/]+)", 1)).alias("month"),
                 F.sum("size_bytes").alias("size_bytes"),
-                F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("hash"))), 256).substr(1, 16).alias("hash"),
+                F.first("hash").alias("hash"),
             ).alias("latest_archive")
         )
-        body = body.unionByName(a, allowMissingColumns=True)
+        body = body.unionByName(arch, allowMissingColumns=True)
     else:
-        body = body.withColumn("latest_archive", arch_col)
+        body = body.withColumn("latest_archive",
+                               F.lit(None).cast("struct<month:string,size_bytes:bigint,hash:string>"))
     body = body.unionByName(stats, allowMissingColumns=True)
     if empty_states is not None:
         es = empty_states.agg(F.array_sort(F.collect_list("state")).alias("states_without_rows"))
@@ -256,7 +267,7 @@ def export_all(
     inv = file_inventory(spark, current)
     arch = None
     if month is not None:
-        arch = file_inventory(spark, f"{root}/archive/month={month}").withColumn("month", F.lit(month))
+        arch = file_inventory(spark, f"{root}/archive/month={month}", base=root)
     written = read_fact_by_state(spark, f"{current}/fct_by_state").select("state").distinct()
     empty = labels.select("state").join(written, "state", "left_anti")
     stats = global_stats(fact, snapshot)
