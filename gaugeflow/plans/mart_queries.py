@@ -10,7 +10,7 @@ from gaugeflow import schemas as S
 
 from gaugeflow.operators import marts, quality
 from gaugeflow.plans import marts_plan as mp
-from gaugeflow.plans.oracle import marts_ctes, marts_sql, with_ctes
+from gaugeflow.plans.oracle import SNAPSHOT_SQL, marts_ctes, marts_sql, with_ctes
 from gaugeflow.plans.proxy import PROXY_RAW_SQL, proxy_raw
 from gaugeflow.plans.registry import register
 from gaugeflow.sinks import export
@@ -46,15 +46,7 @@ def q_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mp.fact(spark, sf_dir)
 
 
-@register("w3_j5_p15_snapshot", marts_sql(
-    """
-    SELECT * EXCLUDE (rn) FROM (
-        SELECT f.*, d.dam_name_clean, d.latitude, d.longitude, d.municipality,
-               row_number() OVER (PARTITION BY dam_key ORDER BY fecha DESC) AS rn
-        FROM fct f LEFT JOIN dim d USING (dam_key)
-    ) ranked
-    WHERE rn = 1
-    """, "fct"))
+@register("w3_j5_p15_snapshot", marts_sql(SNAPSHOT_SQL, "fct"))
 def q_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mp.snapshot(spark, sf_dir)
 
@@ -75,9 +67,7 @@ def q_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a4_global_stats", marts_sql(
     """
-    SELECT (SELECT count(*) FROM (
-                SELECT dam_key, row_number() OVER (PARTITION BY dam_key ORDER BY fecha DESC) AS rn
-                FROM fct) r WHERE rn = 1)      AS total_presas,
+    SELECT (SELECT count(DISTINCT dam_key) FROM fct) AS total_presas,
            (SELECT min(fecha) FROM fct)        AS data_min_fecha,
            (SELECT max(fecha) FROM fct)        AS data_max_fecha,
            (SELECT count(*) FROM fct)          AS fact_rows
@@ -130,9 +120,7 @@ UNION ALL SELECT 'snapshot', 'unique', 'dam_key', count(*) FROM (
 """
 
 _SNAP_CTE = """
-SELECT * EXCLUDE (rn) FROM (
-    SELECT f.*, row_number() OVER (PARTITION BY dam_key ORDER BY fecha DESC) AS rn FROM fct f) r
-WHERE rn = 1
+SELECT * FROM fct QUALIFY row_number() OVER (PARTITION BY dam_key ORDER BY fecha DESC) = 1
 """
 
 _DQ_SQL = with_ctes(_DQ_BODY, **marts_ctes("fct"), snap=_SNAP_CTE)

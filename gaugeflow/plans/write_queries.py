@@ -19,7 +19,7 @@ from gaugeflow.functions.expr import month_key
 from gaugeflow.operators import incremental, marts, upsert
 from gaugeflow.plans import marts_plan as mp
 from gaugeflow.plans.fixtures import render_gauge_files
-from gaugeflow.plans.oracle import marts_sql, with_ctes
+from gaugeflow.plans.oracle import SNAPSHOT_SQL, marts_sql, with_ctes
 from gaugeflow.plans.marts_plan import ProxyMarts
 from gaugeflow.plans.proxy import PROXY_RAW_SQL
 from gaugeflow.plans.registry import register
@@ -194,14 +194,7 @@ def q_fact_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.read_fact_by_state(spark, path)
 
 
-@register("k4_monthly_archive", marts_sql(
-    """
-    SELECT * EXCLUDE (rn) FROM (
-        SELECT f.*, d.dam_name_clean, d.latitude, d.longitude, d.municipality,
-               row_number() OVER (PARTITION BY dam_key ORDER BY fecha DESC) AS rn
-        FROM fct f LEFT JOIN dim d USING (dam_key)) r
-    WHERE rn = 1
-    """, "fct"))
+@register("k4_monthly_archive", marts_sql(SNAPSHOT_SQL, "fct"))
 def q_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive written on day 1 (the run on day 2 writes nothing), same month
     overwritten by a forced run."""
