@@ -56,7 +56,7 @@ def _hot_percentile(values: DataFrame, hot: DataFrame, key: str, value: str, q:
         local.join(bounded_broadcast(offsets), [key, "_pid"])
         .withColumn("_end", F.col("_off") + F.col("_cum"))          # ranks [_start, _end) hold this value
         .withColumn("_start", F.col("_end") - F.col("_c"))
-        .join(F.broadcast(target), key)
+        .join(bounded_broadcast(target), key)
     )
 
     def at(rank: str, out: str) -> DataFrame:
