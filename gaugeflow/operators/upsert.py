@@ -39,6 +39,20 @@ def after_watermark(batch: DataFrame, marks: DataFrame, key: str = S.KEY, date_c
     return kept.drop("max_fecha")
 
 
+def watermark_gaps(batch: DataFrame, marks: DataFrame, key: str = S.KEY, date_col: str = S.DATE,
+                   max_gap_days: int = 1) -> DataFrame:
+    """Keys whose earliest incoming date is more than ``max_gap_days`` after
+    their watermark: with tail-trimmed fetches the rows in between were never
+    delivered (S7 gap check). One partial/final min per key, joined with the
+    watermark table (broadcast behind a size bound)."""
+    first_new = batch.groupBy(key).agg(F.min(date_col).alias("first_new_fecha"))
+    m = bounded_broadcast(marks.select(key, "max_fecha"))
+    return first_new.join(m, key, "inner").where(
+        F.col("first_new_fecha") > F.date_add("max_fecha", max_gap_days)
+    ).select(key, "max_fecha", "first_new_fecha",
+             F.datediff("first_new_fecha", "max_fecha").alias("gap_days"))
+
+
 def dedupe_batch(batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
                  order: Sequence[Column | str] = ("line_order",)) -> DataFrame:
     """One row per key: the first by ``order`` (file line order) wins (M2).

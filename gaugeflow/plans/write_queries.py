@@ -29,6 +29,9 @@ from gaugeflow.streaming import ingest
 
 SPLIT = "2001-01-01"
 OVERLAP_FROM = "2000-12-01"
+# Watermark date for the tail-gap check: near the median start of the last 60
+# rows per key, so some keys show a gap and others overlap.
+GAP_SPLIT = "2001-01-15"
 LOADED_AT = dt.datetime(2001, 7, 1, 6, 0, 0)
 RAW_OUT = [S.KEY, S.DATE, *S.MEASURES]
 
@@ -98,6 +101,28 @@ def q_after_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.after_watermark(batch, upsert.watermarks(_existing(raw))).select(*RAW_OUT)
 
 
+@register("s7_j6_tail_gaps", with_ctes(
+    f"""
+    SELECT t.dam_key, w.max_fecha, t.first_new_fecha, datediff('day', w.max_fecha, t.first_new_fecha) AS gap_days
+    FROM (SELECT dam_key, min(fecha) AS first_new_fecha FROM (
+              SELECT dam_key, fecha FROM raw
+              QUALIFY row_number() OVER (PARTITION BY dam_key ORDER BY fecha DESC) <= {S.TAIL_ROWS}) x
+          GROUP BY dam_key) t
+    JOIN (SELECT dam_key, max(fecha) AS max_fecha FROM raw WHERE fecha < DATE '{GAP_SPLIT}' GROUP BY dam_key) w
+      ON w.dam_key = t.dam_key
+    WHERE t.first_new_fecha > w.max_fecha + INTERVAL 1 DAY
+    """, raw=PROXY_RAW_SQL))
+def q_tail_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys whose last 60 rows (a tail-trimmed fetch) start after the day
+    following their watermark: the rows in between would never load."""
+    from gaugeflow.operators.windows import latest_per_key
+
+    raw = ProxyMarts(spark, sf_dir).raw
+    tail = latest_per_key(raw, S.KEY, S.DATE, S.TAIL_ROWS)
+    marks = upsert.watermarks(raw.where(F.col(S.DATE) < _d(GAP_SPLIT)))
+    return upsert.watermark_gaps(tail, marks)
+
+
 @register("m1_upsert_corrections", with_ctes(f"SELECT dam_key, fecha, {', '.join(S.MEASURES)} FROM raw",
                                              raw=PROXY_RAW_SQL))
 def q_upsert_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
