@@ -1,6 +1,6 @@
 """Input files rendered from the benchmark tables, in the upstream formats.
 
-The reference ships no sample files, so the catalog sheet, the capacity
+The upstream pipeline ships no sample files, so the catalog sheet, the capacity
 report and the gauge CSVs are produced here by Spark from the given tables,
 written under the shared folder and read back by the real readers. Every
 rendered file holds a bounded number of rows; no group of unbounded size is
