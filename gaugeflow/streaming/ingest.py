@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeflow import schemas as S
 from gaugeflow.operators import upsert
-from gaugeflow.session import exists
+from gaugeflow.session import exists, materialize
 from gaugeflow.sources import landing
 
 
@@ -62,7 +62,10 @@ def start_ingest(
     )
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        lines = _batch_lines(batch, key_pattern)
+        # The micro-batch's lines are written once to the shared folder (line
+        # ids fixed, lineage cut) and parsed through the main session, so the
+        # batch plans run with adaptive execution like the batch path.
+        lines = materialize(spark, _batch_lines(batch, key_pattern), f"stream-lines-{epoch_id}")
         rows, _, _ = landing.load_lines(lines, aliases=aliases)
         deduped = upsert.dedupe_batch(rows, order=["file", *landing.ORDER_COLS])
         new = deduped.select(S.KEY, S.DATE, *S.MEASURES)
