@@ -77,6 +77,10 @@ def hot_keys(values: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataF
     or None when there is none. One partial/final count per key; the result
     has at most total rows / ``hot_rows`` rows and is broadcast behind a size
     check."""
+    # No key can be hot when the whole input is not larger than the threshold;
+    # the limited count stops reading once the threshold is passed.
+    if hot_rows < 2**31 - 1 and values.limit(hot_rows + 1).count() <= hot_rows:
+        return None
     counts = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > hot_rows).persist()
     if hot.limit(1).count() == 0:
