@@ -90,6 +90,13 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: str, n: int =
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def first_n_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
+    """First ``n`` rows per key by ``order`` ascending, map-side limited."""
+    keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row of each group of ``keys`` by ``order`` ascending
     (used for de-duplication; map-side limited like :func:`latest_per_key`)."""

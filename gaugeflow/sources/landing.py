@@ -11,7 +11,7 @@ Steps:
 
 1. ``scan_lines``   file path, entity key (from the path), order columns, text
 2. ``file_heads``   per file: the header line (line ``metadata_lines + 1``);
-                    a map-side-limited top-N of each file's first block
+                    a map-side-limited first-N lines of each file
 3. ``parse_lines``  data lines ⋈ heads (broadcast behind a size bound), split
                     with a quote-aware pattern, cells looked up by header name
                     (S2), NULL tokens (S3), ragged rows rejected (S4), measures
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from gaugeflow import schemas as S
 from gaugeflow.functions.expr import null_tokens, try_double
 from gaugeflow.operators.joins import bounded_broadcast
-from gaugeflow.operators.windows import latest_per_key
+from gaugeflow.operators.windows import first_n_per_key, latest_per_key
 from gaugeflow.session import materialize
 
 # Default: entity key = file stem of "<key>.csv".
@@ -87,24 +87,34 @@ def lines_from_text(df: DataFrame, key_pattern: str = STEM_PATTERN) -> DataFrame
 
 
 def file_heads(lines: DataFrame, metadata_lines: int = S.GAUGE_METADATA_LINES) -> DataFrame:
-    """Per file: header cells and the order position of the header line.
+    """Per file: the header line and its position (block start, line id).
 
-    Only the first block of a file can hold its first lines; the top
-    ``metadata_lines + 1`` lines per file are a row_number filter that Spark
-    limits map-side. Files with fewer lines have ``header`` NULL."""
+    The first ``metadata_lines + 1`` lines of each file by (block start, line
+    id): a row_number filter that Spark limits map-side, so each task sends at
+    most that many lines per file. Normally all of them sit in the first
+    block; a header pushed into a later block by long metadata lines is found
+    too. Files with fewer lines have ``header_line`` NULL."""
     n = metadata_lines + 1
-    first = lines.where(F.col("file_block_start") == 0)
-    top = latest_per_key(first.withColumn("_neg", -F.col("line_id")), "file", "_neg", n)
+    top = first_n_per_key(lines, "file", ["file_block_start", "line_id"], n)
+    pos = F.struct("file_block_start", "line_id")
     return top.groupBy("file", S.KEY).agg(
         F.count(F.lit(1)).alias("head_lines"),
-        F.max("line_id").alias("header_id"),
-        F.max_by("value", "line_id").alias("header_line"),
+        F.max(pos).alias("_hpos"),
+        F.max_by("value", pos).alias("header_line"),
     ).select(
-        "file", S.KEY, "header_id",
+        "file", S.KEY,
+        F.col("_hpos.file_block_start").alias("header_block"),
+        F.col("_hpos.line_id").alias("header_id"),
         F.when(F.col("head_lines") >= n, F.col("header_line")).alias("header_line"),
     )
 
 
+def after_header() -> Column:
+    """True for lines after the header line of their file."""
+    return (F.col("file_block_start") > F.col("header_block")) | (
+        (F.col("file_block_start") == F.col("header_block")) & (F.col("line_id") > F.col("header_id")))
+
+
 def split_cells(line: Column) -> Column:
     """Quote-aware split, outer quotes removed, doubled quotes unescaped.
     Lines without a quote take the plain split."""
@@ -147,14 +157,15 @@ def parse_lines(lines: DataFrame, heads: DataFrame | None = None, aliases: dict[
 
     # Per file: cleaned header cells and whether a required column is absent.
     hdr = _clean_header(F.col("header_line"))
-    h = heads.select("file", "header_id", "header_line", hdr.alias("_hdr")).withColumn(
+    h = heads.select("file", "header_block", "header_id", "header_line", hdr.alias("_hdr")).withColumn(
         "_missing", ~F.array_min(F.array(*[_present(F.col("_hdr"), n) for n in names.values()])))
-    usable = h.where(F.col("_hdr").isNotNull() & ~F.col("_missing")).select("file", "header_id", "_hdr")
+    usable = h.where(F.col("_hdr").isNotNull() & ~F.col("_missing")).select(
+        "file", "header_block", "header_id", "_hdr")
     if broadcast_heads:
         usable = bounded_broadcast(usable)
     data = (
         lines.join(usable, "file", "inner")
-        .where((F.col("file_block_start") > 0) | (F.col("line_id") > F.col("header_id")))
+        .where(after_header())
         .where(F.trim(F.col("value")) != "")
         .withColumn("_cells", split_cells(F.col("value")))
     )
@@ -211,13 +222,13 @@ def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: st
 
     The per-entity top-n is limited map-side before the shuffle. ``per='file'``
     trims each file instead."""
-    h = bounded_broadcast(heads.select("file", "header_id"))
+    h = bounded_broadcast(heads.select("file", "header_block", "header_id"))
     marked = lines.join(h, "file", "inner")
-    is_data = (F.col("file_block_start") > 0) | (F.col("line_id") > F.col("header_id"))
+    is_data = after_header()
     data = marked.where(is_data).withColumn("_o", F.struct(F.col("file"), *[F.col(c) for c in ORDER_COLS]))
     last = latest_per_key(data, per, "_o", n).drop("_o")
     head = marked.where(~is_data)
-    return head.unionByName(last).drop("header_id")
+    return head.unionByName(last).drop("header_block", "header_id")
 
 
 def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,

@@ -153,3 +153,22 @@ def test_large_file_split_into_blocks(spark, tmpdir_path):
         assert kept == n
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_header_in_a_later_block(spark, tmpdir_path):
+    """Long metadata lines push the header out of the first split."""
+    d = tmpdir_path
+    meta = "".join("m" * 10_000 + f" {i}\n" for i in range(7))
+    body = "".join(row("N", f"2020-01-{i + 1:02d}", vol=str(i)) + "\n" for i in range(20))
+    write_file(f"{d}/N01.csv", meta + CANON + "\n" + body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lines = landing.scan_lines(spark, d)
+        heads = landing.file_heads(lines).collect()
+        assert heads[0].header_block > 0 and heads[0].header_line == CANON
+        rows, rejects, status = landing.load_lines(lines)
+        assert sorted(r.volumen_alm_mm3 for r in rows.collect()) == [float(i) for i in range(20)]
+        assert rejects.count() == 0 and status.collect()[0].status == "ok"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
