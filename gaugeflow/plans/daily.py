@@ -37,7 +37,8 @@ def ingest(spark: SparkSession, landing_dir: str, root: str, mode: str = "new_da
     """Parse the landed files and upsert them into ``root/raw``; returns the
     per-file status."""
     lines = landing.scan_lines(spark, landing_dir, key_pattern, glob, recursive)
-    rows, _, status = landing.load_lines(lines, aliases=aliases)
+    files = landing.scan_files(spark, landing_dir, key_pattern, glob, recursive)
+    rows, _, status = landing.load_lines(lines, aliases=aliases, files=files)
     batch = upsert.dedupe_batch(rows, order=["file", *landing.ORDER_COLS]).select(S.KEY, S.DATE, *S.MEASURES)
     raw_path = f"{root}/raw"
     if not exists(spark, raw_path):

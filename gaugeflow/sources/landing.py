@@ -75,6 +75,31 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str], key_pattern: str
     return lines_from_text(df, key_pattern)
 
 
+def scan_files(spark: SparkSession, path: str | Sequence[str], key_pattern: str = STEM_PATTERN,
+               glob: str | None = "*.csv", recursive: bool = False) -> DataFrame:
+    """(file, key, length) of every landed file. ``binaryFile`` with only
+    path and length selected lists files without reading their content."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    paths = [path] if isinstance(path, str) else list(path)
+    return reader.load(paths).select(
+        F.col("path").alias("file"),
+        F.regexp_extract("path", key_pattern, 1).alias(S.KEY),
+        F.col("length"),
+    )
+
+
+def with_empty_files(status: DataFrame, files: DataFrame) -> DataFrame:
+    """Add files that produced no line at all (empty files) as 'empty'."""
+    empty = files.join(status.select("file"), "file", "left_anti").select(
+        "file", S.KEY, F.lit("empty").alias("status"),
+        *[F.lit(0).cast("long").alias(c) for c in ("data_rows", "rejected_rows", "bad_dates")])
+    return status.unionByName(empty)
+
+
 def lines_from_text(df: DataFrame, key_pattern: str = STEM_PATTERN) -> DataFrame:
     """Add file, key and line order to a ``text`` DataFrame (batch or stream)."""
     return df.select(
@@ -234,17 +259,19 @@ def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: st
 def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,
                date_formats: Sequence[str] = DATE_FORMATS,
                metadata_lines: int = S.GAUGE_METADATA_LINES,
-               stage: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+               stage: bool = True, files: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Parse and keep the rows of good files: (rows, rejects, status).
 
     The per-file head table (one row per file) is computed once. With
     ``stage`` the parsed lines are written once to the shared folder, so the
     text is split and cast a single time and status, rows and rejects are
-    read from that table (which also cuts the lineage back to the text)."""
+    read from that table (which also cuts the lineage back to the text).
+    ``files`` (see :func:`scan_files`) adds empty files to the status."""
     heads = file_heads(lines, metadata_lines).persist()
     p = parse_lines(lines, heads, aliases, date_formats, metadata_lines, broadcast_heads=True)
     if stage:
         spark = lines.sparkSession
         p = _finish(materialize(spark, p.parsed, "parsed-lines"), heads, p.heads)
-    status = p.status.persist()
+    status = p.status if files is None else with_empty_files(p.status, files)
+    status = status.persist()
     return accepted_rows(p, status), p.rejects, status

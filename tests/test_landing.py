@@ -172,3 +172,14 @@ def test_header_in_a_later_block(spark, tmpdir_path):
         assert rejects.count() == 0 and status.collect()[0].status == "ok"
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_empty_file_reported(spark, tmpdir_path):
+    d = tmpdir_path
+    write_file(f"{d}/Z01.csv", "")
+    write_file(f"{d}/Z02.csv", gauge([row("Z", "2020-01-01")]))
+    lines = landing.scan_lines(spark, d)
+    rows, _, status = landing.load_lines(lines, files=landing.scan_files(spark, d))
+    st = {r.dam_key: r.status for r in status.collect()}
+    assert st == {"Z01": "empty", "Z02": "ok"}
+    assert rows.count() == 1
