@@ -77,24 +77,32 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str], key_pattern: str
 
 def scan_files(spark: SparkSession, path: str | Sequence[str], key_pattern: str = STEM_PATTERN,
                glob: str | None = "*.csv", recursive: bool = False) -> DataFrame:
-    """(file, key, length) of every landed file. ``binaryFile`` with only
-    path and length selected lists files without reading their content."""
-    reader = spark.read.format("binaryFile")
+    """(file, key) of every landed file, empty ones included. File scans skip
+    zero-length files, so the list comes from the source's file index (the
+    listing Spark already holds on the driver; one row per file)."""
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.load(paths).select(
-        F.col("path").alias("file"),
-        F.regexp_extract("path", key_pattern, 1).alias(S.KEY),
-        F.col("length"),
-    )
+    names = reader.text(paths).inputFiles()
+    files = spark.createDataFrame([(n,) for n in names], "file string")
+    return files.select(_norm_path(F.col("file")).alias("file"),
+                        F.regexp_extract("file", key_pattern, 1).alias(S.KEY))
+
+
+def _norm_path(c: Column) -> Column:
+    """Same spelling for index paths ('file:///x', plain) and line paths
+    ('file:/x', URL-encoded)."""
+    return F.regexp_replace(F.url_decode(c), "^file:/+", "file:/")
 
 
 def with_empty_files(status: DataFrame, files: DataFrame) -> DataFrame:
-    """Add files that produced no line at all (empty files) as 'empty'."""
-    empty = files.join(status.select("file"), "file", "left_anti").select(
+    """Add files that produced no line at all (empty files) as 'empty'.
+    Line paths are URL-encoded, index paths are not: compare decoded."""
+    seen = status.select(_norm_path(F.col("file")).alias("file"))
+    empty = files.join(seen, files.file == seen.file, "left_anti").select(
         "file", S.KEY, F.lit("empty").alias("status"),
         *[F.lit(0).cast("long").alias(c) for c in ("data_rows", "rejected_rows", "bad_dates")])
     return status.unionByName(empty)
