@@ -102,3 +102,15 @@ def test_stream_second_run_only_new_files(spark):
     ingest.run_ingest(spark, f"{root}/landing", f"{root}/raw", f"{root}/ckpt", **kw)
     assert sorted(r.volumen_alm_mm3 for r in ingest.read_raw(spark, f"{root}/raw").collect()) == \
         [float(i) for i in range(1, 11)]
+
+
+def test_watermark_gaps_and_load_stats(spark):
+    batch = _raw(spark, [("A", D(2020, 1, 3), 1.0), ("A", D(2020, 1, 4), 1.0),
+                         ("B", D(2020, 3, 1), 1.0), ("C", D(2020, 1, 1), 1.0)]).drop("ingested_at")
+    marks = spark.createDataFrame([("A", D(2020, 1, 2)), ("B", D(2020, 1, 31))], "dam_key string, max_fecha date")
+    gaps = {r.dam_key: r.gap_days for r in upsert.watermark_gaps(batch, marks).collect()}
+    assert gaps == {"B": 30}  # A continues the day after; C has no watermark
+    status = spark.createDataFrame([("f1", "A", "ok"), ("f2", "B", "bad_dates"), ("f3", "C", "empty")],
+                                   "file string, dam_key string, status string")
+    st = export.load_stats(batch, status).first()
+    assert (st.total_rows, st.max_fecha, st.files_ok, st.files_failed) == (4, D(2020, 3, 1), 1, 2)
