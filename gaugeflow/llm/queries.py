@@ -19,7 +19,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.simhash import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
