@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugeflow.llm.common import read
 
 
+def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.decontam import decontaminate
+
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("mark")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.quality import quality_rules
 
@@ -26,6 +32,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_winnowing_decontamination": op2_winnowing_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
