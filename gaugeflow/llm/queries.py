@@ -7,8 +7,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeflow.llm.common import read
+from gaugeflow.llm.linededup import ORACLE_SQL as LINE_SQL
 
 
 def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +19,19 @@ def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("mark")
 
 
+def op4_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.linededup import line_dedup
+
+    return line_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op6_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.packing import pack
+
+    return pack(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.quality import quality_rules
 
@@ -31,9 +46,20 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing_decontamination": op2_winnowing_decontamination,
+    "op4_site_line_dedup": op4_site_line_dedup,
+    "op6_length_bucket_packing": op6_length_bucket_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "pipeline": pipeline,
+}
+ORACLES: dict[str, str] = {
+    "op4_site_line_dedup": LINE_SQL,
 }
-ORACLES: dict[str, str] = {}
