@@ -95,6 +95,7 @@ def pack(documents: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, t
     runs = stage(runs.select("bucket_len", "part", (before - F.col("lo")).alias("shift")), "pack-runs")
     out = ranked.join(runs, (ranked["part"] == runs["part"]) & ranked["bucket_len"].eqNullSafe(runs["bucket_len"])).select(
         ranked["*"], (F.col("at") + F.col("shift")).alias("rank"))
-    room = F.greatest(F.floor(F.lit(token_budget) / F.col("bucket_len")), F.lit(1)).cast("long")
+    room = F.when(F.col("bucket_len").isNotNull(), F.greatest(
+        F.floor(F.lit(token_budget) / F.col("bucket_len")), F.lit(1)).cast("long"))
     return out.select("doc_id", "piece", "first_token", "n_tokens", "bucket_len",
                       F.floor(F.col("rank") / room).cast("long").alias("batch"), (F.col("rank") % room).alias("slot"))
