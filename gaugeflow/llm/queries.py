@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm.common import read
 from gaugeflow.llm.linededup import ORACLE_SQL as LINE_SQL
+from gaugeflow.llm.warc import ORACLE_SQL as WARC_SQL
 
 
 def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,13 @@ def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("mark")
 
 
+def op3_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.warc import capture_index
+
+    return capture_index(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.linededup import line_dedup
 
@@ -54,6 +62,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing_decontamination": op2_winnowing_decontamination,
+    "op3_warc_index_merge": op3_warc_index_merge,
     "op4_site_line_dedup": op4_site_line_dedup,
     "op6_length_bucket_packing": op6_length_bucket_packing,
     "op8_quality_rules": op8_quality_rules,
@@ -61,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
+    "op3_warc_index_merge": WARC_SQL,
     "op4_site_line_dedup": LINE_SQL,
 }
