@@ -14,6 +14,12 @@ from gaugeflow.llm.linededup import ORACLE_SQL as LINE_SQL
 from gaugeflow.llm.warc import ORACLE_SQL as WARC_SQL
 
 
+def op1_unigram_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.langid import identify
+
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.decontam import decontaminate
 
@@ -61,6 +67,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_unigram_language_id": op1_unigram_language_id,
     "op2_winnowing_decontamination": op2_winnowing_decontamination,
     "op3_warc_index_merge": op3_warc_index_merge,
     "op4_site_line_dedup": op4_site_line_dedup,
