@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.llm.chat import ORACLE_SQL as CHAT_SQL
 from gaugeflow.llm.common import read
 from gaugeflow.llm.linededup import ORACLE_SQL as LINE_SQL
 from gaugeflow.llm.warc import ORACLE_SQL as WARC_SQL
@@ -46,6 +47,15 @@ def op6_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
 
+def op7_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.chat import digests, format_chats
+
+    chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "'</s>[INST] ok [/INST]' AS text"
+    hard = spark.range(1).selectExpr("-7L AS conv_id", "inline(array(struct(0L AS turn, 'user' AS role), struct(1L, 'assistant')))").selectExpr("*", said)
+    return digests(format_chats(chats.unionByName(hard)))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.quality import quality_rules
 
@@ -72,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_index_merge": op3_warc_index_merge,
     "op4_site_line_dedup": op4_site_line_dedup,
     "op6_length_bucket_packing": op6_length_bucket_packing,
+    "op7_chat_round_trip": op7_chat_round_trip,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "pipeline": pipeline,
@@ -79,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_warc_index_merge": WARC_SQL,
     "op4_site_line_dedup": LINE_SQL,
+    "op7_chat_round_trip": CHAT_SQL,
 }
