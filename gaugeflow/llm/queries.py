@@ -70,6 +70,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op10_min_cut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.html import extract
+
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chat_round_trip": op7_chat_round_trip,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_min_cut_extraction": op10_min_cut_extraction,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
