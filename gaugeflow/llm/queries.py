@@ -41,6 +41,12 @@ def op4_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op5_suffix_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.suffix import remove_repeats
+
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.packing import pack
 
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing_decontamination": op2_winnowing_decontamination,
     "op3_warc_index_merge": op3_warc_index_merge,
     "op4_site_line_dedup": op4_site_line_dedup,
+    "op5_suffix_index_dedup": op5_suffix_index_dedup,
     "op6_length_bucket_packing": op6_length_bucket_packing,
     "op7_chat_round_trip": op7_chat_round_trip,
     "op8_quality_rules": op8_quality_rules,
