@@ -102,9 +102,11 @@ def with_features(df: DataFrame, text: str = "text", lang: str = "lang") -> Data
                  | F.coalesce((i > 0) & (x["h"] == F.get(s, i - 1)["h"]), F.lit(False))),
         lambda x: x["i"])))
     p = F.col("_q_pos")
+    # Words from each place to the next, five at most; the last place has no next.
     covered = F.aggregate(
-        F.zip_with(F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), p, lambda b, a: F.least(b - a, F.lit(5))),
-        F.lit(5), lambda acc, x: acc + F.coalesce(x, F.lit(0)))
+        F.zip_with(F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), p,
+                   lambda b, a: F.least(F.coalesce(b - a, F.lit(5)), F.lit(5))),
+        F.lit(0), lambda acc, x: acc + x)
     hist = F.transform(F.col("_q_list"), lambda x: F.size(F.filter("_q_common", lambda y: y == x)))
     df = df.withColumns({
         "n_repeat_words": F.when(F.size(p) > 0, covered).otherwise(0).cast("long"),
