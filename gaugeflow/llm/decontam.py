@@ -202,3 +202,23 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "mark").distinct(), "bench-bad")
     return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"])
                           & (F.xxhash64(documents["text"]) == bad["mark"]), "left_anti")
+
+
+_SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+ORACLE_SQL = f"""
+WITH i AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+win AS (SELECT item_id, least(len(w), {SPAN}) AS n, unnest(range(1, greatest(len(w) - {SPAN - 1}, 1) + 1)) AS p, w FROM i WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS g FROM win),
+d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+dp AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n),
+dw AS (SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS g FROM dp),
+hit AS (SELECT dw.doc_id, dw.p, dw.n, iw.item_id FROM dw JOIN iw ON iw.g = dw.g AND iw.n = dw.n),
+pos AS (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM hit),
+cnt AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN cnt ON cnt.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id
+"""
