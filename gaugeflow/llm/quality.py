@@ -191,10 +191,10 @@ def quality_rules(documents: DataFrame, params: QualityParams = QualityParams())
 def keep_good(documents: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """The rows of ``documents`` that the rules keep, with their own columns.
 
-    The texts are read twice (references, then verdicts) and never shuffled;
-    in between, only counts are written."""
-    cols = documents.columns
-    own = documents.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_doc"),
-                           F.col("text"), F.col("lang"))
-    feats = stage(with_features(own.select("text", "lang")).drop("text"), "quality")
-    return with_verdict(with_features(own), fitted_references(feats, params), params).filter("kept").select("_doc.*")
+    The texts are read and counted once; rows and counts are written together,
+    as the verdict needs the references of the whole corpus. Nothing but the
+    histograms is shuffled."""
+    own = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_doc"), "text", "lang")
+    rows = stage(with_features(own).drop("text"), "quality-rows")
+    return with_verdict(rows, fitted_references(rows.drop("_doc"), params), params).filter("kept").select("_doc.*")
+
