@@ -198,3 +198,59 @@ def keep_good(documents: DataFrame, params: QualityParams = QualityParams()) ->
     rows = stage(with_features(own).drop("text"), "quality-rows")
     return with_verdict(rows, fitted_references(rows.drop("_doc"), params), params).filter("kept").select("_doc.*")
 
+
+def _sql_js(p: str, q: str) -> str:
+    """Jensen-Shannon distance of two lists of counts, in DuckDB SQL."""
+    a, b = f"({p}[i] / list_sum({p}))", f"({q}[i] / list_sum({q}))"
+    term = "CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / ({a} + {b})) ELSE 0 END"
+    both = f"{term.format(x=a, a=a, b=b)} + {term.format(x=b, a=a, b=b)}"
+    return f"sqrt(greatest(list_sum(list_transform(range(1, len({p}) + 1), lambda i: {both})) / 2, 0))"
+
+
+def oracle_sql(params: QualityParams = QualityParams()) -> str:
+    """The rows of the registered query in DuckDB SQL."""
+    space = r"[ \t\n\x0b\x0c\r]+"
+    lists = " ".join(f"WHEN '{k}' THEN [" + ", ".join(f"'{w}'" for w in v) + "]" for k, v in COMMON_WORDS.items())
+    known = ", ".join(f"'{k}'" for k in COMMON_WORDS)
+    n = {"c": len(CLASSES), "w": N_COMMON + 1}
+
+    def refs(name: str, rows: str) -> str:
+        cols = ", ".join("[" + ", ".join(f"sum({k}[{i}]) FILTER ({k}_ok)" for i in range(1, n[k] + 1)) + f"] AS {k}_ref" for k in n)
+        return f"{name} AS (SELECT ref_lang, {cols} FROM {rows} GROUP BY ref_lang)"
+
+    def verdict(name: str, ref: str) -> str:
+        return f"""{name} AS (SELECT h.*, NOT base_failed
+            AND coalesce(CASE WHEN c_ok THEN {_sql_js('c', 'c_ref')} END, 0) <= {params.max_class_js}
+            AND coalesce(CASE WHEN w_ok THEN {_sql_js('w', 'w_ref')} END, 0) <= {params.max_word_js} AS kept
+          FROM h LEFT JOIN {ref} r ON r.ref_lang = h.ref_lang)"""
+
+    return rf"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '{space}'), lambda x: x <> '') AS words FROM documents),
+g AS (SELECT doc_id, p, array_to_string(words[p : p + 4], ' ') AS s
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS p FROM d WHERE len(words) >= 5)),
+rep AS (SELECT doc_id, count(DISTINCT q) AS n FROM (
+    SELECT g.doc_id, unnest(range(g.p, g.p + 5)) AS q FROM g
+    JOIN (SELECT doc_id, s FROM g GROUP BY doc_id, s HAVING count(*) > 1) twice ON twice.doc_id = g.doc_id AND twice.s = g.s) GROUP BY doc_id),
+f AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '{space}', '', 'g'))::BIGINT AS word_chars,
+         length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+         length(t) - length(regexp_replace(t, '\p{{Lu}}+', '', 'g')) AS up,
+         length(t) - length(regexp_replace(t, '\p{{Nd}}+', '', 'g')) AS dg,
+         length(regexp_replace(t, '[\p{{L}} \t\n\x0b\x0c\r]+', '', 'g')) AS rest, length(t) AS len,
+         CASE WHEN lang IN ({known}) THEN lang ELSE '' END AS ref_lang,
+         list_transform(CASE lang {lists} END, lambda c: len(list_filter(words, lambda x: x = c))) AS wh
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0b\x0c\r]')) AS lines FROM d) d
+  LEFT JOIN rep ON rep.doc_id = d.doc_id),
+h AS (
+  SELECT doc_id, n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines, n_repeat_words, ref_lang,
+         n_words < {params.min_words} OR 100 * n_repeat_words > {params.max_repeat_pct} * n_words AS base_failed,
+         [up, word_chars - rest - up, len - word_chars, dg, n_symbols, rest - dg - n_symbols]::DOUBLE[] AS c,
+         (wh || [n_words - list_sum(wh)])::DOUBLE[] AS w,
+         len >= {params.min_class_chars} AS c_ok, wh IS NOT NULL AND n_words >= {params.min_word_words} AS w_ok
+  FROM f),
+{refs('r1', 'h')}, {verdict('v1', 'r1')}, {refs('r2', '(SELECT * FROM v1 WHERE kept)')}, {verdict('v2', 'r2')}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM v2
+"""

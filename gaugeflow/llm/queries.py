@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm.chat import ORACLE_SQL as CHAT_SQL
 from gaugeflow.llm.common import read
+from gaugeflow.llm.decontam import ORACLE_SQL as WINNOW_SQL
 from gaugeflow.llm.linededup import ORACLE_SQL as LINE_SQL
+from gaugeflow.llm.quality import oracle_sql as quality_sql
 from gaugeflow.llm.warc import ORACLE_SQL as WARC_SQL
 
 
@@ -57,8 +59,9 @@ def op7_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.chat import digests, format_chats
 
     chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    said = "'</s>[INST] ok [/INST]' AS text"
-    hard = spark.range(1).selectExpr("-7L AS conv_id", "inline(array(struct(0L AS turn, 'user' AS role), struct(1L, 'assistant')))").selectExpr("*", said)
+    said = "'</s>[INST] ok [/INST]'"
+    hard = spark.range(1).selectExpr(
+        f"stack(2, -7L, 0L, 'user', {said}, -7L, 1L, 'assistant', {said}) AS (conv_id, turn, role, text)")
     return digests(format_chats(chats.unionByName(hard)))
 
 
@@ -102,7 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
+    "op2_winnowing_decontamination": WINNOW_SQL,
     "op3_warc_index_merge": WARC_SQL,
     "op4_site_line_dedup": LINE_SQL,
     "op7_chat_round_trip": CHAT_SQL,
+    "op8_quality_rules": quality_sql(),
 }
