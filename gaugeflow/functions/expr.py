@@ -19,12 +19,14 @@ def round_half_away(col: Column | str, scale: int = 2) -> Column:
 
     Spark's ``round`` rounds the decimal text of the double, which differs on
     ties such as 1.005; this form rounds ``x * 10**scale`` instead. NaN and
-    infinities pass through unchanged.
+    infinities pass through unchanged, as do values so large that a double
+    holds no further digit at that scale.
     """
     x = _c(col)
     factor = float(10 ** scale)
+    whole = F.abs(x) * F.lit(factor) >= F.lit(float(2 ** 52))
     rounded = F.signum(x) * (F.floor(F.abs(x) * F.lit(factor) + F.lit(0.5)) / F.lit(factor))
-    return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), x).otherwise(rounded)
+    return F.when(F.isnan(x) | whole, x).otherwise(rounded)
 
 
 def pct_of(value: Column | str, capacity: Column | str, scale: int = 2) -> Column:
@@ -42,15 +44,18 @@ def rel_diff_pct(estimate: Column | str, reference: Column | str, scale: int | N
     return F.when(ref > 0, raw if scale is None else round_half_away(raw, scale))
 
 
-# Characters of the regex class \s: space, tab, newline, vertical tab, form feed, carriage return.
-WHITESPACE = " \t\n\u000b\f\r"
+# The characters that Python's str.strip() removes.
+WHITESPACE = (" \t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+# A number as SQL and CSV readers take it: no type suffix (12d), no hexadecimal.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity|nan)$"
 
 
 def strip_ws(col: Column | str) -> Column:
     r"""Strip leading and trailing whitespace of every kind; NULL stays NULL (P5).
 
-    ``trim`` only removes spaces; ``btrim`` with the full set of regex ``\s``
-    characters matches ``str.strip()`` on these characters without a regex."""
+    ``trim`` only removes spaces; ``btrim`` with the full set matches
+    ``str.strip()`` without a regex."""
     return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
@@ -63,13 +68,14 @@ def null_tokens(col: Column | str, tokens: list[str] | None = None) -> Column:
 def try_double(col: Column | str) -> Column:
     """Text -> double, anything unparseable -> NULL (P3, P9). Surrounding
     whitespace is ignored."""
-    return strip_ws(_c(col)).try_cast("double")
+    text = strip_ws(_c(col))
+    return F.when(F.rlike(text, F.lit(NUMBER)), text.try_cast("double"))
 
 
 def try_int(col: Column | str, strict: bool = False) -> Column:
     """Text -> nullable int (P4). Whole numbers ("12", "12.0") convert;
     fractional values are NULL, or raise when ``strict``."""
-    d = try_double(col)
+    d = try_double(_c(col).cast("string"))
     whole = d == F.floor(d)
     fits = (d >= F.lit(-2147483648.0)) & (d <= F.lit(2147483647.0))
     good = F.when(whole & fits, d.cast("int"))

@@ -1,128 +1,160 @@
 """Incremental refresh of the daily fact (M3) and schema evolution (M5).
 
-The full-refresh fact is the specification: an incremental run must give the
-same table. Rows re-read are the source rows dated within ``lookback_days`` of
-the target's max date, plus every source row of a key the target does not
-have yet (late entities). Each key's window starts at its earliest re-read
-date; the previous value for the first row of the window comes from the last
-source row before it, so lag/delta stay right at the window edge.
+The full-refresh fact is the specification: an incremental run gives the same
+table. The unit of work is a *slice*: one key in one year. A slice is redone
+when
+
+* it holds a source row that may be new: dated after its own key's last fact
+  date minus ``lookback_days``, of a key the fact does not have, or ingested
+  after ``since`` (corrections and late rows, however old);
+* the state or a capacity of its key changed in the dimension;
+* it is the key's next slice after one of these, as its first row's previous
+  value may have changed.
+
+A table of one row per slice (first and last date, last volume, the dimension
+values used) is kept next to the fact. It gives the cuts, the changed
+capacities and the seeds of the lag, so neither the fact's nor the source's
+history is read for them: the source is read for the years of the redone
+slices, and the fact for the years that are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.operators import marts
-from gaugeflow.operators.joins import bounded_broadcast
-from gaugeflow.operators.windows import lag_by_key
-from gaugeflow.session import exists, scratch_path
-
-PARTITION_COL = "year"
-
-
-def changed_rows(source: DataFrame, target: DataFrame, lookback_days: int = S.LOOKBACK_DAYS,
-                 key: str = S.KEY, date_col: str = S.DATE, lookback_only: bool = False) -> DataFrame:
-    """Source rows to (re)compute. The look-back bound is a scalar subquery on
-    the target (pushed into the source scan as a filter); an empty target
-    (NULL max) means a full load."""
-    max_t = target.agg(F.max(date_col)).scalar()
-    cut = F.date_sub(max_t, lookback_days)
-    recent = source.where(cut.isNull() | (F.col(date_col) >= cut))
-    if lookback_only:
-        return recent
-    target_keys = bounded_broadcast(target.select(key).distinct())
-    new_keys = source.join(target_keys, key, "left_anti")
-    return recent.unionByName(new_keys)
-
-
-def fresh_rows(source: DataFrame, target: DataFrame, dim: DataFrame,
-               lookback_days: int = S.LOOKBACK_DAYS, key: str = S.KEY,
-               lookback_only: bool = False, split=True) -> DataFrame:
-    """The recomputed fact rows of an incremental run (persisted; small)."""
-    date_col = S.DATE
-    changed = changed_rows(source, target, lookback_days, key, date_col, lookback_only)
-    cuts = changed.groupBy(key).agg(F.min(date_col).alias("_cut"))
-    cuts = bounded_broadcast(cuts)
-    with_cut = source.join(cuts, key, "inner")
-    window_rows = with_cut.where(F.col(date_col) >= F.col("_cut")).drop("_cut")
-    # Last source row before each key's cut: the lag seed of the window edge.
-    seeds = (
-        with_cut.where(F.col(date_col) < F.col("_cut"))
-        .groupBy(key)
-        .agg(F.max(date_col).alias(date_col), F.max_by(S.VOLUME, date_col).alias(S.VOLUME))
-    )
-    rows = marts.fact_rows(window_rows, dim, key).withColumn("_seed", F.lit(False))
-    seed_rows = seeds.select(
-        *[F.col(c) if c in (key, date_col, S.VOLUME) else F.lit(None).cast(rows.schema[c].dataType).alias(c)
-          for c in rows.columns if c != "_seed"],
-        F.lit(True).alias("_seed"),
-    )
-    lagged = lag_by_key(rows.unionByName(seed_rows), key, date_col, {"volumen_prev_mm3": S.VOLUME}, split=split)
-    fresh = (
-        lagged.where(~F.col("_seed"))
-        .withColumn("delta_volumen_mm3", F.col(S.VOLUME) - F.col("volumen_prev_mm3"))
-        .select(*S.FACT_COLUMNS)
-    )
-    return fresh.persist()
-
-
-def replace_rows(target: DataFrame, fresh: DataFrame, key: str = S.KEY, date_col: str = S.DATE) -> DataFrame:
-    """target rows without a fresh counterpart ∪ fresh rows. The recomputed
-    rows are normally a few days per entity: their keys are broadcast (behind
-    the size bound) so the target is not shuffled."""
-    replaced = bounded_broadcast(fresh.select(key, date_col))
-    kept = target.join(replaced, [key, date_col], "left_anti")
+from gaugeflow.operators.upsert import PARTITION_COL, write_partitions
+from gaugeflow.session import exists, materialize
+
+DIM_COLS = ["state", "namo_oficial_mm3", "name_oficial_mm3"]
+SLICE = [S.KEY, PARTITION_COL]
+
+
+def slices_of(fact: DataFrame) -> DataFrame:
+    """One row per key and year of a fact."""
+    return fact.groupBy(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).agg(
+        F.max(S.DATE).alias("last_date"), F.max_by(S.VOLUME, S.DATE).alias("last_volume"),
+        # One dimension row made all rows of a slice.
+        *[F.max(c).alias(c) for c in DIM_COLS])
+
+
+def changed_slices(source: DataFrame, slices: DataFrame, dim: DataFrame, lookback_days: int = S.LOOKBACK_DAYS,
+                   since: dt.datetime | None = None) -> DataFrame:
+    """(key, year) of every slice to redo; see the module doc."""
+    marks = slices.groupBy(S.KEY).agg(F.max("last_date").alias("_mark"))
+    rows = source.join(marks, S.KEY, "left")
+    new = F.col("_mark").isNull() | (F.col(S.DATE) > F.date_sub("_mark", lookback_days))
+    if since is not None and "ingested_at" in source.columns:
+        new = new | (F.col("ingested_at") > F.lit(since))
+    changed = rows.where(new).select(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).distinct()
+    now = dim.select(S.KEY, *[F.col(c).alias(f"_{c}") for c in DIM_COLS])
+    differs = F.lit(False)
+    for c in DIM_COLS:
+        differs = differs | ~F.col(c).eqNullSafe(F.col(f"_{c}"))
+    stale = slices.join(now, S.KEY, "left").where(differs).select(*SLICE)
+    redo = changed.unionByName(stale).distinct().withColumn("_redo", F.lit(True))
+    known = slices.select(*SLICE).unionByName(changed).distinct().join(redo, SLICE, "left")
+    after = F.lag("_redo").over(Window.partitionBy(S.KEY).orderBy(PARTITION_COL))
+    return known.withColumn("_after", after).where(F.col("_redo") | F.col("_after")).select(*SLICE)
+
+
+def redone_rows(source: DataFrame, slices: DataFrame, dim: DataFrame, redo: DataFrame) -> DataFrame:
+    """Fact rows of the slices ``redo`` (a written table), from the source rows
+    of those years. The first row of a slice takes its previous value from the
+    last row of the key's slice before it, redone or as it stands."""
+    years = [r[0] for r in redo.select(PARTITION_COL).distinct().collect()]
+    if not years:
+        return marts.build_fact(source.limit(0), dim)
+    spans = F.lit(False)
+    for a, b in _runs(years):
+        spans = spans | F.col(S.DATE).between(F.lit(dt.date(a, 1, 1)), F.lit(dt.date(b, 12, 31)))
+    rows = source.where(spans).withColumn(PARTITION_COL, F.year(S.DATE)).join(redo, SLICE, "left_semi")
+    ends = rows.groupBy(*SLICE).agg(F.max_by(S.VOLUME, S.DATE).alias("last_volume"))
+    stand = slices.join(redo, SLICE, "left_anti").select(*SLICE, "last_volume")
+    before = F.lag("last_volume").over(Window.partitionBy(S.KEY).orderBy(PARTITION_COL))
+    seeds = ends.unionByName(stand).select(*SLICE, before.alias("_seed"))
+    fact = marts.fact_rows(rows.drop(PARTITION_COL), dim).withColumn(PARTITION_COL, F.year(S.DATE))
+    order = Window.partitionBy(*SLICE).orderBy(S.DATE)
+    first = F.row_number().over(order) == 1
+    lagged = fact.join(seeds, SLICE, "left").withColumn(
+        "volumen_prev_mm3", F.when(first, F.col("_seed")).otherwise(F.lag(S.VOLUME).over(order)))
+    return lagged.withColumn("delta_volumen_mm3", F.col(S.VOLUME) - F.col("volumen_prev_mm3")).select(*S.FACT_COLUMNS)
+
+
+def _runs(years: list[int]) -> list[tuple[int, int]]:
+    """Consecutive years as (first, last)."""
+    out: list[tuple[int, int]] = []
+    for y in sorted(years):
+        if out and y == out[-1][1] + 1:
+            out[-1] = (out[-1][0], y)
+        else:
+            out.append((y, y))
+    return out
+
+
+def replace_slices(target: DataFrame, fresh: DataFrame, redo: DataFrame) -> DataFrame:
+    """Rows of ``target`` outside the redone slices, and the fresh rows."""
+    kept = target.withColumn(PARTITION_COL, F.year(S.DATE)).join(redo, SLICE, "left_anti").drop(PARTITION_COL)
     return evolve_union(kept, fresh)
 
 
-def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame,
-                 lookback_days: int = S.LOOKBACK_DAYS, key: str = S.KEY,
-                 lookback_only: bool = False, split=True) -> DataFrame:
-    """New fact table = target rows not recomputed ∪ recomputed rows (M3).
+def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame, lookback_days: int = S.LOOKBACK_DAYS,
+                 since: dt.datetime | None = None) -> DataFrame:
+    """New fact = target rows outside the redone slices ∪ redone rows (M3), for
+    a fact that is no table yet: its slices are computed from it. ``source``
+    is the staged daily table; :func:`refresh_fact_table` keeps the slices."""
+    spark = source.sparkSession
+    slices = materialize(spark, slices_of(target), "slices")
+    redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since), "redo")
+    return replace_slices(target, redone_rows(source, slices, dim, redo), redo)
+
+
+def slices_path(path: str) -> str:
+    return f"{path.rstrip('/')}_slices"
+
 
-    ``source`` is the staged daily table, ``target`` the current fact, ``dim``
-    the rebuilt dimension. Returns a lazy DataFrame; stage it before writing
-    over the target (never read and overwrite one path in a plan), or use
-    :func:`refresh_fact_table`, which rewrites only the touched partitions.
-    """
-    fresh = fresh_rows(source, target, dim, lookback_days, key, lookback_only, split)
-    return replace_rows(target, fresh, key)
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The fact table with the columns of all its files: years written before
+    a column was added have NULL in it."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def write_fact_table(fact: DataFrame, path: str) -> None:
-    """Full rebuild of the fact as a year-partitioned table (M4)."""
-    fact.withColumn(PARTITION_COL, F.year(S.DATE)).write.mode("overwrite") \
-        .partitionBy(PARTITION_COL).parquet(path)
+    """Full rebuild of the fact as a year-partitioned table (M4), with its
+    table of slices."""
+    spark = fact.sparkSession
+    write_partitions(fact.withColumn(PARTITION_COL, F.year(S.DATE)), path)
+    slices_of(spark.read.parquet(path).drop(PARTITION_COL)).write.mode("overwrite").parquet(slices_path(path))
 
 
 def refresh_fact_table(spark: SparkSession, source: DataFrame, path: str, dim: DataFrame,
-                       lookback_days: int = S.LOOKBACK_DAYS, key: str = S.KEY,
-                       lookback_only: bool = False) -> int:
+                       lookback_days: int = S.LOOKBACK_DAYS, since: dt.datetime | None = None) -> int:
     """Incremental refresh of the year-partitioned fact at ``path`` (M3).
 
-    Only the years holding recomputed rows are read, merged, staged under the
-    shared folder and published with a dynamic partition overwrite; a missing
-    table is built in full. Returns the number of recomputed rows."""
+    Only the years with redone slices are read, merged and replaced, in one
+    write with a dynamic partition overwrite; a missing table is built in
+    full. Returns the number of redone rows, -1 after a full build."""
     if not exists(spark, path):
-        write_fact_table(marts.build_fact(source, dim, key), path)
+        write_fact_table(marts.build_fact(source, dim), path)
         return -1
-    table = spark.read.parquet(path)
-    fresh = fresh_rows(source, table.drop(PARTITION_COL), dim, lookback_days, key, lookback_only)
-    try:
-        years = [r[0] for r in fresh.select(F.year(S.DATE)).distinct().collect()]
-        if not years:
-            return 0
-        touched = table.where(F.col(PARTITION_COL).isin(years)).drop(PARTITION_COL)
-        merged = replace_rows(touched, fresh, key).withColumn(PARTITION_COL, F.year(S.DATE))
-        stage = scratch_path(spark, "fact-stage")
-        merged.write.partitionBy(PARTITION_COL).parquet(stage)
-        (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PARTITION_COL).parquet(path))
-        return fresh.count()
-    finally:
-        fresh.unpersist()
+    if not exists(spark, slices_path(path)):
+        slices_of(read_fact(spark, path).drop(PARTITION_COL)).write.parquet(slices_path(path))
+    slices = spark.read.parquet(slices_path(path))
+    redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since), "redo")
+    years = [r[0] for r in redo.select(PARTITION_COL).distinct().collect()]  # one per year
+    if not years:
+        return 0
+    fresh = materialize(spark, redone_rows(source, slices, dim, redo), "fact-fresh")
+    touched = read_fact(spark, path).where(F.col(PARTITION_COL).isin(years)).drop(PARTITION_COL)
+    merged = replace_slices(touched, fresh, redo).withColumn(PARTITION_COL, F.year(S.DATE))
+    write_partitions(merged, path, dynamic=True)
+    new_slices = slices.join(redo, SLICE, "left_anti").unionByName(slices_of(fresh))
+    materialize(spark, new_slices, "slices").write.mode("overwrite").parquet(slices_path(path))
+    return fresh.count()
 
 
 def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.functions.expr import pct_of, rel_diff_pct
-from gaugeflow.operators.joins import bounded_broadcast
-from gaugeflow.operators.percentile import HOT_KEY_ROWS, hot_keys, hot_percentile
+from gaugeflow.operators.percentile import percentile_by_key
 from gaugeflow.operators.windows import lag_by_key, latest_per_key
 
 
@@ -44,38 +43,21 @@ def history_stats(
     date_col: str = S.DATE,
     value_col: str = S.VOLUME,
     quantile: float = S.CAPACITY_QUANTILE,
-    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Per-entity history statistics (A1) and exact continuous percentile (A2).
 
-    One hash aggregate with partial aggregation; ``percentile`` is exact
-    (linear interpolation like ``quantile_cont``) and keeps one value->count
-    map per key. Keys with more than ``hot_rows`` values (found by a count
-    pre-pass) get their percentile from the range-partitioned path of
-    :mod:`gaugeflow.operators.percentile`, so no task holds a whole hot key.
-    """
+    One hash aggregate with partial aggregation, joined with the percentile of
+    :mod:`gaugeflow.operators.percentile` (one row per key on both sides)."""
     v = F.col(value_col)
     values = daily.where(v.isNotNull())
-
-    def stats(df: DataFrame, with_percentile: bool) -> DataFrame:
-        aggs = [
-            F.min(date_col).alias("first_record_date"),
-            F.max(date_col).alias("last_record_date"),
-            F.count(F.lit(1)).alias("total_records"),
-            F.max(v).alias("max_volumen_historico_mm3"),
-        ]
-        if with_percentile:
-            aggs.append(F.percentile(v, F.lit(quantile)).alias("volumen_p99_mm3"))
-        return df.groupBy(key).agg(*aggs)
-
-    hot = hot_keys(values.select(key), key, hot_rows)
-    if hot is None:
-        return stats(values, True)
-    normal = stats(values.join(hot.select(key), key, "left_anti"), True)
-    hot_p = hot_percentile(values.select(key, value_col), hot, key, value_col, quantile)
-    hot_stats = stats(values.join(hot.select(key), key, "left_semi"), False).join(
-        hot_p.withColumnRenamed("percentile", "volumen_p99_mm3"), key, "left")
-    return normal.unionByName(hot_stats)
+    stats = values.groupBy(key).agg(
+        F.min(date_col).alias("first_record_date"),
+        F.max(date_col).alias("last_record_date"),
+        F.count(F.lit(1)).alias("total_records"),
+        F.max(v).alias("max_volumen_historico_mm3"),
+    )
+    p = percentile_by_key(values, key, value_col, quantile)
+    return stats.join(p.withColumnRenamed("percentile", "volumen_p99_mm3"), key, "left")
 
 
 def build_dim(catalog: DataFrame, daily: DataFrame, key: str = S.KEY, **kw) -> DataFrame:
@@ -95,12 +77,12 @@ def build_dim(catalog: DataFrame, daily: DataFrame, key: str = S.KEY, **kw) -> D
     )
 
 
-def fact_rows(daily: DataFrame, dim: DataFrame, key: str = S.KEY, broadcast_dim: bool = True) -> DataFrame:
+def fact_rows(daily: DataFrame, dim: DataFrame, key: str = S.KEY) -> DataFrame:
     """Daily fact before the lag columns: left join with three dimension
-    columns (J4) and guarded fill percentages (P12)."""
+    columns (J4) and guarded fill percentages (P12). ``dim`` should be a
+    written table: Spark then knows its size and broadcasts it only under its
+    own limit."""
     d = dim.select(key, "state", "namo_oficial_mm3", "name_oficial_mm3")
-    if broadcast_dim:
-        d = bounded_broadcast(d)
     s = daily.alias("s")
     joined = s.join(d, key, "left")
     return joined.select(
@@ -125,20 +107,17 @@ def add_prev_delta(fact: DataFrame, key: str = S.KEY, split: Column | bool | Non
     ).select(*S.FACT_COLUMNS)
 
 
-def build_fact(daily: DataFrame, dim: DataFrame, key: str = S.KEY, split: Column | bool | None = True,
-               broadcast_dim: bool = True) -> DataFrame:
+def build_fact(daily: DataFrame, dim: DataFrame, key: str = S.KEY, split: Column | bool | None = True) -> DataFrame:
     """Full-refresh daily fact, 15 columns (M4)."""
-    return add_prev_delta(fact_rows(daily, dim, key, broadcast_dim=broadcast_dim), key, split=split)
+    return add_prev_delta(fact_rows(daily, dim, key), key, split=split)
 
 
-def build_snapshot(fact: DataFrame, dim: DataFrame, key: str = S.KEY, broadcast_dim: bool = True) -> DataFrame:
+def build_snapshot(fact: DataFrame, dim: DataFrame, key: str = S.KEY) -> DataFrame:
     """Latest row per entity (W3) with four dimension columns (J5), rank
     column dropped (P15). Ranking runs first (map-side top-1), the join after:
     same result because the dimension is unique on the key."""
     latest = latest_per_key(fact, key, S.DATE)
     d = dim.select(key, *S.SNAPSHOT_DIM_COLUMNS)
-    if broadcast_dim:
-        d = bounded_broadcast(d)
     return latest.join(d, key, "left").select(*fact.columns, *S.SNAPSHOT_DIM_COLUMNS)
 
 

@@ -1,107 +1,50 @@
-"""Exact continuous percentile per key that stays balanced for hot keys (A2).
+"""Exact continuous percentile per key (A2), balanced for keys of any size.
 
-``percentile`` merges, for each key, a map of its distinct values in one task.
-That is fine for ordinary keys (a daily series has one value per day) but a
-key holding a large share of all rows would land whole in one task. Keys with
-more than ``hot_rows`` values therefore take a distributed path:
+``percentile`` merges, for each key, a map of all its values in one task. Here
+no task holds a key:
 
-1. distinct (key, value) with counts (hash-spread on both columns);
-2. range-partitioned on (key, value), so a hot key spans many partitions,
-   and written once to the shared folder together with its partition id
-   (the id then never changes, even if a later stage is recomputed);
-3. cumulative counts inside each (partition, key), ordered by value;
-4. per key, the offset of every partition (a table of partitions x hot keys);
+1. distinct (key, value) with counts, combined before the shuffle;
+2. range-partitioned on (key, value), so a large key spans many partitions,
+   and written once to the shared folder with its partition id (which then
+   never changes, even if a later stage is recomputed);
+3. counts accumulated inside each (partition, key), ordered by value;
+4. per key, the offset of every partition: one row per partition and key;
 5. the values holding ranks floor(pos) and ceil(pos), pos = (n - 1) * q, and
-   the same interpolation as ``percentile``:
-   ``(ceil - pos) * v_lo + (pos - floor) * v_hi``.
+   the interpolation ``(ceil - pos) * v_lo + (pos - floor) * v_hi``.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.operators.joins import bounded_broadcast
 from gaugeflow.session import materialize
 
-# Keys with more values than this take the distributed path.
-HOT_KEY_ROWS = 20_000_000
-# Target distinct values per range partition on the distributed path.
-ROWS_PER_PART = 2_000_000
-
-
-def _hot_percentile(values: DataFrame, hot: DataFrame, key: str, value: str, q: float,
-                    rows_per_part: int) -> DataFrame:
-    spark = values.sparkSession
-    hist = values.groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
-    total = hot.agg(F.sum("_n")).first()[0] or 0
-    parts = max(1, math.ceil(total / rows_per_part))
-    ranged = materialize(
-        spark,
-        hist.repartitionByRange(parts, key, value).withColumn("_pid", F.spark_partition_id()),
-        "percentile-ranges",
-    )
-    w = Window.partitionBy("_pid", key).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_cum", F.sum("_c").over(w))
-    part_tot = ranged.groupBy("_pid", key).agg(F.sum("_c").alias("_pt"))
-    wo = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part_tot.select(key, "_pid", F.coalesce(F.sum("_pt").over(wo), F.lit(0)).alias("_off"))
-    target = hot.select(
-        key,
-        ((F.col("_n") - 1) * F.lit(q)).alias("_pos"),
-    ).withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
-    ranked = (
-        local.join(bounded_broadcast(offsets), [key, "_pid"])
-        .withColumn("_end", F.col("_off") + F.col("_cum"))          # ranks [_start, _end) hold this value
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-        .join(bounded_broadcast(target), key)
-    )
-
-    def at(rank: str, out: str) -> DataFrame:
-        return ranked.where((F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))).select(
-            key, F.col(value).cast("double").alias(out))
-
-    lo, hi = at("_lo", "_v_lo"), at("_hi", "_v_hi")
-    return target.join(lo, key).join(hi, key).select(
-        key,
-        F.when((F.col("_hi") == F.col("_lo")) | (F.col("_v_hi") == F.col("_v_lo")), F.col("_v_lo"))
-        .otherwise((F.col("_hi") - F.col("_pos")) * F.col("_v_lo") + (F.col("_pos") - F.col("_lo")) * F.col("_v_hi"))
-        .alias("percentile"),
-    )
 
-
-def hot_keys(values: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
-    """(key, ``_n``) of the keys with more than ``hot_rows`` non-NULL values,
-    or None when there is none. One partial/final count per key; the result
-    has at most total rows / ``hot_rows`` rows and is broadcast behind a size
-    check."""
-    # No key can be hot when the whole input is not larger than the threshold;
-    # the limited count stops reading once the threshold is passed.
-    if hot_rows < 2**31 - 1 and values.limit(hot_rows + 1).count() <= hot_rows:
-        return None
-    counts = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).persist()
-    if hot.limit(1).count() == 0:
-        hot.unpersist()
-        return None
-    return bounded_broadcast(hot)
-
-
-def hot_percentile(values: DataFrame, hot: DataFrame, key: str, value: str, q: float,
-                   rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """(key, percentile) for the hot keys, on the distributed path."""
-    return _hot_percentile(values.join(hot.select(key), key, "left_semi"), hot, key, value, q, rows_per_part)
-
-
-def percentile_by_key(df: DataFrame, key: str, value: str, q: float,
-                      hot_rows: int = HOT_KEY_ROWS, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def percentile_by_key(df: DataFrame, key: str, value: str, q: float) -> DataFrame:
     """(key, percentile) for every key with at least one non-NULL value."""
-    values = df.where(F.col(value).isNotNull()).select(key, value)
-    hot = hot_keys(values, key, hot_rows)
-    if hot is None:
-        return values.groupBy(key).agg(F.percentile(value, F.lit(q)).alias("percentile"))
-    normal = (values.join(hot.select(key), key, "left_anti")
-              .groupBy(key).agg(F.percentile(value, F.lit(q)).alias("percentile")))
-    return normal.unionByName(hot_percentile(values, hot, key, value, q, rows_per_part))
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = materialize(df.sparkSession, counts.repartitionByRange(key, value)
+                         .withColumn("_pid", F.spark_partition_id()), "percentile-ranges")
+    inside = Window.partitionBy("_pid", key).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_cum", F.sum("_c").over(inside))
+    totals = ranged.groupBy("_pid", key).agg(F.sum("_c").alias("_t"))
+    by_key = Window.partitionBy(key)
+    before = by_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = totals.select(
+        key, "_pid", (F.sum("_t").over(before) - F.col("_t")).alias("_off"),
+        ((F.sum("_t").over(by_key) - 1) * F.lit(q)).alias("_pos"))
+    # A value holds the ranks [end - count, end) of its key.
+    end = F.col("_off") + F.col("_cum")
+
+    def holds(rank):
+        return (end - F.col("_c") <= rank) & (rank < end)
+
+    lo, hi = F.floor("_pos"), F.ceil("_pos")
+    v = F.col(value).cast("double")
+    picked = local.join(offsets, [key, "_pid"]).where(holds(lo) | holds(hi)).groupBy(key).agg(
+        F.max("_pos").alias("_pos"), F.max(F.when(holds(lo), v)).alias("_v_lo"), F.max(F.when(holds(hi), v)).alias("_v_hi"))
+    return picked.select(
+        key,
+        F.when((lo == hi) | (F.col("_v_lo") == F.col("_v_hi")), F.col("_v_lo"))
+        .otherwise((hi - F.col("_pos")) * F.col("_v_lo") + (F.col("_pos") - lo) * F.col("_v_hi")).alias("percentile"))

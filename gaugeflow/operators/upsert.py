@@ -1,9 +1,9 @@
 """Per-key watermark, batch de-duplication and keyed upsert.
 
 Parquet tables have no MERGE, so an upsert is expressed as
-``existing ⟕anti batch ∪ batch`` over the partitions the batch touches, staged
-to a new path and published with a dynamic partition overwrite. A job never
-reads and overwrites the same files in one plan.
+``existing ⟕anti batch ∪ batch`` over the partitions the batch touches,
+published in one write with a dynamic partition overwrite: Spark writes the new
+files beside the old ones and swaps the partitions when the job commits.
 """
 
 from __future__ import annotations
@@ -15,9 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.operators.joins import bounded_broadcast
 from gaugeflow.operators.windows import first_per_group
-from gaugeflow.session import scratch_path
+from gaugeflow.session import exists, materialize
 
 PARTITION_COL = "year"
 
@@ -27,15 +26,12 @@ def watermarks(table: DataFrame, key: str = S.KEY, date_col: str = S.DATE) -> Da
     return table.groupBy(key).agg(F.max(date_col).alias("max_fecha"))
 
 
-def after_watermark(batch: DataFrame, marks: DataFrame, key: str = S.KEY, date_col: str = S.DATE,
-                    broadcast_marks: bool = True) -> DataFrame:
+def after_watermark(batch: DataFrame, marks: DataFrame, key: str = S.KEY, date_col: str = S.DATE) -> DataFrame:
     """Keep batch rows dated after their key's watermark; keys without one keep
-    every row (J6). One join instead of one query per file; the watermark
-    table (one row per key) is broadcast behind a size bound."""
-    m = marks.select(key, "max_fecha")
-    if broadcast_marks:
-        m = bounded_broadcast(m)
-    kept = batch.join(m, key, "left").where(F.col("max_fecha").isNull() | (F.col(date_col) > F.col("max_fecha")))
+    every row (J6). One join instead of one query per file; ``marks`` (one row
+    per key) is best a written table, whose size Spark knows."""
+    kept = batch.join(marks.select(key, "max_fecha"), key, "left").where(
+        F.col("max_fecha").isNull() | (F.col(date_col) > F.col("max_fecha")))
     return kept.drop("max_fecha")
 
 
@@ -44,9 +40,9 @@ def watermark_gaps(batch: DataFrame, marks: DataFrame, key: str = S.KEY, date_co
     """Keys whose earliest incoming date is more than ``max_gap_days`` after
     their watermark: with tail-trimmed fetches the rows in between were never
     delivered (S7 gap check). One partial/final min per key, joined with the
-    watermark table (broadcast behind a size bound)."""
+    watermark table."""
     first_new = batch.groupBy(key).agg(F.min(date_col).alias("first_new_fecha"))
-    m = bounded_broadcast(marks.select(key, "max_fecha"))
+    m = marks.select(key, "max_fecha")
     return first_new.join(m, key, "inner").where(
         F.col("first_new_fecha") > F.date_add("max_fecha", max_gap_days)
     ).select(key, "max_fecha", "first_new_fecha",
@@ -63,7 +59,7 @@ def dedupe_batch(batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
 
 def merge_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
                mode: str = "new_dates", key: str = S.KEY, date_col: str = S.DATE,
-               loaded_at: dt.datetime | Column | None = None, broadcast_keys: bool = True) -> DataFrame:
+               loaded_at: dt.datetime | Column | None = None) -> DataFrame:
     """Result of the keyed upsert as a lazy DataFrame (M1).
 
     ``mode='new_dates'``: batch rows at or before the key's watermark are
@@ -79,10 +75,7 @@ def merge_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = (S.K
     ts = loaded_at if isinstance(loaded_at, Column) else (
         F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp"))
     incoming = batch.withColumn("ingested_at", ts).select(*existing.columns)
-    # A batch is normally small next to the table: its keys are broadcast
-    # (behind the size bound) so the existing rows are not shuffled.
-    batch_keys = bounded_broadcast(incoming.select(*keys)) if broadcast_keys else incoming.select(*keys)
-    kept = existing.join(batch_keys, list(keys), "left_anti")
+    kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.unionByName(incoming)
 
 
@@ -90,39 +83,58 @@ def with_partition(df: DataFrame, date_col: str = S.DATE) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.year(date_col))
 
 
+def write_partitions(df: DataFrame, target: str, mode: str = "overwrite", dynamic: bool = False) -> None:
+    """Write a frame with the partition column: rows are rebalanced by year,
+    so a year gets files of the advisory size, not one per task, and a large
+    year is still split. With ``dynamic`` only the years in ``df`` are
+    replaced, at the commit; ``df`` may read the years that it replaces."""
+    writer = df.hint("rebalance", F.col(PARTITION_COL)).write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(PARTITION_COL).parquet(target)
+
+
+def marks_path(target: str) -> str:
+    return f"{target.rstrip('/')}_marks"
+
+
+def stored_watermarks(spark: SparkSession, target: str, key: str = S.KEY, date_col: str = S.DATE) -> DataFrame:
+    """The watermark table kept next to ``target``, one row per key; made from
+    the table where it is missing."""
+    path = marks_path(target)
+    if not exists(spark, path):
+        watermarks(spark.read.parquet(target), key, date_col).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
                  mode: str = "new_dates", loaded_at: dt.datetime | None = None,
-                 date_col: str = S.DATE) -> int:
+                 date_col: str = S.DATE, marks: DataFrame | None = None) -> int:
     """Apply :func:`merge_rows` to a year-partitioned parquet table at ``target``.
 
-    Only the year partitions the batch touches are read, merged, staged to a
-    new path under the shared folder, and then published with a dynamic
-    partition overwrite; untouched partitions are not rewritten. Re-running the
-    same batch gives the same table (idempotent). Returns the number of staged
-    rows (one count of the staged files).
+    The batch is filtered first (``new_dates``: by the stored watermarks, or by
+    ``marks``) and written to the shared folder; only the years that it then
+    holds are read, merged and replaced, in one write. A batch with nothing
+    new rewrites nothing. Re-running a batch gives the same table. Returns the
+    number of batch rows that were applied.
     """
-    batch = batch.select(*[c for c in batch.columns if c != PARTITION_COL]).persist()
-    try:
-        years = [r[0] for r in batch.select(F.year(date_col)).distinct().collect()]
-        existing_all = spark.read.parquet(target)
-        existing = existing_all.where(F.col(PARTITION_COL).isin(years)).drop(PARTITION_COL)
-        if mode == "new_dates":
-            # The watermark comes from the whole table, not only the touched years.
-            marks = watermarks(existing_all, keys[0], date_col)
-            batch_f = after_watermark(batch, marks, keys[0], date_col)
-            merged = merge_rows(existing, batch_f, keys, mode="upsert", loaded_at=loaded_at)
-        else:
-            merged = merge_rows(existing, batch, keys, mode="upsert", loaded_at=loaded_at)
-        stage = scratch_path(spark, "upsert-stage")
-        with_partition(merged, date_col).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)
-        staged = spark.read.parquet(stage)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PARTITION_COL).parquet(target))
-        return staged.count()
-    finally:
-        batch.unpersist()
+    key = keys[0]
+    batch = batch.select(*[c for c in batch.columns if c != PARTITION_COL])
+    stored = stored_watermarks(spark, target, key, date_col)
+    if mode == "new_dates":
+        batch = after_watermark(batch, stored if marks is None else marks, key, date_col)
+    batch = materialize(spark, batch, "upsert-batch")
+    per_year = batch.groupBy(F.year(date_col)).count().collect()  # one row per year
+    if not per_year:
+        return 0
+    touched = spark.read.parquet(target).where(F.col(PARTITION_COL).isin([r[0] for r in per_year])).drop(PARTITION_COL)
+    merged = merge_rows(touched, batch, keys, mode="upsert", loaded_at=loaded_at)
+    write_partitions(with_partition(merged, date_col), target, dynamic=True)
+    new_marks = stored.unionByName(watermarks(batch, key, date_col)).groupBy(key).agg(F.max("max_fecha").alias("max_fecha"))
+    materialize(spark, new_marks, "marks").write.mode("overwrite").parquet(marks_path(target))
+    return sum(r[1] for r in per_year)
 
 
 def create_table(raw: DataFrame, target: str, date_col: str = S.DATE) -> None:
     """Initial load of a year-partitioned raw table."""
-    with_partition(raw, date_col).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(target)
+    write_partitions(with_partition(raw, date_col), target)

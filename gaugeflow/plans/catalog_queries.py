@@ -68,9 +68,10 @@ SELECT {_KEY_SQL}                                              AS dam_key,
        'LIBRE'                                                 AS tipo_vertedor,
        s_name                                                  AS nombre_comun
 FROM sup
-WHERE n_name <> '{REPORT_MISSING_NATION}'
 """
 
+_JOIN_CAPACITY_SQL = f"{_CAPACITY_SQL} WHERE n_name <> '{REPORT_MISSING_NATION}'"
+
 _ENRICHED_SQL = f"""
 SELECT {", ".join(S.CATALOG_COLUMNS)}
 FROM seed LEFT JOIN cap USING (dam_key)
@@ -78,7 +79,7 @@ FROM seed LEFT JOIN cap USING (dam_key)
 
 
 def _ctes(**extra: str) -> dict[str, str]:
-    return {"sup": _SUP_SQL, "named": _NAMED_SQL, "seed": _SEED_SQL, "cap": _CAPACITY_SQL, **extra}
+    return {"sup": _SUP_SQL, "named": _NAMED_SQL, "seed": _SEED_SQL, "cap": _JOIN_CAPACITY_SQL, **extra}
 
 
 def cleaned_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +88,9 @@ def cleaned_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat_ops.clean_sheet(cat_src.read_sheet(spark, path))
 
 
-def capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def capacities(spark: SparkSession, sf_dir: str, without: str | None = REPORT_MISSING_NATION) -> DataFrame:
     path = scratch_path(spark, "capacity-report")
-    render_capacity_report(spark, sf_dir, path)
+    render_capacity_report(spark, sf_dir, path, without)
     return cat_ops.coerce_capacities(cat_src.read_capacity_report(spark, path, multi_line=False))
 
 
@@ -110,9 +111,9 @@ def q_seed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat_src.read_seed(spark, path)
 
 
-@register("s9_p3_p4_capacity_scan", with_ctes("SELECT * FROM cap", **_ctes()))
+@register("s9_p3_p4_capacity_scan", with_ctes("SELECT * FROM cap", **_ctes(cap=_CAPACITY_SQL)))
 def q_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capacities(spark, sf_dir)
+    return capacities(spark, sf_dir, without=None)
 
 
 @register("s10_ordered_keys", with_ctes("SELECT dam_key, numero FROM seed ORDER BY numero", **_ctes()))

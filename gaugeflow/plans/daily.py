@@ -15,6 +15,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.operators import incremental, marts, quality, upsert
@@ -42,8 +43,6 @@ def ingest(spark: SparkSession, landing_dir: str, root: str, mode: str = "new_da
     batch = upsert.dedupe_batch(rows, order=["file", *landing.ORDER_COLS]).select(S.KEY, S.DATE, *S.MEASURES)
     raw_path = f"{root}/raw"
     if not exists(spark, raw_path):
-        from pyspark.sql import functions as F
-
         ts = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
         upsert.create_table(batch.withColumn("ingested_at", ts), raw_path)
     else:
@@ -53,21 +52,30 @@ def ingest(spark: SparkSession, landing_dir: str, root: str, mode: str = "new_da
 
 def build_marts(spark: SparkSession, root: str, catalog: DataFrame, run_date: dt.date,
                 run_id: str, incremental_fact: bool = True,
-                min_date: str = S.MIN_VALID_DATE) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+                min_date: str = S.MIN_VALID_DATE,
+                until: dt.datetime | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Dimension (rebuilt), fact (incremental or full), snapshot (lazy).
-    Returns (raw, dim, fact, snapshot)."""
+    Returns (raw, dim, fact, snapshot).
+
+    ``until`` is the load time of the newest raw rows. It is recorded once the
+    fact holds them, and the next run redoes the slices of all rows loaded
+    after the last recorded time, corrections included; rows of a run that
+    failed before its fact are picked up too."""
     raw = spark.read.parquet(f"{root}/raw").drop(upsert.PARTITION_COL)
     staged = marts.stage_daily(raw, as_of=run_date, min_date=min_date)
     dim_path = f"{root}/dim/run={run_id}"
     marts.build_dim(catalog, staged).write.parquet(dim_path)
-    dim = spark.read.parquet(dim_path).persist()
-    fact_path = f"{root}/fact"
+    dim = spark.read.parquet(dim_path)
+    fact_path, runs_path = f"{root}/fact", f"{root}/fact_runs"
     if incremental_fact:
-        incremental.refresh_fact_table(spark, staged, fact_path, dim)
+        since = spark.read.parquet(runs_path).agg(F.max("until")).first()[0] if exists(spark, runs_path) else None
+        incremental.refresh_fact_table(spark, staged, fact_path, dim, since=since)
     else:
         incremental.write_fact_table(marts.build_fact(staged, dim), fact_path)
+    if until is not None:
+        spark.range(1).select(F.lit(until).cast("timestamp").alias("until")).write.mode("append").parquet(runs_path)
     # Years rewritten after a column was added carry it; the others do not.
-    fact = spark.read.option("mergeSchema", "true").parquet(fact_path).drop(incremental.PARTITION_COL)
+    fact = incremental.read_fact(spark, fact_path).drop(incremental.PARTITION_COL)
     return raw, dim, fact, marts.build_snapshot(fact, dim)
 
 
@@ -77,8 +85,9 @@ def run_daily(spark: SparkSession, landing_dir: str, catalog: DataFrame, root: s
     callers decide which failures block a publish."""
     root = root.rstrip("/")
     run_id = export.new_run_id(run_date)
-    status = ingest(spark, landing_dir, root, **ingest_kw)
-    raw, dim, fact, snapshot = build_marts(spark, root, catalog, run_date, run_id)
+    loaded_at = ingest_kw.pop("loaded_at", None) or dt.datetime.now()
+    status = ingest(spark, landing_dir, root, loaded_at=loaded_at, **ingest_kw)
+    raw, dim, fact, snapshot = build_marts(spark, root, catalog, run_date, run_id, until=loaded_at)
     dq = quality.run_suite(quality.default_suite(catalog, raw, dim, fact, snapshot))
     run_dir, manifest = export.export_all(spark, dim, fact, snapshot, export_root, run_date, force_archive)
     return RunResult(status, dq, run_dir, manifest)

@@ -17,7 +17,8 @@ from gaugeflow.plans.proxy import table
 
 # Records per rendered capacity-report array (one JSON array per line).
 REPORT_CHUNK = 1000
-# Nation whose suppliers are missing from the rendered capacity report.
+# Nation whose suppliers are missing from the capacity report of the joins,
+# so that they have entities without a match.
 REPORT_MISSING_NATION = "NATION_3"
 
 
@@ -66,11 +67,14 @@ def render_sheet(spark: SparkSession, sf_dir: str, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def render_capacity_report(spark: SparkSession, sf_dir: str, path: str) -> None:
+def render_capacity_report(spark: SparkSession, sf_dir: str, path: str, without: str | None = None) -> None:
     """Capacity report as JSON: each line one array of at most REPORT_CHUNK
-    records (chunks of consecutive supplier keys). Suppliers of one nation are
-    absent; negative balances give a non-numeric capacity ('ND')."""
-    sup = _suppliers(spark, sf_dir).where(F.col("n_name") != REPORT_MISSING_NATION)
+    records (chunks of consecutive supplier keys). Suppliers of the nation
+    ``without`` are absent; negative balances give a non-numeric capacity
+    ('ND')."""
+    sup = _suppliers(spark, sf_dir)
+    if without is not None:
+        sup = sup.where(F.col("n_name") != without)
     rec = F.struct(
         catalog_key().alias("clavesih"),
         F.when(F.col("s_acctbal") < 0, F.lit("ND")).otherwise((F.col("s_acctbal") / 100).cast("string")).alias("namoalmac"),

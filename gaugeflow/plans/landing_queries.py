@@ -30,9 +30,9 @@ from gaugeflow.sources import landing
 # Rows before this date are rendered with the canonical header, later rows
 # with the reordered one.
 HEADER_SWITCH = "1998-07-01"
-# Rows from this date on are also rendered as broken copies (bad dates,
-# variant header) under suffixed keys.
-BROKEN_FROM = "2001-01-01"
+# Every row is also rendered in broken copies (bad dates, variant header) under
+# suffixed keys. A date is broken on few days, so some files have none.
+BROKEN_SQL = "(vertedor_m3s = 1.0 AND dayofmonth(fecha) = 1)"
 VARIANT_HEADER = [("Almacenamiento(hm³)" if h == "VolumenAlm(Mm3)" else h) for h in S.GAUGE_HEADER]
 
 
@@ -66,14 +66,13 @@ def render_messy(raw: DataFrame, root: str) -> list[str]:
 
 
 def render_broken(raw: DataFrame, root: str) -> dict[str, str]:
-    recent = raw.where(F.col(S.DATE) >= F.lit(BROKEN_FROM).cast("date"))
     bad, variant = f"{root}/bad_dates", f"{root}/variant"
-    bad_rows = recent.withColumn(S.KEY, F.concat(S.KEY, F.lit("_BADDATE")))
+    bad_rows = raw.withColumn(S.KEY, F.concat(S.KEY, F.lit("_BADDATE")))
     render_gauge_files(bad_rows, bad, S.GAUGE_HEADER, {
-        "Fecha": F.when(F.col("vertedor_m3s") == 1.0, F.lit("2001-13-45"))
+        "Fecha": F.when(F.expr(BROKEN_SQL), F.lit("2001-13-45"))
         .otherwise(F.date_format(S.DATE, "yyyy-MM-dd")),
     })
-    var_rows = recent.withColumn(S.KEY, F.concat(S.KEY, F.lit("_VARIANT")))
+    var_rows = raw.withColumn(S.KEY, F.concat(S.KEY, F.lit("_VARIANT")))
     render_gauge_files(var_rows, variant, VARIANT_HEADER, {"Almacenamiento(hm³)": _s(S.VOLUME)})
     return {"bad": bad, "variant": variant}
 
@@ -128,15 +127,15 @@ _STATUS_SQL = with_ctes(
     FROM raw GROUP BY dam_key, {_SPAN_SQL}, fecha < DATE '{HEADER_SWITCH}'
     UNION ALL
     SELECT dam_key || '_BADDATE', cast({_SPAN_SQL} AS bigint),
-           CASE WHEN count(*) FILTER (WHERE vertedor_m3s = 1.0) > 0 THEN 'bad_dates' ELSE 'ok' END,
-           count(*) FILTER (WHERE vertedor_m3s <> 1.0),
+           CASE WHEN count(*) FILTER (WHERE {BROKEN_SQL}) > 0 THEN 'bad_dates' ELSE 'ok' END,
+           count(*) FILTER (WHERE NOT {BROKEN_SQL}),
            cast(0 AS bigint),
-           count(*) FILTER (WHERE vertedor_m3s = 1.0)
-    FROM raw WHERE fecha >= DATE '{BROKEN_FROM}' GROUP BY dam_key, {_SPAN_SQL}
+           count(*) FILTER (WHERE {BROKEN_SQL})
+    FROM raw GROUP BY dam_key, {_SPAN_SQL}
     UNION ALL
     SELECT dam_key || '_VARIANT', cast({_SPAN_SQL} AS bigint), 'missing_columns', cast(0 AS bigint), cast(0 AS bigint),
            cast(0 AS bigint)
-    FROM raw WHERE fecha >= DATE '{BROKEN_FROM}' GROUP BY dam_key, {_SPAN_SQL}
+    FROM raw GROUP BY dam_key, {_SPAN_SQL}
     """,
     raw=PROXY_RAW_SQL,
 )
@@ -159,8 +158,8 @@ def q_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BAD_FILES_SQL = f"""
-SELECT dam_key, {_SPAN_SQL} AS span, count(*) AS n, count(*) FILTER (WHERE vertedor_m3s = 1.0) AS bad
-FROM raw WHERE fecha >= DATE '{BROKEN_FROM}' GROUP BY 1, 2
+SELECT dam_key, {_SPAN_SQL} AS span, count(*) AS n, count(*) FILTER (WHERE {BROKEN_SQL}) AS bad
+FROM raw GROUP BY 1, 2
 """
 
 
@@ -175,7 +174,7 @@ FROM raw WHERE fecha >= DATE '{BROKEN_FROM}' GROUP BY 1, 2
     """, raw=PROXY_RAW_SQL, bf=_BAD_FILES_SQL))
 def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, newest date and file counts after loading the good files of one
-    landing directory and the bad-date copies of the newest rows."""
+    landing directory and the bad-date copies."""
     raw = ProxyMarts(spark, sf_dir).raw
     root = scratch_path(spark, "landing")
     good = f"{root}/good"
@@ -191,12 +190,10 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     SELECT dam_key || '_BADDATE' AS dam_key, fecha, volumen_alm_mm3
     FROM raw r
-    WHERE fecha >= DATE '{BROKEN_FROM}'
-      AND NOT EXISTS (SELECT 1 FROM raw b
+    WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM raw WHERE {BROKEN_SQL}) b
                       WHERE b.dam_key = r.dam_key
                         AND floor(datediff('day', DATE '{RENDER_EPOCH}', b.fecha) / {RENDER_SPAN_DAYS})
-                          = floor(datediff('day', DATE '{RENDER_EPOCH}', r.fecha) / {RENDER_SPAN_DAYS})
-                        AND b.fecha >= DATE '{BROKEN_FROM}' AND b.vertedor_m3s = 1.0)
+                          = floor(datediff('day', DATE '{RENDER_EPOCH}', r.fecha) / {RENDER_SPAN_DAYS}))
     """, raw=PROXY_RAW_SQL))
 def q_good_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file with a bad date is dropped whole; the others load."""
@@ -209,7 +206,7 @@ def q_good_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("s6_header_aliases", with_ctes(
     f"""
     SELECT dam_key || '_VARIANT' AS dam_key, fecha, volumen_alm_mm3, precipitacion_mm
-    FROM raw WHERE fecha >= DATE '{BROKEN_FROM}'
+    FROM raw
     """, raw=PROXY_RAW_SQL))
 def q_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = ProxyMarts(spark, sf_dir).raw
@@ -221,14 +218,14 @@ def q_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("s7_tail_trim", with_ctes(
     f"""
     SELECT dam_key, fecha, {", ".join(S.MEASURES)} FROM (
-        SELECT *, row_number() OVER (PARTITION BY dam_key ORDER BY fecha DESC) AS rn FROM raw) t
+        SELECT *, row_number() OVER (PARTITION BY dam_key, {_SPAN_SQL} ORDER BY fecha DESC) AS rn FROM raw) t
     WHERE rn <= {S.TAIL_ROWS}
     """, raw=PROXY_RAW_SQL))
 def q_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing-tail")
     render_gauge_files(ProxyMarts(spark, sf_dir).raw, path, S.GAUGE_HEADER)
     lines = _lines(spark, path)
-    heads = landing.file_heads(lines).persist()
+    heads = landing.file_heads(lines)
     trimmed = landing.tail_lines(lines, heads, S.TAIL_ROWS)
     rows, _, _ = landing.load_lines(trimmed)
     return rows.select(S.KEY, S.DATE, *S.MEASURES)

@@ -5,7 +5,7 @@ As in the pipeline, the raw daily table and the fact are *tables*: each is
 written once to the shared folder (``spark.checkpoint.dir``) and read back,
 which cuts the lineage (a lost executor recomputes from parquet, not from
 lineitem) and lets every downstream pass read only the columns it needs. The
-dimension (one row per entity) is persisted.
+dimension (one row per entity) too, so its size is known when it is joined.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ class ProxyMarts:
 
     @cached_property
     def dim(self) -> DataFrame:
-        return marts.build_dim(self.catalog, self.staged).persist()
+        return materialize(self.spark, marts.build_dim(self.catalog, self.staged), "dim")
 
     def fact(self, split=True) -> DataFrame:
         return marts.build_fact(self.staged, self.dim, split=split)
@@ -61,10 +61,6 @@ def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ProxyMarts(spark, sf_dir).dim
 
 
-def persisted_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ProxyMarts(spark, sf_dir).dim
-
-
 def fact(spark: SparkSession, sf_dir: str, split=True) -> DataFrame:
     return ProxyMarts(spark, sf_dir).fact(split=split)
 

@@ -18,7 +18,7 @@ from gaugeflow import schemas as S
 from gaugeflow.functions.expr import month_key
 from gaugeflow.operators import incremental, marts, upsert
 from gaugeflow.plans import marts_plan as mp
-from gaugeflow.plans.fixtures import render_gauge_files
+from gaugeflow.plans.fixtures import RENDER_EPOCH, RENDER_SPAN_DAYS, render_gauge_files
 from gaugeflow.plans.oracle import SNAPSHOT_SQL, marts_sql, with_ctes
 from gaugeflow.plans.marts_plan import ProxyMarts
 from gaugeflow.plans.proxy import PROXY_RAW_SQL
@@ -187,7 +187,69 @@ def q_incremental_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "fact-table")
     incremental.write_fact_table(_partial_target(m), path)
     incremental.refresh_fact_table(spark, m.staged, path, m.dim)
-    return spark.read.parquet(path).drop(incremental.PARTITION_COL).select(*S.FACT_COLUMNS)
+    return incremental.read_fact(spark, path).select(*S.FACT_COLUMNS)
+
+
+def _refreshed(spark: SparkSession, m: mp.ProxyMarts, old: DataFrame, **kw) -> DataFrame:
+    """The fact table made from ``old`` and refreshed from the whole source."""
+    path = scratch_path(spark, "fact-table")
+    incremental.write_fact_table(old, path)
+    incremental.refresh_fact_table(spark, kw.pop("source", m.staged), path, m.dim, **kw)
+    return incremental.read_fact(spark, path).select(*S.FACT_COLUMNS)
+
+
+@register("m3_lagging_entities", marts_sql("SELECT * FROM fct", "fct"))
+def q_lagging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the entities stopped months before the others: their next
+    rows are far older than the newest date of the fact and still arrive."""
+    m = mp.ProxyMarts(spark, sf_dir)
+    stops = F.pmod(F.crc32(S.KEY), F.lit(3)) == 0
+    old = m.staged.where(F.col(S.DATE) < F.when(stops, _d("1999-06-01")).otherwise(_d(INCR_UNTIL)))
+    return _refreshed(spark, m, marts.build_fact(old, m.dim))
+
+
+@register("m3_corrections", marts_sql("SELECT * FROM fct", "fct"))
+def q_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded since the last run count however old they are: corrected
+    values (about one row in twelve, over all years) and rows that were missing."""
+    m = mp.ProxyMarts(spark, sf_dir)
+    missing = (F.dayofmonth(S.DATE) == 13) & ~_late()
+    old = m.staged.where(~missing).withColumn(
+        S.VOLUME, F.when(_late(), F.col(S.VOLUME) + 1000.0).otherwise(F.col(S.VOLUME)))
+    loaded = F.when(_late() | missing, F.lit(LOADED_AT)).otherwise(F.lit(dt.datetime(2001, 1, 1)))
+    return _refreshed(spark, m, marts.build_fact(old, m.dim), source=m.staged.withColumn("ingested_at", loaded),
+                      since=dt.datetime(2001, 6, 1))
+
+
+@register("m3_capacity_change", marts_sql("SELECT * FROM fct", "fct"))
+def q_capacity_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capacities and states that changed in the dimension reach the rows of
+    all years of their entities."""
+    m = mp.ProxyMarts(spark, sf_dir)
+    some = F.pmod(F.crc32(S.KEY), F.lit(4))
+    before = m.dim.withColumn("namo_oficial_mm3", F.when(some == 0, F.col("namo_oficial_mm3") * 2).when(
+        some == 1, F.lit(None)).otherwise(F.col("namo_oficial_mm3"))).withColumn(
+        "state", F.when(some == 2, F.lit("ELSEWHERE")).otherwise(F.col("state")))
+    return _refreshed(spark, m, marts.build_fact(m.staged, before))
+
+
+@register("m5_evolve_written_table", marts_sql(
+    """
+    SELECT * REPLACE (CASE WHEN fecha < DATE '1999-01-01' THEN NULL ELSE pct_llenado_name END AS pct_llenado_name)
+    FROM fct
+    """, "fct"))
+def q_evolve_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose older years were written before a column existed: after a
+    refresh with new rows they have NULL in it, and all other years, those
+    that the refresh did not touch included, keep their values."""
+    m = mp.ProxyMarts(spark, sf_dir)
+    path = scratch_path(spark, "fact-table")
+    fact = m.fact_table.where(F.col(S.DATE) < _d(SPLIT)).withColumn(incremental.PARTITION_COL, F.year(S.DATE))
+    added = F.col(S.DATE) >= _d("1999-01-01")
+    upsert.write_partitions(fact.where(~added).drop("pct_llenado_name"), path)
+    upsert.write_partitions(fact.where(added), path, mode="append")
+    incremental.refresh_fact_table(spark, m.staged, path, m.dim, lookback_days=0)
+    return incremental.read_fact(spark, path).select(*S.FACT_COLUMNS)
 
 
 @register("m5_append_new_columns", marts_sql(
@@ -215,7 +277,8 @@ def q_dim_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("k2_l2_fact_by_state", marts_sql("SELECT * FROM fct WHERE state IS NOT NULL", "fct"))
 def q_fact_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export-fact")
-    export.write_fact_by_state(mp.fact(spark, sf_dir), path)
+    # From the written fact: the range sort samples its input.
+    export.write_fact_by_state(mp.ProxyMarts(spark, sf_dir).fact_table, path)
     return export.read_fact_by_state(spark, path)
 
 
@@ -261,20 +324,82 @@ def _publish(spark: SparkSession, sf_dir: str):
                              generated_at=dt.datetime(2001, 7, 1, 6, 0, tzinfo=dt.timezone.utc))
 
 
-@register("k3_k5_file_inventory", None, note="hashes depend on file bytes: rows-only check")
+_DATASETS_SQL = """
+SELECT 'dim' AS dataset, NULL AS state, count(*) AS n, min(first_record_date) AS lo, max(last_record_date) AS hi FROM dim
+UNION ALL SELECT 'snapshot', NULL, count(*), min(fecha), max(fecha) FROM snap
+UNION ALL SELECT 'fct_by_state/state_part=' || translate(state, ' /', '__'), state, count(*), min(fecha), max(fecha)
+FROM fct WHERE state IS NOT NULL GROUP BY state
+"""
+
+
+def _read_back(spark: SparkSession, current: str) -> DataFrame:
+    """Rows and dates of each published directory, counted from its files."""
+    def counted(sub: str, lo: str, hi: str) -> DataFrame:
+        rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{current}/{sub}")
+        name = F.regexp_extract(F.col("_metadata.file_path"), "/current/(.*)/[^/]*$", 1)
+        return rows.select(name.alias("dataset"), F.col(lo).alias("lo"), F.col(hi).alias("hi")).groupBy("dataset").agg(
+            F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+    return counted("dim", "first_record_date", "last_record_date").unionByName(
+        counted("snapshot", S.DATE, S.DATE)).unionByName(counted("fct_by_state", S.DATE, S.DATE))
+
+
+@register("k3_k5_file_inventory", marts_sql(
+    f"SELECT dataset, n, lo, hi, true AS sizes_match, true AS hashes_match FROM ({_DATASETS_SQL})", "snap"))
 def q_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every published file once in the written inventory, with the size and
+    hash that its bytes have when they are read again; rows per data set."""
     run_dir, _ = _publish(spark, sf_dir)
-    return export.file_inventory(spark, f"{run_dir}/current")
+    written = spark.read.schema("key string, size_bytes long, hash string, state string").json(f"{run_dir}/files")
+    again = export.file_inventory(spark, f"{run_dir}/current")
+    both = written.join(again.select(F.col("relpath").alias("key"), F.col("size_bytes").alias("size2"),
+                                     F.col("hash").alias("hash2")), "key", "full_outer")
+    per = both.groupBy(F.regexp_replace("key", "/[^/]*$", "").alias("dataset")).agg(
+        F.min(F.col("size_bytes").eqNullSafe(F.col("size2"))).alias("sizes_match"),
+        F.min(F.col("hash").eqNullSafe(F.col("hash2"))).alias("hashes_match"))
+    return _read_back(spark, f"{run_dir}/current").join(per, "dataset").select(
+        "dataset", "n", "lo", "hi", "sizes_match", "hashes_match")
+
 
+_ENTRY = "struct<files:long,size_bytes:long,hash:string,state:string>"
+_MANIFEST = (f"schema_version int, data_min_fecha date, data_max_fecha date, total_presas long, current map<string,{_ENTRY}>, "
+             "latest_archive struct<month:string,size_bytes:long>, states_without_rows array<string>, total_bytes long")
 
-@register("k6_manifest", None, note="one JSON row with sizes and hashes: rows-only check")
+
+@register("k6_manifest", marts_sql(
+    f"""
+    SELECT d.dataset, d.state, d.n, d.lo, d.hi, true AS sums_match, 1 AS schema_version, '2001-07' AS archive_month,
+           (SELECT min(fecha) FROM fct) AS data_min_fecha, (SELECT max(fecha) FROM fct) AS data_max_fecha,
+           (SELECT count(*) FROM snap) AS total_presas,
+           (SELECT count(DISTINCT state) FROM dim WHERE state NOT IN (SELECT state FROM fct WHERE state IS NOT NULL))
+               AS states_without_rows
+    FROM ({_DATASETS_SQL}) d
+    """, "snap"))
 def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, manifest = _publish(spark, sf_dir)
-    return manifest
+    """The manifest's entries: true state, rows re-read per directory, the
+    date range, entity count and empty states; sizes and total checked against
+    the files."""
+    run_dir, manifest = _publish(spark, sf_dir)
+    doc = manifest.select(F.from_json("manifest", _MANIFEST).alias("d")).select("d.*")
+    entries = doc.select("*", F.explode("current").alias("dataset", "e"))
+    sizes = export.file_inventory(spark, f"{run_dir}/current").groupBy(
+        F.regexp_replace("relpath", "/[^/]*$", "").alias("dataset")).agg(
+        F.sum("size_bytes").alias("size2"), F.count(F.lit(1)).alias("files2"))
+    total = sizes.agg(F.sum("size2").alias("total2"))
+    return entries.join(sizes, "dataset").join(_read_back(spark, f"{run_dir}/current"), "dataset").join(
+        total, entries["total_bytes"] == total["total2"], "left").select(
+        "dataset", "e.state", "n", "lo", "hi",
+        ((F.col("e.size_bytes") == F.col("size2")) & (F.col("e.files") == F.col("files2"))
+         & F.col("total2").isNotNull()).alias("sums_match"),
+        "schema_version", F.col("latest_archive.month").alias("archive_month"), "data_min_fecha", "data_max_fecha",
+        "total_presas", F.size("states_without_rows").cast("long").alias("states_without_rows"))
 
 
 # ---- streaming ingest --------------------------------------------------------
 
+_STREAM_KW = dict(key_pattern=r"dam_key=([^/]+)/", glob="*.txt")
+
+
 @register("t1_streaming_ingest", with_ctes(
     f"SELECT dam_key, fecha, {', '.join(S.MEASURES)} FROM raw", raw=PROXY_RAW_SQL))
 def q_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,9 +408,44 @@ def q_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = ProxyMarts(spark, sf_dir).raw
     root = scratch_path(spark, "stream")
     landing_dir, target, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/checkpoint"
-    kw = dict(key_pattern=r"dam_key=([^/]+)/", glob="*.txt", loaded_at=LOADED_AT)
+    kw = dict(loaded_at=LOADED_AT, **_STREAM_KW)
     render_gauge_files(raw.where(F.col(S.DATE) < _d(SPLIT)), f"{landing_dir}/run_date=2001-01-01", S.GAUGE_HEADER)
     ingest.run_ingest(spark, landing_dir, target, ckpt, **kw)
     render_gauge_files(raw.where(F.col(S.DATE) >= _d(SPLIT)), f"{landing_dir}/run_date=2001-07-01", S.GAUGE_HEADER)
     ingest.run_ingest(spark, landing_dir, target, ckpt, **kw)
     return ingest.read_raw(spark, target).select(*RAW_OUT)
+
+
+def _streamed_out_of_order(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """One run over files of every entity that land newest rows first, a
+    quarter of the files per micro-batch."""
+    raw = ProxyMarts(spark, sf_dir).raw
+    root = scratch_path(spark, "stream")
+    landing_dir, target, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/checkpoint"
+    render_gauge_files(raw.where(F.col(S.DATE) >= _d(SPLIT)), f"{landing_dir}/a_newest", S.GAUGE_HEADER)
+    render_gauge_files(raw.where(F.col(S.DATE) < _d(SPLIT)), f"{landing_dir}/b_older", S.GAUGE_HEADER)
+    files = raw.select(S.KEY).distinct().count() * 2
+    ingest.run_ingest(spark, landing_dir, target, ckpt, loaded_at=LOADED_AT,
+                      max_files_per_trigger=max(1, files // 4), **_STREAM_KW)
+    return target, ckpt
+
+
+@register("t1_stream_out_of_order", with_ctes(
+    f"SELECT dam_key, fecha, {', '.join(S.MEASURES)} FROM raw", raw=PROXY_RAW_SQL))
+def q_stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No row falls under a watermark that the same run has raised."""
+    target, _ = _streamed_out_of_order(spark, sf_dir)
+    return ingest.read_raw(spark, target).select(*RAW_OUT)
+
+
+@register("t1_stream_status", with_ctes(
+    f"""
+    SELECT dam_key, CASE WHEN fecha >= DATE '{SPLIT}' THEN 'a_newest' ELSE 'b_older' END AS run, 'ok' AS status,
+           NULL AS reason, count(*) AS data_rows, cast(0 AS bigint) AS rejected_rows
+    FROM raw GROUP BY dam_key, floor(datediff('day', DATE '{RENDER_EPOCH}', fecha) / {RENDER_SPAN_DAYS}), 2
+    """, raw=PROXY_RAW_SQL))
+def q_stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of every streamed file, kept per micro-batch."""
+    _, ckpt = _streamed_out_of_order(spark, sf_dir)
+    return ingest.file_status(spark, ckpt).select(
+        S.KEY, F.regexp_extract("file", "/(a_newest|b_older)/", 1).alias("run"), "status", "reason", "data_rows", "rejected_rows")

@@ -46,11 +46,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a fresh temporary folder is created and set.
+    Read from ``spark.checkpoint.dir``. Only a local master may go without:
+    there a fresh temporary folder is created and set. On a cluster a folder of
+    one machine would lose data, so an unset folder is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="gaugeflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -58,22 +62,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/gaugeflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder; never reused between runs."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/gaugeflow/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's staged tables, at the end of a job: no frame
+    that reads them may be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table exists at ``path`` (schema readable). Uses only
-    the DataFrame API, so it works on classic and Connect sessions."""
+    """Whether ``path`` exists. Only "path not found" means that there is no
+    table; any other error (an unreadable or empty directory) is raised, so
+    that nobody overwrites what could not be read."""
     from pyspark.errors import AnalysisException
 
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def materialize(spark: SparkSession, df, name: str):

@@ -7,17 +7,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.functions.expr import try_int
+from gaugeflow.functions.expr import round_half_away, try_double, try_int
 
 
 def to_declared_types(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast each column to its declared type; whole doubles become ints,
-    fractional ones NULL (as the nullable-int coercion does)."""
+    """Cast each column to its declared type; a number for an int column is
+    rounded, halves away from zero, as the seed loader's cast does (an altitude
+    of 12.5 is 13, not lost)."""
     cols = []
     for f in schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.IntegerType) and not isinstance(df.schema[f.name].dataType, T.IntegerType):
-            cols.append(try_int(c.cast("string")).alias(f.name))
+            cols.append(try_int(round_half_away(try_double(c.cast("string")), 0)).alias(f.name))
         else:
             cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -7,6 +7,7 @@ Layout of one publish (``root`` is a shared folder)::
     root/runs/<run_id>/current/fct_by_state/state_part=<label>/part-*.parquet
     root/archive/month=<yyyy-MM>/part-*.parquet        (day 1 of a month, or forced)
     root/runs/<run_id>/manifest/part-*.txt               (one JSON line)
+    root/runs/<run_id>/files/part-*.txt                  (one JSON line per file)
 
 Every run writes into its own new directory, so a publish never deletes
 files a reader may be using and never leaves orphans next to new files (K3):
@@ -25,15 +26,23 @@ from gaugeflow import schemas as S
 from gaugeflow.functions.expr import safe_label
 
 STATE_PART = "state_part"
-# Bound on rows per output file; keeps every file well under the 2 GB that a
-# binaryFile row (used for the content hash) can hold.
-MAX_RECORDS_PER_FILE = 5_000_000
+# Bound on the bytes of an output file before compression: the content hash
+# reads a file as one binaryFile row.
+MAX_FILE_BYTES = 256 * 1024 * 1024
+TEXT_BYTES = 64  # taken for a text cell (names, codes, labels); 8 for any other
+
+
+def records_per_file(df: DataFrame) -> int:
+    """Rows that keep a file under ``MAX_FILE_BYTES``, from the columns of the
+    frame: a table that gains columns gets fewer rows per file."""
+    width = sum(TEXT_BYTES if f.dataType.typeName() in ("string", "binary") else 8 for f in df.schema.fields)
+    return max(1, MAX_FILE_BYTES // max(8, width))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Query -> zstd parquet directory (K1)."""
     (df.write.mode(mode).option("compression", "zstd")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
+     .option("maxRecordsPerFile", records_per_file(df)).parquet(path))
 
 
 def distinct_states(dim: DataFrame, state_col: str = "state") -> DataFrame:
@@ -69,7 +78,7 @@ def fact_by_state(fact: DataFrame, state_col: str = "state") -> DataFrame:
 def write_fact_by_state(fact: DataFrame, path: str, state_col: str = "state") -> None:
     """One directory per state label; ``state`` stays in the data (K2)."""
     (fact_by_state(fact, state_col).write.mode("overwrite").option("compression", "zstd")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(STATE_PART).parquet(path))
+     .option("maxRecordsPerFile", records_per_file(fact)).partitionBy(STATE_PART).parquet(path))
 
 
 def read_fact_by_state(spark: SparkSession, path: str) -> DataFrame:
@@ -149,19 +158,28 @@ def file_inventory(spark: SparkSession, path: str, base: str | None = None) -> D
     )
 
 
-def dataset_summary(inventory: DataFrame) -> DataFrame:
+def with_state(files: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Adds ``state``: the state itself, looked up by the directory's label."""
+    label = F.regexp_extract("relpath", STATE_PART + r"=([^/]+)/", 1)
+    if labels is None:
+        return files.withColumn("state", F.lit(None).cast("string"))
+    names = labels.select("state", F.col("label").alias("_label"))
+    return files.join(names, F.url_decode(label) == names["_label"], "left").drop("_label")
+
+
+def dataset_summary(inventory: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """One row per output directory (dim, snapshot, one per state, an archive
     month): file count, bytes, and a content hash that does not depend on
     file order or part-file names. The hash combines the per-file SHA-256
     prefixes with a sum (a partial aggregate; no list of files is built)."""
-    d = inventory.withColumn("dataset", F.regexp_replace("relpath", "/[^/]*$", ""))
+    d = with_state(inventory, labels).withColumn("dataset", F.regexp_replace("relpath", "/[^/]*$", ""))
     h = F.sum(F.xxhash64("hash").cast("decimal(38,0)"))
-    label = F.regexp_extract("dataset", STATE_PART + r"=([^/]+)$", 1)
     return d.groupBy("dataset").agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("size_bytes").alias("size_bytes"),
         F.substring(F.sha2(h.cast("string"), 256), 1, 16).alias("hash"),
-    ).withColumn("state", F.when(F.regexp_extract("dataset", STATE_PART + r"=([^/]+)$", 1) != "", label))
+        F.max("state").alias("state"),
+    )
 
 
 def manifest(
@@ -170,6 +188,7 @@ def manifest(
     generated_at: dt.datetime,
     archive: DataFrame | None = None,
     empty_states: DataFrame | None = None,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     """Manifest as one JSON text row (K6): schema version, generation time,
     date range, entity count, ``current`` map of output directories (files,
@@ -177,10 +196,10 @@ def manifest(
     total bytes.
 
     Entries are per directory, not per part file, so the single row is
-    bounded by the number of states; the per-file list is
-    :func:`file_inventory`.
+    bounded by the number of states; the entries per file are rows of their
+    own, see :func:`file_entries`.
     """
-    ds = dataset_summary(inventory)
+    ds = dataset_summary(inventory, labels)
     entries = ds.select(
         F.struct(
             F.col("dataset").alias("key"),
@@ -237,6 +256,20 @@ def manifest(
     )
 
 
+def file_entries(inventory: DataFrame, labels: DataFrame) -> DataFrame:
+    """The manifest's entries per file, one JSON row each: path, size, content
+    hash and state."""
+    return with_state(inventory, labels).select(F.to_json(F.struct(
+        F.col("relpath").alias("key"), "size_bytes", "hash", "state")).alias("entry"))
+
+
+def published_bytes(spark: SparkSession, *paths: str) -> DataFrame:
+    """One row with the bytes of all files under ``paths``: data, archive,
+    file entries and manifest. Only the sizes are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.select(F.col("length")).agg(F.sum("length").alias("total_bytes"))
+
+
 def new_run_id(run_date: dt.date) -> str:
     return f"{run_date.isoformat()}-{uuid.uuid4().hex[:8]}"
 
@@ -271,6 +304,7 @@ def export_all(
     written = read_fact_by_state(spark, f"{current}/fct_by_state").select("state").distinct()
     empty = labels.select("state").join(written, "state", "left_anti")
     stats = global_stats(fact, snapshot)
-    m = manifest(inv, stats, generated_at or dt.datetime.now(dt.timezone.utc), arch, empty)
+    file_entries(inv, labels).withColumnRenamed("entry", "value").write.mode("overwrite").text(f"{run_dir}/files")
+    m = manifest(inv, stats, generated_at or dt.datetime.now(dt.timezone.utc), arch, empty, labels)
     m.write.mode("overwrite").text(f"{run_dir}/manifest")
     return run_dir, spark.read.text(f"{run_dir}/manifest").withColumnRenamed("value", "manifest")

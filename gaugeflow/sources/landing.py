@@ -12,11 +12,11 @@ Steps:
 1. ``scan_lines``   file path, entity key (from the path), order columns, text
 2. ``file_heads``   per file: the header line (line ``metadata_lines + 1``);
                     a map-side-limited first-N lines of each file
-3. ``parse_lines``  data lines ⋈ heads (broadcast behind a size bound), split
-                    with a quote-aware pattern, cells looked up by header name
+3. ``parse_lines``  data lines ⋈ heads (one row per file), split with a
+                    quote-aware pattern, cells looked up by header name
                     (S2), NULL tokens (S3), ragged rows rejected (S4), measures
-                    ``try_cast`` to double (P9), dates parsed strictly (P10)
-4. ``file_status``  per file: rows, rejects, bad dates, missing columns (S5);
+                    ``try_cast`` to double (P9), dates in the usual forms (P10)
+4. ``status``       per file: rows, rejects, bad dates, reason (S5);
                     rows of failed files are left out (one bad file never stops
                     a run)
 """
@@ -30,16 +30,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.functions.expr import null_tokens, try_double
-from gaugeflow.operators.joins import bounded_broadcast
+from gaugeflow.functions.expr import null_tokens, strip_ws, try_double
 from gaugeflow.operators.windows import first_n_per_key, latest_per_key
 from gaugeflow.session import materialize
 
 # Default: entity key = file stem of "<key>.csv".
 STEM_PATTERN = r"([^/]+)\.[cC][sS][vV]$"
-# Split on commas outside double quotes.
-QUOTE_AWARE_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-DATE_FORMATS = ("yyyy-MM-dd",)
+# One cell after its comma, in one pass: characters outside quotes, or quoted
+# runs in which commas do not count.
+CELL = r',((?:[^",]++|"[^"]*+(?:"|$))*+)'
+# A date, or the date part of a timestamp text.
+DATE_TEXT = (r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})"
+             r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?)?$")
 
 # Optional header aliases (S6). Off by default: files with variant names then
 # fail with "missing columns", as upstream.
@@ -49,6 +51,7 @@ VARIANT_ALIASES: dict[str, list[str]] = {
 }
 
 ORDER_COLS = ("file_block_start", "line_id")
+REASON_CHARS = 200  # of the reason text of a failed file
 
 
 @dataclass
@@ -77,17 +80,17 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str], key_pattern: str
 
 def scan_files(spark: SparkSession, path: str | Sequence[str], key_pattern: str = STEM_PATTERN,
                glob: str | None = "*.csv", recursive: bool = False) -> DataFrame:
-    """(file, key) of every landed file, empty ones included. File scans skip
-    zero-length files, so the list comes from the source's file index (the
-    listing Spark already holds on the driver; one row per file)."""
+    """(file, key) of every landed file, empty ones included. All scans, that
+    of binary files too, skip zero-length files; only Spark's file index has
+    them. Their names come from it: it holds one per file on the driver for
+    every read of the directory anyway."""
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     paths = [path] if isinstance(path, str) else list(path)
-    names = reader.text(paths).inputFiles()
-    files = spark.createDataFrame([(n,) for n in names], "file string")
+    files = spark.createDataFrame([(n,) for n in reader.text(paths).inputFiles()], "file string")
     return files.select(_norm_path(F.col("file")).alias("file"),
                         F.regexp_extract("file", key_pattern, 1).alias(S.KEY))
 
@@ -104,7 +107,8 @@ def with_empty_files(status: DataFrame, files: DataFrame) -> DataFrame:
     seen = status.select(_norm_path(F.col("file")).alias("file"))
     empty = files.join(seen, files.file == seen.file, "left_anti").select(
         "file", S.KEY, F.lit("empty").alias("status"),
-        *[F.lit(0).cast("long").alias(c) for c in ("data_rows", "rejected_rows", "bad_dates")])
+        *[F.lit(0).cast("long").alias(c) for c in ("data_rows", "rejected_rows", "bad_dates")],
+        F.lit("empty file").alias("reason"))
     return status.unionByName(empty)
 
 
@@ -152,7 +156,7 @@ def split_cells(line: Column) -> Column:
     """Quote-aware split, outer quotes removed, doubled quotes unescaped.
     Lines without a quote take the plain split."""
     quoted = F.transform(
-        F.split(line, QUOTE_AWARE_COMMA, -1),
+        F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CELL), F.lit(1)),
         lambda c: F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"'),
     )
     return F.when(F.instr(line, '"') > 0, quoted).otherwise(F.split(line, ",", -1))
@@ -169,18 +173,22 @@ def _present(header: Column, names: Sequence[str]) -> Column:
         F.array_contains(header, F.lit(names[0]))
 
 
-def _parse_date(cell: Column, formats: Sequence[str]) -> Column:
-    parsed = [F.try_to_date(cell, f) for f in formats]
-    return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
+def _parse_date(cell: Column, formats: Sequence[str] = ()) -> Column:
+    """Year, month and day in this order, with ``-`` or ``/`` and one or two
+    digits, blanks around it and a time after it allowed; then ``formats``.
+    Days that do not exist are NULL."""
+    text = strip_ws(cell)
+    y, m, d = (F.regexp_extract(text, DATE_TEXT, i) for i in (1, 3, 4))
+    parsed = F.when(y != "", F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"))
+    return F.coalesce(parsed, *[F.try_to_date(text, f) for f in formats]) if formats else parsed
 
 
 def _clean_header(line: Column) -> Column:
-    return F.transform(F.split(line, ",", -1), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    return F.transform(split_cells(line), strip_ws)
 
 
 def parse_lines(lines: DataFrame, heads: DataFrame | None = None, aliases: dict[str, list[str]] | None = None,
-                date_formats: Sequence[str] = DATE_FORMATS, metadata_lines: int = S.GAUGE_METADATA_LINES,
-                broadcast_heads: bool = True) -> Parsed:
+                date_formats: Sequence[str] = (), metadata_lines: int = S.GAUGE_METADATA_LINES) -> Parsed:
     """Parse data lines into raw rows; see the module doc. ``aliases`` maps a
     canonical header to extra accepted names (S6)."""
     if heads is None:
@@ -191,11 +199,11 @@ def parse_lines(lines: DataFrame, heads: DataFrame | None = None, aliases: dict[
     # Per file: cleaned header cells and whether a required column is absent.
     hdr = _clean_header(F.col("header_line"))
     h = heads.select("file", "header_block", "header_id", "header_line", hdr.alias("_hdr")).withColumn(
-        "_missing", ~F.array_min(F.array(*[_present(F.col("_hdr"), n) for n in names.values()])))
+        "_missing", ~F.array_min(F.array(*[_present(F.col("_hdr"), n) for n in names.values()]))).withColumn(
+        "_absent", F.array_join(F.array_compact(F.array(*[
+            F.when(~_present(F.col("_hdr"), n), F.lit(h0)) for h0, n in names.items()])), ", "))
     usable = h.where(F.col("_hdr").isNotNull() & ~F.col("_missing")).select(
         "file", "header_block", "header_id", "_hdr")
-    if broadcast_heads:
-        usable = bounded_broadcast(usable)
     data = (
         lines.join(usable, "file", "inner")
         .where(after_header())
@@ -218,24 +226,38 @@ def parse_lines(lines: DataFrame, heads: DataFrame | None = None, aliases: dict[
     return _finish(parsed, heads, h)
 
 
+def _is_bad_date() -> Column:
+    return ~F.col("_ragged") & F.col("_date_cell").isNotNull() & F.col(S.DATE).isNull()
+
+
 def _finish(parsed: DataFrame, heads: DataFrame, h: DataFrame) -> Parsed:
     """Status, rows and rejects from parsed lines (see :func:`parse_lines`)."""
     counts = parsed.groupBy("file").agg(
         F.count_if(~F.col("_ragged") & F.col(S.DATE).isNotNull()).alias("data_rows"),
         F.count_if(F.col("_ragged")).alias("rejected_rows"),
-        F.count_if(~F.col("_ragged") & F.col("_date_cell").isNotNull() & F.col(S.DATE).isNull()).alias("bad_dates"),
+        F.count_if(_is_bad_date()).alias("bad_dates"),
+        F.min_by(F.when(_is_bad_date(), F.col("_date_cell")), F.when(_is_bad_date(), F.struct(*ORDER_COLS))).alias("_bad"),
+        F.min_by(F.when(F.col("_ragged"), F.col("value")), F.when(F.col("_ragged"), F.struct(*ORDER_COLS))).alias("_cut"),
     )
-    status = heads.select("file", S.KEY).join(h.select("file", "header_line", "_missing"), "file", "left") \
+    status = heads.select("file", S.KEY).join(h.select("file", "header_line", "_missing", "_absent"), "file", "left") \
         .join(counts, "file", "left").select(
             "file", S.KEY,
             F.when(F.col("header_line").isNull(), F.lit("no_header"))
             .when(F.col("_missing"), F.lit("missing_columns"))
             .when(F.col("bad_dates") > 0, F.lit("bad_dates"))
+            .when((F.col("rejected_rows") > 0) & (F.col("data_rows") == 0), F.lit("all_rejected"))
             .otherwise(F.lit("ok")).alias("status"),
             F.coalesce("data_rows", F.lit(0)).alias("data_rows"),
             F.coalesce("rejected_rows", F.lit(0)).alias("rejected_rows"),
             F.coalesce("bad_dates", F.lit(0)).alias("bad_dates"),
+            "_absent", "_bad", "_cut",
         )
+    status = status.withColumn("reason", F.left(
+        F.when(F.col("status") == "no_header", F.lit("no header line"))
+        .when(F.col("status") == "missing_columns", F.concat(F.lit("missing columns: "), F.col("_absent")))
+        .when(F.col("status") == "bad_dates", F.concat(F.lit("bad date: "), F.col("_bad")))
+        .when(F.col("status") == "all_rejected", F.concat(F.lit("no line fits the header, first: "), F.col("_cut"))),
+        F.lit(REASON_CHARS))).drop("_absent", "_bad", "_cut")
     rows = parsed.where(~F.col("_ragged") & F.col(S.DATE).isNotNull()).select(
         S.KEY, S.DATE, *S.MEASURES, "file", *ORDER_COLS)
     rejects = parsed.where(F.col("_ragged")).select("file", S.KEY, *ORDER_COLS, "value")
@@ -244,18 +266,18 @@ def _finish(parsed: DataFrame, heads: DataFrame, h: DataFrame) -> Parsed:
 
 def accepted_rows(parsed: Parsed, status: DataFrame | None = None) -> DataFrame:
     """Rows of files whose status is ok (a bad file is dropped whole, S5).
-    ``status`` (one row per file) is broadcast behind a size bound."""
+    ``status`` has one row per file."""
     st = parsed.status if status is None else status
-    bad = bounded_broadcast(st.where(F.col("status") != "ok").select("file"))
+    bad = st.where(F.col("status") != "ok").select("file")
     return parsed.rows.join(bad, "file", "left_anti")
 
 
-def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: str = S.KEY) -> DataFrame:
-    """Header block plus the last ``n`` data lines of each entity.
+def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: str = "file") -> DataFrame:
+    """Header block plus the last ``n`` data lines of each file.
 
-    The per-entity top-n is limited map-side before the shuffle. ``per='file'``
-    trims each file instead."""
-    h = bounded_broadcast(heads.select("file", "header_block", "header_id"))
+    The top-n is limited map-side before the shuffle. ``per=S.KEY`` trims each
+    entity over all its files instead, by file name and line."""
+    h = heads.select("file", "header_block", "header_id")
     marked = lines.join(h, "file", "inner")
     is_data = after_header()
     data = marked.where(is_data).withColumn("_o", F.struct(F.col("file"), *[F.col(c) for c in ORDER_COLS]))
@@ -265,7 +287,7 @@ def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: st
 
 
 def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,
-               date_formats: Sequence[str] = DATE_FORMATS,
+               date_formats: Sequence[str] = (),
                metadata_lines: int = S.GAUGE_METADATA_LINES,
                stage: bool = True, files: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Parse and keep the rows of good files: (rows, rejects, status).
@@ -275,11 +297,11 @@ def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,
     text is split and cast a single time and status, rows and rejects are
     read from that table (which also cuts the lineage back to the text).
     ``files`` (see :func:`scan_files`) adds empty files to the status."""
-    heads = file_heads(lines, metadata_lines).persist()
-    p = parse_lines(lines, heads, aliases, date_formats, metadata_lines, broadcast_heads=True)
+    spark = lines.sparkSession
+    heads = materialize(spark, file_heads(lines, metadata_lines), "heads")
+    p = parse_lines(lines, heads, aliases, date_formats, metadata_lines)
     if stage:
-        spark = lines.sparkSession
         p = _finish(materialize(spark, p.parsed, "parsed-lines"), heads, p.heads)
     status = p.status if files is None else with_empty_files(p.status, files)
-    status = status.persist()
+    status = materialize(spark, status, "file-status")
     return accepted_rows(p, status), p.rejects, status

@@ -1,10 +1,18 @@
 """Incremental landing ingest with Structured Streaming.
 
 The file source tracks which files were processed (in the checkpoint), so
-every landed file is parsed once. Each micro-batch goes through the batch
-code path: parse (S1-S5), de-duplicate (M2), watermark filter (J6) and keyed
-upsert into the year-partitioned raw table (M1). The upsert is idempotent, so
-a micro-batch replayed after a failure gives the same table.
+every landed file is parsed once. A run has two steps:
+
+1. each micro-batch parses its files with the batch code (S1-S5) and writes
+   rows and per-file status under its own number, so a replay after a failure
+   writes the same directory again;
+2. when all files are in, the batches that were not merged yet go through
+   de-duplication (M2), the watermark filter (J6) and one keyed upsert (M1).
+
+Watermarks are therefore taken once per run, and the result does not depend on
+how the files were cut into micro-batches or in which order they came. A run
+that fails before its merge leaves its batches to the next one; merging a
+batch twice gives the same table.
 
 Landing runs should go to their own ``run_date=...`` directories: the file
 source remembers paths, and a path that is overwritten in place is not read
@@ -24,6 +32,13 @@ from gaugeflow.operators import upsert
 from gaugeflow.session import exists, materialize
 from gaugeflow.sources import landing
 
+BATCH_COL = "batch"
+
+
+def batches_path(checkpoint: str) -> str:
+    """Where parsed micro-batches, their status and the merge marks are kept."""
+    return f"{checkpoint.rstrip('/')}_batches"
+
 
 def _batch_lines(df: DataFrame, key_pattern: str) -> DataFrame:
     """Line order for one micro-batch (a static DataFrame)."""
@@ -39,17 +54,15 @@ def _batch_lines(df: DataFrame, key_pattern: str) -> DataFrame:
 def start_ingest(
     spark: SparkSession,
     landing_dir: str,
-    target: str,
     checkpoint: str,
     key_pattern: str = landing.STEM_PATTERN,
     glob: str = "*.csv",
-    mode: str = "new_dates",
     aliases: dict[str, list[str]] | None = None,
     max_files_per_trigger: int | None = None,
-    loaded_at: dt.datetime | None = None,
 ) -> StreamingQuery:
-    """Start a run-once (``availableNow``) stream from ``landing_dir`` into the
-    raw table at ``target``. Returns the query; call ``awaitTermination()``."""
+    """Start a run-once (``availableNow``) stream that parses the files of
+    ``landing_dir``. Call ``awaitTermination()``, then :func:`merge_batches`;
+    :func:`run_ingest` does both."""
     reader = (spark.readStream.format("text")
               .option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true"))
@@ -60,20 +73,15 @@ def start_ingest(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("file_block_start"),
     )
+    out = batches_path(checkpoint)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        # The micro-batch's lines are written once to the shared folder (line
-        # ids fixed, lineage cut) and parsed through the main session, so the
-        # batch plans run with adaptive execution like the batch path.
+        # The lines are written first (line ids fixed, lineage cut) and parsed
+        # through the main session, so adaptive execution applies.
         lines = materialize(spark, _batch_lines(batch, key_pattern), f"stream-lines-{epoch_id}")
-        rows, _, _ = landing.load_lines(lines, aliases=aliases)
-        deduped = upsert.dedupe_batch(rows, order=["file", *landing.ORDER_COLS])
-        new = deduped.select(S.KEY, S.DATE, *S.MEASURES)
-        if not exists(spark, target):
-            ts = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
-            upsert.create_table(new.withColumn("ingested_at", ts), target)
-        else:
-            upsert.upsert_table(spark, target, new, mode=mode, loaded_at=loaded_at)
+        rows, _, status = landing.load_lines(lines, aliases=aliases)
+        rows.write.mode("overwrite").parquet(f"{out}/rows/{BATCH_COL}={epoch_id}")
+        status.write.mode("overwrite").parquet(f"{out}/status/{BATCH_COL}={epoch_id}")
 
     return (src.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)
@@ -81,9 +89,38 @@ def start_ingest(
             .start())
 
 
-def run_ingest(spark: SparkSession, landing_dir: str, target: str, checkpoint: str, **kw) -> None:
+def merge_batches(spark: SparkSession, target: str, checkpoint: str, mode: str = "new_dates",
+                  loaded_at: dt.datetime | None = None) -> None:
+    """Upsert the parsed batches that no run has merged yet into ``target``."""
+    out = batches_path(checkpoint)
+    if not exists(spark, f"{out}/rows"):
+        return
+    done = -1
+    if exists(spark, f"{out}/merged"):
+        done = spark.read.parquet(f"{out}/merged").agg(F.max("until")).first()[0]
+    rows = spark.read.parquet(f"{out}/rows").where(F.col(BATCH_COL) > done)
+    last = rows.select(F.max(BATCH_COL)).first()[0]
+    if last is None:
+        return
+    new = upsert.dedupe_batch(rows, order=["file", *landing.ORDER_COLS]).select(S.KEY, S.DATE, *S.MEASURES)
+    if not exists(spark, target):
+        ts = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+        upsert.create_table(new.withColumn("ingested_at", ts), target)
+    else:
+        upsert.upsert_table(spark, target, new, mode=mode, loaded_at=loaded_at)
+    spark.range(1).select(F.lit(last).cast("long").alias("until")).write.mode("append").parquet(f"{out}/merged")
+
+
+def run_ingest(spark: SparkSession, landing_dir: str, target: str, checkpoint: str, mode: str = "new_dates",
+               loaded_at: dt.datetime | None = None, **kw) -> None:
     """Process every file that arrived since the last run, then stop."""
-    start_ingest(spark, landing_dir, target, checkpoint, **kw).awaitTermination()
+    start_ingest(spark, landing_dir, checkpoint, **kw).awaitTermination()
+    merge_batches(spark, target, checkpoint, mode, loaded_at)
+
+
+def file_status(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The status of every file that the stream has read, with its batch."""
+    return spark.read.parquet(f"{batches_path(checkpoint)}/status")
 
 
 def read_raw(spark: SparkSession, target: str) -> DataFrame:

@@ -183,3 +183,54 @@ def test_empty_file_reported(spark, tmpdir_path):
     st = {r.dam_key: r.status for r in status.collect()}
     assert st == {"Z01": "empty", "Z02": "ok"}
     assert rows.count() == 1
+
+
+def test_date_forms(spark, tmpdir_path):
+    d = tmpdir_path
+    forms = ["2024/01/05", "2024-1-5", " 2024-01-05", "2024-01-05 00:00:00", "2024-01-05T10:00:00Z", "2024/1/5 ", "2024-01-05 10:00"]
+    for i, f in enumerate(forms):
+        write_file(f"{d}/P{i:02}.csv", gauge([row("P", f)]))
+    for i, f in enumerate(["2024-13-01", "2024-02-30", "05/01/2024", "2024-01/05", "2024-01-05x", "20240105"]):
+        write_file(f"{d}/Q{i:02}.csv", gauge([row("Q", f)]))
+    rows, _, status = load(spark, d)
+    assert {r.dam_key: str(r.fecha) for r in rows.collect()} == {f"P{i:02}": "2024-01-05" for i in range(len(forms))}
+    assert {k: s.status for k, s in status.items() if k[0] == "Q"} == {f"Q{i:02}": "bad_dates" for i in range(6)}
+    assert status["Q00"].reason == "bad date: 2024-13-01"
+
+
+def test_quoted_header_and_cells(spark, tmpdir_path):
+    d = tmpdir_path
+    header = CANON + ',"Nota, libre"'
+    write_file(f"{d}/N01.csv", gauge([row("N", "2020-01-01") + ',"a, ""b"", c"', row("N", "2020-01-02") + ",", '"N",2020-01-03,1,2,3,4,5,6,x'],
+                                     header))
+    rows, rejects, status = load(spark, d)
+    assert rows.count() == 3 and rejects.count() == 0 and status["N01"].status == "ok"
+    cells = landing.split_cells(F.col("t"))
+    lines = [',a', 'a,', '"x,y",z', '"",""', 'a"b,c"d,e', '"open,to the end', 'q']
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in lines], "t string").select(cells).collect()]
+    assert got == [["", "a"], ["a", ""], ["x,y", "z"], ["", ""], ['a"b,c"d', "e"], ["open,to the end"], ["q"]]
+
+
+def test_reasons_and_files_without_fitting_lines(spark, tmpdir_path):
+    d = tmpdir_path
+    write_file(f"{d}/R01.csv", gauge(["one,two", "three"]))
+    write_file(f"{d}/R02.csv", gauge([row("R", "2020-01-01")], CANON.replace("Derrame(m3/s)", "Otro")))
+    write_file(f"{d}/R03.csv", "meta\n")
+    write_file(f"{d}/R04.csv", "")
+    write_file(f"{d}/R05.csv", gauge([row("R", "x" * 500)]))
+    lines = landing.scan_lines(spark, d)
+    _, _, status = landing.load_lines(lines, files=landing.scan_files(spark, d))
+    got = {r.dam_key: (r.status, r.reason) for r in status.collect()}
+    assert got["R01"] == ("all_rejected", "no line fits the header, first: one,two")
+    assert got["R02"] == ("missing_columns", "missing columns: Derrame(m3/s)")
+    assert got["R03"] == ("no_header", "no header line") and got["R04"] == ("empty", "empty file")
+    assert got["R05"][0] == "bad_dates" and len(got["R05"][1]) == 200
+
+
+def test_tail_trim_is_per_file(spark, tmpdir_path):
+    d = tmpdir_path
+    for span, day in (("9", "2012-01-01"), ("10", "2013-01-01")):
+        write_file(f"{d}/dam_key=A/span={span}/x.csv", gauge([row("A", day), row("A", day[:-1] + "2")]))
+    lines = landing.scan_lines(spark, d, key_pattern=r"dam_key=([^/]+)/", recursive=True)
+    rows, _, _ = landing.load_lines(landing.tail_lines(lines, landing.file_heads(lines), 1))
+    assert sorted(str(r.fecha) for r in rows.collect()) == ["2012-01-02", "2013-01-02"]

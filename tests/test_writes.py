@@ -54,6 +54,101 @@ def test_incremental_equals_full_and_empty_target(spark):
     assert again.exceptAll(full).count() == 0 and full.exceptAll(again).count() == 0
 
 
+def _days(spark, rows):
+    return spark.createDataFrame([(k, D.fromisoformat(d), *([v] * len(S.MEASURES)), dt.datetime.fromisoformat(t))
+                                  for k, d, v, t in rows], S.RAW_SCHEMA)
+
+
+def test_incremental_lagging_corrections_and_capacity(spark):
+    from gaugeflow.operators import marts
+
+    t0, t1 = "2024-01-01", "2024-02-01"
+    old = [("A", "2024-01-10", 1.0, t0), ("A", "2022-05-05", 5.0, t0), ("B", "2023-11-01", 1.0, t0), ("C", "2021-12-31", 2.0, t0),
+           ("C", "2022-01-01", 3.0, t0), ("C", "2023-03-03", 4.0, t0)]
+    new = [("A", "2024-01-11", 2.0, t1), ("B", "2023-11-02", 7.0, t1), ("C", "2021-12-31", 9.0, t1), ("D", "2020-02-02", 1.0, t1)]
+    keys = [(k, f"S{k}", 10.0 * (1 + i), 12.0) for i, k in enumerate("ABCD")]
+    dim0 = spark.createDataFrame(keys, "dam_key string, state string, namo_oficial_mm3 double, name_oficial_mm3 double")
+    dim1 = dim0.withColumn("namo_oficial_mm3", F.when(F.col("dam_key") == "A", F.lit(100.0)).otherwise(F.col("namo_oficial_mm3")))
+    path = scratch_path(spark, "t-incr")
+    incremental.write_fact_table(marts.build_fact(_days(spark, old), dim0), path)
+    now = {(k, d): (k, d, v, t) for k, d, v, t in old + new}
+    source = _days(spark, list(now.values()))
+    n = incremental.refresh_fact_table(spark, source, path, dim1, lookback_days=0, since=dt.datetime(2024, 1, 15))
+    full = marts.build_fact(source, dim1)
+    got = incremental.read_fact(spark, path).select(*S.FACT_COLUMNS)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert 0 < n < full.count()  # C in 2023 is untouched
+    assert incremental.refresh_fact_table(spark, source, path, dim1, lookback_days=0) == 0
+
+
+def test_upsert_with_nothing_new_rewrites_nothing(spark):
+    target = scratch_path(spark, "t-same")
+    raw = _raw(spark, [("A", D(y, 1, 1), 1.0) for y in range(2010, 2020)])
+    upsert.create_table(raw, target)
+    before = sorted(spark.read.parquet(target).inputFiles())
+    assert upsert.upsert_table(spark, target, raw.drop("ingested_at")) == 0
+    assert sorted(spark.read.parquet(target).inputFiles()) == before
+    more = _raw(spark, [("A", D(2019, 5, 1), 2.0)]).drop("ingested_at")
+    assert upsert.upsert_table(spark, target, more) == 1
+    after = sorted(spark.read.parquet(target).inputFiles())
+    assert [f for f in before if "year=2019" not in f] == [f for f in after if "year=2019" not in f]
+    marks = {r.dam_key: r.max_fecha for r in upsert.stored_watermarks(spark, target).collect()}
+    assert marks == {"A": D(2019, 5, 1)}
+
+
+def test_exists_tells_missing_from_unreadable(spark):
+    import pytest
+
+    from gaugeflow.session import exists
+
+    path = scratch_path(spark, "t-exists")
+    assert not exists(spark, path)
+    spark.range(1).write.format("json").save(path)
+    with pytest.raises(Exception, match="FOOTER|UNABLE_TO_INFER"):
+        exists(spark, path)
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    import pytest
+
+    from gaugeflow.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, name, default=None):
+            return "spark://host:7077" if name == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_drop_scratch_removes_only_own_stages(spark):
+    from gaugeflow import session
+
+    keep = session.scratch_root
+    own = scratch_path(spark, "t-drop").rsplit("/", 1)[0] + "-sub"
+    try:
+        session.scratch_root = lambda s: own
+        session.materialize(spark, spark.range(3), "x")
+        assert os.path.isdir(own.replace("file:", ""))
+        session.drop_scratch(spark)
+        assert not os.path.exists(own.replace("file:", ""))
+    finally:
+        session.scratch_root = keep
+
+
+def test_catalog_csv_keeps_fractional_altitude(spark):
+    from pyspark.sql import types as T
+
+    from gaugeflow.sinks.catalog import to_declared_types
+
+    df = spark.createDataFrame([("A", 12.5), ("B", -3.5), ("C", None), ("D", 7.0)], "k string, a double")
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("a", T.IntegerType())])
+    assert {r.k: r.a for r in to_declared_types(df, schema).collect()} == {"A": 13, "B": -4, "C": None, "D": 7}
+
+
 def test_evolve_union_keeps_removed_and_adds_new(spark):
     old = spark.createDataFrame([("A", 1.0, "x")], "k string, v double, gone string")
     new = spark.createDataFrame([("B", 2.0, 7)], "k string, v double, added int")
@@ -71,6 +166,11 @@ def test_export_manifest_and_sorted_files(spark):
     assert doc["schema_version"] == 1 and doc["latest_archive"]["month"] == "2001-07"
     assert doc["total_presas"] == m.snapshot().count()
     assert doc["total_bytes"] == sum(v["size_bytes"] for v in doc["current"].values())
+    entries = [json.loads(r.value) for r in spark.read.text(f"{run_dir}/files").collect()]
+    assert sum(e["size_bytes"] for e in entries) == doc["total_bytes"] and all(len(e["hash"]) == 16 for e in entries)
+    states = {e["key"]: e.get("state") for e in entries if "state_part=" in e["key"]}
+    assert states and all(" " in v and f"state_part={v.replace(' ', '_')}/" in k for k, v in states.items())
+    assert export.published_bytes(spark, run_dir, f"{root}/archive").first()[0] > doc["total_bytes"]
     assert any(k.startswith("fct_by_state/state_part=") for k in doc["current"])
     inv1 = sorted(export.file_inventory(spark, f"{run_dir}/current").collect())
     inv2 = sorted(export.file_inventory(spark, f"{run_dir}/current").collect())
@@ -104,6 +204,24 @@ def test_stream_second_run_only_new_files(spark):
         [float(i) for i in range(1, 11)]
 
 
+def test_stream_result_does_not_depend_on_batch_size(spark):
+    raw = _raw(spark, [("A", D(2020, 1, i), float(i)) for i in range(1, 7)])
+    kw = dict(key_pattern=r"dam_key=([^/]+)/", glob="*.txt")
+    for limit in (None, 1):
+        root = scratch_path(spark, "t-stream-order")
+        render_gauge_files(raw.where(F.col("fecha") > D(2020, 1, 3)), f"{root}/landing/a", S.GAUGE_HEADER)
+        render_gauge_files(raw.where(F.col("fecha") <= D(2020, 1, 3)), f"{root}/landing/b", S.GAUGE_HEADER)
+        os.makedirs(f"{root.replace('file:', '')}/landing/c/dam_key=B")
+        with open(f"{root.replace('file:', '')}/landing/c/dam_key=B/x.txt", "w") as f:
+            f.write("no header\n")
+        ingest.run_ingest(spark, f"{root}/landing", f"{root}/raw", f"{root}/ckpt", max_files_per_trigger=limit, **kw)
+        assert ingest.read_raw(spark, f"{root}/raw").count() == 6
+        ingest.merge_batches(spark, f"{root}/raw", f"{root}/ckpt")  # nothing is left to merge
+        assert ingest.read_raw(spark, f"{root}/raw").count() == 6
+        got = sorted((r.dam_key, r.status, r.reason) for r in ingest.file_status(spark, f"{root}/ckpt").collect())
+        assert got == [("A", "ok", None), ("A", "ok", None), ("B", "no_header", "no header line")]
+
+
 def test_watermark_gaps_and_load_stats(spark):
     batch = _raw(spark, [("A", D(2020, 1, 3), 1.0), ("A", D(2020, 1, 4), 1.0),
                          ("B", D(2020, 3, 1), 1.0), ("C", D(2020, 1, 1), 1.0)]).drop("ingested_at")
