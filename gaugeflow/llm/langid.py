@@ -20,8 +20,8 @@ Defined results:
   result for each; empty table: empty result; other columns are ignored.
 
 The model sent to the tasks has (languages) x (vocabulary) numbers: about
-0.25 MB per language. Each task keeps the scores of at most ``CACHE_WORDS``
-different words.
+0.25 MB per language. Each task remembers at most ``CACHE_CELLS`` word scores
+(800,000 words with four languages).
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,10 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE_DOCS = 200   # labelled texts per language to learn from
 ROUNDS = 3          # of expectation-maximisation
 SMOOTHING = 0.1     # added to the expected count of every piece
-CACHE_WORDS = 300_000
+CACHE_CELLS = 3_200_000  # word scores that a task remembers, over all languages
+SLICE_CHARS = 1 << 20  # of text scored together
+AT_ONCE = 4096         # words that go through the forward sums together
+LONG = 60              # letters from which a word goes alone
 WORD_MARK = "▁"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -143,29 +147,106 @@ class Scorer:
     def __init__(self, pieces: Pieces, model: dict[str, list[float]]):
         self.pieces, self.langs = pieces, sorted(model)
         self.tables = [model[lang] for lang in self.langs]
-        self.seen: dict[str, list[float]] = {}
-
-    def word(self, word: str) -> list[float]:
-        got = self.seen.get(word)
-        if got is None:
-            edges, n = self.pieces.edges(word)
-            got = [log_probability(edges, n, p) for p in self.tables]
-            if len(self.seen) >= CACHE_WORDS:
-                self.seen.clear()
-            if len(word) <= 64:
-                self.seen[word] = got
-        return got
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        found = words(text)
-        if not found or not self.langs:
-            return "und", 0.0
-        sums = [0.0] * len(self.langs)
-        for w, c in found.items():
-            for k, x in enumerate(self.word(w)):
-                sums[k] += c * x
-        top = max(sums)
-        return self.langs[sums.index(top)], 1.0 / sum(math.exp(x - top) for x in sums)
+        #: Known piece prefixes, with the piece's number or -1.
+        self.numbers = {p: pieces.ids.get(p, -1) for p in pieces.prefixes}
+        self.room = max(1, CACHE_CELLS // max(1, len(model)))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.seen: dict[str, int] = {}
+        self.scores = np.empty((self.room, len(self.langs)))
+        self.spelled: dict[str, int] = {}  # characters that are no piece
+        self.p = np.array(self.tables, np.float64).reshape(len(self.langs), self.pieces.size).T
+
+    def _spell(self, char: str) -> int:
+        """Number of the row that holds a character's byte pieces multiplied."""
+        at = self.spelled.get(char)
+        if at is None:
+            ids = self.pieces.ids
+            row = [_weight(t, tuple(ids[x] for x in (f"<0x{b:02X}>" for b in char.encode("utf-8", "surrogatepass")) if x in ids))
+                   for t in self.tables]
+            at = self.spelled[char] = len(self.p)
+            self.p = np.vstack([self.p, row])
+        return at
+
+    def forward(self, words: list[str]) -> np.ndarray:
+        """Log probability of each word in each language: the forward sums of
+        all words at once, place by place."""
+        size = max(map(len, words)) + 2
+        places: list[list[int]] = [[] for _ in range(size)]
+        numbers, spell = self.numbers, self._spell
+        for w, word in enumerate(words):
+            s = WORD_MARK + word
+            n = len(s)
+            for i in range(n):
+                add = places[i].append
+                j = i + 1
+                k = numbers.get(s[i:j])
+                if k is None or k < 0:
+                    add((w * size + j) << 32 | spell(s[i:j]))
+                while k is not None:
+                    if k >= 0:
+                        add((w * size + j) << 32 | k)
+                    j += 1
+                    if j > n:
+                        break
+                    k = numbers.get(s[i:j])
+        a = np.zeros((len(words) * size, len(self.langs)))
+        a[::size] = 1.0
+        for i, found in enumerate(places):
+            if found:
+                x = np.array(found, np.int64)
+                to = x >> 32  # each once, as a piece from here to there is one string
+                a[to] += a[to // size * size + i] * self.p[x & 0xFFFFFFFF]
+        end = a[np.arange(len(words)) * size + np.array([len(w) + 1 for w in words])]
+        out = np.log(np.maximum(end, 1e-300))
+        for w in np.flatnonzero((end < 1e-290).any(axis=1)):
+            edges, n = self.pieces.edges(words[w])
+            out[w] = [log_probability(edges, n, p) for p in self.tables]
+        return out
+
+    def _rows(self, found: list[str]) -> np.ndarray:
+        """Scores of different words, from memory or computed."""
+        new = [w for w in found if w not in self.seen]
+        if len(self.seen) + len(new) > self.room:
+            self._forget()
+            new = found
+        if len(new) > self.room:  # one text of very many words
+            return np.concatenate([self._rows(found[i:i + self.room]) for i in range(0, len(found), self.room)])
+        short = [w for w in new if len(w) <= LONG]
+        for i in range(0, len(short), AT_ONCE):
+            part = short[i:i + AT_ONCE]
+            at = len(self.seen)
+            self.scores[at:at + len(part)] = self.forward(part)
+            self.seen.update(zip(part, range(at, at + len(part)), strict=True))
+        for w in new:
+            if len(w) > LONG:
+                edges, n = self.pieces.edges(w)
+                self.scores[len(self.seen)] = [log_probability(edges, n, p) for p in self.tables]
+                self.seen[w] = len(self.seen)
+        return self.scores[[self.seen[w] for w in found]]
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, posterior) of each text."""
+        if not self.langs:
+            return [("und", 0.0)] * len(texts)
+        index: dict[str, int] = {}
+        which: list[int] = []
+        times: list[int] = []
+        sizes = []
+        for t in texts:
+            found = words(t)
+            which += [index.setdefault(w, len(index)) for w in found]
+            times += found.values()
+            sizes.append(len(found))
+        if not index:
+            return [("und", 0.0)] * len(texts)
+        rows = self._rows(list(index))[which] * np.array(times, np.float64)[:, None]
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        sums = np.stack([np.bincount(doc, rows[:, k], len(texts)) for k in range(len(self.langs))], axis=1)
+        best = sums.argmax(axis=1)
+        score = 1.0 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
+        return [(self.langs[b], float(x)) if n else ("und", 0.0) for b, x, n in zip(best, score, sizes, strict=True)]
 
 
 def fold(doc_id: Column) -> Column:
@@ -210,7 +291,14 @@ def identify(documents: DataFrame, vocabulary: str = VOCABULARY, sample_docs: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*sent.value)
         for b in batches:
-            found = [scorer.predict(t.as_py()) for t in b.column(2)]
+            found, part, size = [], [], 0
+            for t in b.column(2):
+                part.append(t.as_py())
+                size += len(part[-1] or "")
+                if size >= SLICE_CHARS:
+                    found += scorer.predict(part)
+                    part, size = [], 0
+            found += scorer.predict(part)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([x for x, _ in found], pa.string()),
                  pa.array([x for _, x in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])

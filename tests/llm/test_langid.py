@@ -41,6 +41,32 @@ def test_forward_equals_all_segmentations(pieces):
     assert L.log_probability(edges, n, tiny) < -700
 
 
+def test_batched_forward_equals_one_by_one(pieces):
+    rnd = random.Random(2)
+    model = {g: [rnd.random() + 1e-6 for _ in range(pieces.size)] for g in "abc"}
+    model = {g: [x / sum(p) for x in p] for g, p in model.items()}
+    scorer = L.Scorer(pieces, model)
+    found = ["the", "a", "ñandú", "漢字", "漢", "thing" * 11, "ሴ" * 50, "z" * 61, "straße"] + [
+        "".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 20))) for _ in range(200)]
+    found = list(dict.fromkeys(found))
+    got = scorer._rows(found)
+    for w, row in zip(found, got, strict=True):
+        edges, n = pieces.edges(w)
+        assert list(row) == pytest.approx([L.log_probability(edges, n, model[g]) for g in "abc"], rel=1e-9)
+
+
+def test_small_memory_gives_the_same(pieces, monkeypatch):
+    rnd = random.Random(3)
+    model = {g: [rnd.random() for _ in range(pieces.size)] for g in "ab"}
+    texts = [" ".join("".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 5))) for _ in range(40)) for _ in range(30)] + [None, "1"]
+    want = L.Scorer(pieces, model).predict(texts)
+    monkeypatch.setattr(L, "CACHE_CELLS", 26)
+    got = L.Scorer(pieces, model)
+    assert got.predict(texts) == want
+    assert [got.predict([t])[0] for t in texts] == want
+    assert want[-2:] == [("und", 0.0)] * 2
+
+
 def test_fit_raises_likelihood(pieces):
     counts = {"the": 50, "thing": 20, "ingthe": 5}
 
