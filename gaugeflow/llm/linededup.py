@@ -53,35 +53,33 @@ def boilerplate(documents: DataFrame, ratio: float = RATIO, min_pages: int = MIN
     return over.groupBy(found["site"].alias("site")).agg(F.collect_list("line").alias("lines"))
 
 
-def drop_boilerplate(documents: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``documents`` with the lines over the ratio taken out of ``text``, plus
-    ``_n_lines`` and ``_n_dropped``. Needs the columns ``text`` and ``source``."""
+def _cleaned(documents: DataFrame, ratio: float, min_pages: int) -> DataFrame:
+    """``_doc`` (the row), ``all`` and ``kept`` (arrays of its lines)."""
     bad = stage(boilerplate(documents, ratio, min_pages), "boilerplate")
     own = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_doc"))
     both = own.join(bad, F.col("_doc.source").eqNullSafe(bad["site"]), "left")
-    lines = _lines(F.col("_doc.text"))
     kept = F.when(F.col("lines").isNull(), F.col("all")).otherwise(
         F.filter("all", lambda x: _is_blank(x) | ~F.array_contains("lines", F.md5(x))))
-    both = both.withColumn("all", lines).withColumn("kept", kept)
-    return both.select(
-        *[F.array_join("kept", "\n").alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in documents.columns],
-        F.coalesce(F.size("all"), F.lit(0)).cast("long").alias("_n_lines"),
-        F.coalesce(F.size("all") - F.size("kept"), F.lit(0)).cast("long").alias("_n_dropped"))
+    return both.withColumn("all", _lines(F.col("_doc.text"))).withColumn("kept", kept).select("_doc", "all", "kept")
 
 
 def line_dedup(documents: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """A row per document: ``doc_id``, ``n_lines``, ``n_dropped``, ``text``."""
-    docs = documents.select("doc_id", "source", "text")
-    return drop_boilerplate(docs, ratio, min_pages).select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+    out = _cleaned(documents.select("doc_id", "source", "text"), ratio, min_pages)
+    return out.select(
+        F.col("_doc.doc_id").alias("doc_id"), F.coalesce(F.size("all"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("all") - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.array_join("kept", "\n").alias("text"))
 
 
 def without_boilerplate(documents: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``documents`` with cleaned ``text`` and its new ``n_chars``."""
-    out = drop_boilerplate(documents, ratio, min_pages)
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in documents.columns])
+    """``documents`` with the lines over the ratio taken out of ``text`` and,
+    where that changed it, ``n_chars`` counted anew."""
+    text = F.array_join("kept", "\n")
+    new = {"text": text, "n_chars": F.when(F.size("kept") < F.size("all"), F.char_length(text).cast("long")).otherwise(
+        F.col("_doc.n_chars") if "n_chars" in documents.columns else F.lit(None))}
+    return _cleaned(documents, ratio, min_pages).select(
+        *[new[c].alias(c) if c in new else F.col(f"_doc.`{c}`") for c in documents.columns])
 
 
 ORACLE_SQL = f"""
