@@ -4,9 +4,10 @@ The full-refresh fact is the specification: an incremental run gives the same
 table. The unit of work is a *slice*: one key in one year. A slice is redone
 when
 
-* it holds a source row that may be new: dated after its own key's last fact
-  date minus ``lookback_days``, of a key the fact does not have, or ingested
-  after ``since`` (corrections and late rows, however old);
+* it holds a source row that may be new: loaded after the fact's last run
+  (corrections and late rows, however old), dated after what that run saw, or,
+  where load times are not known, dated after its own key's last fact date
+  minus ``lookback_days`` or of a key the fact does not have;
 * the state or a capacity of its key changed in the dimension;
 * it is the key's next slice after one of these, as its first row's previous
   value may have changed.
@@ -43,13 +44,19 @@ def slices_of(fact: DataFrame) -> DataFrame:
 
 
 def changed_slices(source: DataFrame, slices: DataFrame, dim: DataFrame, lookback_days: int = S.LOOKBACK_DAYS,
-                   since: dt.datetime | None = None) -> DataFrame:
-    """(key, year) of every slice to redo; see the module doc."""
-    marks = slices.groupBy(S.KEY).agg(F.max("last_date").alias("_mark"))
-    rows = source.join(marks, S.KEY, "left")
-    new = F.col("_mark").isNull() | (F.col(S.DATE) > F.date_sub("_mark", lookback_days))
-    if since is not None and "ingested_at" in source.columns:
-        new = new | (F.col("ingested_at") > F.lit(since))
+                   since: dt.datetime | None = None, seen_until: dt.date | None = None) -> DataFrame:
+    """(key, year) of every slice to redo; see the module doc. With both
+    ``since`` and ``seen_until`` (load time and last date that the fact's last
+    run saw) the new rows are those loaded or dated later, a filter that
+    reaches the scan; else keys and dates are compared with the slices."""
+    loaded = F.col("ingested_at") > F.lit(since) if since is not None and "ingested_at" in source.columns else F.lit(False)
+    if since is not None and seen_until is not None and "ingested_at" in source.columns:
+        rows = source.where(loaded | (F.col(S.DATE) > F.lit(seen_until)))
+        new = F.lit(True)
+    else:
+        marks = slices.groupBy(S.KEY).agg(F.max("last_date").alias("_mark"))
+        rows = source.join(marks, S.KEY, "left")
+        new = loaded | F.col("_mark").isNull() | (F.col(S.DATE) > F.date_sub("_mark", lookback_days))
     changed = rows.where(new).select(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).distinct()
     now = dim.select(S.KEY, *[F.col(c).alias(f"_{c}") for c in DIM_COLS])
     differs = F.lit(False)
@@ -132,7 +139,8 @@ def write_fact_table(fact: DataFrame, path: str) -> None:
 
 
 def refresh_fact_table(spark: SparkSession, source: DataFrame, path: str, dim: DataFrame,
-                       lookback_days: int = S.LOOKBACK_DAYS, since: dt.datetime | None = None) -> int:
+                       lookback_days: int = S.LOOKBACK_DAYS, since: dt.datetime | None = None,
+                       seen_until: dt.date | None = None) -> int:
     """Incremental refresh of the year-partitioned fact at ``path`` (M3).
 
     Only the years with redone slices are read, merged and replaced, in one
@@ -144,7 +152,7 @@ def refresh_fact_table(spark: SparkSession, source: DataFrame, path: str, dim: D
     if not exists(spark, slices_path(path)):
         slices_of(read_fact(spark, path).drop(PARTITION_COL)).write.parquet(slices_path(path))
     slices = spark.read.parquet(slices_path(path))
-    redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since), "redo")
+    redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since, seen_until), "redo")
     years = [r[0] for r in redo.select(PARTITION_COL).distinct().collect()]  # one per year
     if not years:
         return 0

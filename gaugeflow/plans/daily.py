@@ -68,12 +68,15 @@ def build_marts(spark: SparkSession, root: str, catalog: DataFrame, run_date: dt
     dim = spark.read.parquet(dim_path)
     fact_path, runs_path = f"{root}/fact", f"{root}/fact_runs"
     if incremental_fact:
-        since = spark.read.parquet(runs_path).agg(F.max("until")).first()[0] if exists(spark, runs_path) else None
-        incremental.refresh_fact_table(spark, staged, fact_path, dim, since=since)
+        since = seen = None
+        if exists(spark, runs_path):
+            since, seen = spark.read.parquet(runs_path).agg(F.max("until"), F.max_by("as_of", "until")).first()
+        incremental.refresh_fact_table(spark, staged, fact_path, dim, since=since, seen_until=seen)
     else:
         incremental.write_fact_table(marts.build_fact(staged, dim), fact_path)
     if until is not None:
-        spark.range(1).select(F.lit(until).cast("timestamp").alias("until")).write.mode("append").parquet(runs_path)
+        spark.range(1).select(F.lit(until).cast("timestamp").alias("until"), F.lit(run_date).alias("as_of")).write.mode(
+            "append").parquet(runs_path)
     # Years rewritten after a column was added carry it; the others do not.
     fact = incremental.read_fact(spark, fact_path).drop(incremental.PARTITION_COL)
     return raw, dim, fact, marts.build_snapshot(fact, dim)

@@ -218,7 +218,7 @@ def q_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.VOLUME, F.when(_late(), F.col(S.VOLUME) + 1000.0).otherwise(F.col(S.VOLUME)))
     loaded = F.when(_late() | missing, F.lit(LOADED_AT)).otherwise(F.lit(dt.datetime(2001, 1, 1)))
     return _refreshed(spark, m, marts.build_fact(old, m.dim), source=m.staged.withColumn("ingested_at", loaded),
-                      since=dt.datetime(2001, 6, 1))
+                      since=dt.datetime(2001, 6, 1), seen_until=dt.date(2001, 6, 30))
 
 
 @register("m3_capacity_change", marts_sql("SELECT * FROM fct", "fct"))

@@ -38,3 +38,24 @@ def test_two_daily_runs_equal_full_rebuild(spark):
     doc = json.loads(r2.manifest.first().manifest)
     assert doc["latest_archive"]["month"] == "2001-12"
     assert doc["data_max_fecha"] == str(full.agg(F.max(S.DATE)).first()[0])
+
+
+def test_daily_corrections_and_future_rows_reach_the_fact(spark):
+    """A correction of an old day, a row dated after the run that loaded it,
+    and a failed fact run: the next run's fact equals a full rebuild."""
+    from gaugeflow.operators import upsert
+
+    cat = proxy_catalog(spark, SF_SMALL)
+    raw = proxy_raw(spark, SF_SMALL)
+    root = scratch_path(spark, "t-daily-fix")
+    t = [dt.datetime(2026, 1, d) for d in (1, 2, 3)]
+    upsert.create_table(raw.where(F.col(S.DATE) < F.lit("2001-03-01").cast("date")).withColumn("ingested_at", F.lit(t[0])), f"{root}/raw")
+    daily.build_marts(spark, root, cat, dt.date(2001, 1, 15), "r1", until=t[0])
+    fix = raw.where(F.year(S.DATE) == 1997).withColumn(S.VOLUME, F.col(S.VOLUME) + 1000.0)
+    upsert.upsert_table(spark, f"{root}/raw", fix, mode="upsert", loaded_at=t[1])  # its fact run failed
+    upsert.upsert_table(spark, f"{root}/raw", raw.where(F.col(S.DATE) >= F.lit("2001-03-01").cast("date")), loaded_at=t[2])
+    raw2, dim, fact, _ = daily.build_marts(spark, root, cat, dt.date(2001, 12, 1), "r2", until=t[2])
+    full = marts.build_fact(marts.stage_daily(raw2, as_of=dt.date(2001, 12, 1)), dim)
+    got = fact.select(*S.FACT_COLUMNS)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert got.where(F.col(S.VOLUME) > 1000).count() > 0
