@@ -12,7 +12,7 @@ vocabulary; a character that is no piece is spelled in its byte pieces.
 
 Defined results:
 
-* null text or no letter: ``und``, score 0;
+* null text or no letter (numerals are none): ``und``, score 0;
 * no labelled training text at all: ``und``, score 0;
 * ``score``: posterior of the predicted language, all equally likely before;
 * equal likelihoods: the first language by name;
@@ -88,7 +88,14 @@ class Pieces:
 
 
 def words(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
+    """Runs of letters with their counts. The pattern also takes numerals
+    that are no digits (such as a half); they are taken out of the runs."""
+    found = Counter(_WORD.findall((text or "").lower()))
+    for w in [w for w in found if not w.isalpha()]:
+        n = found.pop(w)
+        for part in "".join(c if c.isalpha() else " " for c in w).split():
+            found[part] += n
+    return found
 
 
 def _weight(p: list[float], numbers: tuple[int, ...]) -> float:

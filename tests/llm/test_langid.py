@@ -110,6 +110,11 @@ def test_odd_rows_and_no_leak(spark):
             assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
 
 
+def test_words_are_letters_only():
+    assert L.words("Ab1c ½ x²y Ⅷ _d é") == {"ab": 1, "c": 1, "x": 1, "y": 1, "d": 1, "é": 1}
+    assert L.words(None) == {} and L.words("½ ² 3 !") == {}
+
+
 def test_empty_and_unlabelled(spark):
     assert L.identify(spark.createDataFrame([], SCHEMA)).count() == 0
     r = L.identify(spark.createDataFrame([(1, "abc", None, 1, "", 1)], SCHEMA)).collect()[0]
