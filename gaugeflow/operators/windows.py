@@ -99,6 +99,5 @@ def first_n_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Col
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row of each group of ``keys`` by ``order`` ascending
-    (used for de-duplication; map-side limited like :func:`latest_per_key`)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    (used for de-duplication)."""
+    return first_n_per_key(df, list(keys), order, 1)
