@@ -17,6 +17,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return materialize(df.sparkSession, df, f"llm-{name}")
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches between Spark and Python by bytes. Rows here are
+    whole documents: by the usual count of rows, one batch of long documents
+    could fill a task's memory. Sets the session's
+    ``spark.sql.execution.arrow.maxBytesPerBatch``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def pick(df: DataFrame, **cols: str) -> DataFrame:
     """Only the named columns, under the operator's own names, so that other
     columns of the caller can not clash with the operator's."""

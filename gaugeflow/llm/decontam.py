@@ -23,7 +23,7 @@ Defined results:
 * rows are told apart by doc_id and text: equal rows give equal results;
 * empty tables: no rows, or no hits; other columns are ignored.
 
-Memory of a task is a small multiple of 4 MB of text, or of its longest text.
+Memory of a task is a small multiple of 2 MB of text, or of its longest text.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import pick, same, stage
+from gaugeflow.llm.common import bound_batches, pick, same, stage
 from gaugeflow.llm.words import Words, grams, text_slices, words_of
 
 SPAN = 13
@@ -165,6 +165,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``n_hit`` (words inside an occurrence of a window), ``n_items``,
     ``items_sha256`` and ``contaminated``."""
     spark = documents.sparkSession
+    bound_batches(spark)
     items = stage(_fingerprints(pick(benchmark, item_id="item_id", text="text"), True, [])
                   .select("item_id", F.explode("hits").alias("hit")).select("item_id", "hit.*"), "bench")
     near = stage(items.select("span", "hash", F.col("left").alias("left2"), F.col("near").alias("near2")).distinct()

@@ -31,7 +31,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gaugeflow.llm.common import pick
+from gaugeflow.llm.common import bound_batches, pick
 
 # Element kinds of the HTML standard.
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
@@ -282,6 +282,8 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """A row per page: ``page_id``, ``url``, ``text``, ``n_chars``."""
+    bound_batches(pages.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [main_text(x.as_py()) for x in b.column(2)]

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import pick, stage
+from gaugeflow.llm.common import bound_batches, pick, stage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE_DOCS = 200   # labelled texts per language to learn from
@@ -291,6 +291,7 @@ def identify(documents: DataFrame, vocabulary: str = VOCABULARY, sample_docs: in
              held_out_fold: int = 2) -> DataFrame:
     """A row per document: ``doc_id``, ``held_out``, ``lang_pred``, ``score``."""
     spark = documents.sparkSession
+    bound_batches(spark)
     sent = spark.sparkContext.broadcast((Pieces.load(vocabulary), train(documents, vocabulary, sample_docs, held_out_fold)))
     docs = pick(documents, doc_id="doc_id", text="text").select(
         "doc_id", F.coalesce(fold(F.col("doc_id")) == held_out_fold, F.lit(False)).alias("held_out"), "text")

@@ -46,7 +46,7 @@ def op4_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.suffix import remove_repeats
 
-    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(read(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
 
 
 def op6_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

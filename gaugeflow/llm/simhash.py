@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.llm.common import pick, stage
+from gaugeflow.llm.common import bound_batches, pick, stage
 from gaugeflow.llm.components import components
 
 BITS = 64
@@ -79,6 +79,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def with_fingerprint(df: DataFrame, text: str = "text", shingle: int = 3, out: str = "fp") -> DataFrame:
     """``df`` plus the signed 64-bit fingerprint of its column ``text``."""
+    bound_batches(df.sparkSession)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,8 +11,8 @@ An entry stands for the run of windows that share an anchor; it holds the
 hash of its ``K`` bytes (``key``, the order of the array) and of all bytes
 that its windows cover (``ctx``).
 
-1. Each slice of texts becomes a sorted suffix array, in which repeats inside
-   the slice are settled; its rest is dealt out by key.
+1. Batches of texts become sorted suffix arrays, in which repeats inside the
+   batch are settled; the rest is dealt out by key.
 2. Each key range holds a family of sorted levels. A new batch is scanned
    against every level: of entries with equal context the later one is a
    repeat, the earlier one stays. Levels of equal size are merged, so there
@@ -22,9 +22,9 @@ that its windows cover (``ctx``).
    compared one by one, as bytes.
 
 A key with very many different contexts (a common line among ever different
-neighbours) would pile up in one task. Such keys are found in a bounded sample
-of documents, and their windows become entries of their own, keyed by all
-their bytes; equal ones are settled per slice first. The answer is the same.
+neighbours) would pile up in one task. Such keys are found in a sample of whole
+documents, bounded in bytes, and their windows become entries of their own, keyed by all
+their bytes; equal ones are settled per batch first. The answer is the same.
 
 Defined results:
 
@@ -51,15 +51,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import pick, stage
+from gaugeflow.llm.common import bound_batches, pick, stage
 from gaugeflow.llm.words import BASE, mix, powers
 
 LENGTH = 100
 K = 24
-SLICE_BYTES = 4 << 20      # of text that become one suffix array
+SLICE_BYTES = 1 << 19      # of text whose anchors are found together
+ARRAY = 200_000            # entries from which a suffix array is dealt out
 PART_BYTES = 8 << 20       # of text whose entries make one key range
 BATCH = 1 << 15            # entries added to a family at once
-SAMPLE_DOCS = 20_000       # to find keys with very many contexts
+SAMPLE_BYTES = 64 << 20    # of whole texts, as expected, to find keys with very many contexts
 MANY = 8                   # contexts in the sample that make a key such a one
 MARK_BITS = 19
 LAST = (1 << 63) - 1       # stands for a null doc_id
@@ -271,21 +272,31 @@ def _ranges(e: Entries, part: np.ndarray | None, ask: bool) -> pa.RecordBatch:
 
 
 def _arrays(docs: DataFrame, parts: int, many) -> DataFrame:
-    """Step 1: packed suffix arrays by key range, and repeats inside slices."""
+    """Step 1: packed suffix arrays by key range, and repeats inside a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = np.frombuffer(many.value, np.uint64)
+
+        def dealt(pieces: list[Entries]) -> Iterator[pa.RecordBatch]:
+            e, gone = settle(Entries.join(pieces).ordered())
+            if len(gone):
+                yield _ranges(gone, (gone.key % np.uint64(parts)).astype(np.int32), False)
+            to = (e.key % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            got, first = np.unique(to[order], return_index=True)
+            blank = pa.nulls(len(got), pa.int32())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(got, pa.int32()), pa.array([e.take(i).pack() for i in np.split(order, first[1:])][:len(got)], pa.binary()),
+                pa.nulls(len(got), pa.int64()), blank, blank, blank, blank, pa.nulls(len(got), pa.int64())], schema=_STEP)
+
+        pieces, n = [], 0
         for b in batches:
             for piece in _slices(b):
-                e, gone = settle(suffix_array(*piece, hot).ordered())
-                if len(gone):
-                    yield _ranges(gone, (gone.key % np.uint64(parts)).astype(np.int32), False)
-                to = (e.key % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                got, first = np.unique(to[order], return_index=True)
-                blank = pa.nulls(len(got), pa.int32())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(got, pa.int32()), pa.array([e.take(i).pack() for i in np.split(order, first[1:])][:len(got)], pa.binary()),
-                    pa.nulls(len(got), pa.int64()), blank, blank, blank, blank, pa.nulls(len(got), pa.int64())], schema=_STEP)
+                pieces.append(suffix_array(*piece, hot))
+                n += len(pieces[-1])
+                if n >= ARRAY:
+                    yield from dealt(pieces)
+                    pieces, n = [], 0
+        yield from dealt(pieces)
 
     return docs.mapInArrow(run, STEP_SCHEMA)
 
@@ -405,16 +416,28 @@ def _compared(contexts: DataFrame, parts: int) -> DataFrame:
     return contexts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "doc long, mark int, lo int, hi int")
 
 
-def _cut(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+def _cut(docs: DataFrame, ranges: DataFrame, with_bytes: bool) -> DataFrame:
     """The rest of every text after its byte ranges are taken out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         z = zstandard.ZstdDecompressor()
+
+        def batch(ids: pa.Array, out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([
+                ids, pa.array([x[0] for x in out], pa.int64()), pa.array([x[0] - len(x[2]) for x in out], pa.int64()),
+                pa.array([x[1] for x in out], pa.int64()), pa.array([hashlib.sha256(x[2]).hexdigest() for x in out], pa.string()),
+                pa.array([x[2] if with_bytes else None for x in out], pa.binary())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
         for b in batches:
-            out = []
-            for packed, spans in zip(b.column(1), b.column(2), strict=True):
+            first, out, size = 0, [], 0
+            for i, (packed, spans) in enumerate(zip(b.column(1), b.column(2), strict=True)):
+                if size > SLICE_BYTES:
+                    yield batch(b.column(0).slice(first, i - first), out)
+                    first, out, size = i, [], 0
                 text = z.decompress(packed.as_py())
+                size += len(text)
                 kept, at, n = [], 0, 0
                 end = -1  # of the removed run that is being read
                 for x in sorted(spans.as_py() or []):
@@ -425,11 +448,7 @@ def _cut(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                     end = at = max(end, hi)
                 kept.append(text[at:])
                 out.append((len(text), n, b"".join(kept)))
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[0] - len(x[2]) for x in out], pa.int64()),
-                pa.array([x[1] for x in out], pa.int64()), pa.array([hashlib.sha256(x[2]).hexdigest() for x in out], pa.string()),
-                pa.array([x[2] for x in out], pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield batch(b.column(0).slice(first), out)
 
     lists = ranges.groupBy("doc", "mark").agg(F.collect_list(
         F.shiftleft(F.col("lo").cast("long"), 32).bitwiseOR(F.col("hi").cast("long"))).alias("spans"))
@@ -437,16 +456,18 @@ def _cut(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
-def remove_repeats(documents: DataFrame) -> DataFrame:
+def remove_repeats(documents: DataFrame, with_bytes: bool = True) -> DataFrame:
     """A row per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs), ``kept_sha256`` and ``kept`` (the bytes left; a
-    removed run can end inside a character)."""
+    removed run can end inside a character). ``with_bytes`` False leaves
+    ``kept`` null, for callers that need the counts and digests alone."""
     spark = documents.sparkSession
+    bound_batches(spark)
     text = F.coalesce("text", F.lit(""))
     docs = pick(documents, doc_id="doc_id", text="text").select(
         F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.pmod(F.xxhash64(text), F.lit(1 << MARK_BITS)).cast("int").alias("mark"),
         text.cast("binary").alias("text"), "doc_id")
-    n_docs, n_bytes = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, math.ceil(n_bytes / PART_BYTES))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,7 +476,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
                 e = suffix_array(*piece, np.zeros(0, np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(e.key.view(np.int64)), pa.array(e.ctx.view(np.int64))], ["key", "ctx"])
 
-    sample = docs.filter(F.pmod(F.xxhash64("doc"), F.lit(max(1, n_docs // SAMPLE_DOCS))) == 0)
+    sample = docs.filter(F.pmod(F.xxhash64("doc", "mark"), F.lit(max(1, n_bytes // SAMPLE_BYTES))) == 0)
     hot = sample.select("doc", "mark", "text").mapInArrow(hashed, "key long, ctx long").distinct().groupBy("key").count().filter(
         F.col("count") >= MANY).select("key").collect()  # at most the sample's entries / MANY
     many = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64)).tobytes())
@@ -464,4 +485,4 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     found = stage(_families(arrays.repartition(parts, "part").sortWithinPartitions("part")).drop("part", "data"), "suffix-found")
     asked = found.filter("key is not null")
     compared = _compared(_contexts(docs, asked), parts)
-    return _cut(docs, found.filter("key is null").select("doc", "mark", "lo", "hi").unionByName(compared))
+    return _cut(docs, found.filter("key is null").select("doc", "mark", "lo", "hi").unionByName(compared), with_bytes)

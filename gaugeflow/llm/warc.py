@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import pick, stage
+from gaugeflow.llm.common import bound_batches, pick, stage
 from gaugeflow.session import scratch_path
 
 MIN_REVISIT = 100       # bytes
@@ -157,6 +157,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
             for name, data in zip(b.column(0), b.column(1), strict=True):
                 yield pa.RecordBatch.from_pylist(_captures(name.as_py(), data.as_py()), _ARROW)
 
+    bound_batches(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, RUN_SCHEMA)
 

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-SLICE_BYTES = 4 << 20      # texts taken together
+SLICE_BYTES = 2 << 20      # texts taken together
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -32,17 +31,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: int = BASE) -> np.ndarray:
-    """base**0 .. base**(n - 1) modulo 2**64."""
-    size = max(SLICE_BYTES + 1, 1 << max(0, n - 1).bit_length())
-    return _powers(size, base)[:n]
+    """base**0 .. base**(n - 1) modulo 2**64; those of usual slices are kept."""
+    got = _POWERS.get(base)
+    if got is None or len(got) < n:
+        got = np.full(n, base, np.uint64)
+        got[:1] = 1
+        got = np.cumprod(got, dtype=np.uint64)
+        if n <= SLICE_BYTES + 1:
+            _POWERS[base] = got
+    return got[:n]
 
 
 def text_slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

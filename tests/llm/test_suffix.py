@@ -74,6 +74,7 @@ def test_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(S, "SLICE_BYTES", 700)
     monkeypatch.setattr(S, "PART_BYTES", 9000)
     monkeypatch.setattr(S, "BATCH", 40)
+    monkeypatch.setattr(S, "ARRAY", 100)
     monkeypatch.setattr(S, "MANY", 2)
     assert rows_of(S.remove_repeats(df.repartition(2))) == want
 
@@ -105,3 +106,20 @@ def test_sample_table_against_brute_force(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
     assert rows_of(S.remove_repeats(df)) == brute(rows)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from gaugeflow.llm.common import BATCH_BYTES, bound_batches
+
+    bound_batches(spark)
+    df = spark.range(0, 300, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("t"))
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    sizes = [r.n for r in df.mapInArrow(run, "n long").collect()]
+    assert sum(sizes) == 300 and max(sizes) * 100_000 <= BATCH_BYTES + 100_000
