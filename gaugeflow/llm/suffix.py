@@ -263,12 +263,41 @@ _STEP = pa.schema([("part", pa.int32()), ("data", pa.binary()), ("doc", pa.int64
                    ("lo", pa.int32()), ("hi", pa.int32()), ("at", pa.int32()), ("key", pa.int64())])
 
 
-def _ranges(e: Entries, part: np.ndarray | None, ask: bool) -> pa.RecordBatch:
+def _asked(e: Entries) -> pa.RecordBatch:
+    """Rows of entries whose bytes are to be compared."""
     n = len(e)
     return pa.RecordBatch.from_arrays([
-        pa.nulls(n, pa.int32()) if part is None else pa.array(part, pa.int32()), pa.nulls(n, pa.binary()), pa.array(e.doc),
-        pa.array(e.mark()), pa.array(e.bytes_from().astype(np.int32)), pa.array(e.bytes_to().astype(np.int32)),
-        pa.array(e.at().astype(np.int32)), pa.array(e.key.view(np.int64)) if ask else pa.nulls(n, pa.int64())], schema=_STEP)
+        pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(e.doc), pa.array(e.mark()),
+        pa.array(e.bytes_from().astype(np.int32)), pa.array(e.bytes_to().astype(np.int32)),
+        pa.array(e.at().astype(np.int32)), pa.array(e.key.view(np.int64))], schema=_STEP)
+
+
+def merged(doc: np.ndarray, mark: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The union of byte ranges, per document, as few ranges in order."""
+    if not len(doc):
+        return doc, mark, lo, hi
+    order = np.lexsort((lo, mark, doc))
+    doc, mark, lo, hi = doc[order], mark[order], lo[order], hi[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+    # Ranges of later documents lie above those of earlier ones, so that one
+    # running maximum serves all.
+    base = (np.cumsum(new) - 1) << 32
+    top = np.maximum.accumulate(base + hi)
+    new[1:] |= (base + lo)[1:] > top[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], mark[first], lo[first], (top - base)[last]
+
+
+def _repeats(e: Entries, parts: int) -> pa.RecordBatch:
+    """Rows of the byte ranges that repeats cover."""
+    doc, mark, lo, hi = merged(e.doc, e.mark(), e.bytes_from(), e.bytes_to())
+    n = len(doc)
+    blank = pa.nulls(n, pa.int32())
+    return pa.RecordBatch.from_arrays([
+        pa.array((doc % parts).astype(np.int32)), pa.nulls(n, pa.binary()), pa.array(doc), pa.array(mark),
+        pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), blank, pa.nulls(n, pa.int64())], schema=_STEP)
 
 
 def _arrays(docs: DataFrame, parts: int, many) -> DataFrame:
@@ -279,7 +308,7 @@ def _arrays(docs: DataFrame, parts: int, many) -> DataFrame:
         def dealt(pieces: list[Entries]) -> Iterator[pa.RecordBatch]:
             e, gone = settle(Entries.join(pieces).ordered())
             if len(gone):
-                yield _ranges(gone, (gone.key % np.uint64(parts)).astype(np.int32), False)
+                yield _repeats(gone, parts)
             to = (e.key % np.uint64(parts)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             got, first = np.unique(to[order], return_index=True)
@@ -307,10 +336,10 @@ def _families(arrays: DataFrame) -> DataFrame:
         family.add(Entries.join(waiting))
         asked = family.split_keys()
         if len(asked):
-            yield _ranges(asked, None, True)
+            yield _asked(asked)
         gone = Entries.join(family.repeats)
         if len(gone):
-            yield _ranges(gone, None, False)
+            yield _repeats(gone, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, family, waiting, n = None, Family(), [], 0

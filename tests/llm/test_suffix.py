@@ -123,3 +123,18 @@ def test_batches_are_bounded_by_bytes(spark):
 
     sizes = [r.n for r in df.mapInArrow(run, "n long").collect()]
     assert sum(sizes) == 300 and max(sizes) * 100_000 <= BATCH_BYTES + 100_000
+
+
+def test_merged_ranges_are_the_union():
+    rnd = np.random.default_rng(5)
+    n = 500
+    doc, mark = rnd.integers(-3, 6, n), rnd.integers(0, 2, n).astype(np.int32)
+    lo = rnd.integers(0, 3000, n)
+    hi = lo + rnd.integers(1, 60, n)
+    got = list(zip(*[x.tolist() for x in S.merged(doc, mark, lo, hi)], strict=True))
+    for key in {(d, m) for d, m in zip(doc.tolist(), mark.tolist(), strict=True)}:
+        want = {i for d, m, a, b in zip(doc.tolist(), mark.tolist(), lo.tolist(), hi.tolist(), strict=True) if (d, m) == key for i in range(a, b)}
+        mine = [(a, b) for d, m, a, b in got if (d, m) == key]
+        assert {i for a, b in mine for i in range(a, b)} == want
+        assert all(b < c for (_, b), (c, _) in zip(mine, mine[1:], strict=False))
+    assert len(S.merged(doc[:0], mark[:0], lo[:0], hi[:0])[0]) == 0
