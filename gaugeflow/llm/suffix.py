@@ -32,7 +32,8 @@ Defined results:
 * a null doc_id comes after all others, and all nulls are one id;
 * rows with one doc_id: the string that starts at the smaller offset is the
   earlier one, at equal offsets neither is; rows equal in all are returned
-  alike. (Rows of one doc_id are told apart by 19 bits of their text's hash.)
+  alike. Rows of one doc_id are told apart by a 64-bit hash of their text
+  (``mark``);
 * empty table: empty result; other columns are ignored.
 
 Contexts are compared by two 64-bit hashes, part matches by their bytes.
@@ -62,12 +63,12 @@ PART_BYTES = 8 << 20       # of text whose entries make one key range
 BATCH = 1 << 15            # entries added to a family at once
 SAMPLE_BYTES = 64 << 20    # of whole texts, as expected, to find keys with very many contexts
 MANY = 8                   # contexts in the sample that make a key such a one
-MARK_BITS = 19
 LAST = (1 << 63) - 1       # stands for a null doc_id
 CTX_BASE = 0xC2B2AE3D27D4EB4F
 
-# An entry's place: anchor (31 bits), anchor - first window (7), windows - 1 (7), mark.
-_AT, _LEFT, _SPAN = MARK_BITS + 14, MARK_BITS + 7, MARK_BITS
+# An entry's place: anchor (31 bits), anchor - first window (7), windows - 1 (7).
+_AT, _LEFT = 14, 7
+FIELDS = ("key", "ctx", "doc", "place", "mark")
 
 
 @dataclass
@@ -76,46 +77,48 @@ class Entries:
     ctx: np.ndarray
     doc: np.ndarray
     place: np.ndarray
+    mark: np.ndarray | None = None  # with doc, the row; by default one row per doc
+
+    def __post_init__(self):
+        if self.mark is None:
+            self.mark = np.zeros(len(self.key), np.int64)
 
     def __len__(self) -> int:
         return len(self.key)
 
     def take(self, i) -> Entries:
-        return Entries(self.key[i], self.ctx[i], self.doc[i], self.place[i])
+        return Entries(*[getattr(self, f)[i] for f in FIELDS])
 
     @classmethod
     def join(cls, parts: list[Entries]) -> Entries:
         if not parts:
-            return cls(*[np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.uint64)])
-        return cls(*[np.concatenate([getattr(p, f) for p in parts]) for f in ("key", "ctx", "doc", "place")])
+            return cls(*[np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.uint64, np.int64)])
+        return cls(*[np.concatenate([getattr(p, f) for p in parts]) for f in FIELDS])
 
     def ordered(self) -> Entries:
-        return self.take(np.lexsort((self.place, self.doc, self.ctx, self.key)))
+        return self.take(np.lexsort((self.mark, self.place, self.doc, self.ctx, self.key)))
 
     def at(self) -> np.ndarray:
         return self.place >> np.uint64(_AT)
 
-    def mark(self) -> np.ndarray:
-        return (self.place & np.uint64((1 << MARK_BITS) - 1)).astype(np.int32)
-
     def bytes_from(self) -> np.ndarray:
         return (self.at() - (self.place >> np.uint64(_LEFT) & np.uint64(127))).astype(np.int64)
 
     def bytes_to(self) -> np.ndarray:
-        return self.bytes_from() + (self.place >> np.uint64(_SPAN) & np.uint64(127)).astype(np.int64) + LENGTH
+        return self.bytes_from() + (self.place & np.uint64(127)).astype(np.int64) + LENGTH
 
     def pack(self) -> bytes:
         import zstandard
 
         return zstandard.ZstdCompressor(level=1).compress(b"".join(
-            np.ascontiguousarray(getattr(self, f)).tobytes() for f in ("key", "ctx", "doc", "place")))
+            np.ascontiguousarray(getattr(self, f)).tobytes() for f in FIELDS))
 
     @classmethod
     def unpack(cls, data: bytes) -> Entries:
         import zstandard
 
-        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint64).reshape(4, -1)
-        return cls(raw[0], raw[1], raw[2].view(np.int64), raw[3])
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint64).reshape(len(FIELDS), -1)
+        return cls(raw[0], raw[1], raw[2].view(np.int64), raw[3], raw[4].view(np.int64))
 
 
 def _later(doc: np.ndarray, at: np.ndarray, doc2: np.ndarray, at2: np.ndarray) -> np.ndarray:
@@ -129,7 +132,7 @@ def settle(e: Entries) -> tuple[Entries, Entries]:
         return e, e
     same = (e.key[1:] == e.key[:-1]) & (e.ctx[1:] == e.ctx[:-1])
     equal = np.zeros(len(e), bool)
-    equal[1:] = same & (e.doc[1:] == e.doc[:-1]) & (e.place[1:] == e.place[:-1])
+    equal[1:] = same & (e.doc[1:] == e.doc[:-1]) & (e.place[1:] == e.place[:-1]) & (e.mark[1:] == e.mark[:-1])
     first = np.zeros(len(e), np.int64)
     first[1:] = np.where(same, 0, np.arange(1, len(e)))
     first = np.maximum.accumulate(first)
@@ -230,9 +233,8 @@ def suffix_array(data: np.ndarray, off: np.ndarray, doc: np.ndarray, mark: np.nd
     sums = _sums(data, CTX_BASE)
     ctx = _hash(sums, CTX_BASE, lo, hi + LENGTH) ^ mix((a - lo).astype(np.uint64) << np.uint64(8) | (hi - lo).astype(np.uint64))
     where = (a - off[own] + start[own]).astype(np.uint64)
-    place = where << np.uint64(_AT) | (a - lo).astype(np.uint64) << np.uint64(_LEFT) | (
-        hi - lo).astype(np.uint64) << np.uint64(_SPAN) | mark[own].astype(np.uint64)
-    return Entries(key, ctx, doc[own], place)
+    place = where << np.uint64(_AT) | (a - lo).astype(np.uint64) << np.uint64(_LEFT) | (hi - lo).astype(np.uint64)
+    return Entries(key, ctx, doc[own], place, mark[own])
 
 
 def _slices(b: pa.RecordBatch) -> Iterator[tuple]:
@@ -258,8 +260,8 @@ def _slices(b: pa.RecordBatch) -> Iterator[tuple]:
 
 
 # part: key range of ``data``; else a row per byte range. key null: a repeat.
-STEP_SCHEMA = "part int, data binary, doc long, mark int, lo int, hi int, at int, key long"
-_STEP = pa.schema([("part", pa.int32()), ("data", pa.binary()), ("doc", pa.int64()), ("mark", pa.int32()),
+STEP_SCHEMA = "part int, data binary, doc long, mark long, lo int, hi int, at int, key long"
+_STEP = pa.schema([("part", pa.int32()), ("data", pa.binary()), ("doc", pa.int64()), ("mark", pa.int64()),
                    ("lo", pa.int32()), ("hi", pa.int32()), ("at", pa.int32()), ("key", pa.int64())])
 
 
@@ -267,7 +269,7 @@ def _asked(e: Entries) -> pa.RecordBatch:
     """Rows of entries whose bytes are to be compared."""
     n = len(e)
     return pa.RecordBatch.from_arrays([
-        pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(e.doc), pa.array(e.mark()),
+        pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(e.doc), pa.array(e.mark),
         pa.array(e.bytes_from().astype(np.int32)), pa.array(e.bytes_to().astype(np.int32)),
         pa.array(e.at().astype(np.int32)), pa.array(e.key.view(np.int64))], schema=_STEP)
 
@@ -292,11 +294,12 @@ def merged(doc: np.ndarray, mark: np.ndarray, lo: np.ndarray, hi: np.ndarray) ->
 
 def _repeats(e: Entries, parts: int) -> pa.RecordBatch:
     """Rows of the byte ranges that repeats cover."""
-    doc, mark, lo, hi = merged(e.doc, e.mark(), e.bytes_from(), e.bytes_to())
+    doc, mark, lo, hi = merged(e.doc, e.mark, e.bytes_from(), e.bytes_to())
     n = len(doc)
     blank = pa.nulls(n, pa.int32())
+    to = mix(doc.view(np.uint64) ^ mark.view(np.uint64)) % np.uint64(parts)  # neither one id nor one text is in one part
     return pa.RecordBatch.from_arrays([
-        pa.array((doc % parts).astype(np.int32)), pa.nulls(n, pa.binary()), pa.array(doc), pa.array(mark),
+        pa.array(to.astype(np.int32)), pa.nulls(n, pa.binary()), pa.array(doc), pa.array(mark),
         pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), blank, pa.nulls(n, pa.int64())], schema=_STEP)
 
 
@@ -315,7 +318,7 @@ def _arrays(docs: DataFrame, parts: int, many) -> DataFrame:
             blank = pa.nulls(len(got), pa.int32())
             yield pa.RecordBatch.from_arrays([
                 pa.array(got, pa.int32()), pa.array([e.take(i).pack() for i in np.split(order, first[1:])][:len(got)], pa.binary()),
-                pa.nulls(len(got), pa.int64()), blank, blank, blank, blank, pa.nulls(len(got), pa.int64())], schema=_STEP)
+                pa.nulls(len(got), pa.int64()), pa.nulls(len(got), pa.int64()), blank, blank, blank, pa.nulls(len(got), pa.int64())], schema=_STEP)
 
         pieces, n = [], 0
         for b in batches:
@@ -376,7 +379,7 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.binary()), b.column(3)],
                                              ["doc", "mark", "data", "doc_id"])
 
-    return docs.mapInArrow(run, "doc long, mark int, data binary, doc_id long")
+    return docs.mapInArrow(run, "doc long, mark long, data binary, doc_id long")
 
 
 def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
@@ -391,12 +394,12 @@ def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "key": [x["key"] for x in asks], "doc": [doc.as_py()] * len(asks), "mark": [mark.as_py()] * len(asks),
                     "lo": [x["lo"] for x in asks], "data": [text[x["lo"]:x["hi"]] for x in asks]},
-                    pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("mark", pa.int32()), ("lo", pa.int32()), ("data", pa.binary())]))
+                    pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("lo", pa.int32()), ("data", pa.binary())]))
 
     lists = asked.select("doc", "mark", F.struct("key", "lo", "hi").alias("ask")).distinct().groupBy("doc", "mark").agg(
         F.collect_list("ask").alias("asks"))
     return _packed_texts(docs).join(lists, ["doc", "mark"]).select("doc", "mark", "data", "asks").mapInArrow(
-        run, "key long, doc long, mark int, lo int, data binary")
+        run, "key long, doc long, mark long, lo int, data binary")
 
 
 def windows_seen(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int, int, int, int]]:
@@ -424,7 +427,7 @@ def _compared(contexts: DataFrame, parts: int) -> DataFrame:
     """Step 3: the entries of one key, window by window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows, out = None, [], []
-        names = pa.schema([("doc", pa.int64()), ("mark", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
+        names = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), names.types, strict=True)], schema=names)
@@ -442,7 +445,7 @@ def _compared(contexts: DataFrame, parts: int) -> DataFrame:
         if out:
             yield batch()
 
-    return contexts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "doc long, mark int, lo int, hi int")
+    return contexts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "doc long, mark long, lo int, hi int")
 
 
 def _cut(docs: DataFrame, ranges: DataFrame, with_bytes: bool) -> DataFrame:
@@ -494,7 +497,7 @@ def remove_repeats(documents: DataFrame, with_bytes: bool = True) -> DataFrame:
     bound_batches(spark)
     text = F.coalesce("text", F.lit(""))
     docs = pick(documents, doc_id="doc_id", text="text").select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.pmod(F.xxhash64(text), F.lit(1 << MARK_BITS)).cast("int").alias("mark"),
+        F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("mark"),
         text.cast("binary").alias("text"), "doc_id")
     n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, math.ceil(n_bytes / PART_BYTES))

@@ -138,3 +138,13 @@ def test_merged_ranges_are_the_union():
         assert {i for a, b in mine for i in range(a, b)} == want
         assert all(b < c for (_, b), (c, _) in zip(mine, mine[1:], strict=False))
     assert len(S.merged(doc[:0], mark[:0], lo[:0], hi[:0])[0]) == 0
+
+
+def test_many_rows_of_one_id(spark):
+    """Thousands of texts under one id or none: ranges stay with their row."""
+    rnd = random.Random(8)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(130))
+    rows = [(None if i % 2 else 5, "".join(rnd.choice("ijklmnop ") for _ in range(rnd.randint(0, 90))) + passage + str(i)) for i in range(5000)]
+    want = brute(rows)
+    assert sum(r[2] > 0 for r in want) > 4000
+    assert rows_of(S.remove_repeats(frame(spark, rows).repartition(4))) == want
