@@ -2,7 +2,8 @@
 
 Writing: one record per page through Spark's text sink, whose line separator
 is the blank lines that end a record; the sink's commit protocol makes lost
-tasks harmless. Of equal payloads of at least ``MIN_REVISIT`` bytes, the one
+tasks harmless. An archive is bounded by bytes and by records; a record over
+``ARCHIVE_BYTES`` has one of its own. Of equal payloads of at least ``MIN_REVISIT`` bytes, the one
 with the smallest page_id is a ``response``, the others are ``revisit``
 records that name it and carry no payload.
 
@@ -38,7 +39,8 @@ from gaugeflow.llm.common import bound_batches, pick, stage
 from gaugeflow.session import scratch_path
 
 MIN_REVISIT = 100       # bytes
-RECORDS_PER_FILE = 8192  # an archive is read into memory as a whole
+ARCHIVE_BYTES = 64 << 20  # an archive is read into memory as a whole
+RECORDS_PER_FILE = 8192
 RANGE_ROWS = 200_000    # captures merged by one task
 EPOCH = 1_700_000_000   # of the default capture times
 CRLF = "\r\n"
@@ -83,10 +85,31 @@ def with_record(pages: DataFrame, captured: Column | None = None) -> DataFrame:
     return rows.select("page_id", F.concat(head, body).alias("record"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``record`` and the number, within the task, of the ``archive`` it goes
+    to: the next one where the bytes of the last would pass ARCHIVE_BYTES."""
+    most = ARCHIVE_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size = 0, 0
+        for b in batches:
+            numbers = []
+            for n in b.column(1).to_pylist():
+                if size and size + n > most:
+                    number, size = number + 1, 0
+                size += n
+                numbers.append(number)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(numbers, pa.int32())], ["record", "archive"])
+
+    sized = rows.select("record", (F.octet_length("record") + len(CRLF * 2)).alias("size"))
+    return sized.mapInArrow(run, "record string, archive int")
+
+
 def write_archives(pages: DataFrame, path: str, captured: Column | None = None) -> None:
     """One archive file or more per task, under ``path``."""
+    bound_batches(pages.sparkSession)
     rows = with_record(pick(pages, page_id="page_id", url="url", html="html"), captured)
-    rows.select("record").write.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path, lineSep=CRLF * 2)
+    _numbered(rows).write.option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy("archive").text(path, lineSep=CRLF * 2)
 
 
 def url_key(url: str | None) -> str:

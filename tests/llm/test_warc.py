@@ -67,3 +67,24 @@ def test_url_key():
     assert W.url_key("HTTPS://u@www2.Ab.C.org:443/P?q#f") == "org,c,ab)/p?q"
     assert W.url_key("http://a.b") == "b,a)/"
     assert W.url_key(None) == ""
+
+
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    """Pages of many MB: files keep to the bound, a larger record stands alone."""
+    from pyspark.sql import functions as F
+
+    from gaugeflow.session import scratch_path
+
+    most = 8 << 20
+    monkeypatch.setattr(W, "ARCHIVE_BYTES", most, raising=False)
+    sizes = [3_000_000] * 6 + [12_000_000] + [200] * 50 + [5_000_000] * 2
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "page_id long, n int").coalesce(1).select(
+        "page_id", F.lit("http://a.example/").alias("url"),
+        F.concat(F.col("page_id").cast("string"), F.repeat(F.lit("x"), F.col("n"))).alias("html"))
+    path = scratch_path(spark, "test-warc")
+    W.write_archives(df, path)
+    files = [r.length for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert [n for n in files if n > most] == [n for n in files if n > 12_000_000] and max(files) < 12_001_000
+    assert len(files) <= 8
+    got = {r.page_id: r.payload_bytes for r in W.merge_runs(W.read_runs(spark, path)).collect()}
+    assert got == {i: n + len(str(i)) for i, n in enumerate(sizes)}
