@@ -10,7 +10,12 @@ are the main text.
 Defined results:
 
 * null or empty html, or a page without a content block: empty text;
-* script, style, head, comments and other unseen text never form blocks;
+* script, style, title, comments and other unseen text never form blocks;
+  what else stands in a head is part of the page, as ``</head>`` and ``<body>``
+  can be left out;
+* an unseen element without its end hides the rest of the page if it holds raw
+  text (``RAW``), else nothing;
+* formulas (``math``) are text, without their annotations;
 * ``br`` and any white space inside a block become one space, blocks are
   trimmed, empty blocks are dropped, the rest are joined by a line break;
 * tags that are never closed end with their parent or the page;
@@ -39,7 +44,8 @@ figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label lege
 search section select summary table tbody td tfoot th thead tr ul""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template noscript iframe object svg math textarea title canvas audio video noembed noframes".split())
+RAW = frozenset("script style textarea title iframe noembed noframes".split())
+UNSEEN = RAW | frozenset("template noscript object svg canvas audio video annotation annotation-xml".split())
 # An opening tag of the key closes an open element of the value.
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"},
@@ -90,6 +96,25 @@ def _attribute_cost(attrs: str) -> int:
     return cost
 
 
+@lru_cache(maxsize=64)
+def _marks(tag: str) -> re.Pattern:
+    """Opening and closing tags of ``tag``, and the text that holds no tags."""
+    return re.compile(rf"""<!--(?s:.*?)(?:-->|\Z)|<(?:script|style)\b(?s:.*?)(?:</(?:script|style)[^>]*+>|\Z)"""
+                      rf"""|<(/?){re.escape(tag)}(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)""", re.I)
+
+
+def _ends(page: str, tag: str) -> dict[int, int]:
+    """Where each closed element ``tag`` of a page starts and ends."""
+    ends, open_at = {}, []
+    for m in _marks(tag).finditer(page):
+        if m[1]:
+            if open_at:
+                ends[open_at.pop()] = m.end()
+        elif m[2] and not m[2].endswith("/>"):
+            open_at.append(m.start())
+    return ends
+
+
 class Block:
     """Text of one block, its evidence and the container it stands in."""
 
@@ -104,7 +129,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack = [("", 0, 0)]  # (tag, summed evidence, number of the element)
     opened = {"": 1}
-    number, link, part, linked, in_head = 0, False, [], 0, False
+    number, link, part, linked = 0, False, [], 0
+    ends: dict[str, dict[int, int]] = {}
     heading = 0
 
     def pop() -> None:
@@ -118,7 +144,7 @@ def blocks(page: str) -> list[Block]:
         if part:
             raw = "".join(part)
             text = " ".join(unescape(raw).split())
-            if text and not in_head:
+            if text:
                 cost = stack[-1][1] + START_COST + WORD_COST * min(WORDS_MOST, text.count(" ") + 1)
                 cost += HEADING_COST * (heading > 0) + LINK_COST * linked // max(1, len(raw))
                 # A paragraph stands in its parent, as do its neighbours.
@@ -145,20 +171,22 @@ def blocks(page: str) -> list[Block]:
             link = not closing
         elif tag == "br":
             part.append(" ")
-        elif tag == "head":
-            in_head = not closing
-            part, linked = [], 0
         elif tag in UNSEEN:
             if not closing:
                 attrs = m[3] or m[6] or ""
-                if not attrs.endswith("/"):
+                if attrs.endswith("/"):
+                    continue
+                if tag in RAW:
                     end = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
                     at = end.end() if end else n
+                else:
+                    if tag not in ends:
+                        ends[tag] = _ends(page, tag)
+                    at = ends[tag].get(m.start(), at)
         elif tag in BLOCKS:
             flush()
             link = False
             if tag == "body" or tag == "html":
-                in_head = False
                 continue
             if closing:
                 if opened.get(tag):

@@ -75,3 +75,33 @@ def test_sample_pages(spark):
         want = [" ".join(unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in parts]
         wrong += got[r.page_id] != "\n".join(p for p in want if p)
     assert wrong == 0
+
+
+STORY = "This article has quite a few words in it, as the prose of any story does."
+
+
+def test_head_and_body_can_be_left_out():
+    for page in (f"<html><head><title>T</title><p>{STORY}", f"<head><meta charset=utf-8><link rel=x><title>T</title><style>p{{}}</style><p>{STORY}</p>",
+                 f"<html><head><title>T</title>{STORY}", f"<title>T</title><article><p>{STORY}</p></article>",
+                 f"<html><head><title>T</title></head><p>{STORY}</p></html>"):
+        assert H.main_text(page) == STORY, page
+    assert H.main_text(f"<body><article><p>{STORY}<head> And more.</p></article>") == STORY + " And more."
+
+
+def test_unseen_elements_without_their_end():
+    for tag in ("svg", "noscript", "template", "object", "canvas", "video"):
+        assert H.main_text(f"<article><p>{STORY}</p><{tag}><p>After it.</p></article>") == STORY + "\nAfter it."
+        # A later closed one does not close the first; a nested one not its parent.
+        later = f"<article><{tag} class=x><p>{STORY}</p><{tag}>unseen</{tag}><p>After it.</p></article>"
+        assert H.main_text(later) == STORY + "\nAfter it."
+        assert H.main_text(f"<article><p>{STORY}<{tag}>a<{tag} t='>'>b</{tag}>c</{tag}></p></article>") == STORY
+    assert H.main_text(f"<article><p>{STORY}<svg/></p><svg><!-- </svg> --><text>no</text></svg><p>End.</p>") == STORY + "\nEnd."
+    for tag in H.RAW:
+        assert H.main_text(f"<article><p>{STORY}</p><{tag}>never closed <p>y") == STORY
+    assert H.main_text("<article><p>x</p>" + "<svg>" * 20000 + "<p>y</p>") == "x\ny"
+
+
+def test_formulas_are_text():
+    page = ("<article><p>Mass: <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow>"
+            "<annotation encoding='application/x-tex'>E=m</annotation></semantics></math> holds.</p></article>")
+    assert H.main_text(page) == "Mass: E=m holds."
