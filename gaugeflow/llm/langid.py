@@ -123,6 +123,25 @@ def log_probability(edges, n: int, p: list[float]) -> float:
     return la[n]
 
 
+def _log_add(x: float, y: float) -> float:
+    hi, lo = max(x, y), min(x, y)
+    return hi if lo == float("-inf") else hi + math.log1p(math.exp(lo - hi))
+
+
+def _shares(edges, n: int, p: list[float]) -> list[float]:
+    """Expected uses of each edge in one word, in logarithms: for words whose
+    sums are too small for a float."""
+    low = float("-inf")
+    w = [sum(math.log(p[k]) for k in numbers) for _, _, numbers in edges]
+    a, b = [low] * (n + 1), [low] * (n + 1)
+    a[0] = b[n] = 0.0
+    for (i, j, _), x in zip(edges, w, strict=True):
+        a[j] = _log_add(a[j], a[i] + x)
+    for (i, j, _), x in zip(reversed(edges), reversed(w), strict=True):
+        b[i] = _log_add(b[i], x + b[j])
+    return [math.exp(a[i] + x + b[j] - a[n]) for (i, j, _), x in zip(edges, w, strict=True)]
+
+
 def fit(pieces: Pieces, counts: dict[str, int], rounds: int = ROUNDS) -> list[float]:
     """Piece probabilities of one language from its word counts."""
     p = [1.0 / pieces.size] * pieces.size
@@ -135,8 +154,11 @@ def fit(pieces: Pieces, counts: dict[str, int], rounds: int = ROUNDS) -> list[fl
             a[0] = b[n] = 1.0
             for (i, j, _), x in zip(edges, w, strict=True):
                 a[j] += a[i] * x
-            if a[n] < 1e-290:
-                continue  # over a hundred letters without a break
+            if a[n] < 1e-290:  # a long word, or some 20 characters spelled in bytes
+                for (_, _, k), e in zip(edges, _shares(edges, n, p), strict=True):
+                    for m in k:
+                        got[m] += c * e
+                continue
             for (i, j, _), x in zip(reversed(edges), reversed(w), strict=True):
                 b[i] += x * b[j]
             for (i, j, k), x in zip(edges, w, strict=True):
@@ -260,19 +282,28 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4
 
 
+def training_rows(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, held_out_fold: int = 2) -> DataFrame:
+    """``lang`` and ``text`` of at most ``sample_docs`` different rows per
+    language, none of the held-out fold. Repeated rows count once; rows of one
+    doc_id are told apart by the hash of their text."""
+    from pyspark.sql import Window
+
+    docs = pick(documents, doc_id="doc_id", text="text", lang="lang").filter(
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != held_out_fold)).withColumn(
+        "mark", F.xxhash64("text"))
+    row = ["doc_id", "lang", "mark"]
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
+    # Spark keeps only the first of each task before it shuffles by language.
+    chosen = stage(docs.select(row).distinct().withColumn("n", F.row_number().over(order)).filter(
+        F.col("n") <= sample_docs).select(row), "langid-sample")
+    return docs.join(chosen, row, "left_semi").dropDuplicates(row).select("lang", "text")
+
+
 def train(documents: DataFrame, vocabulary: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS,
           held_out_fold: int = 2) -> dict[str, list[float]]:
     """Piece probabilities per language, fitted in one task per language on
     its bounded sample. Learns from no document of the held-out fold."""
-    from pyspark.sql import Window
-
-    docs = pick(documents, doc_id="doc_id", text="text", lang="lang").filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != held_out_fold))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Chosen by id alone; Spark keeps only the first of each task before it shuffles.
-    chosen = stage(docs.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(
-        F.col("n") <= sample_docs).select("doc_id", "lang").distinct(), "langid-sample")
-    sample = docs.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    sample = training_rows(documents, sample_docs, held_out_fold)
     pieces = Pieces.load(vocabulary)
 
     def learn(pdf):

@@ -119,3 +119,33 @@ def test_empty_and_unlabelled(spark):
     assert L.identify(spark.createDataFrame([], SCHEMA)).count() == 0
     r = L.identify(spark.createDataFrame([(1, "abc", None, 1, "", 1)], SCHEMA)).collect()[0]
     assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
+def test_fit_learns_from_words_that_underflow(pieces):
+    """Characters outside the vocabulary are three byte pieces each."""
+    for n in (3, 30, 300):
+        p = L.fit(pieces, {"ሴ" * n: 2}, 1)
+        total = L.SMOOTHING * pieces.size + 2 * (3 * n + 1)
+        for b in "ሴ".encode():
+            assert p[pieces.ids[f"<0x{b:02X}>"]] == pytest.approx((L.SMOOTHING + 2 * n) / total, rel=1e-9)
+    uniform = [1 / pieces.size] * pieces.size
+    edges, n = pieces.edges("thing")
+    uses = L._shares(edges, n, uniform)
+    assert sum((j - i) * e for (i, j, _), e in zip(edges, uses, strict=True)) == pytest.approx(n)
+    want = [L.SMOOTHING] * pieces.size
+    for (_, _, k), e in zip(edges, uses, strict=True):
+        for m in k:
+            want[m] += e
+    assert L.fit(pieces, {"thing": 1}, 1) == pytest.approx([x / sum(want) for x in want], rel=1e-9)
+
+
+def test_sample_is_bounded_for_repeated_rows(spark):
+    import zlib
+
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:20]
+    rows = [(i, "same text", "xx") for i in ids for _ in range(30)] + [(ids[0], f"text {k}", "yy") for k in range(50)] + [(ids[1], "other", "yy")]
+    df = spark.createDataFrame([(*r, 1, "s", 2) for r in rows], SCHEMA).repartition(5)
+    got = [(r.lang, r.text) for r in L.training_rows(df, 7).collect()]
+    assert sum(g == "xx" for g, _ in got) == 7 and sum(g == "yy" for g, _ in got) == 7
+    assert len({t for g, t in got if g == "yy"}) == 7
+    assert L.training_rows(df, 1000).count() == 20 + 51
