@@ -135,6 +135,9 @@ def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Seque
     return sum(r[1] for r in per_year)
 
 
-def create_table(raw: DataFrame, target: str, date_col: str = S.DATE) -> None:
-    """Initial load of a year-partitioned raw table."""
+def create_table(raw: DataFrame, target: str, date_col: str = S.DATE, key: str = S.KEY) -> None:
+    """Initial load of a year-partitioned raw table and its watermarks, which
+    replace those of an earlier table at ``target``."""
     write_partitions(with_partition(raw, date_col), target)
+    loaded = raw.sparkSession.read.schema(raw.schema).parquet(target)
+    watermarks(loaded, key, date_col).write.mode("overwrite").parquet(marks_path(target))

@@ -96,6 +96,17 @@ def test_upsert_with_nothing_new_rewrites_nothing(spark):
     assert marks == {"A": D(2019, 5, 1)}
 
 
+def test_reloaded_table_gets_new_watermarks(spark):
+    target = scratch_path(spark, "t-reload")
+    upsert.create_table(_raw(spark, [("A", D(2020, 1, 1), 1.0)]), target)
+    batch = _raw(spark, [("A", D(2020, 5, 1), 2.0), ("B", D(2020, 5, 1), 2.0)]).drop("ingested_at")
+    assert upsert.upsert_table(spark, target, batch) == 2
+    upsert.create_table(_raw(spark, [("A", D(2020, 2, 1), 3.0)]), target)  # loaded again, without the batch
+    assert upsert.upsert_table(spark, target, batch) == 2
+    got = {(r.dam_key, r.fecha): r.volumen_alm_mm3 for r in ingest.read_raw(spark, target).collect()}
+    assert got == {("A", D(2020, 2, 1)): 3.0, ("A", D(2020, 5, 1)): 2.0, ("B", D(2020, 5, 1)): 2.0}
+
+
 def test_exists_tells_missing_from_unreadable(spark):
     import pytest
 
