@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gaugeflow.llm.chat import ORACLE_SQL as CHAT_SQL
 from gaugeflow.llm.common import read
 from gaugeflow.llm.decontam import ORACLE_SQL as WINNOW_SQL
+from gaugeflow.llm.interactions import ORACLE_SQL as AUDIT_SQL
 from gaugeflow.llm.linededup import ORACLE_SQL as LINE_SQL
 from gaugeflow.llm.quality import oracle_sql as quality_sql
 from gaugeflow.llm.warc import ORACLE_SQL as WARC_SQL
@@ -85,6 +86,12 @@ def op10_min_cut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.interactions import interaction_audit
+
+    return interaction_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_min_cut_extraction": op10_min_cut_extraction,
+    "op12_filter_interaction_audit": op12_filter_interaction_audit,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
@@ -110,4 +118,5 @@ ORACLES: dict[str, str] = {
     "op4_site_line_dedup": LINE_SQL,
     "op7_chat_round_trip": CHAT_SQL,
     "op8_quality_rules": quality_sql(),
+    "op12_filter_interaction_audit": AUDIT_SQL,
 }
