@@ -14,6 +14,7 @@ from gaugeflow.llm.common import read
 from gaugeflow.llm.decontam import ORACLE_SQL as WINNOW_SQL
 from gaugeflow.llm.interactions import ORACLE_SQL as AUDIT_SQL
 from gaugeflow.llm.linededup import ORACLE_SQL as LINE_SQL
+from gaugeflow.llm.merkle import ORACLE_SQL as MERKLE_SQL
 from gaugeflow.llm.quality import oracle_sql as quality_sql
 from gaugeflow.llm.warc import ORACLE_SQL as WARC_SQL
 
@@ -92,6 +93,12 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return interaction_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.merkle import dataset_manifest
+
+    return dataset_manifest(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_min_cut_extraction": op10_min_cut_extraction,
     "op12_filter_interaction_audit": op12_filter_interaction_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
@@ -119,4 +127,5 @@ ORACLES: dict[str, str] = {
     "op7_chat_round_trip": CHAT_SQL,
     "op8_quality_rules": quality_sql(),
     "op12_filter_interaction_audit": AUDIT_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
 }
