@@ -87,6 +87,12 @@ def op10_min_cut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
+def op11_min_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gaugeflow.llm.resharding import shard_table
+
+    return shard_table(read(spark, sf_dir, "documents"))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeflow.llm.interactions import interaction_audit
 
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_min_cut_extraction": op10_min_cut_extraction,
+    "op11_min_cost_resharding": op11_min_cost_resharding,
     "op12_filter_interaction_audit": op12_filter_interaction_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": pipeline,
