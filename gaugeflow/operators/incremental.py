@@ -4,10 +4,13 @@ The full-refresh fact is the specification: an incremental run gives the same
 table. The unit of work is a *slice*: one key in one year. A slice is redone
 when
 
-* it holds a source row that may be new: loaded after the fact's last run
-  (corrections and late rows, however old), dated after what that run saw, or,
-  where load times are not known, dated after its own key's last fact date
-  minus ``lookback_days`` or of a key the fact does not have;
+* the change feed of the source names it: a load after the fact's last run
+  added or replaced rows in it, be they valid now or not;
+* the run date moved: it holds rows dated after what the last run saw, or the
+  fact has rows in it dated after the present run;
+* where there is no feed: it holds a row loaded after the last run, or, where
+  load times are not known either, a row or a fact row dated after its own
+  key's last fact date minus ``lookback_days``, or a key the fact lacks;
 * the state or a capacity of its key changed in the dimension;
 * it is the key's next slice after one of these, as its first row's previous
   value may have changed.
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.operators import marts
-from gaugeflow.operators.upsert import PARTITION_COL, write_partitions
+from gaugeflow.operators.upsert import PARTITION_COL, drop_partitions, write_partitions
 from gaugeflow.session import exists, materialize
 
 DIM_COLS = ["state", "namo_oficial_mm3", "name_oficial_mm3"]
@@ -43,21 +46,58 @@ def slices_of(fact: DataFrame) -> DataFrame:
         *[F.max(c).alias(c) for c in DIM_COLS])
 
 
+def touched_slices(source: DataFrame, slices: DataFrame, feed: DataFrame, seen_until: dt.date, as_of: dt.date) -> DataFrame:
+    """(key, year) in which the staged ``source`` may differ from what the last
+    run saw: those of the ``feed``, and what a moved run date lets in or out.
+    ``slices`` has the last date of each slice that the run made."""
+    newer = _from_year(source, seen_until).where(F.col(S.DATE) > F.lit(seen_until))
+    out = feed.select(*SLICE).unionByName(newer.select(S.KEY, F.year(S.DATE).alias(PARTITION_COL)))
+    if as_of < seen_until:
+        out = out.unionByName(slices.where(F.col("last_date") > F.lit(as_of)).select(*SLICE))
+    return out.distinct()
+
+
+def _from_year(source: DataFrame, day: dt.date) -> DataFrame:
+    """Rows of the years from ``day`` on, by partition where the frame has them."""
+    return source.where(F.col(PARTITION_COL) >= day.year) if PARTITION_COL in source.columns else source
+
+
+def in_years(source: DataFrame, years: list[int]) -> DataFrame:
+    """Rows of the given years, pruned by partition and by date."""
+    spans = F.lit(False)
+    for a, b in _runs(years):
+        spans = spans | F.col(S.DATE).between(F.lit(dt.date(a, 1, 1)), F.lit(dt.date(b, 12, 31)))
+    return (source.where(F.col(PARTITION_COL).isin(years)) if PARTITION_COL in source.columns else source).where(spans)
+
+
+def rows_of_slices(source: DataFrame, slices: DataFrame) -> DataFrame:
+    """Rows of ``source`` in the given slices (a written table), with their
+    year. Only the years that the slices have are read."""
+    years = [r[0] for r in slices.select(PARTITION_COL).distinct().collect()]  # one per year
+    return in_years(source, years).withColumn(PARTITION_COL, F.year(S.DATE)).join(slices.select(*SLICE), SLICE, "left_semi")
+
+
 def changed_slices(source: DataFrame, slices: DataFrame, dim: DataFrame, lookback_days: int = S.LOOKBACK_DAYS,
-                   since: dt.datetime | None = None, seen_until: dt.date | None = None) -> DataFrame:
-    """(key, year) of every slice to redo; see the module doc. With both
-    ``since`` and ``seen_until`` (load time and last date that the fact's last
-    run saw) the new rows are those loaded or dated later, a filter that
-    reaches the scan; else keys and dates are compared with the slices."""
-    loaded = F.col("ingested_at") > F.lit(since) if since is not None and "ingested_at" in source.columns else F.lit(False)
-    if since is not None and seen_until is not None and "ingested_at" in source.columns:
-        rows = source.where(loaded | (F.col(S.DATE) > F.lit(seen_until)))
-        new = F.lit(True)
+                   since: dt.datetime | None = None, seen_until: dt.date | None = None,
+                   touched: DataFrame | None = None) -> DataFrame:
+    """(key, year) of every slice to redo; see the module doc. ``touched`` (see
+    :func:`touched_slices`) says where the source changed. Without it, rows
+    loaded after ``since`` or dated after ``seen_until`` count as new; without
+    those, keys and dates are compared with the slices, and what stopped being
+    valid is found inside the look-back only."""
+    if touched is not None:
+        changed = touched.select(*SLICE)
     else:
-        marks = slices.groupBy(S.KEY).agg(F.max("last_date").alias("_mark"))
-        rows = source.join(marks, S.KEY, "left")
-        new = loaded | F.col("_mark").isNull() | (F.col(S.DATE) > F.date_sub("_mark", lookback_days))
-    changed = rows.where(new).select(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).distinct()
+        loaded = F.col("ingested_at") > F.lit(since) if since is not None and "ingested_at" in source.columns else F.lit(False)
+        if since is not None and seen_until is not None and "ingested_at" in source.columns:
+            rows = source.where(loaded | (F.col(S.DATE) > F.lit(seen_until)))
+            changed = rows.select(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).distinct()
+        else:
+            marks = slices.groupBy(S.KEY).agg(F.max("last_date").alias("_mark"))
+            recent = F.date_sub("_mark", lookback_days)
+            rows = source.join(marks, S.KEY, "left").where(loaded | F.col("_mark").isNull() | (F.col(S.DATE) > recent))
+            ends = slices.join(marks, S.KEY).where(F.col("last_date") > recent)
+            changed = rows.select(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).unionByName(ends.select(*SLICE)).distinct()
     now = dim.select(S.KEY, *[F.col(c).alias(f"_{c}") for c in DIM_COLS])
     differs = F.lit(False)
     for c in DIM_COLS:
@@ -65,6 +105,7 @@ def changed_slices(source: DataFrame, slices: DataFrame, dim: DataFrame, lookbac
     stale = slices.join(now, S.KEY, "left").where(differs).select(*SLICE)
     redo = changed.unionByName(stale).distinct().withColumn("_redo", F.lit(True))
     known = slices.select(*SLICE).unionByName(changed).distinct().join(redo, SLICE, "left")
+    # The next slice with rows: one that lost its last row has none to hand on to.
     after = F.lag("_redo").over(Window.partitionBy(S.KEY).orderBy(PARTITION_COL))
     return known.withColumn("_after", after).where(F.col("_redo") | F.col("_after")).select(*SLICE)
 
@@ -73,13 +114,7 @@ def redone_rows(source: DataFrame, slices: DataFrame, dim: DataFrame, redo: Data
     """Fact rows of the slices ``redo`` (a written table), from the source rows
     of those years. The first row of a slice takes its previous value from the
     last row of the key's slice before it, redone or as it stands."""
-    years = [r[0] for r in redo.select(PARTITION_COL).distinct().collect()]
-    if not years:
-        return marts.build_fact(source.limit(0), dim)
-    spans = F.lit(False)
-    for a, b in _runs(years):
-        spans = spans | F.col(S.DATE).between(F.lit(dt.date(a, 1, 1)), F.lit(dt.date(b, 12, 31)))
-    rows = source.where(spans).withColumn(PARTITION_COL, F.year(S.DATE)).join(redo, SLICE, "left_semi")
+    rows = rows_of_slices(source, redo)
     ends = rows.groupBy(*SLICE).agg(F.max_by(S.VOLUME, S.DATE).alias("last_volume"))
     stand = slices.join(redo, SLICE, "left_anti").select(*SLICE, "last_volume")
     before = F.lag("last_volume").over(Window.partitionBy(S.KEY).orderBy(PARTITION_COL))
@@ -138,30 +173,39 @@ def write_fact_table(fact: DataFrame, path: str) -> None:
     slices_of(spark.read.parquet(path).drop(PARTITION_COL)).write.mode("overwrite").parquet(slices_path(path))
 
 
+def fact_slices(spark: SparkSession, path: str) -> DataFrame:
+    """The table of slices next to the fact at ``path``; made where missing."""
+    if not exists(spark, slices_path(path)):
+        slices_of(read_fact(spark, path).drop(PARTITION_COL)).write.parquet(slices_path(path))
+    return spark.read.parquet(slices_path(path))
+
+
 def refresh_fact_table(spark: SparkSession, source: DataFrame, path: str, dim: DataFrame,
                        lookback_days: int = S.LOOKBACK_DAYS, since: dt.datetime | None = None,
-                       seen_until: dt.date | None = None) -> int:
+                       seen_until: dt.date | None = None, touched: DataFrame | None = None) -> int:
     """Incremental refresh of the year-partitioned fact at ``path`` (M3).
 
     Only the years with redone slices are read, merged and replaced, in one
-    write with a dynamic partition overwrite; a missing table is built in
-    full. Returns the number of redone rows, -1 after a full build."""
+    write with a dynamic partition overwrite; years that lost all their rows
+    are removed; a missing table is built in full. For ``touched`` see
+    :func:`changed_slices`. Returns the number of redone rows, -1 after a full
+    build."""
     if not exists(spark, path):
         write_fact_table(marts.build_fact(source, dim), path)
         return -1
-    if not exists(spark, slices_path(path)):
-        slices_of(read_fact(spark, path).drop(PARTITION_COL)).write.parquet(slices_path(path))
-    slices = spark.read.parquet(slices_path(path))
-    redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since, seen_until), "redo")
+    slices = fact_slices(spark, path)
+    redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since, seen_until, touched), "redo")
     years = [r[0] for r in redo.select(PARTITION_COL).distinct().collect()]  # one per year
     if not years:
         return 0
     fresh = materialize(spark, redone_rows(source, slices, dim, redo), "fact-fresh")
     touched = read_fact(spark, path).where(F.col(PARTITION_COL).isin(years)).drop(PARTITION_COL)
     merged = replace_slices(touched, fresh, redo).withColumn(PARTITION_COL, F.year(S.DATE))
+    new_slices = materialize(spark, slices.join(redo, SLICE, "left_anti").unionByName(slices_of(fresh)), "slices")
+    left = {r[0] for r in new_slices.select(PARTITION_COL).distinct().collect()}  # one per year
     write_partitions(merged, path, dynamic=True)
-    new_slices = slices.join(redo, SLICE, "left_anti").unionByName(slices_of(fresh))
-    materialize(spark, new_slices, "slices").write.mode("overwrite").parquet(slices_path(path))
+    drop_partitions(spark, path, [y for y in years if y not in left])
+    new_slices.write.mode("overwrite").parquet(slices_path(path))
     return fresh.count()
 
 

@@ -61,10 +61,15 @@ def history_stats(
 
 
 def build_dim(catalog: DataFrame, daily: DataFrame, key: str = S.KEY, **kw) -> DataFrame:
+    """Entity dimension (J3 + P13) from all daily rows."""
+    return dim_of(catalog, history_stats(daily, key=key, **kw), key)
+
+
+def dim_of(catalog: DataFrame, hist: DataFrame, key: str = S.KEY) -> DataFrame:
     """Entity dimension (J3 + P13): every catalog column, then history stats
     (entities without history keep NULLs), estimated capacity and its
-    difference to the official one."""
-    hist = history_stats(daily, key=key, **kw)
+    difference to the official one. ``hist`` is one row per entity, see
+    :func:`history_stats` and :mod:`gaugeflow.operators.history`."""
     joined = catalog.join(hist, key, "left")
     return joined.select(
         *[F.col(c) for c in catalog.columns],

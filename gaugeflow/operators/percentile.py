@@ -15,16 +15,28 @@ no task holds a key:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.session import materialize
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows per key and non-NULL value, as ``_c``."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+
+
 def percentile_by_key(df: DataFrame, key: str, value: str, q: float) -> DataFrame:
     """(key, percentile) for every key with at least one non-NULL value."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = materialize(df.sparkSession, counts.repartitionByRange(key, value)
+    return percentile_of_counts(value_counts(df, [key], value), key, value, q)
+
+
+def percentile_of_counts(counts: DataFrame, key: str, value: str, q: float) -> DataFrame:
+    """(key, percentile) from ``counts``: ``_c`` rows of each (key, value), a
+    pair standing once."""
+    ranged = materialize(counts.sparkSession, counts.repartitionByRange(key, value)
                          .withColumn("_pid", F.spark_partition_id()), "percentile-ranges")
     inside = Window.partitionBy("_pid", key).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_cum", F.sum("_c").over(inside))

@@ -4,6 +4,12 @@ Parquet tables have no MERGE, so an upsert is expressed as
 ``existing ⟕anti batch ∪ batch`` over the partitions the batch touches,
 published in one write with a dynamic partition overwrite: Spark writes the new
 files beside the old ones and swaps the partitions when the job commits.
+
+Next to a table stand its watermarks (one row per key) and its change feed: the
+(key, year) of every slice that a load added rows to or replaced rows of, with
+the load time. Readers that keep something derived from the table ask the feed
+what to redo, so they also learn of rows that a correction made invalid, which
+no filter over the present rows can show.
 """
 
 from __future__ import annotations
@@ -107,6 +113,36 @@ def stored_watermarks(spark: SparkSession, target: str, key: str = S.KEY, date_c
     return spark.read.parquet(path)
 
 
+def changes_path(target: str) -> str:
+    return f"{target.rstrip('/')}_changes"
+
+
+def record_changes(slices: DataFrame, target: str, loaded_at: dt.datetime, key: str = S.KEY) -> None:
+    """Append touched slices (``key``, year) to the feed of ``target``, filed
+    by the day of the load."""
+    at = F.lit(loaded_at).cast("timestamp")
+    slices.select(key, F.col(PARTITION_COL).cast("int").alias(PARTITION_COL)).distinct().withColumns(
+        {"loaded_at": at, "load_day": F.to_date(at)}).write.mode("append").partitionBy("load_day").parquet(changes_path(target))
+
+
+def changes_since(spark: SparkSession, target: str, since: dt.datetime, key: str = S.KEY) -> DataFrame | None:
+    """Slices touched by loads after ``since``; None for a table without a
+    feed. Only the files of the days from then on are read."""
+    if not exists(spark, changes_path(target)):
+        return None
+    at = F.lit(since).cast("timestamp")
+    feed = spark.read.parquet(changes_path(target))
+    return feed.where((F.col("load_day") >= F.to_date(at)) & (F.col("loaded_at") > at)).select(key, PARTITION_COL).distinct()
+
+
+def drop_partitions(spark: SparkSession, target: str, values: Sequence[int]) -> None:
+    """Remove whole partitions: a dynamic overwrite leaves those alone that
+    have no row in the new data."""
+    for v in values:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{PARTITION_COL}={v}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
                  mode: str = "new_dates", loaded_at: dt.datetime | None = None,
                  date_col: str = S.DATE, marks: DataFrame | None = None) -> int:
@@ -119,6 +155,7 @@ def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Seque
     number of batch rows that were applied.
     """
     key = keys[0]
+    loaded_at = loaded_at or dt.datetime.now()
     batch = batch.select(*[c for c in batch.columns if c != PARTITION_COL])
     stored = stored_watermarks(spark, target, key, date_col)
     if mode == "new_dates":
@@ -127,6 +164,8 @@ def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Seque
     per_year = batch.groupBy(F.year(date_col)).count().collect()  # one row per year
     if not per_year:
         return 0
+    # Before the rows: a load that fails in between is redone, and its slices are only looked at twice.
+    record_changes(with_partition(batch, date_col), target, loaded_at, key)
     touched = spark.read.parquet(target).where(F.col(PARTITION_COL).isin([r[0] for r in per_year])).drop(PARTITION_COL)
     merged = merge_rows(touched, batch, keys, mode="upsert", loaded_at=loaded_at)
     write_partitions(with_partition(merged, date_col), target, dynamic=True)
@@ -137,7 +176,14 @@ def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Seque
 
 def create_table(raw: DataFrame, target: str, date_col: str = S.DATE, key: str = S.KEY) -> None:
     """Initial load of a year-partitioned raw table and its watermarks, which
-    replace those of an earlier table at ``target``."""
+    replace those of an earlier table at ``target``. The feed gets all slices
+    of the table, and once more all that an earlier table had."""
+    spark = raw.sparkSession
     write_partitions(with_partition(raw, date_col), target)
-    loaded = raw.sparkSession.read.schema(raw.schema).parquet(target)
+    loaded = spark.read.schema(raw.schema).parquet(target)
     watermarks(loaded, key, date_col).write.mode("overwrite").parquet(marks_path(target))
+    slices = with_partition(loaded, date_col).select(key, PARTITION_COL)
+    if exists(spark, changes_path(target)):
+        slices = slices.unionByName(spark.read.parquet(changes_path(target)).select(key, PARTITION_COL))
+    at = loaded.agg(F.max("ingested_at")).first()[0] if "ingested_at" in raw.columns else None
+    record_changes(materialize(spark, slices.distinct(), "created-slices"), target, at or dt.datetime.now(), key)

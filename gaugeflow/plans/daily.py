@@ -4,7 +4,8 @@ ingest script, model build and export script with plain function calls.
 
 Warehouse layout under ``root`` (a shared folder)::
 
-    root/raw/year=YYYY/        raw daily table (upserted, year partitions)
+    root/raw/year=YYYY/        raw daily table (upserted, year partitions), raw_marks, raw_changes
+    root/history/              statistics per entity and year, value counts
     root/dim/run=<run_id>/     dimension, rebuilt every run
     root/fact/year=YYYY/       daily fact (incremental, touched years rewritten)
 """
@@ -18,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.operators import incremental, marts, quality, upsert
-from gaugeflow.session import exists
+from gaugeflow.operators import history, incremental, marts, quality, upsert
+from gaugeflow.session import exists, materialize
 from gaugeflow.sinks import export
 from gaugeflow.sources import landing
 
@@ -54,32 +55,43 @@ def build_marts(spark: SparkSession, root: str, catalog: DataFrame, run_date: dt
                 run_id: str, incremental_fact: bool = True,
                 min_date: str = S.MIN_VALID_DATE,
                 until: dt.datetime | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Dimension (rebuilt), fact (incremental or full), snapshot (lazy).
+    """Dimension, fact (both from changed slices, or in full), snapshot (lazy).
     Returns (raw, dim, fact, snapshot).
 
     ``until`` is the load time of the newest raw rows. It is recorded once the
-    fact holds them, and the next run redoes the slices of all rows loaded
-    after the last recorded time, corrections included; rows of a run that
-    failed before its fact are picked up too."""
-    raw = spark.read.parquet(f"{root}/raw").drop(upsert.PARTITION_COL)
+    fact holds them. The next run asks the raw table's change feed for the
+    slices touched since, corrections and rows that became invalid included;
+    loads of a run that failed before its fact are picked up too. The history
+    statistics and the fact are made anew for these slices alone."""
+    raw_path, fact_path, runs_path, history_path = (f"{root}/{x}" for x in ("raw", "fact", "fact_runs", "history"))
+    raw = spark.read.parquet(raw_path)
     staged = marts.stage_daily(raw, as_of=run_date, min_date=min_date)
+    touched = None
+    if incremental_fact and exists(spark, runs_path) and exists(spark, fact_path):
+        since, seen, bound = spark.read.parquet(runs_path).agg(
+            F.max("until"), F.max_by("as_of", "until"), F.max_by("min_date", "until")).first()
+        feed = upsert.changes_since(spark, raw_path, since)
+        # Another lower bound changes slices that no load has touched.
+        if feed is not None and bound == str(min_date):
+            slices = incremental.fact_slices(spark, fact_path)
+            touched = materialize(spark, incremental.touched_slices(staged, slices, feed, seen, run_date), "touched")
+    if touched is None:
+        history.write_history(staged, history_path)
+    else:
+        history.refresh_history(spark, staged, history_path, touched)
     dim_path = f"{root}/dim/run={run_id}"
-    marts.build_dim(catalog, staged).write.parquet(dim_path)
+    marts.dim_of(catalog, history.read_history(spark, history_path)).write.parquet(dim_path)
     dim = spark.read.parquet(dim_path)
-    fact_path, runs_path = f"{root}/fact", f"{root}/fact_runs"
-    if incremental_fact:
-        since = seen = None
-        if exists(spark, runs_path):
-            since, seen = spark.read.parquet(runs_path).agg(F.max("until"), F.max_by("as_of", "until")).first()
-        incremental.refresh_fact_table(spark, staged, fact_path, dim, since=since, seen_until=seen)
-    else:
+    if touched is None:
         incremental.write_fact_table(marts.build_fact(staged, dim), fact_path)
+    else:
+        incremental.refresh_fact_table(spark, staged, fact_path, dim, touched=touched)
     if until is not None:
-        spark.range(1).select(F.lit(until).cast("timestamp").alias("until"), F.lit(run_date).alias("as_of")).write.mode(
-            "append").parquet(runs_path)
+        spark.range(1).select(F.lit(until).cast("timestamp").alias("until"), F.lit(run_date).alias("as_of"),
+                              F.lit(str(min_date)).alias("min_date")).write.mode("append").parquet(runs_path)
     # Years rewritten after a column was added carry it; the others do not.
     fact = incremental.read_fact(spark, fact_path).drop(incremental.PARTITION_COL)
-    return raw, dim, fact, marts.build_snapshot(fact, dim)
+    return raw.drop(upsert.PARTITION_COL), dim, fact, marts.build_snapshot(fact, dim)
 
 
 def run_daily(spark: SparkSession, landing_dir: str, catalog: DataFrame, root: str, export_root: str,

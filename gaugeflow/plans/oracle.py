@@ -90,10 +90,10 @@ LEFT JOIN dim AS d ON d.dam_key = f.dam_key
 """
 
 
-def marts_ctes(upto: str) -> dict[str, str]:
+def marts_ctes(upto: str, raw: str = PROXY_RAW_SQL) -> dict[str, str]:
     """The chain of common table expressions, cut after ``upto``."""
     chain = [
-        ("raw", PROXY_RAW_SQL),
+        ("raw", raw),
         ("cat", PROXY_CATALOG_SQL),
         ("stg", STG_SQL),
         ("ranked", RANKED_SQL),
@@ -115,5 +115,5 @@ def marts_ctes(upto: str) -> dict[str, str]:
     return out
 
 
-def marts_sql(body: str, upto: str) -> str:
-    return with_ctes(body, **marts_ctes(upto))
+def marts_sql(body: str, upto: str, raw: str = PROXY_RAW_SQL) -> str:
+    return with_ctes(body, **marts_ctes(upto, raw))

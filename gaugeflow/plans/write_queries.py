@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from gaugeflow import schemas as S
 from gaugeflow.functions.expr import month_key
 from gaugeflow.operators import incremental, marts, upsert
+from gaugeflow.plans import daily
 from gaugeflow.plans import marts_plan as mp
 from gaugeflow.plans.fixtures import RENDER_EPOCH, RENDER_SPAN_DAYS, render_gauge_files
 from gaugeflow.plans.oracle import SNAPSHOT_SQL, marts_sql, with_ctes
 from gaugeflow.plans.marts_plan import ProxyMarts
-from gaugeflow.plans.proxy import PROXY_RAW_SQL
+from gaugeflow.plans.proxy import PROXY_AS_OF, PROXY_MIN_DATE, PROXY_RAW_SQL
 from gaugeflow.plans.registry import register
 from gaugeflow.session import materialize, scratch_path
 from gaugeflow.sinks import export
@@ -233,6 +234,51 @@ def q_capacity_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, m, marts.build_fact(m.staged, before))
 
 
+# Corrections that take rows out of the staged table: a third of the late rows
+# get -1, a third NULL, the others a new value; run dates before and after.
+_LEAVING_RAW_SQL = f"""
+SELECT * REPLACE (CASE WHEN vertedor_m3s <> 1.0 THEN volumen_alm_mm3
+                       WHEN dayofmonth(fecha) % 3 = 0 THEN -1.0
+                       WHEN dayofmonth(fecha) % 3 = 1 THEN NULL
+                       ELSE volumen_alm_mm3 + 1000 END AS volumen_alm_mm3)
+FROM ({PROXY_RAW_SQL})
+"""
+LEAVING_FIRST_RUN = dt.date(2001, 12, 31)
+
+
+def _after_corrections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(dim, fact) of two daily runs. Between them a load corrects rows of all
+    years, and adds rows of a year far ahead; the second run's date is earlier
+    than the first one's, so rows leave for that reason too."""
+    m = mp.ProxyMarts(spark, sf_dir)
+    root = scratch_path(spark, "warehouse")
+    loads = [dt.datetime(2001, 1, 1), LOADED_AT]
+    upsert.create_table(m.raw.withColumn("ingested_at", F.lit(loads[0]).cast("timestamp")), f"{root}/raw")
+    daily.build_marts(spark, root, m.catalog, LEAVING_FIRST_RUN, "first", min_date=PROXY_MIN_DATE, until=loads[0])
+    third = F.dayofmonth(S.DATE) % 3
+    fixes = m.raw.where(_late()).withColumn(S.VOLUME, F.when(third == 0, F.lit(-1.0)).when(third == 1, F.lit(None)).otherwise(
+        F.col(S.VOLUME) + 1000.0))
+    ahead = m.raw.where(_late() & (F.year(S.DATE) == 1998)).withColumn(S.DATE, F.add_months(S.DATE, 12 * 60))
+    upsert.upsert_table(spark, f"{root}/raw", fixes.unionByName(ahead), mode="upsert", loaded_at=loads[1])
+    _, dim, fact, _ = daily.build_marts(spark, root, m.catalog, dt.date.fromisoformat(PROXY_AS_OF), "second",
+                                        min_date=PROXY_MIN_DATE, until=loads[1])
+    return dim, fact
+
+
+@register("m3_rows_leaving_source", marts_sql("SELECT * FROM fct", "fct", _LEAVING_RAW_SQL))
+def q_rows_leaving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a correction or the run date made invalid are gone from the
+    refreshed fact, and the rows after them have the right previous value."""
+    return _after_corrections(spark, sf_dir)[1].select(*S.FACT_COLUMNS)
+
+
+@register("a1_a2_j3_stored_history", marts_sql("SELECT * FROM dim", "dim", _LEAVING_RAW_SQL))
+def q_stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension from stored partial aggregates, of which the second run
+    redid the touched slices, equals that of a full rebuild."""
+    return _after_corrections(spark, sf_dir)[0]
+
+
 @register("m5_evolve_written_table", marts_sql(
     """
     SELECT * REPLACE (CASE WHEN fecha < DATE '1999-01-01' THEN NULL ELSE pct_llenado_name END AS pct_llenado_name)

@@ -59,3 +59,57 @@ def test_daily_corrections_and_future_rows_reach_the_fact(spark):
     got = fact.select(*S.FACT_COLUMNS)
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     assert got.where(F.col(S.VOLUME) > 1000).count() > 0
+
+
+def test_rows_that_leave_the_source(spark):
+    """Corrections to -1 and NULL, rows dated ahead, a whole year that becomes
+    invalid and an earlier run date: fact and dimension equal a full rebuild."""
+    from gaugeflow.operators import upsert
+
+    cat = proxy_catalog(spark, SF_SMALL)
+    raw = proxy_raw(spark, SF_SMALL)
+    root = scratch_path(spark, "t-daily-leave")
+    t = [dt.datetime(2026, 1, d) for d in (1, 2, 3)]
+    upsert.create_table(raw.withColumn("ingested_at", F.lit(t[0])), f"{root}/raw")
+    daily.build_marts(spark, root, cat, dt.date(2001, 12, 31), "r1", until=t[0])
+    gone = F.when(F.year(S.DATE) == 1997, F.lit(-1.0)).when(F.dayofmonth(S.DATE) == 3, F.lit(None).cast("double"))
+    fix = raw.withColumn("bad", (F.year(S.DATE) == 1997) | (F.dayofmonth(S.DATE) == 3)).where("bad").drop("bad")
+    ahead = raw.where(F.year(S.DATE) == 1999).withColumn(S.DATE, F.add_months(S.DATE, 1200))
+    upsert.upsert_table(spark, f"{root}/raw", fix.withColumn(S.VOLUME, gone).unionByName(ahead), mode="upsert", loaded_at=t[1])
+
+    def equals_full(run_date, run_id, until):
+        raw2, dim, fact, _ = daily.build_marts(spark, root, cat, run_date, run_id, until=until)
+        staged = marts.stage_daily(raw2, as_of=run_date)
+        full_dim = marts.build_dim(cat, staged)
+        full = marts.build_fact(staged, full_dim)
+        for a, b in ((fact.select(*S.FACT_COLUMNS), full), (dim, full_dim)):
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        return fact
+
+    fact = equals_full(dt.date(2001, 3, 1), "r2", t[1])
+    assert fact.where(F.year(S.DATE) == 1997).count() == 0 and fact.count() > 0
+    fact = equals_full(dt.date(2120, 1, 1), "r3", t[2])
+    assert fact.where(F.year(S.DATE) == 2099).count() > 0
+
+
+def test_daily_run_reads_only_touched_years(spark):
+    """A load of one day: the years read for history and fact are its own."""
+    from gaugeflow.operators import incremental, upsert
+
+    raw = proxy_raw(spark, SF_SMALL)
+    root = scratch_path(spark, "t-daily-prune")
+    t = [dt.datetime(2026, 1, d) for d in (1, 2)]
+    upsert.create_table(raw.withColumn("ingested_at", F.lit(t[0])), f"{root}/raw")
+    day = raw.where(F.col(S.DATE) == raw.where(F.year(S.DATE) == 1998).agg(F.max(S.DATE)).first()[0])
+    upsert.upsert_table(spark, f"{root}/raw", day.withColumn(S.VOLUME, F.lit(7.0)), mode="upsert", loaded_at=t[1])
+    staged = marts.stage_daily(spark.read.parquet(f"{root}/raw"), as_of=dt.date(2001, 12, 31))
+    feed = upsert.changes_since(spark, f"{root}/raw", t[0])
+    assert feed.count() == day.select(S.KEY).distinct().count()
+    last = dt.date(2001, 12, 31)
+    touched = incremental.touched_slices(staged, feed, feed, last, last)
+    assert {r.year for r in touched.collect()} == {1998}
+    rows = incremental.rows_of_slices(staged, touched)
+    assert {r.year for r in rows.select("year").distinct().collect()} == {1998}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and S.VOLUME in line]
+    assert scans and all("year#" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
