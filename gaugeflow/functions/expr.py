@@ -67,9 +67,16 @@ def null_tokens(col: Column | str, tokens: list[str] | None = None) -> Column:
 
 def try_double(col: Column | str) -> Column:
     """Text -> double, anything unparseable -> NULL (P3, P9). Surrounding
-    whitespace is ignored."""
-    text = strip_ws(_c(col))
-    return F.when(F.rlike(text, F.lit(NUMBER)), text.try_cast("double"))
+    whitespace is ignored.
+
+    The cast alone decides almost every cell. It takes more than numbers
+    (suffixes, hexadecimal) only where one of their letters stands in the text;
+    those cells, and cells it refuses, are checked by the pattern."""
+    c = _c(col)
+    value = c.try_cast("double")
+    text = strip_ws(c)
+    odd = value.isNull() | F.rlike(c, F.lit("[dDfFxX]"))
+    return F.when(odd, F.when(F.rlike(text, F.lit(NUMBER)), text.try_cast("double"))).otherwise(value)
 
 
 def try_int(col: Column | str, strict: bool = False) -> Column:

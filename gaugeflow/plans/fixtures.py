@@ -122,7 +122,7 @@ def _cell(c: str) -> Column:
 
 def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = None,
                        cells_override: dict[str, Column] | None = None,
-                       extra_lines: Column | None = None) -> None:
+                       extra_lines: Column | None = None, separator: str = ",") -> None:
     """Write daily rows as gauge CSV text: per (entity, span) one file with 7
     metadata lines, the header line and the rows ordered by date. NULL
     measures become empty cells. Rows are hash-partitioned by (key, span):
@@ -150,14 +150,14 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
         F.col(S.KEY).alias("dam_key"),
         render_span().alias("span"),
         line_no.alias("line"),
-        F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells]).alias("value"),
+        F.concat_ws(separator, *[F.coalesce(c, F.lit("")) for c in cells]).alias("value"),
     )
     if extra_lines is not None:
         extra = raw.where(extra_lines.isNotNull()).select(
             F.col(S.KEY).alias("dam_key"), render_span().alias("span"),
             (line_no + 1).alias("line"), extra_lines.alias("value"))
         data = data.unionByName(extra)
-    meta_lines = [f"Metadato {i}" for i in range(1, S.GAUGE_METADATA_LINES + 1)] + [",".join(header)]
+    meta_lines = [f"Metadato {i}" for i in range(1, S.GAUGE_METADATA_LINES + 1)] + [separator.join(header)]
     heads = (
         data.select("dam_key", "span").distinct()
         .select("dam_key", "span", F.posexplode(F.array(*[F.lit(x) for x in meta_lines])).alias("pos", "value"))

@@ -229,3 +229,46 @@ def q_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     trimmed = landing.tail_lines(lines, heads, S.TAIL_ROWS)
     rows, _, _ = landing.load_lines(trimmed)
     return rows.select(S.KEY, S.DATE, *S.MEASURES)
+
+
+# Dialects by entity: separator, form of the date, text of the first cell. The
+# last one has a line break in a quoted cell on the first days of months.
+DIALECTS = [
+    (";", "yyyy-MM-dd", None),
+    ("\t", "dd/MM/yyyy", None),
+    (",", "MM/dd/yyyy", None),
+    ("|", "d.M.yyyy", None),
+    (",", "yyyy/M/d", '"{0}\nnota, con ""coma"""'),
+]
+
+
+def render_dialects(raw: DataFrame, root: str) -> list[str]:
+    paths = []
+    for i, (sep, form, cell) in enumerate(DIALECTS):
+        cells = {S.GAUGE_DATE_HEADER: F.date_format(S.DATE, form)}
+        if cell is not None:
+            noted = F.format_string(cell.replace("{0}", "%s"), F.col(S.KEY))
+            cells["Estacion"] = F.when(F.dayofmonth(S.DATE) == 1, noted).otherwise(F.col(S.KEY))
+        render_gauge_files(raw.where(_dialect() == i), f"{root}/dialect{i}", S.GAUGE_HEADER, cells, separator=sep)
+        paths.append(f"{root}/dialect{i}")
+    return paths
+
+
+def _dialect() -> Column:
+    return F.pmod(F.substring(S.KEY, 2, 9).cast("int"), F.lit(len(DIALECTS)))
+
+
+@register("s1_s2_s4_p10_dialects", with_ctes(
+    f"""
+    SELECT dam_key, {", ".join(S.MEASURES)},
+           CASE WHEN cast(substr(dam_key, 2) AS int) % {len(DIALECTS)} = 2 AND early
+                THEN make_date(year(fecha), dayofmonth(fecha), month(fecha)) ELSE fecha END AS fecha
+    FROM (SELECT *, max(dayofmonth(fecha)) OVER (PARTITION BY dam_key, {_SPAN_SQL}) <= 12 AS early FROM raw)
+    """, raw=PROXY_RAW_SQL))
+def q_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with other separators, orders of date parts and line breaks in
+    quoted cells load whole. A month-first file without a day after the 12th
+    is read day first, the choice for files that both orders fit."""
+    paths = render_dialects(ProxyMarts(spark, sf_dir).raw, scratch_path(spark, "landing"))
+    rows, _, _ = landing.load_lines(_lines(spark, paths))
+    return rows.select(S.KEY, S.DATE, *S.MEASURES)

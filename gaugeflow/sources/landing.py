@@ -1,7 +1,8 @@
 """Gauge-file scan and parse.
 
 A landing directory holds gauge CSV files: metadata lines, a header line and
-data lines, with columns in any order per file. Files are read line by line
+data lines, with columns in any order per file, a separator of its own (comma,
+semicolon, tab or bar) and its own order of day, month and year. Files are read line by line
 (``spark.read.text``), never as one row per file, so a large file is split
 over many tasks. The line order inside a file is
 ``(_metadata.file_block_start, monotonically_increasing_id())``: ids increase
@@ -13,12 +14,23 @@ Steps:
 2. ``file_heads``   per file: the header line (line ``metadata_lines + 1``);
                     a map-side-limited first-N lines of each file
 3. ``parse_lines``  data lines ⋈ heads (one row per file), split with a
-                    quote-aware pattern, cells looked up by header name
+                    quote-aware pattern at the separator that finds the most
+                    columns in the header, cells looked up by header name
                     (S2), NULL tokens (S3), ragged rows rejected (S4), measures
-                    ``try_cast`` to double (P9), dates in the usual forms (P10)
-4. ``status``       per file: rows, rejects, bad dates, reason (S5);
-                    rows of failed files are left out (one bad file never stops
-                    a run)
+                    ``try_cast`` to double (P9), each date read in every order
+                    it allows (P10)
+4. ``join_broken``  files with a line of an odd number of quotes: lines inside
+                    a quoted cell are put together and parsed once more (S4)
+5. ``status``       per file: the order of dates that fits all its lines, rows,
+                    rejects, bad dates, reason (S5); rows of failed files are
+                    left out (one bad file never stops a run)
+
+Choices where a file leaves some: equal numbers of columns found, the earlier
+separator of the list; dates that several orders fit, year first, then day
+first, then month first; no order fits all lines, the file has bad dates (those
+that its best order does not read). A quoted cell may run over
+``MAX_RECORD_LINES`` lines; a quote that does not begin its cell, that is not
+closed by then, or whose lines together do not fit the header, joins nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +38,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
@@ -36,12 +48,19 @@ from gaugeflow.session import materialize
 
 # Default: entity key = file stem of "<key>.csv".
 STEM_PATTERN = r"([^/]+)\.[cC][sS][vV]$"
-# One cell after its comma, in one pass: characters outside quotes, or quoted
-# runs in which commas do not count.
-CELL = r',((?:[^",]++|"[^"]*+(?:"|$))*+)'
+SEPARATORS = [",", ";", "\t", "|"]
+# One cell after its separator, in one pass: characters outside quotes, or
+# quoted runs in which separators do not count.
+CELL = r'{0}((?:[^"{0}]++|"[^"]*+(?:"|$))*+)'
 # A date, or the date part of a timestamp text.
-DATE_TEXT = (r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})"
-             r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?)?$")
+TIME_TEXT = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?)?$"
+YEAR_FIRST = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})" + TIME_TEXT
+YEAR_LAST = r"^(\d{1,2})([-/. ])(\d{1,2})\2(\d{4})" + TIME_TEXT
+# The orders of a date's parts, in the order in which they are preferred.
+DATE_ORDERS = ["_ymd", "_dmy", "_mdy"]
+MAX_RECORD_LINES = 100
+# A line that ends inside a cell which its first character quotes.
+OPEN_CELL = r'(?:^|[,;\t|])\s*"(?:[^"]|"")*$'
 
 # Optional header aliases (S6). Off by default: files with variant names then
 # fail with "missing columns", as upstream.
@@ -56,13 +75,14 @@ REASON_CHARS = 200  # of the reason text of a failed file
 
 @dataclass
 class Parsed:
-    """Parse result: accepted rows, rejected data lines, per-file status."""
+    """Parse result: parsed lines, rejected data lines, per-file status, date
+    orders and headers."""
 
-    rows: DataFrame
+    parsed: DataFrame
     rejects: DataFrame
     status: DataFrame
-    parsed: DataFrame | None = None
-    heads: DataFrame | None = None
+    orders: DataFrame
+    heads: DataFrame
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str], key_pattern: str = STEM_PATTERN,
@@ -152,95 +172,133 @@ def after_header() -> Column:
         (F.col("file_block_start") == F.col("header_block")) & (F.col("line_id") > F.col("header_id")))
 
 
-def split_cells(line: Column) -> Column:
-    """Quote-aware split, outer quotes removed, doubled quotes unescaped.
-    Lines without a quote take the plain split."""
+def _split_at(line: Column, sep: str) -> Column:
+    pattern = "\\|" if sep == "|" else sep
     quoted = F.transform(
-        F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CELL), F.lit(1)),
+        F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(CELL.format(pattern)), F.lit(1)),
         lambda c: F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"'),
     )
-    return F.when(F.instr(line, '"') > 0, quoted).otherwise(F.split(line, ",", -1))
+    return F.when(F.instr(line, '"') > 0, quoted).otherwise(F.split(line, pattern, -1))
+
+
+def split_cells(line: Column, separator: Column | None = None) -> Column:
+    """Quote-aware split at ``separator`` (one of ``SEPARATORS``; a comma
+    unless given), outer quotes removed, doubled quotes unescaped. Lines
+    without a quote take the plain split."""
+    if separator is None:
+        return _split_at(line, ",")
+    cells = _split_at(line, SEPARATORS[-1])
+    for sep in reversed(SEPARATORS[:-1]):
+        cells = F.when(separator == sep, _split_at(line, sep)).otherwise(cells)
+    return cells
+
+
+def _date_forms(cell: Column, formats: Sequence[str] = ()) -> list[Column]:
+    """The date of a cell in each of ``DATE_ORDERS``: numbers of one or two
+    digits, the year of four, the same mark between them (``-`` or ``/``, also
+    a dot or blank where the year is last), blanks around it and a time after
+    it allowed. ``formats`` are tried with the first order. Days that do not
+    exist are NULL."""
+    text = strip_ws(cell)
 
+    def form(pattern: str, parts: str) -> Column:
+        # One pass of the pattern: what it does not match stays as it is.
+        found = F.regexp_replace(text, pattern, "=" + parts)
+        return F.when(F.startswith(found, F.lit("=")), F.substring(found, 2, 10).try_cast("date"))
 
-def _lookup(cells: Column, header: Column, names: Sequence[str]) -> Column:
-    """Cell under the first header equal to one of ``names`` (NULL if absent)."""
-    picks = [F.get(cells, F.array_position(header, F.lit(n)) - 1) for n in names]
-    return picks[0] if len(picks) == 1 else F.coalesce(*picks)
+    plain = (F.length(cell) == 10) & (F.substring(cell, 5, 1) == "-") & (F.substring(cell, 8, 1) == "-")
+    ymd = F.when(plain, cell.try_cast("date")).otherwise(
+        F.coalesce(form(YEAR_FIRST, "$1-$3-$4"), *[F.try_to_date(text, f) for f in formats]))
+    return [ymd, F.when(~plain, form(YEAR_LAST, "$4-$3-$1")), F.when(~plain, form(YEAR_LAST, "$4-$1-$3"))]
 
 
-def _present(header: Column, names: Sequence[str]) -> Column:
-    return F.greatest(*[F.array_contains(header, F.lit(n)) for n in names]) if len(names) > 1 else \
-        F.array_contains(header, F.lit(names[0]))
+def _names(aliases: dict[str, list[str]] | None) -> dict[str, list[str]]:
+    """Accepted spellings of every column that is read."""
+    return {h: [h, *(aliases or {}).get(h, [])] for h in [S.GAUGE_DATE_HEADER, *S.GAUGE_MEASURE_HEADERS]}
 
 
-def _parse_date(cell: Column, formats: Sequence[str] = ()) -> Column:
-    """Year, month and day in this order, with ``-`` or ``/`` and one or two
-    digits, blanks around it and a time after it allowed; then ``formats``.
-    Days that do not exist are NULL."""
-    text = strip_ws(cell)
-    y, m, d = (F.regexp_extract(text, DATE_TEXT, i) for i in (1, 3, 4))
-    parsed = F.when(y != "", F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"))
-    return F.coalesce(parsed, *[F.try_to_date(text, f) for f in formats]) if formats else parsed
+def read_headers(heads: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
+    """Per file of :func:`file_heads`: the separator, the cleaned header cells
+    at it, the places of the columns, whether one is absent and which."""
+    names = _names(aliases)
+    cells = {sep: f"_cells{i}" for i, sep in enumerate(SEPARATORS)}
+    split = heads.withColumns({c: F.transform(_split_at(F.col("header_line"), sep), strip_ws) for sep, c in cells.items()})
+    spellings = F.array(*[F.array(*map(F.lit, n)) for n in names.values()])
+
+    def present(header: str) -> Column:
+        return F.filter(spellings, lambda n: F.arrays_overlap(n, F.col(header)))
 
+    found = split.withColumns({f"{c}_found": F.size(present(c)) for c in cells.values()})
+    most = F.greatest(*[f"{c}_found" for c in cells.values()])
 
-def _clean_header(line: Column) -> Column:
-    return F.transform(split_cells(line), strip_ws)
+    def best(values: dict[str, Column]) -> Column:
+        return F.coalesce(*[F.when(F.col(f"{cells[sep]}_found") == most, v) for sep, v in values.items()])
+
+    h = found.select("file", S.KEY, "header_block", "header_id", "header_line", best({s: F.lit(s) for s in SEPARATORS}).alias("_sep"),
+                     best({s: F.col(c) for s, c in cells.items()}).alias("_hdr"))
+    # Places of all accepted names, in their order; -1 for absent ones.
+    places = [(F.array_position("_hdr", F.lit(n)) - 1).cast("int") for spelled in names.values() for n in spelled]
+    absent = F.filter(spellings, lambda n: ~F.arrays_overlap(n, F.col("_hdr")))
+    return h.withColumns({"_places": F.array(*places), "_width": F.size("_hdr"),
+                          "_absent": F.array_join(F.transform(absent, lambda n: n[0]), ", ")}).withColumn(
+        "_missing", F.col("_absent") != "")
 
 
 def parse_lines(lines: DataFrame, heads: DataFrame | None = None, aliases: dict[str, list[str]] | None = None,
                 date_formats: Sequence[str] = (), metadata_lines: int = S.GAUGE_METADATA_LINES) -> Parsed:
     """Parse data lines into raw rows; see the module doc. ``aliases`` maps a
     canonical header to extra accepted names (S6)."""
-    if heads is None:
-        heads = file_heads(lines, metadata_lines)
-    aliases = aliases or {}
-    names = {h: [h, *aliases.get(h, [])] for h in [S.GAUGE_DATE_HEADER, *S.GAUGE_MEASURE_HEADERS]}
-
-    # Per file: cleaned header cells and whether a required column is absent.
-    hdr = _clean_header(F.col("header_line"))
-    h = heads.select("file", "header_block", "header_id", "header_line", hdr.alias("_hdr")).withColumn(
-        "_missing", ~F.array_min(F.array(*[_present(F.col("_hdr"), n) for n in names.values()]))).withColumn(
-        "_absent", F.array_join(F.array_compact(F.array(*[
-            F.when(~_present(F.col("_hdr"), n), F.lit(h0)) for h0, n in names.items()])), ", "))
-    usable = h.where(F.col("_hdr").isNotNull() & ~F.col("_missing")).select(
-        "file", "header_block", "header_id", "_hdr")
+    headers = read_headers(file_heads(lines, metadata_lines) if heads is None else heads, aliases)
+    return _finish(_cells_of(lines, headers, aliases, date_formats), headers)
+
+
+def _cells_of(lines: DataFrame, headers: DataFrame, aliases: dict[str, list[str]] | None, date_formats: Sequence[str]) -> DataFrame:
+    """Data lines with their cells read: measures, the date in every order."""
+    names = _names(aliases)
+    usable = headers.where(F.col("_hdr").isNotNull() & ~F.col("_missing")).select(
+        "file", "header_block", "header_id", "_sep", "_places", "_width")
     data = (
         lines.join(usable, "file", "inner")
         .where(after_header())
         .where(F.trim(F.col("value")) != "")
-        .withColumn("_cells", split_cells(F.col("value")))
+        .withColumn("_cells", split_cells(F.col("value"), F.col("_sep")))
     )
-    ragged = F.size("_cells") != F.size("_hdr")
-    date_cell = null_tokens(_lookup(F.col("_cells"), F.col("_hdr"), names[S.GAUGE_DATE_HEADER]))
-    measures = {
-        col: try_double(null_tokens(_lookup(F.col("_cells"), F.col("_hdr"), names[hname])))
-        for hname, col in S.GAUGE_MEASURE_HEADERS.items()
-    }
-    parsed = data.select(
-        "file", S.KEY, *ORDER_COLS, "value",
-        ragged.alias("_ragged"),
-        date_cell.alias("_date_cell"),
-        _parse_date(date_cell, date_formats).alias(S.DATE),
-        *[m.alias(c) for c, m in measures.items()],
+    # Cells first, each looked up once; then what is made of them.
+    cells, at = {}, 0
+    for h0, spelled in names.items():
+        picks = [F.get("_cells", F.get("_places", F.lit(at + i))) for i in range(len(spelled))]
+        cells[h0] = null_tokens(picks[0] if len(picks) == 1 else F.coalesce(*picks))
+        at += len(spelled)
+    columns = {h0: S.GAUGE_MEASURE_HEADERS.get(h0, "_date_cell") for h0 in names}
+    looked_up = data.select("file", S.KEY, *ORDER_COLS, "value", (F.size("_cells") != F.col("_width")).alias("_ragged"),
+                            *[c.alias(columns[h0]) for h0, c in cells.items()])
+    return looked_up.select(
+        "file", S.KEY, *ORDER_COLS, "value", "_ragged", "_date_cell",
+        *[d.alias(c) for c, d in zip(DATE_ORDERS, _date_forms(F.col("_date_cell"), date_formats))],
+        _odd_quotes().alias("_odd"),
+        *[try_double(c).alias(c) for c in S.GAUGE_MEASURE_HEADERS.values()],
     )
-    return _finish(parsed, heads, h)
 
 
-def _is_bad_date() -> Column:
-    return ~F.col("_ragged") & F.col("_date_cell").isNotNull() & F.col(S.DATE).isNull()
+def _finish(parsed: DataFrame, headers: DataFrame) -> Parsed:
+    """Status, rows and rejects from parsed lines (see :func:`parse_lines`)."""
+    dated = ~F.col("_ragged") & F.col("_date_cell").isNotNull()
+    place = F.struct(*ORDER_COLS)
 
+    def first_bad(order: str) -> Column:
+        bad = dated & F.col(order).isNull()
+        return F.min_by(F.when(bad, F.col("_date_cell")), F.when(bad, place))
 
-def _finish(parsed: DataFrame, heads: DataFrame, h: DataFrame) -> Parsed:
-    """Status, rows and rejects from parsed lines (see :func:`parse_lines`)."""
     counts = parsed.groupBy("file").agg(
-        F.count_if(~F.col("_ragged") & F.col(S.DATE).isNotNull()).alias("data_rows"),
+        F.count_if(dated).alias("_dated"),
+        F.array(*[F.count_if(dated & F.col(o).isNotNull()) for o in DATE_ORDERS]).alias("_fits"),
+        F.array(*[first_bad(o) for o in DATE_ORDERS]).alias("_bads"),
         F.count_if(F.col("_ragged")).alias("rejected_rows"),
-        F.count_if(_is_bad_date()).alias("bad_dates"),
-        F.min_by(F.when(_is_bad_date(), F.col("_date_cell")), F.when(_is_bad_date(), F.struct(*ORDER_COLS))).alias("_bad"),
-        F.min_by(F.when(F.col("_ragged"), F.col("value")), F.when(F.col("_ragged"), F.struct(*ORDER_COLS))).alias("_cut"),
-    )
-    status = heads.select("file", S.KEY).join(h.select("file", "header_line", "_missing", "_absent"), "file", "left") \
-        .join(counts, "file", "left").select(
+        F.min_by(F.when(F.col("_ragged"), F.col("value")), F.when(F.col("_ragged"), place)).alias("_cut"),
+    ).withColumn("_order", F.array_position("_fits", F.array_max("_fits"))).withColumns({
+        "data_rows": F.element_at("_fits", F.col("_order").cast("int")),
+        "_bad": F.element_at("_bads", F.col("_order").cast("int"))}).withColumn("bad_dates", F.col("_dated") - F.col("data_rows"))
+    status = headers.select("file", S.KEY, "header_line", "_missing", "_absent").join(counts, "file", "left").select(
             "file", S.KEY,
             F.when(F.col("header_line").isNull(), F.lit("no_header"))
             .when(F.col("_missing"), F.lit("missing_columns"))
@@ -250,26 +308,66 @@ def _finish(parsed: DataFrame, heads: DataFrame, h: DataFrame) -> Parsed:
             F.coalesce("data_rows", F.lit(0)).alias("data_rows"),
             F.coalesce("rejected_rows", F.lit(0)).alias("rejected_rows"),
             F.coalesce("bad_dates", F.lit(0)).alias("bad_dates"),
-            "_absent", "_bad", "_cut",
+            "_absent", "_bad", "_cut", F.element_at(F.array(*map(F.lit, DATE_ORDERS)), F.col("_order").cast("int")).alias("_order"),
         )
     status = status.withColumn("reason", F.left(
         F.when(F.col("status") == "no_header", F.lit("no header line"))
         .when(F.col("status") == "missing_columns", F.concat(F.lit("missing columns: "), F.col("_absent")))
         .when(F.col("status") == "bad_dates", F.concat(F.lit("bad date: "), F.col("_bad")))
         .when(F.col("status") == "all_rejected", F.concat(F.lit("no line fits the header, first: "), F.col("_cut"))),
-        F.lit(REASON_CHARS))).drop("_absent", "_bad", "_cut")
-    rows = parsed.where(~F.col("_ragged") & F.col(S.DATE).isNotNull()).select(
-        S.KEY, S.DATE, *S.MEASURES, "file", *ORDER_COLS)
+        F.lit(REASON_CHARS)))
     rejects = parsed.where(F.col("_ragged")).select("file", S.KEY, *ORDER_COLS, "value")
-    return Parsed(rows=rows, rejects=rejects, status=status, parsed=parsed, heads=h)
-
-
-def accepted_rows(parsed: Parsed, status: DataFrame | None = None) -> DataFrame:
-    """Rows of files whose status is ok (a bad file is dropped whole, S5).
-    ``status`` has one row per file."""
-    st = parsed.status if status is None else status
-    bad = st.where(F.col("status") != "ok").select("file")
-    return parsed.rows.join(bad, "file", "left_anti")
+    return Parsed(status=status.drop("_absent", "_bad", "_cut", "_order"), rejects=rejects, parsed=parsed, heads=headers,
+                  orders=status.select("file", "status", "_order"))
+
+
+def accepted_rows(parsed: Parsed, orders: DataFrame | None = None) -> DataFrame:
+    """Rows of files whose status is ok (a bad file is dropped whole, S5), with
+    the date in their file's order. ``orders`` has one row per file."""
+    good = (parsed.orders if orders is None else orders).where(F.col("status") == "ok").select("file", "_order")
+    date = F.coalesce(*[F.when(F.col("_order") == o, F.col(o)) for o in DATE_ORDERS])
+    return parsed.parsed.where(~F.col("_ragged")).join(good, "file").withColumn(S.DATE, date).where(
+        F.col(S.DATE).isNotNull()).select(S.KEY, S.DATE, *S.MEASURES, "file", *ORDER_COLS)
+
+
+def _odd_quotes() -> Column:
+    """Whether a line has an odd number of quotes."""
+    value = F.col("value")
+    return (F.instr(value, '"') > 0) & ((F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1)
+
+
+def join_broken(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """Lines with those put together that one quoted cell holds (S4). A line
+    starts inside a quoted cell if the number of quotes before it, counted in
+    its block and over the file's blocks before, is odd. ``headers`` has the
+    separator and header cells per file."""
+    data = lines.join(headers.select("file", "header_block", "header_id", "_sep", "_hdr"), "file").where(after_header()) \
+        .withColumn("_odd", _odd_quotes().cast("int"))
+    block, place = ["file", "file_block_start"], F.struct(*ORDER_COLS)
+    # One row per block: what the blocks before it hand on.
+    ends = data.groupBy(*block).agg(F.sum("_odd").alias("_n"))
+    ends = ends.select(*block, (F.sum("_n").over(Window.partitionBy("file").orderBy("file_block_start")) - F.col("_n")).alias("_before"))
+    inside = Window.partitionBy(*block).orderBy("line_id")
+    opened = data.join(ends, block).withColumn(
+        "_starts", (F.col("_before") + F.sum("_odd").over(inside) - F.col("_odd")) % 2 == 0)
+    last = opened.groupBy(*block).agg(F.max(F.when(F.col("_starts"), place)).alias("_l"))
+    handed = last.select(*block, F.max("_l").over(
+        Window.partitionBy("file").orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)).alias("_handed"))
+    marked = opened.join(handed, block).withColumn(
+        "_record", F.coalesce(F.max(F.when(F.col("_starts"), place)).over(inside), "_handed"))
+    sizes = marked.groupBy("file", "_record").agg(F.count(F.lit(1)).alias("_lines"), F.sum("_odd").alias("_quotes"))
+    several = sizes.where(F.col("_lines").between(2, MAX_RECORD_LINES) & (F.col("_quotes") % 2 == 0)).select("file", "_record")
+    whole = marked.join(several, ["file", "_record"]).groupBy("file", S.KEY, "_record", "_sep", "_hdr").agg(
+        F.array_sort(F.collect_list(F.struct(*ORDER_COLS, "value"))).alias("_parts")).select(
+        "file", S.KEY, "_record", F.array_join("_parts.value", "\n").alias("value"), "_sep", "_hdr")
+    first = F.substring_index("value", "\n", 1)
+    # What does not begin a quoted cell, or does not fit the header, stays apart.
+    whole = whole.where(F.rlike(first, F.lit(OPEN_CELL)) & (F.size(split_cells(F.col("value"), F.col("_sep"))) == F.size("_hdr"))).select(
+        "file", S.KEY, "_record", "value")
+    whole = materialize(lines.sparkSession, whole, "joined-lines")
+    single = marked.join(whole.select("file", "_record"), ["file", "_record"], "left_anti")
+    return single.select("file", S.KEY, *ORDER_COLS, "value").unionByName(
+        whole.select("file", S.KEY, *[F.col(f"_record.{c}").alias(c) for c in ORDER_COLS], "value"))
 
 
 def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: str = "file") -> DataFrame:
@@ -298,10 +396,19 @@ def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,
     read from that table (which also cuts the lineage back to the text).
     ``files`` (see :func:`scan_files`) adds empty files to the status."""
     spark = lines.sparkSession
-    heads = materialize(spark, file_heads(lines, metadata_lines), "heads")
-    p = parse_lines(lines, heads, aliases, date_formats, metadata_lines)
+    headers = read_headers(file_heads(lines, metadata_lines), aliases)
+    if stage:
+        headers = materialize(spark, headers, "heads")
+    parsed = _cells_of(lines, headers, aliases, date_formats)
     if stage:
-        p = _finish(materialize(spark, p.parsed, "parsed-lines"), heads, p.heads)
-    status = p.status if files is None else with_empty_files(p.status, files)
-    status = materialize(spark, status, "file-status")
-    return accepted_rows(p, status), p.rejects, status
+        parsed = materialize(spark, parsed, "parsed-lines")
+        broken = materialize(spark, parsed.where("_odd").select("file").distinct(), "broken-files")
+        if not broken.isEmpty():
+            whole = join_broken(lines.join(broken, "file", "left_semi"), headers)
+            again = materialize(spark, _cells_of(whole, headers, aliases, date_formats), "parsed-again")
+            parsed = parsed.join(broken, "file", "left_anti").unionByName(again)
+    p = _finish(parsed, headers)
+    made = materialize(spark, p.status.join(p.orders.select("file", "_order"), "file"), "file-status")
+    status = made.drop("_order")
+    status = status if files is None else with_empty_files(status, files)
+    return accepted_rows(p, made), p.rejects, status

@@ -187,10 +187,11 @@ def test_empty_file_reported(spark, tmpdir_path):
 
 def test_date_forms(spark, tmpdir_path):
     d = tmpdir_path
-    forms = ["2024/01/05", "2024-1-5", " 2024-01-05", "2024-01-05 00:00:00", "2024-01-05T10:00:00Z", "2024/1/5 ", "2024-01-05 10:00"]
+    forms = ["2024/01/05", "2024-1-5", " 2024-01-05", "2024-01-05 00:00:00", "2024-01-05T10:00:00Z", "2024/1/5 ", "2024-01-05 10:00",
+             "05/01/2024", "5.1.2024", "05-01-2024 10:00:00"]
     for i, f in enumerate(forms):
         write_file(f"{d}/P{i:02}.csv", gauge([row("P", f)]))
-    for i, f in enumerate(["2024-13-01", "2024-02-30", "05/01/2024", "2024-01/05", "2024-01-05x", "20240105"]):
+    for i, f in enumerate(["2024-13-01", "2024-02-30", "05/13/24", "2024-01/05", "2024-01-05x", "20240105"]):
         write_file(f"{d}/Q{i:02}.csv", gauge([row("Q", f)]))
     rows, _, status = load(spark, d)
     assert {r.dam_key: str(r.fecha) for r in rows.collect()} == {f"P{i:02}": "2024-01-05" for i in range(len(forms))}
@@ -234,3 +235,63 @@ def test_tail_trim_is_per_file(spark, tmpdir_path):
     lines = landing.scan_lines(spark, d, key_pattern=r"dam_key=([^/]+)/", recursive=True)
     rows, _, _ = landing.load_lines(landing.tail_lines(lines, landing.file_heads(lines), 1))
     assert sorted(str(r.fecha) for r in rows.collect()) == ["2012-01-02", "2013-01-02"]
+
+
+def test_separators_and_date_orders(spark, tmpdir_path):
+    """One choice per file: the separator that finds the columns, the order of
+    date parts that fits all lines (year, then day, then month first)."""
+    d = tmpdir_path
+    days = ["2020-01-05", "2020-02-03", "2020-02-28"]
+
+    def body(form, sep, dates=days):
+        return [row("X", form.format(*x.split("-")), vol="6.5").replace(",", sep) for x in dates]
+
+    cases = {"semi": ("{0}-{1}-{2}", ";"), "tab": ("{2}/{1}/{0}", "\t"), "bar": ("{0}/{1}/{2}", "|"),
+             "dmy": ("{2}-{1}-{0}", ","), "mdy": ("{1}/{2}/{0}", ","), "dot": ("{2}.{1}.{0} 10:00:00", ";")}
+    for name, (form, sep) in cases.items():
+        write_file(f"{d}/{name}.csv", gauge(body(form, sep), CANON.replace(",", sep)))
+    write_file(f"{d}/both.csv", gauge(body("{1}/{2}/{0}", ",", ["2020-01-05", "2020-02-03"])))
+    write_file(f"{d}/mixed.csv", gauge(body("{2}/{1}/{0}", ",") + body("{1}/{2}/{0}", ",")))
+    write_file(f"{d}/ragged.csv", gauge([*body("{0}-{1}-{2}", ";"), "X;1;2"], CANON.replace(",", ";")))
+    write_file(f"{d}/none.csv", gauge(body("{0}-{1}-{2}", ":"), CANON.replace(",", ":")))
+    rows, rejects, status = load(spark, d)
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r.dam_key, []).append(str(r.fecha))
+        assert r.volumen_alm_mm3 == 6.5 and r.precipitacion_mm is not None
+    assert {k: sorted(v) for k, v in got.items()} == {
+        **{name: days for name in (*cases, "ragged")}, "both": ["2020-03-02", "2020-05-01"]}
+    assert status["mixed"].status == "bad_dates" and status["mixed"].reason == "bad date: 02/28/2020"
+    assert (status["mixed"].data_rows, status["mixed"].bad_dates) == (5, 1)
+    assert status["none"].status == "missing_columns"
+    assert [(r.dam_key, r.value) for r in rejects.collect()] == [("ragged", "X;1;2")]
+
+
+def test_line_breaks_in_quoted_cells(spark, tmpdir_path):
+    """A quoted cell over several lines, also over the edge of a block; quotes
+    that are never closed, or close nothing, are plain characters."""
+    d = tmpdir_path
+    normal = [row("L", f"{1900 + i // 12:04d}-{1 + i % 12:02d}-01", vol=str(i)) for i in range(600)]
+    broken = [f'"L{"x" * 40}\n{"y" * 40}, ""z""\n\nend",' + r.split(",", 1)[1] if i % 3 == 0 else r for i, r in enumerate(normal)]
+    write_file(f"{d}/L01.csv", gauge(broken))
+    write_file(f"{d}/L02.csv", gauge(normal))
+    stray = list(normal[:300])
+    stray[10] = stray[10].replace("L,", 'L",', 1)
+    write_file(f"{d}/L03.csv", gauge(stray))
+    stray[40] = stray[40].replace("L,", 'L",', 1)
+    write_file(f"{d}/L04.csv", gauge(stray))
+    stray[250] = '"' + stray[250]
+    write_file(f"{d}/L05.csv", gauge(stray))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        lines = landing.scan_lines(spark, d)
+        rows, rejects, status = landing.load_lines(lines)
+        got = {}
+        for r in rows.collect():
+            got.setdefault(r.dam_key, []).append(r.volumen_alm_mm3)
+        for name, n, cut in (("L01", 600, []), ("L02", 600, []), ("L03", 300, [10]), ("L04", 300, [10, 40]), ("L05", 300, [10, 40, 250])):
+            assert sorted(got[name]) == [float(i) for i in range(n) if i not in cut], name
+        assert {r.status for r in status.collect()} == {"ok"} and rejects.count() == 6
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
