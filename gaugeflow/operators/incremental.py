@@ -39,9 +39,13 @@ SLICE = [S.KEY, PARTITION_COL]
 
 
 def slices_of(fact: DataFrame) -> DataFrame:
-    """One row per key and year of a fact."""
+    """One row per key and year of a fact. ``digest`` is that of its rows,
+    in any order."""
+    columns = [c for c in S.FACT_COLUMNS if c in fact.columns]
+    # The hash passes over nulls, so their places are hashed too.
+    nulls = sum((F.col(c).isNull().cast("int") * (1 << i) for i, c in enumerate(columns)), F.lit(0))
     return fact.groupBy(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).agg(
-        F.max(S.DATE).alias("last_date"), F.max_by(S.VOLUME, S.DATE).alias("last_volume"),
+        F.sum(F.xxhash64(*columns, nulls).cast("decimal(38,0)")).alias("digest"), F.max(S.DATE).alias("last_date"), F.max_by(S.VOLUME, S.DATE).alias("last_volume"),
         # One dimension row made all rows of a slice.
         *[F.max(c).alias(c) for c in DIM_COLS])
 
@@ -175,8 +179,8 @@ def write_fact_table(fact: DataFrame, path: str) -> None:
 
 def fact_slices(spark: SparkSession, path: str) -> DataFrame:
     """The table of slices next to the fact at ``path``; made where missing."""
-    if not exists(spark, slices_path(path)):
-        slices_of(read_fact(spark, path).drop(PARTITION_COL)).write.parquet(slices_path(path))
+    if not exists(spark, slices_path(path)) or "digest" not in spark.read.parquet(slices_path(path)).columns:
+        slices_of(read_fact(spark, path).drop(PARTITION_COL)).write.mode("overwrite").parquet(slices_path(path))
     return spark.read.parquet(slices_path(path))
 
 

@@ -104,5 +104,6 @@ def run_daily(spark: SparkSession, landing_dir: str, catalog: DataFrame, root: s
     status = ingest(spark, landing_dir, root, loaded_at=loaded_at, **ingest_kw)
     raw, dim, fact, snapshot = build_marts(spark, root, catalog, run_date, run_id, until=loaded_at)
     dq = quality.run_suite(quality.default_suite(catalog, raw, dim, fact, snapshot))
-    run_dir, manifest = export.export_all(spark, dim, fact, snapshot, export_root, run_date, force_archive)
+    run_dir, manifest = export.export_all(spark, dim, fact, snapshot, export_root, run_date, force_archive,
+                                          slices=incremental.fact_slices(spark, f"{root}/fact"))
     return RunResult(status, dq, run_dir, manifest)

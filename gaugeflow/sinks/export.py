@@ -5,13 +5,22 @@ Layout of one publish (``root`` is a shared folder)::
     root/runs/<run_id>/current/dim/part-*.parquet
     root/runs/<run_id>/current/snapshot/part-*.parquet
     root/runs/<run_id>/current/fct_by_state/state_part=<label>/part-*.parquet
+    root/runs/<run_id>/current/fct_without_rows/part-*.parquet   (the file of states without rows)
     root/archive/month=<yyyy-MM>/part-*.parquet        (day 1 of a month, or forced)
     root/runs/<run_id>/manifest/part-*.txt               (one JSON line)
     root/runs/<run_id>/files/part-*.txt                  (one JSON line per file)
+    root/manifest.json                                   (the manifest of the current run)
 
 Every run writes into its own new directory, so a publish never deletes
-files a reader may be using and never leaves orphans next to new files (K3):
-the manifest of the run lists exactly its files.
+files a reader may be using and never leaves orphans next to new files (K3).
+Its manifest lists the files of every data set by path. The last step renames
+that manifest onto ``root/manifest.json``: readers find the current run there
+without listing anything, and a publish that fails leaves the old one in place.
+
+A state whose rows did not change since the current manifest is not written
+again: its entry, files of an earlier run included, goes over to the new
+manifest. Whether it changed is told by a digest of its rows, combined from
+those of its slices, which the fact keeps (see ``incremental.slices_of``).
 """
 
 from __future__ import annotations
@@ -19,13 +28,20 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.functions.expr import safe_label
+from gaugeflow.operators.incremental import slices_of
+from gaugeflow.session import materialize
 
 STATE_PART = "state_part"
+MANIFEST = "manifest.json"
+# Spark's name for the directory of an empty partition value.
+DEFAULT_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+ENTRY = ("struct<files:long,size_bytes:long,hash:string,state:string,digest:string,"
+         "paths:array<struct<path:string,size_bytes:long,hash:string>>>")
 # Bound on the bytes of an output file before compression: the content hash
 # reads a file as one binaryFile row.
 MAX_FILE_BYTES = 256 * 1024 * 1024
@@ -150,28 +166,36 @@ def file_inventory(spark: SparkSession, path: str, base: str | None = None) -> D
         .option("pathGlobFilter", "*.parquet")
         .load(path)
     )
-    base_re = "^.*?" + base.split(":", 1)[-1].replace(".", r"\.") + "/"
+    # The path after the base, whatever scheme or host stands before it.
+    folder = F.lit("/" + base.split(":", 1)[-1].strip("/") + "/")
     return files.select(
-        F.regexp_replace("path", base_re, "").alias("relpath"),
+        F.substr(F.col("path"), F.instr("path", folder) + F.length(folder)).alias("relpath"),
         F.col("length").alias("size_bytes"),
         F.substring(F.sha2(F.col("content"), 256), 1, 16).alias("hash"),
     )
 
 
+def directory_label(relpath: Column) -> Column:
+    """The label in a state directory's name. Spark escapes characters as %XX
+    there and gives the empty label its default name; a plus is a plus."""
+    name = F.regexp_extract(relpath, STATE_PART + r"=([^/]+)/", 1)
+    label = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name == "", None).when(name == DEFAULT_DIRECTORY, "").otherwise(label)
+
+
 def with_state(files: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Adds ``state``: the state itself, looked up by the directory's label."""
-    label = F.regexp_extract("relpath", STATE_PART + r"=([^/]+)/", 1)
     if labels is None:
         return files.withColumn("state", F.lit(None).cast("string"))
     names = labels.select("state", F.col("label").alias("_label"))
-    return files.join(names, F.url_decode(label) == names["_label"], "left").drop("_label")
+    return files.join(names, directory_label(F.col("relpath")) == names["_label"], "left").drop("_label")
 
 
-def dataset_summary(inventory: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def dataset_summary(inventory: DataFrame, labels: DataFrame | None = None, prefix: str = "") -> DataFrame:
     """One row per output directory (dim, snapshot, one per state, an archive
-    month): file count, bytes, and a content hash that does not depend on
-    file order or part-file names. The hash combines the per-file SHA-256
-    prefixes with a sum (a partial aggregate; no list of files is built)."""
+    month): its files with their paths below ``prefix``, their number and
+    bytes, and a content hash that does not depend on file order or part-file
+    names. The files of a directory are one per ``MAX_FILE_BYTES``."""
     d = with_state(inventory, labels).withColumn("dataset", F.regexp_replace("relpath", "/[^/]*$", ""))
     h = F.sum(F.xxhash64("hash").cast("decimal(38,0)"))
     return d.groupBy("dataset").agg(
@@ -179,9 +203,60 @@ def dataset_summary(inventory: DataFrame, labels: DataFrame | None = None) -> Da
         F.sum("size_bytes").alias("size_bytes"),
         F.substring(F.sha2(h.cast("string"), 256), 1, 16).alias("hash"),
         F.max("state").alias("state"),
+        F.array_sort(F.collect_list(F.struct(F.concat(F.lit(prefix), "relpath").alias("path"), "size_bytes", "hash"))).alias("paths"),
     )
 
 
+def state_digests(slices: DataFrame) -> DataFrame:
+    """(state, digest) of the rows of each non-NULL state, from the fact's
+    slices (see ``incremental.slices_of``)."""
+    part = F.xxhash64(S.KEY, "year", F.col("digest").cast("string")).cast("decimal(38,0)")
+    return slices.where(F.col("state").isNotNull()).groupBy("state").agg(
+        F.substring(F.sha2(F.sum(part).cast("string"), 256), 1, 16).alias("digest"))
+
+
+def read_manifest(spark: SparkSession, root: str) -> DataFrame | None:
+    """The current manifest's data sets, a row each (``dataset`` and the fields
+    of its entry); None before the first publish."""
+    path = f"{root.rstrip('/')}/{MANIFEST}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.from_json("value", f"current map<string,{ENTRY}>").alias("d")).select(
+        F.explode("d.current").alias("dataset", "e")).select("dataset", "e.*")
+
+
+def point_to(spark: SparkSession, root: str, manifest_text: str) -> None:
+    """Make ``manifest_text`` the current manifest: written under another name
+    first, then renamed over the old one in one step."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    fs = jvm.org.apache.hadoop.fs
+    target = fs.Path(f"{root.rstrip('/')}/{MANIFEST}")
+    fresh = fs.Path(f"{root.rstrip('/')}/.{MANIFEST}.{uuid.uuid4().hex}")
+    out = fresh.getFileSystem(spark._jsc.hadoopConfiguration()).create(fresh, True)
+    try:
+        out.write(bytearray(manifest_text.encode()))
+    finally:
+        out.close()
+    options = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = fs.FileContext.getFileContext(target.makeQualified(
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), fs.Path("/")).toUri(), spark._jsc.hadoopConfiguration())
+    files.rename(fresh, target, options)
+
+
+def read_published(spark: SparkSession, root: str, dataset: str | None = None) -> DataFrame:
+    """Rows of a data set of the current run (the fact of all states unless one
+    is named), from the files that the manifest lists."""
+    entries = read_manifest(spark, root)
+    if entries is None:
+        raise ValueError(f"nothing is published under {root}")
+    wanted = F.col("dataset") == dataset if dataset else F.col("dataset").startswith("fct_")
+    paths = [r[0] for r in entries.where(wanted).select(F.explode("paths.path")).collect()]  # one per file
+    return spark.read.parquet(*[f"{root.rstrip('/')}/{p}" for p in paths])
+
+
 def manifest(
     inventory: DataFrame,
     stats: DataFrame,
@@ -189,21 +264,32 @@ def manifest(
     archive: DataFrame | None = None,
     empty_states: DataFrame | None = None,
     labels: DataFrame | None = None,
+    digests: DataFrame | None = None,
+    kept: DataFrame | None = None,
+    prefix: str = "",
 ) -> DataFrame:
     """Manifest as one JSON text row (K6): schema version, generation time,
-    date range, entity count, ``current`` map of output directories (files,
-    bytes, content hash, state), latest archive entry, states without rows,
-    total bytes.
+    date range, entity count, ``current`` map of data sets (bytes, content
+    hash, state, digest of the state's rows, and each file's path, size and
+    hash), latest archive entry, states without rows, total bytes.
 
-    Entries are per directory, not per part file, so the single row is
-    bounded by the number of states; the entries per file are rows of their
-    own, see :func:`file_entries`.
+    ``kept`` are entries of an earlier manifest that stay as they are. The row
+    has one path per file of at most ``MAX_FILE_BYTES`` before compression:
+    about 60 MB for 100 TB of output.
     """
-    ds = dataset_summary(inventory, labels)
+    ds = dataset_summary(inventory, labels, prefix)
+    if digests is not None:
+        ds = ds.join(digests, "state", "left")
+    else:
+        ds = ds.withColumn("digest", F.lit(None).cast("string"))
+    fields = ["files", "size_bytes", "hash", "state", "digest", "paths"]
+    ds = ds.select("dataset", *fields)
+    if kept is not None:
+        ds = ds.unionByName(kept.select("dataset", *fields))
     entries = ds.select(
         F.struct(
             F.col("dataset").alias("key"),
-            F.struct("files", "size_bytes", "hash", "state").alias("value"),
+            F.struct(*fields).alias("value"),
         ).alias("e"),
         "size_bytes",
     )
@@ -283,28 +369,41 @@ def export_all(
     run_date: dt.date,
     force_archive: bool = False,
     generated_at: dt.datetime | None = None,
+    slices: DataFrame | None = None,
 ) -> tuple[str, DataFrame]:
-    """Write dim, snapshot, fact by state, the archive when due, and the
-    manifest into a new run directory. Returns (run directory, manifest df)."""
+    """Write dim, snapshot, the fact of changed states, the archive when due,
+    and the manifest into a new run directory, then point to it. ``slices`` are
+    the fact's (made from it where not given). Returns (run directory, manifest
+    df)."""
     root = root.rstrip("/")
-    run_dir = f"{root}/runs/{new_run_id(run_date)}"
+    run_id = new_run_id(run_date)
+    run_dir = f"{root}/runs/{run_id}"
     current = f"{run_dir}/current"
     labels = state_labels(dim)
     clashes = labels.where("label_collision").select("state", "label").collect()
     if clashes:
         raise ValueError(f"state labels collide: {[(r.state, r.label) for r in clashes]}")
+    digests = materialize(spark, state_digests(slices_of(fact) if slices is None else slices), "state-digests")
+    before = read_manifest(spark, root)
+    kept = None
+    if before is not None:
+        kept = materialize(spark, before.join(digests, ["state", "digest"], "left_semi"), "kept-entries")
     write_parquet(dim, f"{current}/dim")
     write_parquet(snapshot, f"{current}/snapshot")
-    write_fact_by_state(fact, f"{current}/fct_by_state")
+    write_parquet(fact.limit(0), f"{current}/fct_without_rows")
+    same = [] if kept is None else [r[0] for r in kept.select("state").collect()]  # one per state
+    write_fact_by_state(fact.where(~F.col("state").isin(same)) if same else fact, f"{current}/fct_by_state")
     month = write_archive(snapshot, root, run_date, force_archive)
     inv = file_inventory(spark, current)
     arch = None
     if month is not None:
         arch = file_inventory(spark, f"{root}/archive/month={month}", base=root)
-    written = read_fact_by_state(spark, f"{current}/fct_by_state").select("state").distinct()
-    empty = labels.select("state").join(written, "state", "left_anti")
+    empty = labels.select("state").join(digests, "state", "left_anti")
     stats = global_stats(fact, snapshot)
     file_entries(inv, labels).withColumnRenamed("entry", "value").write.mode("overwrite").text(f"{run_dir}/files")
-    m = manifest(inv, stats, generated_at or dt.datetime.now(dt.timezone.utc), arch, empty, labels)
+    m = manifest(inv, stats, generated_at or dt.datetime.now(dt.timezone.utc), arch, empty, labels, digests, kept,
+                 f"runs/{run_id}/current/")
     m.write.mode("overwrite").text(f"{run_dir}/manifest")
-    return run_dir, spark.read.text(f"{run_dir}/manifest").withColumnRenamed("value", "manifest")
+    written = spark.read.text(f"{run_dir}/manifest").withColumnRenamed("value", "manifest")
+    point_to(spark, root, written.first().manifest)
+    return run_dir, written

@@ -132,6 +132,12 @@ def with_empty_files(status: DataFrame, files: DataFrame) -> DataFrame:
     return status.unionByName(empty)
 
 
+def without_files(files: DataFrame, known: DataFrame) -> DataFrame:
+    """Files of the list that ``known`` (a frame with their paths) lacks."""
+    seen = known.select(_norm_path(F.col("file")).alias("_seen")).distinct()
+    return files.join(seen, F.col("file") == F.col("_seen"), "left_anti")
+
+
 def lines_from_text(df: DataFrame, key_pattern: str = STEM_PATTERN) -> DataFrame:
     """Add file, key and line order to a ``text`` DataFrame (batch or stream)."""
     return df.select(

@@ -7,11 +7,12 @@ import os
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.operators import incremental, upsert
+from gaugeflow.operators import incremental, marts, upsert
 from gaugeflow.plans.fixtures import render_gauge_files
 from gaugeflow.plans.marts_plan import ProxyMarts
 from gaugeflow.session import scratch_path
 from gaugeflow.sinks import export
+from gaugeflow.sources import landing
 from gaugeflow.streaming import ingest
 from tests.conftest import SF_SMALL
 
@@ -194,6 +195,55 @@ def test_export_manifest_and_sorted_files(spark):
     assert export.write_archive(m.snapshot(), root, D(2001, 7, 2)) is None
 
 
+def _published(spark, root):
+    return {r.dataset: r for r in export.read_manifest(spark, root).collect()}
+
+
+def test_publish_writes_changed_states_only(spark):
+    """One changed state: one state is written, the others' files are those of
+    the first run; every listed file has its size and hash; a failed publish
+    leaves the pointer; labels with a plus, an empty state, a root in brackets."""
+    import hashlib
+
+    root = scratch_path(spark, "t-export(x)+")
+    states = {"A": "A+B", "B": "", "C": "C D", "E": "E%41"}
+    dim = spark.createDataFrame([(k, v, 1.0, 2.0) for k, v in [*states.items(), ("F", "No rows")]],
+                                "dam_key string, state string, namo_oficial_mm3 double, name_oficial_mm3 double")
+    raw = _raw(spark, [(k, D(2020, 1, i), float(i)) for k in states for i in range(1, 5)]).drop("ingested_at")
+    for m in S.MEASURES:
+        raw = raw if m in raw.columns else raw.withColumn(m, F.lit(None).cast("double"))
+
+    def publish(rows, day):
+        fact = marts.build_fact(rows, dim)
+        return export.export_all(spark, dim, fact, fact.limit(1), root, day)[0]
+
+    first = publish(raw, D(2020, 2, 2))
+    before = _published(spark, root)
+    assert {r.state for r in before.values()} == {*states.values(), None}
+    second = publish(raw.withColumn(S.VOLUME, F.when(F.col(S.KEY) == "C", 9.0).otherwise(F.col(S.VOLUME))), D(2020, 2, 3))
+    after = _published(spark, root)
+    plain = second.replace("file:", "")
+    assert os.listdir(f"{plain}/current/fct_by_state") and [x for x in os.listdir(f"{plain}/current/fct_by_state") if "=" in x] == ["state_part=C_D"]
+    assert {r.state: r.paths != before[d].paths for d, r in after.items() if r.state is not None} == {
+        "A+B": False, "": False, "C D": True, "E%41": False}
+    for r in after.values():
+        for f in r.paths:
+            data = open(f"{root.replace('file:', '')}/{f.path}", "rb").read()
+            assert len(data) == f.size_bytes and hashlib.sha256(data).hexdigest()[:16] == f.hash
+    rows = export.read_published(spark, root)
+    assert rows.count() == 16 and rows.where("state = 'C D' AND volumen_alm_mm3 = 9").count() == 4
+    assert export.read_published(spark, root, "dim").count() == 5
+    assert spark.read.parquet(f"{first}/current/fct_without_rows").count() == 0
+    doc = json.loads(open(f"{root.replace('file:', '')}/manifest.json").read())
+    assert doc["states_without_rows"] == ["No rows"] and doc["total_bytes"] == sum(e["size_bytes"] for e in doc["current"].values())
+    try:
+        publish(raw.withColumn(S.VOLUME, F.raise_error(F.lit("lost")).cast("double")), D(2020, 2, 4))
+        raise AssertionError("the publish must fail")
+    except Exception as e:  # noqa: BLE001
+        assert "lost" in str(e)
+    assert _published(spark, root) == after
+
+
 def test_state_label_collision(spark):
     dim = spark.createDataFrame([("A B",), ("A_B",), ("C",)], "state string")
     lab = {r.state: r.label_collision for r in export.state_labels(dim).collect()}
@@ -225,12 +275,20 @@ def test_stream_result_does_not_depend_on_batch_size(spark):
         os.makedirs(f"{root.replace('file:', '')}/landing/c/dam_key=B")
         with open(f"{root.replace('file:', '')}/landing/c/dam_key=B/x.txt", "w") as f:
             f.write("no header\n")
+        open(f"{root.replace('file:', '')}/landing/c/dam_key=B/empty é.txt", "w").close()
         ingest.run_ingest(spark, f"{root}/landing", f"{root}/raw", f"{root}/ckpt", max_files_per_trigger=limit, **kw)
         assert ingest.read_raw(spark, f"{root}/raw").count() == 6
         ingest.merge_batches(spark, f"{root}/raw", f"{root}/ckpt")  # nothing is left to merge
         assert ingest.read_raw(spark, f"{root}/raw").count() == 6
         got = sorted((r.dam_key, r.status, r.reason) for r in ingest.file_status(spark, f"{root}/ckpt").collect())
-        assert got == [("A", "ok", None), ("A", "ok", None), ("B", "no_header", "no header line")]
+        assert got == [("A", "ok", None), ("A", "ok", None), ("B", "empty", "empty file"), ("B", "no_header", "no header line")]
+        lines = landing.scan_lines(spark, f"{root}/landing", kw["key_pattern"], kw["glob"], recursive=True)
+        files = landing.scan_files(spark, f"{root}/landing", kw["key_pattern"], kw["glob"], recursive=True)
+        batch = landing.load_lines(lines, files=files)[2]
+        assert got == sorted((r.dam_key, r.status, r.reason) for r in batch.collect())
+        assert not os.path.exists(f"{root.replace('file:', '')}/ckpt_batches/rows")
+        ingest.run_ingest(spark, f"{root}/landing", f"{root}/raw", f"{root}/ckpt", **kw)
+        assert ingest.file_status(spark, f"{root}/ckpt").count() == 4
 
 
 def test_watermark_gaps_and_load_stats(spark):
