@@ -8,9 +8,10 @@ Template (grammar), one rule per role, without anything between turns::
 
 A deterministic parser reads turns back: at each place the opening mark tells
 the rule, and the turn ends at the first closing mark of that rule. Texts are
-first rendered as they are, always decoded when read; a turn whose own round
-trip does not return its role and text is escaped (``&``, ``<`` and ``[`` as
-character references), after which no mark can stand inside. Each whole
+first rendered as they are, always decoded when read; a text that holds a mark
+of any rule, or whose own round trip does not return its role and text, is
+escaped (``&``, ``<`` and ``[`` as character references), after which no mark
+can stand inside. Each whole
 conversation is then parsed again and compared with its source; should any
 differ, all its turns are escaped.
 
@@ -35,6 +36,8 @@ from gaugeflow.llm.common import pick, stage
 
 # (character, its reference), in the order of escaping.
 REFERENCES = [("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;")]
+# What marks begin with, in texts of whatever role.
+CONTROL = r"\[/?INST\]|</?s>|<<"
 SEGMENT = r"(?s)\G(?:\[INST\] .*? \[/INST\]|<s>.*?</s>|<<([^<>]*)>>\n.*?\n<</\1>>)"
 
 
@@ -87,7 +90,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     # Turn by turn: does the unescaped rendering come back as it was?
     alone = parse(render(F.col("role"), F.col("text")))
     rows = rows.withColumn("back", alone).withColumn("safe", (F.size("back") == 1) & (
-        F.get("back", F.lit(0))["role"] == F.col("role")) & (F.get("back", F.lit(0))["text"] == F.col("text")))
+        F.get("back", F.lit(0))["role"] == F.col("role")) & (F.get("back", F.lit(0))["text"] == F.col("text")) & ~F.rlike(
+            "text", F.lit(CONTROL)))
     turns = F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "safe"))),
                         lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"), x["safe"].alias("safe")))
     convs = stage(rows.groupBy("conv_id").agg(turns.alias("t")), "chat-turns")
@@ -113,7 +117,7 @@ def digests(chats: DataFrame) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-ORACLE_SQL = """
+ORACLE_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
@@ -126,7 +130,8 @@ marks AS (
          CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN '</s>' ELSE chr(10) || '<</' || name || '>>' END AS b
   FROM names),
 turns AS (
-  SELECT *, a || CASE WHEN refs OR strpos(text || b, b) <> length(text) + 1 THEN escaped ELSE text END || b AS f FROM marks)
+  SELECT *, a || CASE WHEN refs OR strpos(text || b, b) <> length(text) + 1 OR regexp_matches(text, '\[/?INST\]|</?s>|<<')
+                          THEN escaped ELSE text END || b AS f FROM marks)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
