@@ -7,6 +7,14 @@ tie neighbouring blocks and blocks of the same container, the more the closer
 they are in the DOM. The blocks left on the source side of the minimum cut
 are the main text.
 
+The evidence of a block is that of the strongest element around it, not a sum:
+a boilerplate element inside the article outweighs the article, and an article
+inside boilerplate (a teaser, a comment) counts for nothing. A tag or name that
+speaks of boilerplate is void on an element around the page's largest article
+or main element, as that is a wrapper; on pages with neither it counts the less
+the more of the page's text it holds. Without evidence the cost is small, and
+the blocks around decide.
+
 Defined results:
 
 * null or empty html, or a page without a content block: empty text;
@@ -54,17 +62,21 @@ BARRIER = {"li": {"ul", "ol", "menu", "dir"}, "dd": {"dl"}, "dt": {"dl"}, "tr":
            "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}, "optgroup": {"select"}}
 
 # Classifier: evidence in hundredths, positive for content.
-TAG_COST = {"article": 500, "main": 400, "nav": -900, "footer": -900, "aside": -900, "form": -900, "menu": -900,
+TAG_COST = {"article": 250, "main": 200, "nav": -900, "footer": -900, "aside": -900, "form": -900, "menu": -900,
             "button": -900, "select": -900, "label": -500, "dialog": -900, "search": -900, "fieldset": -900, "header": -600}
 ROLE_COST = {"navigation": -900, "banner": -900, "contentinfo": -900, "complementary": -900, "search": -900, "form": -900,
-             "dialog": -900, "alert": -900, "alertdialog": -900, "menu": -900, "menubar": -900, "main": 400, "article": 400}
+             "dialog": -900, "alert": -900, "alertdialog": -900, "menu": -900, "menubar": -900, "main": 200, "article": 250}
 BOILERPLATE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
 consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter
 notice overlay pagination pager popup promo promoted promotion recommended related respond share sharing sidebar signup social
 sponsor sponsored subscribe subscription toolbar widget""".split())
+# Names that are ordinary words too: they do not count in longer names.
+WORD_NAMES = frozenset("banner comment header menu modal notice overlay promotion recommended related respond share sharing social".split())
+HEAD_NAMES = frozenset("banner header masthead".split())
 CONTENT_NAMES = frozenset("article articlebody content entry main post story text".split())
-NAME_COST, CONTENT_NAME_COST = -900, 200
-START_COST = -100     # of a block without any evidence
+DENIALS = frozenset("free has have hide no non with without".split())
+NAME_COST, CONTENT_NAME_COST = -900, 100
+START_COST = -30      # of a block without any evidence
 WORD_COST = 12        # per word, up to
 WORDS_MOST = 40
 HEADING_COST = 60
@@ -77,23 +89,85 @@ _ATTR = re.compile(r"""([a-zA-Z-]++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+def _name_cost(name: str) -> tuple[int, int]:
+    """What one class or id says: (against content, for content)."""
+    words = [w for w in _SPLIT.split(name) if w]
+    if DENIALS.intersection(words):
+        return 0, 0
+    bad, good = BOILERPLATE_NAMES.intersection(words), CONTENT_NAMES.intersection(words)
+    if len(words) > 2:
+        bad -= WORD_NAMES
+    if good and bad <= HEAD_NAMES:
+        return 0, CONTENT_NAME_COST  # the head of the text itself
+    return (NAME_COST, 0) if bad else (0, CONTENT_NAME_COST if good else 0)
+
+
 @lru_cache(maxsize=4096)
-def _attribute_cost(attrs: str) -> int:
-    cost = 0
+def _attribute_cost(attrs: str) -> tuple[int, int, bool]:
+    """Evidence of an element's attributes: against content, for content, and
+    whether it is hidden."""
+    against, forth, hidden = 0, 0, False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            names = set(_SPLIT.split(value))
-            if names & BOILERPLATE_NAMES:
-                cost += NAME_COST
-            elif names & CONTENT_NAMES:
-                cost += CONTENT_NAME_COST
+            for x in value.split():
+                bad, good = _name_cost(x)
+                against, forth = min(against, bad), max(forth, good)
         elif name == "role":
-            cost += ROLE_COST.get(value, 0)
+            cost = ROLE_COST.get(value, 0)
+            against, forth = min(against, cost), max(forth, cost)
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
                 name == "style" and "display:none" in value.replace(" ", "")):
-            cost += NAME_COST
-    return cost
+            hidden = True
+    return against, forth, hidden
+
+
+class Elements:
+    """The block elements of a page, numbered in page order (0 is the page):
+    each one's parent, evidence and text."""
+
+    def __init__(self):
+        self.parent, self.against, self.forth, self.hidden = [0], [0], [0], [False]
+        self.marks, self.chars = [False], [0]
+
+    def add(self, tag: str, attrs: str, parent: int, in_text: bool) -> int:
+        cost = TAG_COST.get(tag, 0)
+        against, forth, hidden = _attribute_cost(attrs) if attrs.strip() else (0, 0, False)
+        if tag == "header" and (in_text or forth):
+            cost = 0  # the head of the article itself
+        self.parent.append(parent)
+        self.marks.append((tag in ("article", "main") or forth > CONTENT_NAME_COST) and not against)
+        self.against.append(min(cost, against))
+        self.forth.append(max(cost, forth))
+        self.hidden.append(hidden)
+        self.chars.append(0)
+        return len(self.parent) - 1
+
+    def evidence(self) -> list[int]:
+        """Of every element, with what is around it; see the module doc."""
+        n = len(self.parent)
+        for e in range(n - 1, 0, -1):
+            self.chars[self.parent[e]] += self.chars[e]
+        largest = max((e for e in range(n) if self.marks[e]), key=lambda e: self.chars[e], default=None)
+        wrappers, e = {0}, largest or 0
+        while e:
+            wrappers.add(e)
+            e = self.parent[e]
+        out = [0]
+        for e in range(1, n):
+            around, against = out[self.parent[e]], self.against[e]
+            if e in wrappers:
+                against = 0
+            elif largest is None:
+                share = self.chars[e] / max(1, self.chars[0])
+                against = int(against * min(1.0, 2 * (1 - share)))
+            if self.hidden[e]:
+                against = NAME_COST
+            if against < 0 or around < 0:
+                out.append(min(around, against, 0))
+            else:
+                out.append(max(around, self.forth[e]))
+        return out
 
 
 @lru_cache(maxsize=64)
@@ -116,7 +190,7 @@ def _ends(page: str, tag: str) -> dict[int, int]:
 
 
 class Block:
-    """Text of one block, its evidence and the container it stands in."""
+    """Text of one block, its cost and the container it stands in."""
 
     __slots__ = ("text", "cost", "container", "depth")
 
@@ -127,9 +201,11 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """The visible text blocks of a page, in page order."""
     out: list[Block] = []
-    stack = [("", 0, 0)]  # (tag, summed evidence, number of the element)
+    elements = Elements()
+    own: list[int] = []  # element of each block
+    stack = [("", 0)]    # (tag, number of the element)
     opened = {"": 1}
-    number, link, part, linked = 0, False, [], 0
+    link, part, linked = False, [], 0
     ends: dict[str, dict[int, int]] = {}
     heading = 0
 
@@ -145,11 +221,13 @@ def blocks(page: str) -> list[Block]:
             raw = "".join(part)
             text = " ".join(unescape(raw).split())
             if text:
-                cost = stack[-1][1] + START_COST + WORD_COST * min(WORDS_MOST, text.count(" ") + 1)
+                cost = START_COST + WORD_COST * min(WORDS_MOST, text.count(" ") + 1)
                 cost += HEADING_COST * (heading > 0) + LINK_COST * linked // max(1, len(raw))
                 # A paragraph stands in its parent, as do its neighbours.
                 at = stack[-2] if len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in HEADINGS) else stack[-1]
-                out.append(Block(text, cost, at[2], len(stack)))
+                out.append(Block(text, cost, at[1], len(stack)))
+                own.append(stack[-1][1])
+                elements.chars[stack[-1][1]] += len(text)
             part, linked = [], 0
 
     at, n = 0, len(page)
@@ -206,17 +284,14 @@ def blocks(page: str) -> list[Block]:
                         pop()
             if tag in VOID:
                 continue
-            number += 1
-            cost = TAG_COST.get(tag, 0)
-            if tag == "header" and opened.get("article"):
-                cost = 0  # the head of the article itself
-            attrs = m[3] or m[6] or ""
-            if attrs.strip():
-                cost += _attribute_cost(attrs)
-            stack.append((tag, stack[-1][1] + cost, number))
+            in_text = bool(opened.get("article") or opened.get("main"))
+            stack.append((tag, elements.add(tag, m[3] or m[6] or "", stack[-1][1], in_text)))
             opened[tag] = opened.get(tag, 0) + 1
             heading += tag in HEADINGS
     flush()
+    around = elements.evidence()
+    for b, e in zip(out, own, strict=True):
+        b.cost += around[e]
     return out
 
 

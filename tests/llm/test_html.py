@@ -105,3 +105,57 @@ def test_formulas_are_text():
     page = ("<article><p>Mass: <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow>"
             "<annotation encoding='application/x-tex'>E=m</annotation></semantics></math> holds.</p></article>")
     assert H.main_text(page) == "Mass: E=m holds."
+
+
+def test_names_of_wrappers_do_not_empty_pages():
+    """One listed word in a wrapper's class or id, or a form around the page."""
+    inner = f"<h1>Head line</h1><p>{STORY}</p><p>{STORY} Again.</p>"
+    want = f"Head line\n{STORY}\n{STORY} Again."
+    for page in (f'<div class="wrap has-sidebar"><article>{inner}</article></div>', f'<article class="post no-comments">{inner}</article>',
+                 f'<div class="post no-comments">{inner}</div>', f'<div class="ad-free">{inner}</div>',
+                 f'<section id="share-prices-today">{inner}</section>', f'<section id="related-rates-calculus">{inner}</section>',
+                 f"<form action=x>{inner}</form>", f'<form><div class="sidebar-layout"><main>{inner}</main></div></form>',
+                 f'<div class="menu-page">{inner}</div>'):
+        assert H.main_text(page) == want, page
+
+
+def test_headline_is_kept():
+    for head in ('<header class="article-header"><h1>Head line</h1></header>', '<div class="post-header"><h1>Head line</h1></div>',
+                 "<header><h1>Head line</h1></header>"):
+        for outer in ("article", "main"):
+            page = f"<header><p>Site name</p></header><{outer}>{head}<p>{STORY}</p></{outer}><footer>Foot</footer>"
+            assert H.main_text(page) == f"Head line\n{STORY}", page
+    assert H.main_text(f'<div><header class="entry-header"><h1>Head line</h1></header><p>{STORY}</p></div>') == f"Head line\n{STORY}"
+
+
+def test_short_pages_without_marks():
+    assert H.main_text("<p>Only a few words here.</p>") == "Only a few words here."
+    assert H.main_text(f"<div><p>{STORY}</p><p>End.</p></div>") == f"{STORY}\nEnd."
+    assert H.main_text("<ul><li><a href=a>Home</a></li><li><a href=b>News and more</a></li></ul>") == ""
+
+
+def test_boilerplate_inside_and_around():
+    long = " ".join(["A reader wrote a long remark about it."] * 12)
+    teaser = f'<section class="related"><article><h2>Other</h2><p>{STORY}</p></article></section>'
+    comments = f'<ol class="comment-list"><li><article class="comment-body"><p>{long}</p></article></li><li><article><p>{long}</p></article></li></ol>'
+    page = f"<article><h1>Head line</h1><p>{STORY}</p><p>{STORY * 20}</p>{comments}</article>{teaser}<div hidden><p>{long}</p></div>"
+    assert H.main_text(page) == f"Head line\n{STORY}\n{STORY * 20}"
+    assert H.main_text(f"<div><p>{STORY}</p></div><div class=sidebar><p>{STORY}</p></div><div id=comments><p>{long}</p></div>") == STORY
+
+
+def flips(page):
+    """Blocks whose label the cut changes against the sign of their cost."""
+    found = H.blocks(page)
+    keep = H.min_cut([b.cost for b in found], H.edges(found))
+    return [(b.text, k) for b, k in zip(found, keep, strict=True) if k != (b.cost > 0)]
+
+
+def test_the_cut_decides_doubtful_blocks():
+    page = f"<div><h2>Part</h2><p>{STORY}</p><p>Yes.</p><p>{STORY}</p></div>"
+    assert ("Yes.", True) in flips(page) and H.main_text(page) == f"Part\n{STORY}\nYes.\n{STORY}"
+    links = "<li><a href=x>First link text</a></li><li><a href=x>Second link text</a></li>"
+    page = f"<div><p>{STORY}</p><p>{STORY}</p></div><ul>{links}<li>More of these</li>{links}</ul>"
+    assert flips(page) == [("More of these", False)] and H.main_text(page) == f"{STORY}\n{STORY}"
+    # A list of sources inside an article: links, but its own.
+    page = f"<article><p>{STORY}</p><p>See <a href=x>the first source</a> or</p><p>{STORY}</p></article>"
+    assert H.main_text(page).count("\n") == 2
