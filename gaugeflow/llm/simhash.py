@@ -44,8 +44,10 @@ SEED = 42
 SAMPLE = 1024          # fingerprints sampled to choose vantage points
 CANDIDATES = 16        # vantage points tried per level
 SHINGLES_AT_ONCE = 1 << 16
-# Tree depths: (levels, expected share of all fingerprints in one's own leaf).
-DEPTHS = [4, 8, 11, 16, 21, 32]
+# Tree depths. A leaf's number must fit 63 bits: it has one digit per level, in a
+# base above the widest block and the radius, so the deepest tree has 21 levels
+# of three or four bits. Beyond some 5e10 fingerprints its leaves hold several.
+DEPTHS = [4, 8, 11, 16, 21]
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -144,13 +146,14 @@ def _paths(levels: int, radius: int, base: int) -> list[int]:
     return sorted(sum(d * base ** lv for lv, d in s) for s in steps if not s or s[-1][1] > 0)
 
 
-def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = 2, levels: int | None = None) -> DataFrame:
     """All pairs ``(a, b)``, a < b, of different values of ``fps.fp`` with at
-    most ``max_bits`` differing bits. ``fps`` should be a written table."""
+    most ``max_bits`` differing bits. ``fps`` should be a written table. The
+    depth of the tree follows from their number unless ``levels`` is given; it
+    changes the work, not the pairs."""
     points = fps.select("fp").distinct()
-    n = points.count()
     sample = [r[0] for r in points.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
-    levels = _levels(n)
+    levels = levels or _levels(points.count())
     masks = _blocks(levels)
     base = max(m.bit_count() for m in masks) + 1 + max_bits  # no two paths share a number
     leaf = F.lit(0).cast("long")

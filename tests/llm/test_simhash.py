@@ -78,6 +78,15 @@ def test_links_equal_all_pairs(spark):
     want = {(a, b) for i, a in enumerate(vals) for j, b in enumerate(vals) if i < j and (u[i] ^ u[j]).bit_count() <= 2}
     assert len(want) > 500
     assert {tuple(r) for r in S.links(df).collect()} == want
+    for levels in S.DEPTHS:
+        assert {tuple(r) for r in S.links(df, levels=levels).collect()} == want, levels
+
+
+def test_depth_stays_within_63_bits():
+    for n in (1, 10 ** 5, 10 ** 7, 10 ** 9, 10 ** 10, 10 ** 11, 10 ** 15):
+        levels = S._levels(n)
+        base = max(m.bit_count() for m in S._blocks(levels)) + 3
+        assert base ** levels < 1 << 63
 
 
 def test_paths_cover_every_budget():
