@@ -171,13 +171,22 @@ def _partial_target(m: mp.ProxyMarts) -> DataFrame:
     return marts.build_fact(old, dim)
 
 
+def prepare_incremental(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Source, older fact and dimension of :func:`q_incremental` (fixture step)."""
+    m = mp.ProxyMarts(spark, sf_dir)
+    return m.staged, materialize(spark, _partial_target(m), "fact-target"), m.dim
+
+
+def refresh_prepared(source: DataFrame, target: DataFrame, dim: DataFrame) -> DataFrame:
+    """The refresh itself (the operator step)."""
+    return incremental.refresh_fact(source, target, dim)
+
+
 @register("m3_incremental_fact", marts_sql("SELECT * FROM fct", "fct"))
 def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental refresh == full refresh (late rows in the look-back window,
     entities new to the target, lag right at each window edge)."""
-    m = mp.ProxyMarts(spark, sf_dir)
-    target = materialize(spark, _partial_target(m), "fact-target")
-    return incremental.refresh_fact(m.staged, target, m.dim)
+    return refresh_prepared(*prepare_incremental(spark, sf_dir))
 
 
 @register("m3_m4_incremental_fact_table", marts_sql("SELECT * FROM fct", "fct"))
