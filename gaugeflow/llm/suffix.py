@@ -24,7 +24,9 @@ that its windows cover (``ctx``).
 A key with very many different contexts (a common line among ever different
 neighbours) would pile up in one task. Such keys are found in a sample of whole
 documents, bounded in bytes, and their windows become entries of their own, keyed by all
-their bytes; equal ones are settled per batch first. The answer is the same.
+their bytes; equal ones are settled per batch first. Those that the sample
+missed are counted over all entries before step 3, where their windows are grouped
+and joined by Spark. The answer is the same.
 
 Defined results:
 
@@ -36,7 +38,8 @@ Defined results:
   (``mark``);
 * empty table: empty result; other columns are ignored.
 
-Contexts are compared by two 64-bit hashes, part matches by their bytes.
+Contexts are compared by two 64-bit hashes, part matches by their bytes, those
+of keys with over ``WIDE`` contexts by a 128-bit hash of each window.
 """
 
 from __future__ import annotations
@@ -63,6 +66,8 @@ PART_BYTES = 8 << 20       # of text whose entries make one key range
 BATCH = 1 << 15            # entries added to a family at once
 SAMPLE_BYTES = 64 << 20    # of whole texts, as expected, to find keys with very many contexts
 MANY = 8                   # contexts in the sample that make a key such a one
+WIDE = 256                 # contexts to compare, of all rows, from which a key's windows are grouped by Spark
+RANGES = 64                # key ranges that one task reads in turn, at most
 LAST = (1 << 63) - 1       # stands for a null doc_id
 CTX_BASE = 0xC2B2AE3D27D4EB4F
 
@@ -98,6 +103,29 @@ class Entries:
     def ordered(self) -> Entries:
         return self.take(np.lexsort((self.mark, self.place, self.doc, self.ctx, self.key)))
 
+    def firsts(self) -> np.ndarray:
+        """For each sorted entry, the first one of its key and context."""
+        first = np.arange(len(self))
+        first[1:][(self.key[1:] == self.key[:-1]) & (self.ctx[1:] == self.ctx[:-1])] = 0
+        return np.maximum.accumulate(first)
+
+    def first_of(self, other: Entries) -> np.ndarray:
+        """For each entry of ``other``, the first one here of its key and
+        context, or -1: a binary search for the key, then for the context
+        inside the key, so that it costs the same for a key with many."""
+        lo = np.searchsorted(self.key, other.key)
+        end = np.searchsorted(self.key, other.key, "right")
+        hi = end.copy()
+        while len(open_ := np.flatnonzero(lo < hi)):
+            mid = (lo[open_] + hi[open_]) // 2
+            less = self.ctx[mid] < other.ctx[open_]
+            lo[open_[less]], hi[open_[~less]] = mid[less] + 1, mid[~less]
+        hit = np.flatnonzero(lo < end)
+        hit = hit[self.ctx[lo[hit]] == other.ctx[hit]]
+        out = np.full(len(other), -1)
+        out[hit] = lo[hit]
+        return out
+
     def at(self) -> np.ndarray:
         return self.place >> np.uint64(_AT)
 
@@ -133,10 +161,7 @@ def settle(e: Entries) -> tuple[Entries, Entries]:
     same = (e.key[1:] == e.key[:-1]) & (e.ctx[1:] == e.ctx[:-1])
     equal = np.zeros(len(e), bool)
     equal[1:] = same & (e.doc[1:] == e.doc[:-1]) & (e.place[1:] == e.place[:-1]) & (e.mark[1:] == e.mark[:-1])
-    first = np.zeros(len(e), np.int64)
-    first[1:] = np.where(same, 0, np.arange(1, len(e)))
-    first = np.maximum.accumulate(first)
-    at = e.at()
+    first, at = e.firsts(), e.at()
     repeat = _later(e.doc, at, e.doc[first], at[first])
     return e.take(~repeat & ~equal), e.take(repeat & ~equal)
 
@@ -154,16 +179,15 @@ class Family:
         batch, gone = settle(batch.ordered())
         self.repeats.append(gone)
         for i, level in enumerate(self.levels):
-            at = np.searchsorted(level.key, batch.key)
-            last = np.searchsorted(level.key, batch.key, "right")
-            mine = np.repeat(np.arange(len(batch)), last - at)
-            theirs = np.arange(len(mine)) - np.repeat(np.cumsum(last - at) - (last - at), last - at) + at[mine]
-            hit = level.ctx[theirs] == batch.ctx[mine]
-            mine, theirs = mine[hit], theirs[hit]
+            found = level.first_of(batch)
+            mine = np.flatnonzero(found >= 0)
+            theirs = found[mine]
             new, old = batch.take(mine), level.take(theirs)
             mine_gone, theirs_gone = np.zeros(len(batch), bool), np.zeros(len(level), bool)
             mine_gone[mine[_later(new.doc, new.at(), old.doc, old.at())]] = True
             theirs_gone[theirs[_later(old.doc, old.at(), new.doc, new.at())]] = True
+            # Settled entries of one context all start at the same place, so what holds for the first holds for each.
+            theirs_gone = theirs_gone[level.firsts()]
             self.repeats += [batch.take(mine_gone), level.take(theirs_gone)]
             self.levels[i], batch = level.take(~theirs_gone), batch.take(~mine_gone)
         self.levels.append(batch)
@@ -368,13 +392,17 @@ def _families(arrays: DataFrame) -> DataFrame:
     return arrays.mapInArrow(run, STEP_SCHEMA)
 
 
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """``docs`` with compressed texts, for a smaller shuffle."""
+def _packed_texts(docs: DataFrame, once: bool = False) -> DataFrame:
+    """``docs`` with compressed texts, for a smaller shuffle. ``once``: of
+    equal rows in a batch only the first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
+            if once:
+                row = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)], axis=1)
+                b = b.take(pa.array(np.sort(np.unique(row, axis=0, return_index=True)[1])))
             data = [z.compress(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.binary()), b.column(3)],
                                              ["doc", "mark", "data", "doc_id"])
@@ -398,8 +426,9 @@ def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
 
     lists = asked.select("doc", "mark", F.struct("key", "lo", "hi").alias("ask")).distinct().groupBy("doc", "mark").agg(
         F.collect_list("ask").alias("asks"))
-    return _packed_texts(docs).join(lists, ["doc", "mark"]).select("doc", "mark", "data", "asks").mapInArrow(
-        run, "key long, doc long, mark long, lo int, data binary")
+    # Equal rows ask for the same bytes. Most go before the shuffle; the join has dealt the rest to one task already.
+    texts = _packed_texts(docs, once=True).select("doc", "mark", "data").join(lists, ["doc", "mark"]).dropDuplicates(["doc", "mark"])
+    return texts.select("doc", "mark", "data", "asks").mapInArrow(run, "key long, doc long, mark long, lo int, data binary")
 
 
 def windows_seen(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int, int, int, int]]:
@@ -423,6 +452,37 @@ def windows_seen(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int,
             yield doc, mark, lo + run[0], lo + run[1] + LENGTH
 
 
+def _windows(contexts: DataFrame) -> DataFrame:
+    """A row per window of the contexts: two hashes of it, and its place."""
+    names = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("lo", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            for doc, mark, lo, data in zip(*[b.column(i).to_pylist() for i in (1, 2, 3, 4)], strict=True):
+                n = len(data) - LENGTH + 1
+                both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[i:i + LENGTH]) for i in range(n)), np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(both[::2]), pa.array(both[1::2]), pa.array(np.full(n, doc)), pa.array(np.full(n, mark)),
+                    pa.array(np.arange(lo, lo + n, dtype=np.int32))], schema=names)
+
+    return contexts.mapInArrow(run, "w1 long, w2 long, doc long, mark long, lo int")
+
+
+def _compared_wide(contexts: DataFrame) -> DataFrame:
+    """Step 3 for keys with very many contexts: a grouping finds where each
+    window starts first, a join the windows that start later. Each task sends
+    one row per window to the grouping, and the join splits a window that
+    stands in very many documents, so that no task holds a whole key."""
+    windows = stage(_windows(contexts), "suffix-windows")
+    place = F.struct("doc", F.col("lo").alias("at"))
+    first = windows.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(
+        F.col("first") < F.col("last")).select("w1", "w2", "first")
+    return windows.join(first, ["w1", "w2"]).filter(F.col("first") < place).select(
+        "doc", "mark", "lo", (F.col("lo") + LENGTH).alias("hi"))
+
+
 def _compared(contexts: DataFrame, parts: int) -> DataFrame:
     """Step 3: the entries of one key, window by window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -513,8 +573,13 @@ def remove_repeats(documents: DataFrame, with_bytes: bool = True) -> DataFrame:
         F.col("count") >= MANY).select("key").collect()  # at most the sample's entries / MANY
     many = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64)).tobytes())
 
+    tasks = min(parts, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(parts / RANGES)))
     arrays = _arrays(docs.select("doc", "mark", "text"), parts, many)
-    found = stage(_families(arrays.repartition(parts, "part").sortWithinPartitions("part")).drop("part", "data"), "suffix-found")
+    found = stage(_families(arrays.repartition(tasks, "part").sortWithinPartitions("part")).drop("part", "data"), "suffix-found")
     asked = found.filter("key is not null")
-    compared = _compared(_contexts(docs, asked), parts)
-    return _cut(docs, found.filter("key is null").select("doc", "mark", "lo", "hi").unionByName(compared), with_bytes)
+    wide = stage(asked.groupBy("key").count().filter(F.col("count") > WIDE).select("key"), "suffix-wide")
+    ranges = found.filter("key is null").select("doc", "mark", "lo", "hi")
+    if not wide.isEmpty():
+        ranges = ranges.unionByName(_compared_wide(_contexts(docs, asked.join(wide, "key", "left_semi"))))
+        asked = asked.join(wide, "key", "left_anti")
+    return _cut(docs, ranges.unionByName(_compared(_contexts(docs, asked), tasks)), with_bytes)

@@ -77,6 +77,11 @@ def test_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(S, "ARRAY", 100)
     monkeypatch.setattr(S, "MANY", 2)
     assert rows_of(S.remove_repeats(df.repartition(2))) == want
+    # No hot key is in the sample; several key ranges in each task.
+    monkeypatch.setattr(S, "MANY", 10**9)
+    monkeypatch.setattr(S, "WIDE", 3)
+    monkeypatch.setattr(S, "RANGES", 3)
+    assert rows_of(S.remove_repeats(df.repartition(2))) == want
 
 
 def test_family_keeps_the_earliest(monkeypatch):
@@ -148,3 +153,35 @@ def test_many_rows_of_one_id(spark):
     want = brute(rows)
     assert sum(r[2] > 0 for r in want) > 4000
     assert rows_of(S.remove_repeats(frame(spark, rows).repartition(4))) == want
+
+
+def test_a_key_with_many_contexts_is_searched_in_it():
+    """The cost of a batch does not grow with the contexts of its keys."""
+    n = 60_000
+    rnd = np.random.default_rng(3)
+
+    def batch(key, ctx, doc):
+        return S.Entries(key.astype(np.uint64), ctx.astype(np.uint64), doc, np.zeros(n, np.uint64))
+
+    family = S.Family()
+    family.add(batch(np.full(n, 7), np.arange(n), np.arange(n)))
+    family.add(batch(np.full(n, 7), rnd.permutation(n) + n // 2, np.arange(n) + n))  # the product has 3.6e9 pairs
+    assert sum(len(x) for x in family.repeats) == n // 2
+    assert len(family.split_keys()) == n + n // 2
+    a = batch(rnd.integers(0, 5, n), rnd.integers(0, 50, n), np.arange(n)).ordered()
+    b = batch(rnd.integers(0, 9, n), rnd.integers(0, 70, n), np.arange(n))
+    first = {}
+    for i, k in enumerate(zip(a.key.tolist(), a.ctx.tolist(), strict=True)):
+        first.setdefault(k, i)
+    assert a.first_of(b).tolist() == [first.get(k, -1) for k in zip(b.key.tolist(), b.ctx.tolist(), strict=True)]
+    assert S.Entries.join([]).first_of(b).tolist() == [-1] * n
+
+
+def test_equal_rows_are_compared_once(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, 5, bytearray(b"x" * 200), 1)] * 500 + [(2, 6, bytearray(b"y" * 200), 2)],
+                                 "doc long, mark long, text binary, doc_id long").repartition(3)
+    asked = spark.createDataFrame([(9, 1, 5, 0, 120), (9, 1, 5, 30, 150), (9, 2, 6, 0, 100)] * 3, "key long, doc long, mark long, lo int, hi int")
+    got = S._contexts(docs, asked)
+    assert got.count() == 3 and got.agg(F.sum(F.octet_length("data"))).first()[0] == 340
