@@ -40,6 +40,7 @@ from gaugeflow.llm.common import bound_batches, pick, stage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE_DOCS = 200   # labelled texts per language to learn from
+MARGIN_DOCS = 100   # more of them are ranked, so that a cut by hash leaves enough
 ROUNDS = 3          # of expectation-maximisation
 SMOOTHING = 0.1     # added to the expected count of every piece
 CACHE_CELLS = 3_200_000  # word scores that a task remembers, over all languages
@@ -285,17 +286,23 @@ def fold(doc_id: Column) -> Column:
 def training_rows(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, held_out_fold: int = 2) -> DataFrame:
     """``lang`` and ``text`` of at most ``sample_docs`` different rows per
     language, none of the held-out fold. Repeated rows count once; rows of one
-    doc_id are told apart by the hash of their text."""
+    doc_id are told apart by the hash of their text.
+
+    They are the first by a hash of the row. Before they are ranked, which is
+    one task per language, rows beyond a cut of that hash go: it is set from
+    the language's count to leave about twice the sample, so that the task does
+    not grow with the language."""
     from pyspark.sql import Window
 
     docs = pick(documents, doc_id="doc_id", text="text", lang="lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != held_out_fold)).withColumn(
         "mark", F.xxhash64("text"))
     row = ["doc_id", "lang", "mark"]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
-    # Spark keeps only the first of each task before it shuffles by language.
-    chosen = stage(docs.select(row).distinct().withColumn("n", F.row_number().over(order)).filter(
-        F.col("n") <= sample_docs).select(row), "langid-sample")
+    rows = stage(docs.select(row).distinct().withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id", "mark"), 33)), "langid-rows")
+    counts = stage(rows.groupBy("lang").agg(F.count("*").alias("rows")), "langid-counts")
+    near = rows.join(counts, "lang").filter(F.col("place") * F.col("rows") <= (2 * sample_docs + MARGIN_DOCS) * 2.0 ** 31)
+    order = Window.partitionBy("lang").orderBy("place", "doc_id", "mark")
+    chosen = stage(near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_docs).select(row), "langid-sample")
     return docs.join(chosen, row, "left_semi").dropDuplicates(row).select("lang", "text")
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,8 +90,6 @@ def test_held_out_accuracy(spark):
 
 
 def test_odd_rows_and_no_leak(spark):
-    import zlib
-
     rows = []
     for i in range(80):
         lang, t = ("xx", "kromba valu teski ") if i % 2 else ("yy", "mipa sonde furi ")
@@ -140,8 +139,6 @@ def test_fit_learns_from_words_that_underflow(pieces):
 
 
 def test_sample_is_bounded_for_repeated_rows(spark):
-    import zlib
-
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:20]
     rows = [(i, "same text", "xx") for i in ids for _ in range(30)] + [(ids[0], f"text {k}", "yy") for k in range(50)] + [(ids[1], "other", "yy")]
     df = spark.createDataFrame([(*r, 1, "s", 2) for r in rows], SCHEMA).repartition(5)
@@ -149,3 +146,17 @@ def test_sample_is_bounded_for_repeated_rows(spark):
     assert sum(g == "xx" for g, _ in got) == 7 and sum(g == "yy" for g, _ in got) == 7
     assert len({t for g, t in got if g == "yy"}) == 7
     assert L.training_rows(df, 1000).count() == 20 + 51
+
+
+def test_sample_is_the_first_by_hash_of_any_number(spark, monkeypatch):
+    """The cut before the ranking changes no choice."""
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") < 2000, 4).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
+        F.when(F.col("id") % 50 == 0, "yy").otherwise("xx").alias("lang"), F.lit(1).alias("place"), F.lit("s").alias("rows"), F.lit(2).alias("n"))
+    for size in (1, 7, 200):
+        got = {(r.lang, r.text) for r in L.training_rows(df, size).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(L, "MARGIN_DOCS", 10**6)
+            assert got == {(r.lang, r.text) for r in L.training_rows(df, size).collect()}
+        assert sum(g == "xx" for g, _ in got) == size
+        assert sum(g == "yy" for g, _ in got) == min(size, len({i for i in range(0, 6000, 50) if i < 2000 or zlib.crc32(str(i).encode()) % 4 != 2}))
