@@ -8,6 +8,7 @@ Warehouse layout under ``root`` (a shared folder)::
     root/history/              statistics per entity and year, value counts
     root/dim/run=<run_id>/     dimension, rebuilt every run
     root/fact/year=YYYY/       daily fact (incremental, touched years rewritten)
+    root/{raw,fact}_checks/    data-quality counts per year
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.operators import history, incremental, marts, quality, upsert
+from gaugeflow.operators import history, incremental, marts, quality, stored_checks, upsert
 from gaugeflow.session import exists, materialize
 from gaugeflow.sinks import export
 from gaugeflow.sources import landing
@@ -103,7 +104,9 @@ def run_daily(spark: SparkSession, landing_dir: str, catalog: DataFrame, root: s
     loaded_at = ingest_kw.pop("loaded_at", None) or dt.datetime.now()
     status = ingest(spark, landing_dir, root, loaded_at=loaded_at, **ingest_kw)
     raw, dim, fact, snapshot = build_marts(spark, root, catalog, run_date, run_id, until=loaded_at)
-    dq = quality.run_suite(quality.default_suite(catalog, raw, dim, fact, snapshot))
+    snapshot = materialize(spark, snapshot, "snapshot")  # read by its checks and the export
+    dq = stored_checks.run_stored_suite(spark, quality.default_suite(catalog, raw, dim, fact, snapshot),
+                                        {"raw": f"{root}/raw", "fact": f"{root}/fact"})
     run_dir, manifest = export.export_all(spark, dim, fact, snapshot, export_root, run_date, force_archive,
                                           slices=incremental.fact_slices(spark, f"{root}/fact"))
     return RunResult(status, dq, run_dir, manifest)

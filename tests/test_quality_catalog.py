@@ -61,3 +61,45 @@ def test_capacity_report_single_json_array(spark, tmpdir_path):
     rep = C.coerce_capacities(src.read_capacity_report(spark, f"{tmpdir_path}/rep")).collect()
     got = {r.dam_key: (r.namo_oficial_mm3, r.inicio_operacion, r.uso) for r in rep}
     assert got == {"A01": (10.5, 1990, "riego"), "B02": (None, None, None)}
+
+
+def test_stored_checks_count_changed_years_only(spark, monkeypatch):
+    """Equal to the suite over all rows after each change; years with the same
+    files are not read again."""
+    from gaugeflow.operators import stored_checks as SC
+    from gaugeflow.operators.upsert import with_partition, write_partitions
+    from gaugeflow.session import scratch_path
+
+    rows = [(k, f"{y}-01-0{d}", 1.0) for k in "ABC" for y in (1999, 2000, 2001) for d in (1, 2)]
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "dam_key string, d string, v double").selectExpr("dam_key", "cast(d as date) fecha", "v")
+
+    path = scratch_path(spark, "t-checks")
+    write_partitions(with_partition(frame(rows)), path)
+    counted = []
+    counts = SC.year_counts
+    monkeypatch.setattr(SC, "year_counts", lambda table, *a: (counted.append(
+        {r[0] for r in table.select("year").distinct().collect()}), counts(table, *a))[1])
+
+    def check(not_null=("dam_key", "fecha")):
+        t = Q.TableChecks("t", spark.read.parquet(path), list(not_null), [], [["dam_key", "fecha"]])
+        got = sorted(SC.run_stored_suite(spark, [t], {"t": path}).collect())
+        assert got == sorted(Q.run_suite([t]).collect())
+        return {(r.check_name, r.columns): r.failures for r in got}
+
+    assert set(check().values()) == {0} and counted == [{1999, 2000, 2001}]
+    check()
+    assert len(counted) == 1  # nothing new, nothing read
+    bad = [("A", "2000-01-01", 2.0), ("A", "2000-01-01", 3.0), (None, "2000-01-05", 1.0), ("B", None, 1.0), ("B", None, 2.0)]
+    write_partitions(with_partition(frame(bad)), path, dynamic=True)
+    assert check() == {("not_null", "dam_key"): 1, ("not_null", "fecha"): 2, ("unique_combination", "dam_key,fecha"): 2}
+    assert counted[1:] == [{2000, None}]
+    write_partitions(with_partition(frame([("A", "2000-01-01", 2.0)])), path, dynamic=True)
+    assert check()[("not_null", "dam_key")] == 0 and counted[2:] == [{2000}]
+    check(not_null=["v"])  # other checks: every year
+    assert counted[3:] == [{1999, 2000, 2001, None}]
+    write_partitions(with_partition(frame(rows[:1])), path)  # years that are gone
+    assert set(check(not_null=["v"]).values()) == {0} and counted[4:] == [{1999}]
+    with pytest.raises(ValueError):
+        SC.refresh_counts(spark, path, Q.TableChecks("t", frame(rows), unique=["dam_key"]))
