@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.operators import marts
+from gaugeflow.operators import marts, quality
 from gaugeflow.plans import daily
 from gaugeflow.plans.fixtures import RENDER_KEY_PATTERN, render_gauge_files
 from gaugeflow.plans.proxy import proxy_catalog, proxy_raw
@@ -35,6 +35,14 @@ def test_two_daily_runs_equal_full_rebuild(spark):
     dq = {(r.table_name, r.check_name, r.columns): r.failures for r in r2.dq.collect()}
     assert dq[("fact", "unique_combination", "dam_key,fecha")] == 0
     assert dq[("snapshot", "unique", "dam_key")] == 0
+    # The second run counted the years it wrote; the sums are those of all rows.
+    rows = spark.read.parquet(f"{root}/wh/raw")
+    scanned = quality.run_suite([t for t in quality.default_suite(cat, rows, cat, fact, cat) if t.name in ("raw", "fact")])
+    assert {k: v for k, v in dq.items() if k[0] in ("raw", "fact")} == {
+        (r.table_name, r.check_name, r.columns): r.failures for r in scanned.collect()}
+    assert len(dq) == 17
+    counts = spark.read.parquet(f"{root}/wh/raw_checks").where("check_name = 'rows'")
+    assert counts.agg(F.sum("failures")).first()[0] == rows.count()
     doc = json.loads(r2.manifest.first().manifest)
     assert doc["latest_archive"]["month"] == "2001-12"
     assert doc["data_max_fecha"] == str(full.agg(F.max(S.DATE)).first()[0])
