@@ -1,9 +1,12 @@
 """Per-key watermark, batch de-duplication and keyed upsert.
 
-Parquet tables have no MERGE, so an upsert is expressed as
-``existing ⟕anti batch ∪ batch`` over the partitions the batch touches,
-published in one write with a dynamic partition overwrite: Spark writes the new
-files beside the old ones and swaps the partitions when the job commits.
+Parquet tables have no MERGE. Where a batch replaces rows, the upsert is
+``existing ⟕anti batch ∪ batch`` over the years of those rows, published in one
+write with a dynamic partition overwrite: Spark writes the new files beside the
+old ones and swaps the partitions when the job commits. Years in which the batch
+replaces nothing, as those of a daily load, get its rows as further files, so
+what is written follows the batch and not the year. Once such files are many, the
+next load that touches the year writes it anew.
 
 Next to a table stand its watermarks (one row per key) and its change feed: the
 (key, year) of every slice that a load added rows to or replaced rows of, with
@@ -25,6 +28,8 @@ from gaugeflow.operators.windows import first_per_group
 from gaugeflow.session import exists, materialize
 
 PARTITION_COL = "year"
+SMALL_FILE = 16 << 20  # bytes under which a file of the table counts as small
+MOST_SMALL_FILES = 32  # small files with which a year is written anew by the next load
 
 
 def watermarks(table: DataFrame, key: str = S.KEY, date_col: str = S.DATE) -> DataFrame:
@@ -78,13 +83,18 @@ def merge_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = (S.K
         raise ValueError(f"unknown mode {mode}")
     if mode == "new_dates":
         batch = after_watermark(batch, watermarks(existing, key, date_col), key, date_col)
-    ts = loaded_at if isinstance(loaded_at, Column) else (
-        F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp"))
-    incoming = batch.withColumn("ingested_at", ts).select(*existing.columns)
+    incoming = _stamped(batch, existing.columns, loaded_at)
     kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.unionByName(incoming)
 
 
+def _stamped(batch: DataFrame, columns: Sequence[str], loaded_at: dt.datetime | Column | None) -> DataFrame:
+    """The rows of a batch as rows of the table with ``columns``."""
+    ts = loaded_at if isinstance(loaded_at, Column) else (
+        F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp"))
+    return batch.withColumn("ingested_at", ts).select(*columns)
+
+
 def with_partition(df: DataFrame, date_col: str = S.DATE) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.year(date_col))
 
@@ -143,16 +153,40 @@ def drop_partitions(spark: SparkSession, target: str, values: Sequence[int]) ->
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def years_to_rewrite(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
+                     date_col: str = S.DATE) -> list[int | None]:
+    """Years of the table at ``target`` to which the rows of the written
+    ``batch`` can not just be added: those in which it replaces rows, those
+    with many small files, and the rows without a date. Of the table only
+    the keys are read, within the dates of the batch; the small files are
+    counted from the listing."""
+    spans = batch.groupBy(F.year(date_col).alias(PARTITION_COL)).agg(
+        F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).collect()  # one row per year
+    years = [r[PARTITION_COL] for r in spans if r[PARTITION_COL] is not None]
+    out: list[int | None] = [None] if len(years) < len(spans) else []
+    if not years:
+        return out
+    within = F.col(date_col).between(min(r.lo for r in spans if r.lo), max(r.hi for r in spans if r.hi))
+    there = spark.read.parquet(target).where(F.col(PARTITION_COL).isin(years) & within).select(PARTITION_COL, *keys)
+    replaced = there.join(batch.select(*keys), list(keys), "left_semi").select(PARTITION_COL).distinct()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(target)
+    small = files.where(F.col(PARTITION_COL).isin(years) & (F.col("length") < SMALL_FILE)).groupBy(PARTITION_COL).count().where(
+        F.col("count") >= MOST_SMALL_FILES).select(PARTITION_COL)
+    return out + sorted(r[0] for r in replaced.union(small).distinct().collect())
+
+
 def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str] = (S.KEY, S.DATE),
                  mode: str = "new_dates", loaded_at: dt.datetime | None = None,
                  date_col: str = S.DATE, marks: DataFrame | None = None) -> int:
     """Apply :func:`merge_rows` to a year-partitioned parquet table at ``target``.
 
     The batch is filtered first (``new_dates``: by the stored watermarks, or by
-    ``marks``) and written to the shared folder; only the years that it then
-    holds are read, merged and replaced, in one write. A batch with nothing
-    new rewrites nothing. Re-running a batch gives the same table. Returns the
-    number of batch rows that were applied.
+    ``marks``) and written to the shared folder. Of the years that it then
+    holds, those of :func:`years_to_rewrite` are read, merged and replaced, in one
+    write; the others get its rows as further files. A batch with nothing new
+    writes nothing. Re-running a batch gives the same table, also after a load
+    that failed in between: what it had added is found and replaced. Returns
+    the number of batch rows that were applied.
     """
     key = keys[0]
     loaded_at = loaded_at or dt.datetime.now()
@@ -166,9 +200,17 @@ def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Seque
         return 0
     # Before the rows: a load that fails in between is redone, and its slices are only looked at twice.
     record_changes(with_partition(batch, date_col), target, loaded_at, key)
-    touched = spark.read.parquet(target).where(F.col(PARTITION_COL).isin([r[0] for r in per_year])).drop(PARTITION_COL)
-    merged = merge_rows(touched, batch, keys, mode="upsert", loaded_at=loaded_at)
-    write_partitions(with_partition(merged, date_col), target, dynamic=True)
+    table = spark.read.parquet(target)
+    columns = [c for c in table.columns if c != PARTITION_COL]
+    redo = years_to_rewrite(spark, target, batch, keys, date_col)
+    of_redo = F.coalesce(F.year(date_col).isin([y for y in redo if y is not None]), F.lit(True))
+    if redo:
+        touched = table.where(F.col(PARTITION_COL).isin([y for y in redo if y is not None])).select(*columns)
+        merged = merge_rows(touched, batch.where(of_redo), keys, mode="upsert", loaded_at=loaded_at)
+        write_partitions(with_partition(merged, date_col), target, dynamic=True)
+    if len(redo) < len(per_year):
+        added = _stamped(batch.where(~of_redo), columns, loaded_at)
+        write_partitions(with_partition(added, date_col), target, mode="append")
     new_marks = stored.unionByName(watermarks(batch, key, date_col)).groupBy(key).agg(F.max("max_fecha").alias("max_fecha"))
     materialize(spark, new_marks, "marks").write.mode("overwrite").parquet(marks_path(target))
     return sum(r[1] for r in per_year)

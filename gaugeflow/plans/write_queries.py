@@ -139,8 +139,8 @@ def q_upsert_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("m1_upsert_partitioned_table", with_ctes(
     f"SELECT dam_key, fecha, {', '.join(S.MEASURES)} FROM raw", raw=PROXY_RAW_SQL))
 def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert into a year-partitioned parquet table: only touched years are
-    rewritten (staged, then dynamic partition overwrite); applied twice."""
+    """Upsert into a year-partitioned parquet table: only years with replaced
+    rows are rewritten (staged, then dynamic partition overwrite); applied twice."""
     raw = ProxyMarts(spark, sf_dir).raw
     target = scratch_path(spark, "raw-table")
     existing = raw.where(F.col(S.DATE) < _d(SPLIT)).withColumn(
@@ -153,6 +153,41 @@ def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_raw(spark, target).select(*RAW_OUT)
 
 
+APPEND_DAYS = ["2001-01-01", "2001-01-02", "2001-01-03"]
+APPEND_FIX = "2000-12-31"
+
+
+@register("m1_j6_appended_days", with_ctes(
+    f"""
+    SELECT dam_key, fecha, {', '.join(m if m != S.VOLUME else f"CASE WHEN fecha = DATE '{APPEND_FIX}' THEN -5.0 ELSE {m} END AS {m}" for m in S.MEASURES)},
+           CASE WHEN fecha >= DATE '{APPEND_DAYS[0]}' THEN date_diff('day', DATE '{APPEND_DAYS[0]}', fecha) + 1
+                WHEN fecha = DATE '{APPEND_FIX}' THEN 4 ELSE 0 END::INTEGER AS load,
+           year(fecha) < year(DATE '{APPEND_FIX}') AND year(fecha) < year(DATE '{APPEND_DAYS[0]}')
+             OR fecha >= DATE '{APPEND_DAYS[0]}' AS own_file
+    FROM raw WHERE fecha <= DATE '{APPEND_DAYS[-1]}'
+    """, raw=PROXY_RAW_SQL))
+def q_appended_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days loaded one by one into a table of all earlier rows, then a
+    corrected day of the year before. ``load``: which of them a row came with;
+    ``own_file``: its file was written by that load and not since, so only the
+    year with corrected rows was written anew."""
+    raw = ProxyMarts(spark, sf_dir).raw.where(F.col(S.DATE) <= _d(APPEND_DAYS[-1]))
+    target = scratch_path(spark, "appended")
+    loads = [LOADED_AT + dt.timedelta(days=i) for i in range(len(APPEND_DAYS) + 2)]
+    upsert.create_table(raw.where(F.col(S.DATE) < _d(APPEND_DAYS[0])).withColumn(
+        "ingested_at", F.lit(loads[0]).cast("timestamp")), target)
+    files = [set(spark.read.parquet(target).inputFiles())]
+    for day, at in zip(APPEND_DAYS, loads[1:], strict=False):
+        upsert.upsert_table(spark, target, raw.where(F.col(S.DATE) == _d(day)).drop("ingested_at"), loaded_at=at)
+        files.append(set(spark.read.parquet(target).inputFiles()) - set().union(*files))
+    fix = raw.where(F.col(S.DATE) == _d(APPEND_FIX)).withColumn(S.VOLUME, F.lit(-5.0)).drop("ingested_at")
+    upsert.upsert_table(spark, target, fix, mode="upsert", loaded_at=loads[-1])
+    born = spark.createDataFrame([("/".join(f.rsplit("/", 2)[1:]), i) for i, part in enumerate(files) for f in part], "name string, born int")
+    rows = spark.read.parquet(target).select(*RAW_OUT, "ingested_at", F.substring_index("_metadata.file_path", "/", -2).alias("name"))
+    load = F.datediff("ingested_at", F.lit(LOADED_AT)).cast("int")
+    return rows.join(born, "name", "left").select(*RAW_OUT, load.alias("load"), F.coalesce(F.col("born") == load, F.lit(False)).alias("own_file"))
+
+
 # ---- incremental fact --------------------------------------------------------
 
 INCR_UNTIL = "2001-03-01"

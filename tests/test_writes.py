@@ -97,6 +97,48 @@ def test_upsert_with_nothing_new_rewrites_nothing(spark):
     assert marks == {"A": D(2019, 5, 1)}
 
 
+def _files(spark, target, year):
+    return sorted(f for f in spark.read.parquet(target).inputFiles() if f"year={year}" in f)
+
+
+def test_a_day_is_added_without_rewriting_its_year(spark, monkeypatch):
+    target = scratch_path(spark, "t-append")
+    rows = {("A", D(2020, 1, d)): float(d) for d in range(1, 11)}
+    upsert.create_table(_raw(spark, [(k, d, v) for (k, d), v in rows.items()]), target)
+    known = _files(spark, target, 2020)
+    for day in (11, 12):  # what is written is the day, not the year
+        batch = _raw(spark, [("A", D(2020, 1, day), float(day)), ("B", D(2021, 1, day), 1.0)]).drop("ingested_at")
+        assert upsert.upsert_table(spark, target, batch) == 2
+        rows |= {("A", D(2020, 1, day)): float(day), ("B", D(2021, 1, day)): 1.0}
+        now = _files(spark, target, 2020)
+        assert set(known) < set(now)
+        new = spark.read.parquet(*(set(now) - set(known)))
+        assert [tuple(r) for r in new.select(S.KEY, S.DATE).collect()] == [("A", D(2020, 1, day))]
+        known = now
+
+    def got():
+        return {(r.dam_key, r.fecha): r.volumen_alm_mm3 for r in ingest.read_raw(spark, target).collect()}
+
+    assert got() == rows and ingest.read_raw(spark, target).count() == len(rows)
+    # a load that added its rows and failed before its watermarks is redone: nothing twice
+    old = upsert.stored_watermarks(spark, target).where("dam_key = 'none'")
+    assert upsert.upsert_table(spark, target, batch, marks=old) == 2
+    assert got() == rows and ingest.read_raw(spark, target).count() == len(rows)
+    # a correction and a late row of one year, a new row of another
+    other = _files(spark, target, 2021)
+    batch = _raw(spark, [("A", D(2020, 1, 3), -3.0), ("A", D(2020, 6, 1), 6.0), ("C", D(2021, 5, 5), 5.0)]).drop("ingested_at")
+    upsert.upsert_table(spark, target, batch, mode="upsert")
+    rows |= {("A", D(2020, 1, 3)): -3.0, ("A", D(2020, 6, 1)): 6.0, ("C", D(2021, 5, 5)): 5.0}
+    assert got() == rows and set(other) < set(_files(spark, target, 2021))
+    # many small files: the next load writes the year anew
+    monkeypatch.setattr(upsert, "MOST_SMALL_FILES", 2)
+    batch = _raw(spark, [("C", D(2021, 5, 6), 6.0)]).drop("ingested_at")
+    upsert.upsert_table(spark, target, batch)
+    rows |= {("C", D(2021, 5, 6)): 6.0}
+    assert got() == rows and len(_files(spark, target, 2021)) == 1
+    assert ingest.read_raw(spark, target).count() == len(rows)
+
+
 def test_reloaded_table_gets_new_watermarks(spark):
     target = scratch_path(spark, "t-reload")
     upsert.create_table(_raw(spark, [("A", D(2020, 1, 1), 1.0)]), target)
