@@ -5,15 +5,21 @@ holds a vantage point, and its children are the rings of equal Hamming
 distance to that point within the block. By the triangle inequality a query
 at ring ``d`` reaches only children whose ring differs by no more than the
 bits that may still differ; and as the blocks are disjoint, the differences
-of all levels add up, so the budget shrinks on the way down. What is left is
-a bounded list of leaves (shards) per fingerprint: its own and those across a
-boundary. Leaves are joined by their number, and each candidate pair is
-checked exactly.
-
-The tree is deep enough that a leaf holds about one random fingerprint, so
-the depth, not the leaf size, grows with the corpus. Only a bounded sample of
-fingerprints reaches the driver, to choose the vantage points; they change
-the balance of the tree, never its answers.
+of all levels add up, so the budget shrinks on the way down.
+
+The upper tree has four wide blocks, from some 2e10 fingerprints on eight. Its
+leaves are shards: every fingerprint goes to its own and, as a query, to those
+across a boundary, 21 or 73 in all for a radius of two, however large the corpus.
+A shard is searched inside its task by the lower tree, whose blocks are parts of
+the upper ones seen from the same vantage points: a ring above is then the sum
+of its rings below, and a lower path belongs to one shard. The lower tree is deep
+enough that a path meets few fingerprints, and each one met is checked exactly.
+The fingerprints of a shard with over ``PIECE`` are dealt by hash into pieces, and so
+are its queries; each pair of the two is a cell of its own. A task holds the
+fingerprints of one cell and streams the queries past them.
+
+Only a bounded sample of fingerprints reaches the driver, to choose the vantage
+points; they change the balance of the tree, never its answers.
 
 Defined results:
 
@@ -32,6 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,10 +51,12 @@ SEED = 42
 SAMPLE = 1024          # fingerprints sampled to choose vantage points
 CANDIDATES = 16        # vantage points tried per level
 SHINGLES_AT_ONCE = 1 << 16
-# Tree depths. A leaf's number must fit 63 bits: it has one digit per level, in a
-# base above the widest block and the radius, so the deepest tree has 21 levels
-# of three or four bits. Beyond some 5e10 fingerprints its leaves hold several.
-DEPTHS = [4, 8, 11, 16, 21]
+SHARD_LEVELS = [4, 8]  # of the upper tree
+DEPTHS = [4, 8, 16]    # of the lower tree; a path's number, one digit per level, fits 63 bits
+PIECE = 1 << 23        # fingerprints of a shard that a task holds
+QUERIES = 1 << 19      # rows searched at once
+ASKING = 1 << 18       # fingerprints whose queries are made by one task
+PAIRS = 1 << 22        # candidates checked at once
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -99,20 +108,21 @@ def _blocks(levels: int) -> list[int]:
     return [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _levels(n: int) -> int:
-    """The depth at which a leaf is expected to hold at most one of ``n``
-    random fingerprints: two of them share a ring of a w-bit block with
-    probability C(2w, w) / 4**w."""
+def _levels(n: int, radius: int = 2) -> int:
+    """The depth at which a lower leaf is expected to hold at most one of ``n``
+    random fingerprints, or the deepest whose numbers fit 63 bits: two of them
+    share a ring of a w-bit block with probability C(2w, w) / 4**w."""
     from math import comb
 
-    for levels in DEPTHS:
+    fit = [x for x in DEPTHS if _base(x, radius) ** x < 1 << 63]
+    for levels in fit:
         share = 1.0
         for mask in _blocks(levels):
             w = mask.bit_count()
             share *= comb(2 * w, w) / 4.0 ** w
         if n * share <= 1:
             return levels
-    return DEPTHS[-1]
+    return fit[-1]
 
 
 def _signed(x: int) -> int:
@@ -131,9 +141,8 @@ def _vantage_points(sample: list[int], masks: list[int]) -> list[int]:
     return out
 
 
-def _paths(levels: int, radius: int, base: int) -> list[int]:
-    """Leaf offsets within the budget, one of each opposite pair (the other
-    end of a link finds the other one)."""
+def _steps(levels: int, radius: int) -> set[tuple[tuple[int, int], ...]]:
+    """The ring differences, as (level, difference), that a radius allows."""
     steps: set[tuple[tuple[int, int], ...]] = {()}
     for r in range(1, radius + 1):
         for at in combinations(range(levels), r):
@@ -143,29 +152,162 @@ def _paths(levels: int, radius: int, base: int) -> list[int]:
                 return [(s * d, *rest) for d in range(1, left - (len(at) - i - 1) + 1) for s in (1, -1)
                         for rest in fill(i + 1, left - d, at)]
             steps.update(tuple(zip(at, v, strict=True)) for v in fill(0, radius))
-    return sorted(sum(d * base ** lv for lv, d in s) for s in steps if not s or s[-1][1] > 0)
+    return steps
+
+
+def _paths(levels: int, radius: int, base: int) -> list[int]:
+    """Leaf offsets within the budget, one of each opposite pair (the other
+    end of a link finds the other one)."""
+    return sorted(sum(d * base ** lv for lv, d in s) for s in _steps(levels, radius) if not s or s[-1][1] > 0)
+
+
+def _base(levels: int, radius: int) -> int:
+    """No two paths share a number in this base."""
+    return max(m.bit_count() for m in _blocks(levels)) + 1 + radius
+
+
+def _below(top: int, levels: int, radius: int) -> dict[int, list[int]]:
+    """For each shard offset to ask, the lower leaf offsets to look up there;
+    of each opposite pair of lower paths one."""
+    base, low, each = _base(top, radius), _base(levels, radius), levels // top
+    out: dict[int, list[int]] = {}
+    for s in _steps(levels, radius):
+        shard = sum(d * base ** (lv // each) for lv, d in s)
+        leaf = sum(d * low ** lv for lv, d in s)
+        if (shard, leaf) >= (0, 0):
+            out.setdefault(shard, []).append(leaf)
+    return out
 
 
-def links(fps: DataFrame, max_bits: int = 2, levels: int | None = None) -> DataFrame:
+def _shard_levels(n: int) -> int:
+    """The depth at which the fullest shard of ``n`` random fingerprints is
+    expected to be a few pieces at most."""
+    from math import comb
+
+    for top in SHARD_LEVELS:
+        share = 1.0
+        for mask in _blocks(top):
+            w = mask.bit_count()
+            share *= comb(w, w // 2) / 2.0 ** w
+        if n * share <= 4 * PIECE:
+            return top
+    return SHARD_LEVELS[-1]
+
+
+def _leaves(fp: np.ndarray, points: list[int], masks: list[int], base: int) -> np.ndarray:
+    """The lower leaf of each fingerprint."""
+    out = np.zeros(len(fp), np.int64)
+    for i, (v, m) in enumerate(zip(points, masks, strict=True)):
+        out += np.bitwise_count((fp ^ np.uint64(v)) & np.uint64(m)).astype(np.int64) * base ** i
+    return out
+
+
+def _met(points: np.ndarray, leaves: np.ndarray, asked: np.ndarray, wanted: np.ndarray, max_bits: int) -> Iterator[np.ndarray]:
+    """Pairs within ``max_bits`` of each of ``asked`` and the ``points``,
+    ordered by leaf, whose leaf is the wanted one."""
+    lo = np.searchsorted(leaves, wanted)
+    count = np.searchsorted(leaves, wanted, "right") - lo
+    some = np.flatnonzero(count)
+    lo, count, asked = lo[some], count[some], asked[some]
+    part = np.cumsum(count) // PAIRS
+    for i in np.split(np.arange(len(some)), np.flatnonzero(np.diff(part)) + 1):
+        c = count[i]
+        q = np.repeat(asked[i], c)
+        p = points[np.repeat(lo[i] - (np.cumsum(c) - c), c) + np.arange(c.sum())]
+        near = (q != p) & (np.bitwise_count(q ^ p) <= max_bits)
+        yield np.stack([q[near], p[near]]).view(np.int64)
+
+
+def _searched(shards: DataFrame, points: list[int], top: int, levels: int, max_bits: int) -> DataFrame:
+    """Links of ``shards`` (shard, cell, step, fp), whose rows come by shard and
+    cell: first its fingerprints, without a step, then the queries."""
+    masks, base = _blocks(levels), _base(levels, max_bits)
+    own = [points[i * top // levels] for i in range(levels)]
+    below = {s: np.array(x, np.int64) for s, x in _below(top, levels, max_bits).items()}
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    most = QUERIES
+
+    def found(held: np.ndarray, asked: np.ndarray, steps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        leaves = _leaves(held, own, masks, base)
+        order = np.argsort(leaves)
+        held, leaves = held[order], leaves[order]
+        at = _leaves(asked, own, masks, base)
+        order = np.argsort(at)
+        asked, steps, at = asked[order], steps[order], at[order]
+        for step in np.unique(steps).tolist():
+            mine = steps == step
+            for offset in below[step]:
+                for q, p in _met(held, leaves, asked[mine], at[mine] + offset, max_bits):
+                    if len(q):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(q, p)), pa.array(np.maximum(q, p))], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, cells, asked, steps = [], [], [], []
+        n, last = 0, None
+
+        def search() -> Iterator[pa.RecordBatch]:
+            if held and asked:
+                yield from found(np.concatenate(held), np.concatenate(asked), np.concatenate(steps))
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if n >= most:
+                # Fingerprints come before queries, so of those held only the ones of the last cell are asked again.
+                yield from search()
+                open_ = np.concatenate(cells) == last
+                held, cells = [np.concatenate(held)[open_]], [np.concatenate(cells)[open_]]
+                asked, steps, n = [], [], 0
+            cell = np.empty(b.num_rows, _CELL)
+            cell["shard"], cell["cell"] = b.column(0).to_numpy(), b.column(1).to_numpy()
+            fp = b.column(3).to_numpy().view(np.uint64)
+            query = pc.is_valid(b.column(2)).to_numpy(zero_copy_only=False)
+            held.append(fp[~query])
+            cells.append(cell[~query])
+            asked.append(fp[query])
+            steps.append(pc.fill_null(b.column(2), 0).to_numpy()[query])
+            n, last = n + b.num_rows, cell[-1]
+        yield from search()
+
+    return shards.mapInArrow(run, "a long, b long")
+
+
+_CELL = np.dtype([("shard", np.int64), ("cell", np.int64)])
+
+
+def links(fps: DataFrame, max_bits: int = 2, levels: int | None = None, top: int | None = None) -> DataFrame:
     """All pairs ``(a, b)``, a < b, of different values of ``fps.fp`` with at
     most ``max_bits`` differing bits. ``fps`` should be a written table. The
-    depth of the tree follows from their number unless ``levels`` is given; it
-    changes the work, not the pairs."""
-    points = fps.select("fp").distinct()
+    depths of the lower and upper tree follow from their number unless ``levels``
+    (a multiple of ``top``) and ``top`` are given; they change the work, not the
+    pairs."""
+    points = stage(fps.select("fp").distinct(), "simhash-points")
     sample = [r[0] for r in points.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
-    levels = levels or _levels(points.count())
-    masks = _blocks(levels)
-    base = max(m.bit_count() for m in masks) + 1 + max_bits  # no two paths share a number
-    leaf = F.lit(0).cast("long")
-    for i, (m, v) in enumerate(zip(masks, _vantage_points(sample, masks), strict=True)):
+    n = points.count()
+    top = top or min(_shard_levels(n), levels or DEPTHS[-1])
+    levels = max(top, levels or _levels(n, max_bits))
+    masks = _blocks(top)
+    base = _base(top, max_bits)
+    vantage = _vantage_points(sample, masks)
+    shard = F.lit(0).cast("long")
+    for i, (m, v) in enumerate(zip(masks, vantage, strict=True)):
         ring = F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(v))).bitwiseAND(F.lit(_signed(m))))
-        leaf = leaf + ring.cast("long") * F.lit(base ** i)
-    tree = stage(points.select("fp", leaf.alias("leaf")), "simhash-tree")
-    offsets = F.array(*[F.lit(o).cast("long") for o in _paths(levels, max_bits, base)])
-    asked = tree.select(F.col("fp").alias("q"), F.explode(F.transform(offsets, lambda o: o + F.col("leaf"))).alias("leaf"))
-    return asked.join(tree, "leaf").filter("q <> fp").filter(
-        F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= max_bits
-    ).select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")).distinct()
+        shard = shard + ring.cast("long") * F.lit(base ** i)
+    tree = stage(points.select("fp", shard.alias("shard")), "simhash-tree")
+    large = stage(tree.groupBy("shard").count().filter(F.col("count") > PIECE).select(
+        "shard", F.ceil(F.col("count") / PIECE).cast("int").alias("pieces")), "simhash-large")
+    pieces = F.coalesce("pieces", F.lit(1))
+    mine = F.pmod(F.xxhash64("fp"), pieces)
+    every = F.explode(F.sequence(F.lit(0), pieces - 1)).alias("i")
+    steps = F.array(*[F.lit(o).cast("long") for o in sorted(_below(top, levels, max_bits))])
+    asking = tree.repartition(max(1, -(-n // ASKING)), "fp").select("fp", F.col("shard").alias("own"), F.explode(steps).alias("step")).select(
+        (F.col("own") + F.col("step")).alias("shard"), "step", "fp")
+    asked = asking.join(large, "shard", "left").select("shard", pieces.alias("n"), mine.alias("mine"), every, "step", "fp").select(
+        "shard", (F.col("i") * F.col("n") + F.col("mine")).cast("long").alias("cell"), "step", "fp")
+    held = tree.join(large, "shard", "left").select("shard", pieces.alias("n"), mine.alias("mine"), every, "fp").select(
+        "shard", (F.col("mine") * F.col("n") + F.col("i")).cast("long").alias("cell"), F.lit(None).cast("long").alias("step"), "fp")
+    shards = held.unionByName(asked).repartition("shard", "cell").sortWithinPartitions("shard", "cell", F.col("step").asc_nulls_first())
+    return _searched(shards, vantage, top, levels, max_bits).distinct()
 
 
 def _groups(rows: DataFrame, max_bits: int) -> DataFrame:

@@ -82,6 +82,50 @@ def test_links_equal_all_pairs(spark):
         assert {tuple(r) for r in S.links(df, levels=levels).collect()} == want, levels
 
 
+def test_links_at_every_depth_cell_and_buffer(spark, monkeypatch):
+    """Both depths of the upper tree, shards cut into cells, cells longer than
+    a buffer, a radius of three: always all pairs, each once."""
+    import random
+
+    rnd = random.Random(8)
+    vals = {rnd.getrandbits(64) for _ in range(300)}
+    for c in sorted(vals)[:20]:
+        for _ in range(40):
+            vals.add(c ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(1, 5))))
+    u = sorted(vals)
+    df = spark.createDataFrame([(S._signed(v),) for v in u], "fp long")
+    want = {r: sorted(tuple(sorted((S._signed(a), S._signed(b)))) for i, a in enumerate(u) for b in u[:i] if (a ^ b).bit_count() <= r)
+            for r in (0, 1, 2, 3)}
+    assert len(want[3]) > len(want[2]) > 200
+    monkeypatch.setattr(S, "QUERIES", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        for piece, radius, levels, top in ((1 << 23, 2, 16, 8), (3, 2, 8, 4), (7, 2, 8, 8), (2, 3, 16, 4), (5, 1, 4, 4), (5, 0, 8, 4)):
+            monkeypatch.setattr(S, "PIECE", piece)
+            got = sorted(tuple(r) for r in S.links(df, max_bits=radius, levels=levels, top=top).collect())
+            assert got == want[radius], (piece, radius, levels, top)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_queries_per_fingerprint_do_not_grow():
+    for n, most in ((10, 21), (10 ** 6, 21), (10 ** 10, 21), (10 ** 11, 73), (10 ** 15, 73)):
+        assert len(S._below(S._shard_levels(n), S._levels(n), 2)) <= most
+
+
+def test_candidates_are_checked_in_parts(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(S, "PAIRS", 5)
+    points = np.arange(40, dtype=np.uint64)
+    leaves = np.sort(np.arange(40) % 4)
+    asked = np.arange(10, dtype=np.uint64)
+    parts = list(S._met(points, leaves, asked, np.arange(10) % 5, 2))
+    got = {tuple(p) for x in parts for p in x.T.tolist()}
+    assert got == {(q, p) for q in range(10) for p in range(40)
+                   if q % 5 < 4 and leaves[p] == q % 5 and q != p and (q ^ p).bit_count() <= 2} and len(parts) > 3
+
+
 def test_depth_stays_within_63_bits():
     for n in (1, 10 ** 5, 10 ** 7, 10 ** 9, 10 ** 10, 10 ** 11, 10 ** 15):
         levels = S._levels(n)
