@@ -2,13 +2,15 @@
 
 Both sides keep the smallest hash of every ``WINDOW`` consecutive ``K``-word
 grams (the rightmost of equals). ``K + WINDOW - 1`` words are 13, so every
-shared run of 13 words has a kept gram at the same place on both sides. The
-fingerprints are joined, and each hit is extended word by word to both sides
-as far as a 13-word window around it can reach; a run of 13 or more equal
-words is contamination. An item of fewer than 13 words is one window: every
-gram of that length is looked up, so it can not be missed either.
-
-Documents are read once. A fixed-size bit table of the benchmark's hashes is
+shared run of 13 words has a kept gram at the same place on both sides. A kept
+gram carries the hashes of the windows that chose it. The fingerprints are joined
+on gram and window, so that a common gram alone makes no pair, and each hit is
+extended word by word to both sides as far as a 13-word window around it can
+reach; a run of 13 or more equal words is contamination. An item of fewer than
+13 words is one window: every gram of that length is looked up, so it can not
+be missed either.
+
+Documents are read once. A fixed-size bit table of the benchmark's windows is
 sent to the tasks, so that only fingerprints which may match leave them; its
 size does not depend on the data, and a full table only sends more rows. The
 join itself is left to Spark, which broadcasts the written benchmark table
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.common import bound_batches, pick, same, stage
@@ -48,33 +50,35 @@ CHUNK_BITS = 15  # of one row of it
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def winnow(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Word indexes of the kept K-grams, ascending, and their hashes."""
+def winnow(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every window, in order: the word index of the K-gram that it keeps,
+    the hash of that gram, and the window's own."""
     h, _ = grams(w, K)
-    n = len(w.start) - SPAN + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    window, whole = grams(w, SPAN)
+    n = len(window)
+    if not n:
+        return np.zeros(0, np.int64), h[:0], window
     low, at = h[:n].copy(), np.zeros(n, np.int8)
     for j in range(1, WINDOW):
         nxt = h[j:j + n]
         better = nxt <= low
         at[better] = j
         np.minimum(low, nxt, out=low)
-    at = np.unique((np.arange(n) + at)[w.doc[:n] == w.doc[SPAN - 1:]])
-    return at, h[at]
+    at = (np.arange(n) + at)[whole]
+    return at, h[at], window[whole]
 
 
-def _kept(w: Words, lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(window length, word indexes, hashes): winnowed grams for the full
-    span, and every gram of each shorter length."""
+def _kept(w: Words, lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(window length, word indexes, gram hashes, window hashes): winnowed
+    grams for the full span, and every gram of each shorter length."""
     yield SPAN, *winnow(w)
     for n in lengths:
         h, whole = grams(w, n)
         at = np.flatnonzero(whole)
-        yield n, at, h[at]
+        yield n, at, h[at], h[at]
 
 
-HITS = "array<struct<span:int, at:int, hash:long, left:int, near:string>>"
+HITS = "array<struct<span:int, at:int, hash:long, left:int, near:string, wins:array<long>>>"
 
 
 def _fingerprints(df: DataFrame, of_items: bool, lengths: list[int], table=None) -> DataFrame:
@@ -85,7 +89,7 @@ def _fingerprints(df: DataFrame, of_items: bool, lengths: list[int], table=None)
     names = [c for c in df.columns if c != "text"]
     schema = df.select(*names, F.lit(0).alias("n_words"), F.lit(None).cast(HITS).alias("hits")).schema
     arrow_hits = pa.list_(pa.struct([("span", pa.int32()), ("at", pa.int32()), ("hash", pa.int64()),
-                                     ("left", pa.int32()), ("near", pa.string())]))
+                                     ("left", pa.int32()), ("near", pa.string()), ("wins", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if table is None else np.frombuffer(table.value, np.uint8)
@@ -94,21 +98,25 @@ def _fingerprints(df: DataFrame, of_items: bool, lengths: list[int], table=None)
                 w = words_of(data, off)
                 count = np.diff(w.first)
                 hits: list[list[dict]] = [[] for _ in count]
-                for span, at, h in _kept(w, sorted({int(c) for c in count if 0 < c < SPAN}) if of_items else lengths):
+                for span, at, h, win in _kept(w, sorted({int(c) for c in count if 0 < c < SPAN}) if of_items else lengths):
                     if of_items and span < SPAN:
                         own = (count[w.doc[at]] == span)
-                        at, h = at[own], h[own]
+                        at, h, win = at[own], h[own], win[own]
                     if bits is not None:
-                        slot = h >> np.uint64(64 - TABLE_BITS)
+                        slot = win >> np.uint64(64 - TABLE_BITS)
                         on = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        at, h = at[on], h[on]
+                        at, h, win = at[on], h[on], win[on]
                     reach = SPAN - K if span == SPAN else 0
-                    for i, x in zip(at.tolist(), h.view(np.int64).tolist(), strict=True):
+                    if not len(at):
+                        continue
+                    at, first = np.unique(at, return_index=True)  # windows that keep one gram follow each other
+                    wins = np.split(win.view(np.int64), first[1:])
+                    for i, x, ws in zip(at.tolist(), h[first].view(np.int64).tolist(), wins, strict=True):
                         d = int(w.doc[i])
                         lo = max(i - reach, int(w.first[d]))
                         hi = min(i + (SPAN if span == SPAN else span), int(w.first[d + 1]))
                         near = w.lower[w.start[lo]:w.end[hi - 1]].tobytes().decode("utf-8", "replace")
-                        hits[d].append({"span": span, "at": i - int(w.first[d]), "hash": x, "left": i - lo, "near": near})
+                        hits[d].append({"span": span, "at": i - int(w.first[d]), "hash": x, "left": i - lo, "near": near, "wins": ws})
                 part = b.slice(row, len(count))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(part.schema.get_field_index(c)) for c in names],
@@ -118,9 +126,9 @@ def _fingerprints(df: DataFrame, of_items: bool, lengths: list[int], table=None)
 
 
 def _bit_table(spark, marks: DataFrame):
-    """The hashes of ``marks`` as a bit table of 2**TABLE_BITS bits, gathered
+    """The windows of ``marks`` as a bit table of 2**TABLE_BITS bits, gathered
     in rows of 2**CHUNK_BITS; its size is fixed."""
-    slot = F.shiftrightunsigned("hash", 64 - TABLE_BITS)
+    slot = F.shiftrightunsigned("win", 64 - TABLE_BITS)
     rows = marks.select(slot.alias("slot")).groupBy(F.shiftright("slot", CHUNK_BITS).alias("chunk")).agg(
         F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))).alias("bits")).collect()
     out = bytearray(1 << (TABLE_BITS - 3))
@@ -141,6 +149,12 @@ def extend(doc: list[str], left: int, item: list[str], item_left: int) -> tuple[
     return back, ahead
 
 
+def paired(hits: DataFrame, near: DataFrame) -> DataFrame:
+    """Each hit with the benchmark contexts of its gram that hold its window:
+    but for hashes that collide, no pair without a shared window."""
+    return hits.join(near, ["hash", "span", "win"])
+
+
 def _extended(pairs: DataFrame) -> DataFrame:
     """Hits that hold a window: the covered words and the benchmark context."""
     def run(batches):
@@ -168,8 +182,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     bound_batches(spark)
     items = stage(_fingerprints(pick(benchmark, item_id="item_id", text="text"), True, [])
                   .select("item_id", F.explode("hits").alias("hit")).select("item_id", "hit.*"), "bench")
-    near = stage(items.select("span", "hash", F.col("left").alias("left2"), F.col("near").alias("near2")).distinct()
-                 .withColumn("context", F.xxhash64("span", "hash", "left2", "near2")), "bench-contexts")
+    near = stage(items.select("span", "hash", F.explode("wins").alias("win"), F.col("left").alias("left2"), F.col("near").alias("near2"))
+                 .distinct().withColumn("context", F.xxhash64("span", "hash", "left2", "near2")), "bench-contexts")
     members = stage(items.filter("item_id is not null").select(
         F.xxhash64("span", "hash", "left", "near").alias("context"),
         F.col("item_id").cast("string").alias("item")).distinct(), "bench-items")
@@ -178,12 +192,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = pick(documents, doc_id="doc_id", text="text").withColumn("mark", F.xxhash64("text"))
     found = stage(_fingerprints(docs, False, lengths, _bit_table(spark, near)), "bench-hits")
     hits = found.filter(F.size("hits") > 0).select("doc_id", "mark", F.explode("hits").alias("hit")).select(
-        "doc_id", "mark", "hit.*")
-    runs = stage(_extended(hits.join(near, ["hash", "span"])).distinct(), "bench-runs")
+        "doc_id", "mark", "hit.*").withColumn("win", F.explode("wins")).drop("wins")
+    runs = stage(_extended(paired(hits, near)).distinct(), "bench-runs")
 
-    covered = runs.select("doc_id", "mark", "lo", "hi").distinct().select(
-        "doc_id", "mark", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("at")).distinct().groupBy(
-        "doc_id", "mark").agg(F.count("*").alias("n_hit"))
+    earlier = Window.partitionBy("doc_id", "mark").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    covered = runs.select("doc_id", "mark", "lo", "hi").distinct().withColumn(
+        "from", F.greatest("lo", F.max("hi").over(earlier))).groupBy("doc_id", "mark").agg(
+        F.sum(F.greatest(F.lit(0), F.col("hi") - F.col("from"))).alias("n_hit"))
     named = runs.select("doc_id", "mark", "context").distinct().join(members, "context").select(
         "doc_id", "mark", "item").distinct().groupBy("doc_id", "mark").agg(
         F.sort_array(F.collect_list("item")).alias("items"))

@@ -68,6 +68,27 @@ def test_against_brute_force(spark):
     assert got == brute(docs, items)
 
 
+def test_common_runs_make_no_pairs(spark, monkeypatch):
+    """Five-word runs that most documents and items hold, without a shared
+    window: no pair leaves the join. With one shared window: one per place."""
+    runs = [" ".join(f"common{r}x{i}" for i in range(5)) for r in range(10)]
+    items = [(i, " ".join(f"{runs[(i + j) % 10]} item{i}w{j} item{i}v{j} item{i}u{j}" for j in range(6))) for i in range(40)]
+    docs = [(d, " ".join(f"{runs[(d + j) % 10]} doc{d}w{j} doc{d}v{j} doc{d}u{j}" for j in range(6))) for d in range(200)]
+    seen = []
+
+    def counted(hits, near):
+        seen.append(real(hits, near).count())
+        return real(hits, near)
+
+    real = D.paired
+    monkeypatch.setattr(D, "paired", counted)
+    assert rows_of(D.decontaminate(*frames(spark, docs, items))) == brute(docs, items)
+    docs[7] = (7, " ".join(items[3][1].split(" ")[5:30]))
+    got = rows_of(D.decontaminate(*frames(spark, docs, items)))
+    assert got == brute(docs, items) and sum(r[5] for r in got) == 1
+    assert seen[0] == 0 and seen[1] == 25 - 12  # one per window of the copied words
+
+
 def test_empty_tables(spark):
     docs, items = frames(spark, [(1, "a b c")], [(1, "a b")])
     none_docs, none_items = frames(spark, [], [])
