@@ -122,7 +122,7 @@ def _cell(c: str) -> Column:
 
 def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = None,
                        cells_override: dict[str, Column] | None = None,
-                       extra_lines: Column | None = None, separator: str = ",") -> None:
+                       extra_lines: Column | None = None, separator: str = ",", bundled: bool = False) -> None:
     """Write daily rows as gauge CSV text: per (entity, span) one file with 7
     metadata lines, the header line and the rows ordered by date. NULL
     measures become empty cells. Rows are hash-partitioned by (key, span):
@@ -131,7 +131,12 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
 
     ``cells_override`` gives the text of a header's cell (to inject NULL
     tokens, bad numbers or dates); ``extra_lines`` (a string Column) adds one
-    more line after each row when non-NULL (to inject ragged lines)."""
+    more line after each row when non-NULL (to inject ragged lines).
+
+    ``bundled`` writes the same files as members of bundles, one per task: each
+    line after the name of its file and a tab (see
+    :mod:`gaugeflow.sources.landing`), so that the number of landed files
+    follows the bytes and not the entities."""
     header = header or RENDERED_HEADER
     by_header = S.GAUGE_MEASURE_HEADERS
     overrides = cells_override or {}
@@ -163,8 +168,17 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
         .select("dam_key", "span", F.posexplode(F.array(*[F.lit(x) for x in meta_lines])).alias("pos", "value"))
         .select("dam_key", "span", (F.col("pos") - len(meta_lines)).alias("line"), "value")
     )
-    (data.unionByName(heads)
-     .repartition("dam_key", "span")
-     .sortWithinPartitions("dam_key", "span", "line")
-     .drop("line")
-     .write.mode("errorifexists").partitionBy("dam_key", "span").text(path))
+    lines = (data.unionByName(heads)
+             .repartition("dam_key", "span")
+             .sortWithinPartitions("dam_key", "span", "line")
+             .drop("line"))
+    if not bundled:
+        lines.write.mode("errorifexists").partitionBy("dam_key", "span").text(path)
+        return
+    # The name that the file would have in its directories.
+    name = F.concat(*[part for c in ("dam_key", "span") for part in (
+        F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")), F.lit("/"))],
+        F.lit("gauge.txt\t"))
+    # A cell's line breaks begin lines too.
+    text = F.when(F.instr("value", "\n") > 0, F.replace("value", F.lit("\n"), F.concat(F.lit("\n"), name))).otherwise(F.col("value"))
+    lines.select(F.concat(name, text).alias("value")).write.mode("errorifexists").text(path)

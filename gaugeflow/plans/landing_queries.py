@@ -3,7 +3,9 @@
 Each query renders the proxy daily table to gauge CSV files under the shared
 folder (one file per entity and date span, with header orders, NULL tokens, bad
 numbers, quoted cells, ragged lines, bad dates and variant headers injected
-from data properties) and parses them back with the real reader.
+from data properties) and parses them back with the real reader. The gauge
+files land as members of bundles: their number grows with the entities, that of
+the bundles with the bytes.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from gaugeflow.plans.oracle import with_ctes
 from gaugeflow.plans.marts_plan import ProxyMarts
 from gaugeflow.plans.proxy import PROXY_RAW_SQL
 from gaugeflow.plans.registry import register
-from gaugeflow.session import scratch_path
+from gaugeflow.session import materialize, scratch_path
 from gaugeflow.sinks import export
 from gaugeflow.sources import landing
 
@@ -59,9 +61,9 @@ def render_messy(raw: DataFrame, root: str) -> list[str]:
     a, b = f"{root}/canonical", f"{root}/reordered"
     d = F.col(S.DATE)
     render_gauge_files(raw.where(d < F.lit(HEADER_SWITCH).cast("date")), a, S.GAUGE_HEADER,
-                       _messy_cells(), _ragged_line())
+                       _messy_cells(), _ragged_line(), bundled=True)
     render_gauge_files(raw.where(d >= F.lit(HEADER_SWITCH).cast("date")), b, RENDERED_HEADER,
-                       _messy_cells(), _ragged_line())
+                       _messy_cells(), _ragged_line(), bundled=True)
     return [a, b]
 
 
@@ -71,14 +73,15 @@ def render_broken(raw: DataFrame, root: str) -> dict[str, str]:
     render_gauge_files(bad_rows, bad, S.GAUGE_HEADER, {
         "Fecha": F.when(F.expr(BROKEN_SQL), F.lit("2001-13-45"))
         .otherwise(F.date_format(S.DATE, "yyyy-MM-dd")),
-    })
+    }, bundled=True)
     var_rows = raw.withColumn(S.KEY, F.concat(S.KEY, F.lit("_VARIANT")))
-    render_gauge_files(var_rows, variant, VARIANT_HEADER, {"Almacenamiento(hm³)": _s(S.VOLUME)})
+    render_gauge_files(var_rows, variant, VARIANT_HEADER, {"Almacenamiento(hm³)": _s(S.VOLUME)}, bundled=True)
     return {"bad": bad, "variant": variant}
 
 
 def _lines(spark: SparkSession, paths) -> DataFrame:
-    return landing.scan_lines(spark, paths, key_pattern=RENDER_KEY_PATTERN, glob="*.txt", recursive=True)
+    return landing.scan_lines(spark, paths, key_pattern=RENDER_KEY_PATTERN, glob="*.txt", recursive=True,
+                              members=True)
 
 
 _PARSE_SQL = with_ctes(
@@ -178,7 +181,7 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = ProxyMarts(spark, sf_dir).raw
     root = scratch_path(spark, "landing")
     good = f"{root}/good"
-    render_gauge_files(raw, good, S.GAUGE_HEADER)
+    render_gauge_files(raw, good, S.GAUGE_HEADER, bundled=True)
     bad = render_broken(raw, root)["bad"]
     rows, _, status = landing.load_lines(_lines(spark, [good, bad]))
     return export.load_stats(rows, status).select(
@@ -223,10 +226,11 @@ def q_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """, raw=PROXY_RAW_SQL))
 def q_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing-tail")
-    render_gauge_files(ProxyMarts(spark, sf_dir).raw, path, S.GAUGE_HEADER)
+    render_gauge_files(ProxyMarts(spark, sf_dir).raw, path, S.GAUGE_HEADER, bundled=True)
     lines = _lines(spark, path)
-    heads = landing.file_heads(lines)
-    trimmed = landing.tail_lines(lines, heads, S.TAIL_ROWS)
+    # Both are read more than once below.
+    heads = materialize(spark, landing.file_heads(lines), "tail-heads")
+    trimmed = materialize(spark, landing.tail_lines(lines, heads, S.TAIL_ROWS), "tail-lines")
     rows, _, _ = landing.load_lines(trimmed)
     return rows.select(S.KEY, S.DATE, *S.MEASURES)
 
@@ -249,7 +253,8 @@ def render_dialects(raw: DataFrame, root: str) -> list[str]:
         if cell is not None:
             noted = F.format_string(cell.replace("{0}", "%s"), F.col(S.KEY))
             cells["Estacion"] = F.when(F.dayofmonth(S.DATE) == 1, noted).otherwise(F.col(S.KEY))
-        render_gauge_files(raw.where(_dialect() == i), f"{root}/dialect{i}", S.GAUGE_HEADER, cells, separator=sep)
+        render_gauge_files(raw.where(_dialect() == i), f"{root}/dialect{i}", S.GAUGE_HEADER, cells, separator=sep,
+                           bundled=True)
         paths.append(f"{root}/dialect{i}")
     return paths
 

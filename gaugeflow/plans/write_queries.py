@@ -26,6 +26,7 @@ from gaugeflow.plans.proxy import PROXY_AS_OF, PROXY_MIN_DATE, PROXY_RAW_SQL
 from gaugeflow.plans.registry import register
 from gaugeflow.session import materialize, scratch_path
 from gaugeflow.sinks import export
+from gaugeflow.sources import landing
 from gaugeflow.streaming import ingest
 
 SPLIT = "2001-01-01"
@@ -487,7 +488,7 @@ def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- streaming ingest --------------------------------------------------------
 
-_STREAM_KW = dict(key_pattern=r"dam_key=([^/]+)/", glob="*.txt")
+_STREAM_KW = dict(key_pattern=r"dam_key=([^/]+)/", glob="*.txt", members=True)
 
 
 @register("t1_streaming_ingest", with_ctes(
@@ -499,9 +500,9 @@ def q_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream")
     landing_dir, target, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/checkpoint"
     kw = dict(loaded_at=LOADED_AT, **_STREAM_KW)
-    render_gauge_files(raw.where(F.col(S.DATE) < _d(SPLIT)), f"{landing_dir}/run_date=2001-01-01", S.GAUGE_HEADER)
+    render_gauge_files(raw.where(F.col(S.DATE) < _d(SPLIT)), f"{landing_dir}/run_date=2001-01-01", S.GAUGE_HEADER, bundled=True)
     ingest.run_ingest(spark, landing_dir, target, ckpt, **kw)
-    render_gauge_files(raw.where(F.col(S.DATE) >= _d(SPLIT)), f"{landing_dir}/run_date=2001-07-01", S.GAUGE_HEADER)
+    render_gauge_files(raw.where(F.col(S.DATE) >= _d(SPLIT)), f"{landing_dir}/run_date=2001-07-01", S.GAUGE_HEADER, bundled=True)
     ingest.run_ingest(spark, landing_dir, target, ckpt, **kw)
     return ingest.read_raw(spark, target).select(*RAW_OUT)
 
@@ -512,9 +513,9 @@ def _streamed_out_of_order(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     raw = ProxyMarts(spark, sf_dir).raw
     root = scratch_path(spark, "stream")
     landing_dir, target, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/checkpoint"
-    render_gauge_files(raw.where(F.col(S.DATE) >= _d(SPLIT)), f"{landing_dir}/a_newest", S.GAUGE_HEADER)
-    render_gauge_files(raw.where(F.col(S.DATE) < _d(SPLIT)), f"{landing_dir}/b_older", S.GAUGE_HEADER)
-    files = raw.select(S.KEY).distinct().count() * 2
+    render_gauge_files(raw.where(F.col(S.DATE) >= _d(SPLIT)), f"{landing_dir}/a_newest", S.GAUGE_HEADER, bundled=True)
+    render_gauge_files(raw.where(F.col(S.DATE) < _d(SPLIT)), f"{landing_dir}/b_older", S.GAUGE_HEADER, bundled=True)
+    files = landing.scan_files(spark, landing_dir, _STREAM_KW["key_pattern"], _STREAM_KW["glob"], recursive=True).count()
     ingest.run_ingest(spark, landing_dir, target, ckpt, loaded_at=LOADED_AT,
                       max_files_per_trigger=max(1, files // 4), **_STREAM_KW)
     return target, ckpt

@@ -8,6 +8,13 @@ over many tasks. The line order inside a file is
 ``(_metadata.file_block_start, monotonically_increasing_id())``: ids increase
 within a task and each block of a file is read in order.
 
+Millions of small files cost more to create, list and open than to read. With
+``members`` the landed files are bundles instead: each line is the name of a
+gauge file, a tab and a line of it, as ``grep -r '' directory`` or a log shipper
+writes them. All lines of a gauge file stand in one bundle, in their order, and a bundle
+is split over tasks like any file. Every step below works per gauge file, whose
+``file`` is then ``<path of the bundle>#/<name>``.
+
 Steps:
 
 1. ``scan_lines``   file path, entity key (from the path), order columns, text
@@ -70,6 +77,7 @@ VARIANT_ALIASES: dict[str, list[str]] = {
 }
 
 ORDER_COLS = ("file_block_start", "line_id")
+MEMBER_MARK = "#/"  # between a bundle's path and a member's name; paths have # encoded
 REASON_CHARS = 200  # of the reason text of a failed file
 
 
@@ -86,8 +94,9 @@ class Parsed:
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str], key_pattern: str = STEM_PATTERN,
-               glob: str | None = "*.csv", recursive: bool = False) -> DataFrame:
-    """All lines of all files under ``path`` with file, key and order."""
+               glob: str | None = "*.csv", recursive: bool = False, members: bool = False) -> DataFrame:
+    """All lines of all files under ``path`` with file, key and order.
+    ``members``: the files are bundles of gauge files, see the module doc."""
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -95,7 +104,7 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str], key_pattern: str
         reader = reader.option("recursiveFileLookup", "true")
     paths = [path] if isinstance(path, str) else list(path)
     df = reader.text(paths)
-    return lines_from_text(df, key_pattern)
+    return lines_from_text(df, key_pattern, members)
 
 
 def scan_files(spark: SparkSession, path: str | Sequence[str], key_pattern: str = STEM_PATTERN,
@@ -121,10 +130,15 @@ def _norm_path(c: Column) -> Column:
     return F.regexp_replace(F.url_decode(c), "^file:/+", "file:/")
 
 
+def _landed_path(file: Column) -> Column:
+    """The landed file of a line's ``file``: of a member, its bundle."""
+    return _norm_path(F.substring_index(file, MEMBER_MARK, 1))
+
+
 def with_empty_files(status: DataFrame, files: DataFrame) -> DataFrame:
     """Add files that produced no line at all (empty files) as 'empty'.
     Line paths are URL-encoded, index paths are not: compare decoded."""
-    seen = status.select(_norm_path(F.col("file")).alias("file"))
+    seen = status.select(_landed_path(F.col("file")).alias("file"))
     empty = files.join(seen, files.file == seen.file, "left_anti").select(
         "file", S.KEY, F.lit("empty").alias("status"),
         *[F.lit(0).cast("long").alias(c) for c in ("data_rows", "rejected_rows", "bad_dates")],
@@ -134,16 +148,28 @@ def with_empty_files(status: DataFrame, files: DataFrame) -> DataFrame:
 
 def without_files(files: DataFrame, known: DataFrame) -> DataFrame:
     """Files of the list that ``known`` (a frame with their paths) lacks."""
-    seen = known.select(_norm_path(F.col("file")).alias("_seen")).distinct()
+    seen = known.select(_landed_path(F.col("file")).alias("_seen")).distinct()
     return files.join(seen, F.col("file") == F.col("_seen"), "left_anti")
 
 
-def lines_from_text(df: DataFrame, key_pattern: str = STEM_PATTERN) -> DataFrame:
-    """Add file, key and line order to a ``text`` DataFrame (batch or stream)."""
+def lines_from_text(df: DataFrame, key_pattern: str = STEM_PATTERN, members: bool = False) -> DataFrame:
+    """Add file, key and line order to a ``text`` DataFrame."""
+    return ordered_lines(df.select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("file_block_start")), key_pattern, members)
+
+
+def ordered_lines(df: DataFrame, key_pattern: str = STEM_PATTERN, members: bool = False) -> DataFrame:
+    """Key and line order for lines that have their file and block."""
+    if members:
+        at = F.instr("value", "\t")
+        df = df.withColumns({
+            "file": F.when(at > 0, F.concat("file", F.lit(MEMBER_MARK), F.substring_index("value", "\t", 1))).otherwise(F.col("file")),
+            "value": F.substr("value", at + 1)})
     return df.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.regexp_extract(F.col("_metadata.file_path"), key_pattern, 1).alias(S.KEY),
-        F.col("_metadata.file_block_start").alias("file_block_start"),
+        "file",
+        F.regexp_extract("file", key_pattern, 1).alias(S.KEY),
+        "file_block_start",
         F.monotonically_increasing_id().alias("line_id"),
         F.regexp_replace("value", "\r$", "").alias("value"),
     )
@@ -182,7 +208,7 @@ def _split_at(line: Column, sep: str) -> Column:
     pattern = "\\|" if sep == "|" else sep
     quoted = F.transform(
         F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(CELL.format(pattern)), F.lit(1)),
-        lambda c: F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"'),
+        lambda c: F.when(F.instr(c, '"') > 0, F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"')).otherwise(c),
     )
     return F.when(F.instr(line, '"') > 0, quoted).otherwise(F.split(line, pattern, -1))
 
@@ -269,21 +295,23 @@ def _cells_of(lines: DataFrame, headers: DataFrame, aliases: dict[str, list[str]
         .where(F.trim(F.col("value")) != "")
         .withColumn("_cells", split_cells(F.col("value"), F.col("_sep")))
     )
-    # Cells first, each looked up once; then what is made of them.
-    cells, at = {}, 0
-    for h0, spelled in names.items():
+    # Cells first, each looked up once; then what is made of them. All measures
+    # in one expression: six times the cast of one made a method so long that
+    # the JVM only interpreted it.
+    picked, at = [], 0
+    for spelled in names.values():
         picks = [F.get("_cells", F.get("_places", F.lit(at + i))) for i in range(len(spelled))]
-        cells[h0] = null_tokens(picks[0] if len(picks) == 1 else F.coalesce(*picks))
+        picked.append(picks[0] if len(picks) == 1 else F.coalesce(*picks))
         at += len(spelled)
-    columns = {h0: S.GAUGE_MEASURE_HEADERS.get(h0, "_date_cell") for h0 in names}
+    measures = [S.GAUGE_MEASURE_HEADERS[h0] for h0 in names if h0 != S.GAUGE_DATE_HEADER]
     looked_up = data.select("file", S.KEY, *ORDER_COLS, "value", (F.size("_cells") != F.col("_width")).alias("_ragged"),
-                            *[c.alias(columns[h0]) for h0, c in cells.items()])
-    return looked_up.select(
+                            null_tokens(picked[0]).alias("_date_cell"), F.transform(F.array(*picked[1:]), lambda c: null_tokens(c)).alias("_numbers"))
+    read = looked_up.select(
         "file", S.KEY, *ORDER_COLS, "value", "_ragged", "_date_cell",
         *[d.alias(c) for c, d in zip(DATE_ORDERS, _date_forms(F.col("_date_cell"), date_formats))],
-        _odd_quotes().alias("_odd"),
-        *[try_double(c).alias(c) for c in S.GAUGE_MEASURE_HEADERS.values()],
-    )
+        _odd_quotes().alias("_odd"), F.transform("_numbers", try_double).alias("_numbers"))
+    return read.select("file", S.KEY, *ORDER_COLS, "value", "_ragged", "_date_cell", *DATE_ORDERS, "_odd",
+                       *[F.get("_numbers", F.lit(i)).alias(c) for i, c in enumerate(measures)])
 
 
 def _finish(parsed: DataFrame, headers: DataFrame) -> Parsed:
@@ -384,7 +412,8 @@ def tail_lines(lines: DataFrame, heads: DataFrame, n: int = S.TAIL_ROWS, per: st
     h = heads.select("file", "header_block", "header_id")
     marked = lines.join(h, "file", "inner")
     is_data = after_header()
-    data = marked.where(is_data).withColumn("_o", F.struct(F.col("file"), *[F.col(c) for c in ORDER_COLS]))
+    place = ORDER_COLS if per == "file" else ("file", *ORDER_COLS)
+    data = marked.where(is_data).withColumn("_o", F.struct(*place))
     last = latest_per_key(data, per, "_o", n).drop("_o")
     head = marked.where(~is_data)
     return head.unionByName(last).drop("header_block", "header_id")

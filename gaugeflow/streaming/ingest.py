@@ -40,17 +40,6 @@ def batches_path(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}_batches"
 
 
-def _batch_lines(df: DataFrame, key_pattern: str) -> DataFrame:
-    """Line order for one micro-batch (a static DataFrame)."""
-    return df.select(
-        F.col("file"),
-        F.regexp_extract("file", key_pattern, 1).alias(S.KEY),
-        F.col("file_block_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-        F.regexp_replace("value", "\r$", "").alias("value"),
-    )
-
-
 def start_ingest(
     spark: SparkSession,
     landing_dir: str,
@@ -60,11 +49,13 @@ def start_ingest(
     aliases: dict[str, list[str]] | None = None,
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
+    members: bool = False,
 ) -> StreamingQuery:
     """Start a run-once (``availableNow``) stream that parses the files of
     ``landing_dir``. Call ``awaitTermination()``, then :func:`merge_batches`;
     :func:`run_ingest` does both. With ``archive_dir`` the source moves files
-    there once a later batch shows that they are done with."""
+    there once a later batch shows that they are done with. ``members``: the
+    files are bundles of gauge files (see :mod:`gaugeflow.sources.landing`)."""
     reader = (spark.readStream.format("text")
               .option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true"))
@@ -82,7 +73,7 @@ def start_ingest(
     def process(batch: DataFrame, epoch_id: int) -> None:
         # The lines are written first (line ids fixed, lineage cut) and parsed
         # through the main session, so adaptive execution applies.
-        lines = materialize(spark, _batch_lines(batch, key_pattern), f"stream-lines-{epoch_id}")
+        lines = materialize(spark, landing.ordered_lines(batch, key_pattern, members), f"stream-lines-{epoch_id}")
         rows, _, status = landing.load_lines(lines, aliases=aliases)
         rows.write.mode("overwrite").parquet(f"{out}/rows/{BATCH_COL}={epoch_id}")
         status.write.mode("overwrite").parquet(f"{out}/status/{BATCH_COL}={epoch_id}")

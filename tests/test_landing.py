@@ -295,3 +295,50 @@ def test_line_breaks_in_quoted_cells(spark, tmpdir_path):
         assert {r.status for r in status.collect()} == {"ok"} and rejects.count() == 6
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_bundles_of_many_files(spark, tmpdir_path):
+    """Gauge files as members of bundles: the same rows, rejects and status as
+    from files of their own, and far fewer landed files."""
+    from gaugeflow.plans.fixtures import RENDER_KEY_PATTERN, render_gauge_files
+
+    raw = spark.range(1200).selectExpr(
+        "concat('D', cast(id % 40 as string)) as dam_key", "date_add(date'2000-11-01', cast(id div 40 as int) * 2) as fecha",
+        *[f"cast(id + {i} as double) as {m}" for i, m in enumerate(S.MEASURES)])
+    note = F.when(F.dayofmonth(S.DATE) == 1, F.lit('"a\nb"')).otherwise(F.col(S.KEY))
+    seen = []
+    for bundled in (False, True):
+        d = f"{tmpdir_path}/{bundled}"
+        render_gauge_files(raw, d, S.GAUGE_HEADER, {"Estacion": note}, F.when(F.dayofmonth(S.DATE) == 3, F.lit("x,1")), bundled=bundled)
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        try:
+            where = dict(key_pattern=RENDER_KEY_PATTERN, glob="*.txt", recursive=True)
+            files = landing.scan_files(spark, d, **where)
+            rows, rejects, status = landing.load_lines(landing.scan_lines(spark, d, members=bundled, **where), files=files)
+            seen.append([sorted(map(tuple, x.collect())) for x in (
+                rows.select(S.KEY, S.DATE, *S.MEASURES), rejects.select(S.KEY, "value"),
+                status.select(S.KEY, F.regexp_extract("file", r"span=(\d+)/", 1), "status", "data_rows", "rejected_rows"))])
+            landed = files.count()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert seen[0] == seen[1] and len(seen[1][0]) == 1200 and len(seen[1][2]) == 80 and landed <= 8
+
+
+def test_tail_of_bundled_files(spark, tmpdir_path):
+    """Members are trimmed each for itself; lines without a name belong to the
+    landed file; a bundle with lines is not an empty file."""
+    d = f"{tmpdir_path}/a#b"
+    text = gauge([row("A", f"2020-01-{i:02d}", vol=str(i)) for i in range(1, 10)])
+    other = gauge([row("B", "2020-02-01")])
+    write_file(f"{d}/all.csv", "".join(f"dam_key={k}/g.csv\t{x}\n" for k, t in (("A", text), ("B", other)) for x in t.splitlines()))
+    write_file(f"{d}/dam_key=C/own.csv", gauge([row("C", "2020-03-01")]))
+    write_file(f"{d}/dam_key=E/none.csv", "")
+    where = dict(key_pattern=r"dam_key=([^/]+)/", recursive=True)
+    lines = landing.scan_lines(spark, d, members=True, **where)
+    _, _, status = landing.load_lines(lines, files=landing.scan_files(spark, d, **where))
+    assert sorted((r.dam_key, r.status, r.data_rows) for r in status.collect()) == [
+        ("A", "ok", 9), ("B", "ok", 1), ("C", "ok", 1), ("E", "empty", 0)]
+    rows, _, _ = landing.load_lines(landing.tail_lines(lines, landing.file_heads(lines), 2))
+    assert sorted((r.dam_key, str(r.fecha)) for r in rows.collect()) == [
+        ("A", "2020-01-08"), ("A", "2020-01-09"), ("B", "2020-02-01"), ("C", "2020-03-01")]
