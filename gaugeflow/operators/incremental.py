@@ -44,10 +44,16 @@ def slices_of(fact: DataFrame) -> DataFrame:
     columns = [c for c in S.FACT_COLUMNS if c in fact.columns]
     # The hash passes over nulls, so their places are hashed too.
     nulls = sum((F.col(c).isNull().cast("int") * (1 << i) for i, c in enumerate(columns)), F.lit(0))
-    return fact.groupBy(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).agg(
-        F.sum(F.xxhash64(*columns, nulls).cast("decimal(38,0)")).alias("digest"), F.max(S.DATE).alias("last_date"), F.max_by(S.VOLUME, S.DATE).alias("last_volume"),
-        # One dimension row made all rows of a slice.
-        *[F.max(c).alias(c) for c in DIM_COLS])
+    # One dimension row made all rows of a slice. By its state first: all that
+    # is left to aggregate are numbers and dates, so the rows are hashed; the
+    # largest text of a group would have them sorted.
+    state, numbers = DIM_COLS[0], DIM_COLS[1:]
+    per_state = fact.groupBy(S.KEY, F.year(S.DATE).alias(PARTITION_COL), state).agg(
+        F.sum(F.xxhash64(*columns, nulls).cast("decimal(38,0)")).alias("digest"), F.max(S.DATE).alias("last_date"),
+        F.max_by(S.VOLUME, S.DATE).alias("last_volume"), *[F.max(c).alias(c) for c in numbers])
+    return per_state.groupBy(*SLICE).agg(
+        F.sum("digest").cast("decimal(38,0)").alias("digest"), F.max("last_date").alias("last_date"),
+        F.max_by("last_volume", "last_date").alias("last_volume"), *[F.max(c).alias(c) for c in DIM_COLS])
 
 
 def touched_slices(source: DataFrame, slices: DataFrame, feed: DataFrame, seen_until: dt.date, as_of: dt.date) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
@@ -29,6 +29,7 @@ from gaugeflow.session import exists, materialize
 
 PARTITION_COL = "year"
 SMALL_FILE = 16 << 20  # bytes under which a file of the table counts as small
+YEAR_PART = 2 * SMALL_FILE  # bytes of a year's files in the table per part of it that one task merges
 MOST_SMALL_FILES = 32  # small files with which a year is written anew by the next load
 
 
@@ -110,6 +111,29 @@ def write_partitions(df: DataFrame, target: str, mode: str = "overwrite", dynami
     writer.partitionBy(PARTITION_COL).parquet(target)
 
 
+def merge_partitions(spark: SparkSession, touched: DataFrame, batch: DataFrame, target: str, keys: Sequence[str]) -> None:
+    """Replace the years of ``touched`` (their rows in the table at ``target``)
+    and ``batch`` (rows of the table, unique on ``keys``) by the upsert of
+    both, as :func:`merge_rows` does. The rows are shuffled once: by year and
+    by as many hashes of their keys as the year has ``YEAR_PART`` of files, so
+    that a task has whole keys and writes files of that size."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(target)
+    sizes = files.groupBy(PARTITION_COL).agg(F.sum("length").alias("n")).where("n >= %d" % (2 * YEAR_PART)).collect()  # one row per year
+    parts = F.lit(1)
+    for r in sizes:
+        parts = F.when(F.col(PARTITION_COL) == r[PARTITION_COL], F.lit(int(r["n"] // YEAR_PART))).otherwise(parts)
+    both = touched.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
+    cut = both.withColumn("_part", F.pmod(F.xxhash64(*keys), parts)).repartition(PARTITION_COL, "_part")
+    replaced = F.max("_new").over(Window.partitionBy(PARTITION_COL, "_part", *keys))
+    # As in a join, a key with a null is like no other.
+    alone = F.lit(False)
+    for k in keys:
+        alone = alone | F.col(k).isNull()
+    merged = cut.withColumn("_replaced", replaced).where(F.col("_new") | ~F.col("_replaced") | alone)
+    merged.drop("_new", "_part", "_replaced").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        PARTITION_COL).parquet(target)
+
+
 def marks_path(target: str) -> str:
     return f"{target.rstrip('/')}_marks"
 
@@ -206,8 +230,8 @@ def upsert_table(spark: SparkSession, target: str, batch: DataFrame, keys: Seque
     of_redo = F.coalesce(F.year(date_col).isin([y for y in redo if y is not None]), F.lit(True))
     if redo:
         touched = table.where(F.col(PARTITION_COL).isin([y for y in redo if y is not None])).select(*columns)
-        merged = merge_rows(touched, batch.where(of_redo), keys, mode="upsert", loaded_at=loaded_at)
-        write_partitions(with_partition(merged, date_col), target, dynamic=True)
+        merge_partitions(spark, with_partition(touched, date_col),
+                         with_partition(_stamped(batch.where(of_redo), columns, loaded_at), date_col), target, keys)
     if len(redo) < len(per_year):
         added = _stamped(batch.where(~of_redo), columns, loaded_at)
         write_partitions(with_partition(added, date_col), target, mode="append")

@@ -343,3 +343,39 @@ def test_watermark_gaps_and_load_stats(spark):
                                    "file string, dam_key string, status string")
     st = export.load_stats(batch, status).first()
     assert (st.total_rows, st.max_fecha, st.files_ok, st.files_failed) == (4, D(2020, 3, 1), 1, 2)
+
+
+def test_years_are_merged_in_parts(spark, monkeypatch):
+    """Years are merged part by part, in one write; rows with null keys, which
+    no batch row replaces, and doubled rows of the table stay."""
+    target = scratch_path(spark, "t-merge")
+    rows = [("A", D(2020, 1, i), float(i)) for i in range(1, 20)] + [("B", D(2021, 1, 1), 1.0), ("B", D(2021, 1, 1), 2.0), ("-", D(2020, 1, 3), 9.0)]
+    no_key = F.when(F.col("dam_key") != "-", F.col("dam_key"))
+    upsert.create_table(_raw(spark, rows).withColumn("dam_key", no_key), target)
+    batch = _raw(spark, [("A", D(2020, 1, 3), 30.0), ("-", D(2020, 1, 3), 90.0), ("C", D(2021, 2, 1), 5.0), ("A", D(2020, 1, 20), 20.0)]).drop("ingested_at").withColumn("dam_key", no_key)
+    monkeypatch.setattr(upsert, "YEAR_PART", 100)  # many parts
+    plans, shown = [], upsert.merge_partitions
+
+    def spied(spark, touched, new, *a):
+        kept = touched.join(new, ["dam_key", "fecha"], "left_anti").count()
+        plans.append(kept)
+        shown(spark, touched, new, *a)
+
+    monkeypatch.setattr(upsert, "merge_partitions", spied)
+    upsert.upsert_table(spark, target, batch, mode="upsert")
+    got = sorted((r.dam_key or "", str(r.fecha), r.volumen_alm_mm3) for r in ingest.read_raw(spark, target).collect())
+    want = [(k.strip("-"), str(d), v) for k, d, v in rows if (k, d) != ("A", D(2020, 1, 3))]
+    want += [("A", "2020-01-03", 30.0), ("", "2020-01-03", 90.0), ("C", "2021-02-01", 5.0), ("A", "2020-01-20", 20.0)]
+    assert got == sorted(want) and plans == [19]
+
+
+def test_slices_are_hashed_not_sorted(spark):
+    """The scan of a fact's rows feeds a hash aggregate; a slice whose rows
+    have several states is still one row."""
+    fact = spark.createDataFrame(
+        [("A", D(2020, 1, 1), "X", 1.0, 5.0), ("A", D(2020, 1, 2), "Y", None, 6.0), ("A", D(2020, 1, 3), None, 3.0, None)],
+        "dam_key string, fecha date, state string, volumen_alm_mm3 double, namo_oficial_mm3 double").withColumn("name_oficial_mm3", F.lit(1.0))
+    r = incremental.slices_of(fact).collect()
+    assert [(x.dam_key, x.year, x.last_date, x.last_volume, x.state, x.namo_oficial_mm3) for x in r] == [("A", 2020, D(2020, 1, 3), 3.0, "Y", 6.0)]
+    of_rows = [x for x in incremental.slices_of(fact)._jdf.queryExecution().sparkPlan().toString().splitlines() if "xxhash64" in x and "Aggregate" in x]
+    assert of_rows and all("HashAggregate" in x for x in of_rows)
