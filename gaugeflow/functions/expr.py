@@ -50,6 +50,9 @@ WHITESPACE = (" \t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u
 # A number as SQL and CSV readers take it: no type suffix (12d), no hexadecimal.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity|nan)$"
 
+# Characters of numbers that every reader takes alike.
+PLAIN_NUMBERS = r"^[-+0-9. ]*+\z"
+
 
 def strip_ws(col: Column | str) -> Column:
     r"""Strip leading and trailing whitespace of every kind; NULL stays NULL (P5).
@@ -79,6 +82,15 @@ def try_double(col: Column | str) -> Column:
     return F.when(odd, F.when(F.rlike(text, F.lit(NUMBER)), text.try_cast("double"))).otherwise(value)
 
 
+def try_doubles(texts: Column | str) -> Column:
+    """:func:`try_double` of every element of an array. Of texts that hold only
+    digits, points, signs and blanks the cast decides; it casts a whole array
+    in compiled code, while a function of the elements is interpreted."""
+    c = _c(texts)
+    plain = F.rlike(F.array_join(c, " "), F.lit(PLAIN_NUMBERS))
+    return F.when(plain, c.try_cast("array<double>")).otherwise(F.transform(c, try_double))
+
+
 def try_int(col: Column | str, strict: bool = False) -> Column:
     """Text -> nullable int (P4). Whole numbers ("12", "12.0") convert;
     fractional values are NULL, or raise when ``strict``."""

@@ -42,14 +42,14 @@ closed by then, or whose lines together do not fit the header, joins nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.functions.expr import null_tokens, strip_ws, try_double
+from gaugeflow.functions.expr import null_tokens, strip_ws, try_doubles
 from gaugeflow.operators.windows import first_n_per_key, latest_per_key
 from gaugeflow.session import materialize
 
@@ -59,6 +59,8 @@ SEPARATORS = [",", ";", "\t", "|"]
 # One cell after its separator, in one pass: characters outside quotes, or
 # quoted runs in which separators do not count.
 CELL = r'{0}((?:[^"{0}]++|"[^"]*+(?:"|$))*+)'
+# A line whose quoted runs are all closed and hold no separator.
+NO_QUOTED_SEPARATOR = r'^[^"]*+(?:"[^"{0}]*+"[^"]*+)*+\z'
 # A date, or the date part of a timestamp text.
 TIME_TEXT = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?)?$"
 YEAR_FIRST = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})" + TIME_TEXT
@@ -171,7 +173,7 @@ def ordered_lines(df: DataFrame, key_pattern: str = STEM_PATTERN, members: bool
         F.regexp_extract("file", key_pattern, 1).alias(S.KEY),
         "file_block_start",
         F.monotonically_increasing_id().alias("line_id"),
-        F.regexp_replace("value", "\r$", "").alias("value"),
+        F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value")).alias("value"),
     )
 
 
@@ -204,13 +206,35 @@ def after_header() -> Column:
         (F.col("file_block_start") == F.col("header_block")) & (F.col("line_id") > F.col("header_id")))
 
 
-def _split_at(line: Column, sep: str) -> Column:
+def _unquoted(cell: Column) -> Column:
+    """A cell without its outer quotes, doubled quotes unescaped. Most quoted
+    cells are one quoted run, whose inside is cut out."""
+    inside = F.substr(cell, F.lit(2), F.length(cell) - 2)
+    whole = F.startswith(cell, F.lit('"')) & F.endswith(cell, F.lit('"')) & (F.length(cell) > 1) & (F.instr(inside, '"') == 0)
+    return F.when(F.instr(cell, '"') == 0, cell).when(whole, inside).otherwise(
+        F.regexp_replace(F.regexp_replace(cell, r'^\s*"|"\s*$', ""), '""', '"'))
+
+
+def _raw_split_at(line: Column, sep: str) -> Column:
+    """Quote-aware split that leaves the quotes in the cells. The plain split
+    is right unless a separator stands in a quoted run."""
     pattern = "\\|" if sep == "|" else sep
-    quoted = F.transform(
-        F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(CELL.format(pattern)), F.lit(1)),
-        lambda c: F.when(F.instr(c, '"') > 0, F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"')).otherwise(c),
-    )
-    return F.when(F.instr(line, '"') > 0, quoted).otherwise(F.split(line, pattern, -1))
+    quoted = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(CELL.format(pattern)), F.lit(1))
+    plain = (F.instr(line, '"') == 0) | F.rlike(line, F.lit(NO_QUOTED_SEPARATOR.format(pattern)))
+    return F.when(plain, F.split(line, pattern, -1)).otherwise(quoted)
+
+
+def _split_at(line: Column, sep: str) -> Column:
+    cells = _raw_split_at(line, sep)
+    return F.when(F.instr(line, '"') > 0, F.transform(cells, _unquoted)).otherwise(cells)
+
+
+def _by_separator(separator: Column, made: Callable[[str], Column]) -> Column:
+    """``made`` of the line's separator."""
+    cells = made(SEPARATORS[-1])
+    for sep in reversed(SEPARATORS[:-1]):
+        cells = F.when(separator == sep, made(sep)).otherwise(cells)
+    return cells
 
 
 def split_cells(line: Column, separator: Column | None = None) -> Column:
@@ -219,10 +243,7 @@ def split_cells(line: Column, separator: Column | None = None) -> Column:
     without a quote take the plain split."""
     if separator is None:
         return _split_at(line, ",")
-    cells = _split_at(line, SEPARATORS[-1])
-    for sep in reversed(SEPARATORS[:-1]):
-        cells = F.when(separator == sep, _split_at(line, sep)).otherwise(cells)
-    return cells
+    return _by_separator(separator, lambda sep: _split_at(line, sep))
 
 
 def _date_forms(cell: Column, formats: Sequence[str] = ()) -> list[Column]:
@@ -288,30 +309,36 @@ def _cells_of(lines: DataFrame, headers: DataFrame, aliases: dict[str, list[str]
     """Data lines with their cells read: measures, the date in every order."""
     names = _names(aliases)
     usable = headers.where(F.col("_hdr").isNotNull() & ~F.col("_missing")).select(
-        "file", "header_block", "header_id", "_sep", "_places", "_width")
+        "file", S.KEY, "header_block", "header_id", "_sep", "_places", "_width")
     data = (
-        lines.join(usable, "file", "inner")
+        # The key of a file is known from its header: not looked for in every line.
+        lines.drop(S.KEY).join(usable, "file", "inner")
         .where(after_header())
         .where(F.trim(F.col("value")) != "")
-        .withColumn("_cells", split_cells(F.col("value"), F.col("_sep")))
+        .withColumn("_cells", _by_separator(F.col("_sep"), lambda sep: _raw_split_at(F.col("value"), sep)))
     )
-    # Cells first, each looked up once; then what is made of them. All measures
-    # in one expression: six times the cast of one made a method so long that
-    # the JVM only interpreted it.
+    # Cells first, each looked up once; then what is made of them: only those
+    # that are read lose their quotes. All measures in one expression: six times
+    # the cast of one made a method so long that the JVM only interpreted it.
     picked, at = [], 0
     for spelled in names.values():
         picks = [F.get("_cells", F.get("_places", F.lit(at + i))) for i in range(len(spelled))]
         picked.append(picks[0] if len(picks) == 1 else F.coalesce(*picks))
         at += len(spelled)
     measures = [S.GAUGE_MEASURE_HEADERS[h0] for h0 in names if h0 != S.GAUGE_DATE_HEADER]
+    names_of = [f"_text{i}" for i in range(len(picked))]
     looked_up = data.select("file", S.KEY, *ORDER_COLS, "value", (F.size("_cells") != F.col("_width")).alias("_ragged"),
-                            null_tokens(picked[0]).alias("_date_cell"), F.transform(F.array(*picked[1:]), lambda c: null_tokens(c)).alias("_numbers"))
-    read = looked_up.select(
+                            *[c.alias(n) for c, n in zip(picked, names_of)])
+    texts = F.when(F.instr("value", '"') > 0, F.transform(F.array(*names_of), lambda c: null_tokens(_unquoted(c)))).otherwise(
+        F.array(*map(null_tokens, names_of)))
+    read = looked_up.select("file", S.KEY, *ORDER_COLS, "value", "_ragged", texts.alias("_texts")).select(
+        "*", F.get("_texts", F.lit(0)).alias("_date_cell"), F.slice("_texts", 2, len(measures)).alias("_numbers")).select(
         "file", S.KEY, *ORDER_COLS, "value", "_ragged", "_date_cell",
         *[d.alias(c) for c, d in zip(DATE_ORDERS, _date_forms(F.col("_date_cell"), date_formats))],
-        _odd_quotes().alias("_odd"), F.transform("_numbers", try_double).alias("_numbers"))
-    return read.select("file", S.KEY, *ORDER_COLS, "value", "_ragged", "_date_cell", *DATE_ORDERS, "_odd",
-                       *[F.get("_numbers", F.lit(i)).alias(c) for i, c in enumerate(measures)])
+        _odd_quotes().alias("_odd"), try_doubles("_numbers").alias("_numbers"))
+    # The text of a line is kept where it is reported: of rejected lines.
+    return read.select("file", S.KEY, *ORDER_COLS, F.when(F.col("_ragged"), F.col("value")).alias("value"), "_ragged", "_date_cell",
+                       *DATE_ORDERS, "_odd", *[F.get("_numbers", F.lit(i)).alias(c) for i, c in enumerate(measures)])
 
 
 def _finish(parsed: DataFrame, headers: DataFrame) -> Parsed:

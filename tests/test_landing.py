@@ -342,3 +342,32 @@ def test_tail_of_bundled_files(spark, tmpdir_path):
     rows, _, _ = landing.load_lines(landing.tail_lines(lines, landing.file_heads(lines), 2))
     assert sorted((r.dam_key, str(r.fecha)) for r in rows.collect()) == [
         ("A", "2020-01-08"), ("A", "2020-01-09"), ("B", "2020-02-01"), ("C", "2020-03-01")]
+
+
+def test_doubles_of_an_array_equal_those_of_its_elements(spark):
+    from gaugeflow.functions.expr import try_double, try_doubles
+
+    texts = ["1", " 2 ", "-.5", "5.", "1d", "0x1p3", "inf", "NaN", "1e5", "1 2", "--1", "", "x", None, "3\t"]
+    df = spark.createDataFrame([([a, b],) for a in texts for b in texts], "c array<string>")
+    both = df.select("c", try_doubles("c").alias("n"), F.transform("c", try_double).alias("o"))
+    assert both.where(~F.col("n").eqNullSafe(F.col("o"))).isEmpty()
+
+
+def test_quoted_cells_split_as_by_the_full_pattern(spark):
+    import itertools
+
+    cells = ["a", '""', '"b"', '"b,c"', ' "b" ', '"x""y"', 'b"c', '"q', "", '"\n"', '"']
+    rows = spark.createDataFrame([(",".join(c),) for c in itertools.product(cells, repeat=3)], "line string")
+    full = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(","), "line"), F.lit(landing.CELL.format(",")), F.lit(1)),
+        lambda c: F.when(F.instr(c, '"') > 0, F.regexp_replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), '""', '"')).otherwise(c))
+    assert rows.where(~landing.split_cells(F.col("line")).eqNullSafe(full)).isEmpty()
+
+
+def test_text_is_staged_of_rejected_lines_only(spark, tmp_path):
+    head = "\n".join([*(f"m{i}" for i in range(S.GAUGE_METADATA_LINES)), ",".join(S.GAUGE_HEADER)])
+    (tmp_path / "A.csv").write_text(head + '\nA,2001-01-01,1,2,"3",null,5,6\nA,cut\n')
+    p = landing.parse_lines(landing.scan_lines(spark, str(tmp_path)))
+    assert sorted((r["_ragged"], r["value"]) for r in p.parsed.collect()) == [(False, None), (True, "A,cut")]
+    assert [(r[S.KEY], r["value"]) for r in p.rejects.collect()] == [("A", "A,cut")]
+    assert [(r[S.KEY], r["obra_toma_m3s"], r["vertedor_m3s"]) for r in landing.accepted_rows(p).collect()] == [("A", 3.0, None)]
