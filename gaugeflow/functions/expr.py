@@ -74,12 +74,14 @@ def try_double(col: Column | str) -> Column:
 
     The cast alone decides almost every cell. It takes more than numbers
     (suffixes, hexadecimal) only where one of their letters stands in the text;
-    those cells, and cells it refuses, are checked by the pattern."""
+    those cells, and cells it refuses, are checked by the pattern. Without a
+    digit or an n (nan, inf) nothing is a number: a refused cast costs far more."""
     c = _c(col)
     value = c.try_cast("double")
     text = strip_ws(c)
     odd = value.isNull() | F.rlike(c, F.lit("[dDfFxX]"))
-    return F.when(odd, F.when(F.rlike(text, F.lit(NUMBER)), text.try_cast("double"))).otherwise(value)
+    read = F.when(odd, F.when(F.rlike(text, F.lit(NUMBER)), text.try_cast("double"))).otherwise(value)
+    return F.when(F.rlike(c, F.lit("[0-9nN]")), read)
 
 
 def try_doubles(texts: Column | str) -> Column:
@@ -87,7 +89,7 @@ def try_doubles(texts: Column | str) -> Column:
     digits, points, signs and blanks the cast decides; it casts a whole array
     in compiled code, while a function of the elements is interpreted."""
     c = _c(texts)
-    plain = F.rlike(F.array_join(c, " "), F.lit(PLAIN_NUMBERS))
+    plain = F.rlike(F.concat_ws(" ", c), F.lit(PLAIN_NUMBERS))
     return F.when(plain, c.try_cast("array<double>")).otherwise(F.transform(c, try_double))
 
 

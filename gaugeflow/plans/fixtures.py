@@ -151,30 +151,26 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
         else:
             cells.append(_cell(by_header.get(h, h)))
     line_no = F.datediff(F.col(S.DATE), F.lit(RENDER_EPOCH).cast("date")) * 2
-    data = raw.select(
-        F.col(S.KEY).alias("dam_key"),
-        render_span().alias("span"),
-        line_no.alias("line"),
-        F.concat_ws(separator, *[F.coalesce(c, F.lit("")) for c in cells]).alias("value"),
-    )
+    text = F.concat_ws(separator, *[F.coalesce(c, F.lit("")) for c in cells])
     if extra_lines is not None:
-        extra = raw.where(extra_lines.isNotNull()).select(
-            F.col(S.KEY).alias("dam_key"), render_span().alias("span"),
-            (line_no + 1).alias("line"), extra_lines.alias("value"))
-        data = data.unionByName(extra)
+        text = F.concat_ws("\n", text, extra_lines)
+    data = raw.select(F.col(S.KEY).alias("dam_key"), render_span().alias("span"), line_no.alias("line"), text.alias("value"))
     meta_lines = [f"Metadato {i}" for i in range(1, S.GAUGE_METADATA_LINES + 1)] + [separator.join(header)]
     heads = (
         data.select("dam_key", "span").distinct()
         .select("dam_key", "span", F.posexplode(F.array(*[F.lit(x) for x in meta_lines])).alias("pos", "value"))
         .select("dam_key", "span", (F.col("pos") - len(meta_lines)).alias("line"), "value")
     )
-    lines = (data.unionByName(heads)
-             .repartition("dam_key", "span")
-             .sortWithinPartitions("dam_key", "span", "line")
-             .drop("line"))
+    lines = data.unionByName(heads)
     if not bundled:
-        lines.write.mode("errorifexists").partitionBy("dam_key", "span").text(path)
+        lines.repartition("dam_key", "span").sortWithinPartitions("dam_key", "span", "line").drop("line").write.mode(
+            "errorifexists").partitionBy("dam_key", "span").text(path)
         return
+    # One number to sort by: the file (lines of two files with one hash may
+    # alternate, each in its order), then the line, lines without a date first.
+    at = (F.xxhash64("dam_key", "span").bitwiseAND((1 << 36) - 1) * (1 << 26)
+          + F.coalesce(F.col("line"), F.lit(-(1 << 24) - 1)) + (1 << 25))
+    lines = lines.withColumn("at", at).repartition("dam_key", "span").sortWithinPartitions("at")
     # The name that the file would have in its directories.
     name = F.concat(*[part for c in ("dam_key", "span") for part in (
         F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")), F.lit("/"))],

@@ -61,6 +61,9 @@ SEPARATORS = [",", ";", "\t", "|"]
 CELL = r'{0}((?:[^"{0}]++|"[^"]*+(?:"|$))*+)'
 # A line whose quoted runs are all closed and hold no separator.
 NO_QUOTED_SEPARATOR = r'^[^"]*+(?:"[^"{0}]*+"[^"]*+)*+\z'
+# A line whose quotes all enclose whole cells without a separator: its cells are
+# those of the line without its quotes.
+WHOLE_CELLS = r'^(?:"[^"{0}]*+"|[^"{0}]*+)(?:{0}(?:"[^"{0}]*+"|[^"{0}]*+))*+\z'
 # A date, or the date part of a timestamp text.
 TIME_TEXT = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?)?$"
 YEAR_FIRST = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})" + TIME_TEXT
@@ -85,8 +88,8 @@ REASON_CHARS = 200  # of the reason text of a failed file
 
 @dataclass
 class Parsed:
-    """Parse result: parsed lines, rejected data lines, per-file status, date
-    orders and headers."""
+    """Parse result: parsed lines, rejected data lines, per-file status, the
+    same with date orders, and headers."""
 
     parsed: DataFrame
     rejects: DataFrame
@@ -164,10 +167,10 @@ def lines_from_text(df: DataFrame, key_pattern: str = STEM_PATTERN, members: boo
 def ordered_lines(df: DataFrame, key_pattern: str = STEM_PATTERN, members: bool = False) -> DataFrame:
     """Key and line order for lines that have their file and block."""
     if members:
-        at = F.instr("value", "\t")
+        named, name = F.contains("value", F.lit("\t")), F.substring_index("value", "\t", 1)
         df = df.withColumns({
-            "file": F.when(at > 0, F.concat("file", F.lit(MEMBER_MARK), F.substring_index("value", "\t", 1))).otherwise(F.col("file")),
-            "value": F.substr("value", at + 1)})
+            "file": F.when(named, F.concat("file", F.lit(MEMBER_MARK), name)).otherwise(F.col("file")),
+            "value": F.when(named, F.substr("value", F.length(name) + 2)).otherwise(F.col("value"))})
     return df.select(
         "file",
         F.regexp_extract("file", key_pattern, 1).alias(S.KEY),
@@ -206,27 +209,35 @@ def after_header() -> Column:
         (F.col("file_block_start") == F.col("header_block")) & (F.col("line_id") > F.col("header_id")))
 
 
+def _has_quote(text: Column) -> Column:
+    return F.contains(text, F.lit('"'))
+
+
 def _unquoted(cell: Column) -> Column:
     """A cell without its outer quotes, doubled quotes unescaped. Most quoted
     cells are one quoted run, whose inside is cut out."""
     inside = F.substr(cell, F.lit(2), F.length(cell) - 2)
-    whole = F.startswith(cell, F.lit('"')) & F.endswith(cell, F.lit('"')) & (F.length(cell) > 1) & (F.instr(inside, '"') == 0)
-    return F.when(F.instr(cell, '"') == 0, cell).when(whole, inside).otherwise(
+    whole = F.startswith(cell, F.lit('"')) & F.endswith(cell, F.lit('"')) & (F.length(cell) > 1) & ~_has_quote(inside)
+    return F.when(~_has_quote(cell), cell).when(whole, inside).otherwise(
         F.regexp_replace(F.regexp_replace(cell, r'^\s*"|"\s*$', ""), '""', '"'))
 
 
+def _in_pattern(sep: str) -> str:
+    return "\\|" if sep == "|" else sep
+
+
 def _raw_split_at(line: Column, sep: str) -> Column:
     """Quote-aware split that leaves the quotes in the cells. The plain split
     is right unless a separator stands in a quoted run."""
-    pattern = "\\|" if sep == "|" else sep
+    pattern = _in_pattern(sep)
     quoted = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(CELL.format(pattern)), F.lit(1))
-    plain = (F.instr(line, '"') == 0) | F.rlike(line, F.lit(NO_QUOTED_SEPARATOR.format(pattern)))
+    plain = ~_has_quote(line) | F.rlike(line, F.lit(NO_QUOTED_SEPARATOR.format(pattern)))
     return F.when(plain, F.split(line, pattern, -1)).otherwise(quoted)
 
 
 def _split_at(line: Column, sep: str) -> Column:
     cells = _raw_split_at(line, sep)
-    return F.when(F.instr(line, '"') > 0, F.transform(cells, _unquoted)).otherwise(cells)
+    return F.when(_has_quote(line), F.transform(cells, _unquoted)).otherwise(cells)
 
 
 def _by_separator(separator: Column, made: Callable[[str], Column]) -> Column:
@@ -272,7 +283,8 @@ def _names(aliases: dict[str, list[str]] | None) -> dict[str, list[str]]:
 
 def read_headers(heads: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
     """Per file of :func:`file_heads`: the separator, the cleaned header cells
-    at it, the places of the columns, whether one is absent and which."""
+    at it, the places of the columns, whether one is absent and which.
+    ``_file`` is what parsed lines name their file by, here its path."""
     names = _names(aliases)
     cells = {sep: f"_cells{i}" for i, sep in enumerate(SEPARATORS)}
     split = heads.withColumns({c: F.transform(_split_at(F.col("header_line"), sep), strip_ws) for sep, c in cells.items()})
@@ -287,7 +299,7 @@ def read_headers(heads: DataFrame, aliases: dict[str, list[str]] | None = None)
     def best(values: dict[str, Column]) -> Column:
         return F.coalesce(*[F.when(F.col(f"{cells[sep]}_found") == most, v) for sep, v in values.items()])
 
-    h = found.select("file", S.KEY, "header_block", "header_id", "header_line", best({s: F.lit(s) for s in SEPARATORS}).alias("_sep"),
+    h = found.select("file", F.col("file").alias("_file"), S.KEY, "header_block", "header_id", "header_line", best({s: F.lit(s) for s in SEPARATORS}).alias("_sep"),
                      best({s: F.col(c) for s, c in cells.items()}).alias("_hdr"))
     # Places of all accepted names, in their order; -1 for absent ones.
     places = [(F.array_position("_hdr", F.lit(n)) - 1).cast("int") for spelled in names.values() for n in spelled]
@@ -309,13 +321,17 @@ def _cells_of(lines: DataFrame, headers: DataFrame, aliases: dict[str, list[str]
     """Data lines with their cells read: measures, the date in every order."""
     names = _names(aliases)
     usable = headers.where(F.col("_hdr").isNotNull() & ~F.col("_missing")).select(
-        "file", S.KEY, "header_block", "header_id", "_sep", "_places", "_width")
+        "file", "_file", "header_block", "header_id", "_sep", "_places", "_width")
+    quoted = _has_quote(F.col("value"))
     data = (
-        # The key of a file is known from its header: not looked for in every line.
+        # The file's path and key are in its header's row: not kept with every line.
         lines.drop(S.KEY).join(usable, "file", "inner")
         .where(after_header())
         .where(F.trim(F.col("value")) != "")
-        .withColumn("_cells", _by_separator(F.col("_sep"), lambda sep: _raw_split_at(F.col("value"), sep)))
+        .withColumn("_simple", ~quoted | _by_separator(F.col("_sep"), lambda sep: F.rlike("value", F.lit(WHOLE_CELLS.format(_in_pattern(sep))))))
+        .withColumn("_bare", F.when(F.col("_simple") & quoted, F.replace("value", F.lit('"'), F.lit(""))).otherwise(F.col("value")))
+        .withColumn("_cells", _by_separator(F.col("_sep"), lambda sep: F.when(F.col("_simple"), F.split("_bare", _in_pattern(sep), -1))
+                                            .otherwise(_raw_split_at(F.col("_bare"), sep))))
     )
     # Cells first, each looked up once; then what is made of them: only those
     # that are read lose their quotes. All measures in one expression: six times
@@ -327,40 +343,45 @@ def _cells_of(lines: DataFrame, headers: DataFrame, aliases: dict[str, list[str]
         at += len(spelled)
     measures = [S.GAUGE_MEASURE_HEADERS[h0] for h0 in names if h0 != S.GAUGE_DATE_HEADER]
     names_of = [f"_text{i}" for i in range(len(picked))]
-    looked_up = data.select("file", S.KEY, *ORDER_COLS, "value", (F.size("_cells") != F.col("_width")).alias("_ragged"),
+    looked_up = data.select("_file", *ORDER_COLS, "value", "_simple", (F.size("_cells") != F.col("_width")).alias("_ragged"),
                             *[c.alias(n) for c, n in zip(picked, names_of)])
-    texts = F.when(F.instr("value", '"') > 0, F.transform(F.array(*names_of), lambda c: null_tokens(_unquoted(c)))).otherwise(
-        F.array(*map(null_tokens, names_of)))
-    read = looked_up.select("file", S.KEY, *ORDER_COLS, "value", "_ragged", texts.alias("_texts")).select(
+    texts = F.when(F.col("_simple"), F.array(*map(null_tokens, names_of))).otherwise(
+        F.transform(F.array(*names_of), lambda c: null_tokens(_unquoted(c))))
+    read = looked_up.select("_file", *ORDER_COLS, "value", "_simple", "_ragged", texts.alias("_texts")).select(
         "*", F.get("_texts", F.lit(0)).alias("_date_cell"), F.slice("_texts", 2, len(measures)).alias("_numbers")).select(
-        "file", S.KEY, *ORDER_COLS, "value", "_ragged", "_date_cell",
+        "_file", *ORDER_COLS, "value", "_ragged", "_date_cell",
         *[d.alias(c) for c, d in zip(DATE_ORDERS, _date_forms(F.col("_date_cell"), date_formats))],
-        _odd_quotes().alias("_odd"), try_doubles("_numbers").alias("_numbers"))
+        (~F.col("_simple") & _odd_quotes()).alias("_odd"), try_doubles("_numbers").alias("_numbers"))
     # The text of a line is kept where it is reported: of rejected lines.
-    return read.select("file", S.KEY, *ORDER_COLS, F.when(F.col("_ragged"), F.col("value")).alias("value"), "_ragged", "_date_cell",
+    return read.select("_file", *ORDER_COLS, F.when(F.col("_ragged"), F.col("value")).alias("value"), "_ragged", "_date_cell",
                        *DATE_ORDERS, "_odd", *[F.get("_numbers", F.lit(i)).alias(c) for i, c in enumerate(measures)])
 
 
-def _finish(parsed: DataFrame, headers: DataFrame) -> Parsed:
-    """Status, rows and rejects from parsed lines (see :func:`parse_lines`)."""
+def _finish(parsed: DataFrame, headers: DataFrame, stage: bool = False) -> Parsed:
+    """Status, rows and rejects from parsed lines (see :func:`parse_lines`).
+    With ``stage`` the counts per file are written, so their size is known."""
     dated = ~F.col("_ragged") & F.col("_date_cell").isNotNull()
-    place = F.struct(*ORDER_COLS)
-
-    def first_bad(order: str) -> Column:
-        bad = dated & F.col(order).isNull()
-        return F.min_by(F.when(bad, F.col("_date_cell")), F.when(bad, place))
-
-    counts = parsed.groupBy("file").agg(
+    # Numbers alone, so that they are hash aggregates.
+    counts = parsed.groupBy("_file").agg(
         F.count_if(dated).alias("_dated"),
-        F.array(*[F.count_if(dated & F.col(o).isNotNull()) for o in DATE_ORDERS]).alias("_fits"),
-        F.array(*[first_bad(o) for o in DATE_ORDERS]).alias("_bads"),
+        *[F.count_if(dated & F.col(o).isNotNull()).alias(f"_fits{o}") for o in DATE_ORDERS],
         F.count_if(F.col("_ragged")).alias("rejected_rows"),
-        F.min_by(F.when(F.col("_ragged"), F.col("value")), F.when(F.col("_ragged"), place)).alias("_cut"),
-    ).withColumn("_order", F.array_position("_fits", F.array_max("_fits"))).withColumns({
-        "data_rows": F.element_at("_fits", F.col("_order").cast("int")),
-        "_bad": F.element_at("_bads", F.col("_order").cast("int"))}).withColumn("bad_dates", F.col("_dated") - F.col("data_rows"))
-    status = headers.select("file", S.KEY, "header_line", "_missing", "_absent").join(counts, "file", "left").select(
-            "file", S.KEY,
+    ).withColumn("_fits", F.array(*[f"_fits{o}" for o in DATE_ORDERS])).withColumn(
+        "_order", F.array_position("_fits", F.array_max("_fits")).cast("int")).withColumn(
+        "data_rows", F.element_at("_fits", F.col("_order"))).select(
+        "_file", "_order", "data_rows", "rejected_rows", (F.col("_dated") - F.col("data_rows")).alias("bad_dates"))
+    if stage:
+        counts = materialize(parsed.sparkSession, counts, "file-counts")
+    # The first lines at fault, of the files that report one.
+    fault = counts.where((F.col("bad_dates") > 0) | ((F.col("rejected_rows") > 0) & (F.col("data_rows") == 0))).select("_file", "_order")
+    bad = dated & F.element_at(F.array(*[F.col(o).isNull() for o in DATE_ORDERS]), F.col("_order"))
+    place = F.struct(*ORDER_COLS)
+    firsts = parsed.join(fault, "_file").where(F.col("_ragged") | bad).groupBy("_file").agg(
+        F.min_by(F.when(bad, F.col("_date_cell")), F.when(bad, place)).alias("_bad"),
+        F.min_by(F.when(F.col("_ragged"), F.col("value")), F.when(F.col("_ragged"), place)).alias("_cut"))
+    status = headers.select("file", "_file", S.KEY, "header_line", "_missing", "_absent").join(
+        counts, "_file", "left").join(firsts, "_file", "left").select(
+            "file", "_file", S.KEY,
             F.when(F.col("header_line").isNull(), F.lit("no_header"))
             .when(F.col("_missing"), F.lit("missing_columns"))
             .when(F.col("bad_dates") > 0, F.lit("bad_dates"))
@@ -369,7 +390,7 @@ def _finish(parsed: DataFrame, headers: DataFrame) -> Parsed:
             F.coalesce("data_rows", F.lit(0)).alias("data_rows"),
             F.coalesce("rejected_rows", F.lit(0)).alias("rejected_rows"),
             F.coalesce("bad_dates", F.lit(0)).alias("bad_dates"),
-            "_absent", "_bad", "_cut", F.element_at(F.array(*map(F.lit, DATE_ORDERS)), F.col("_order").cast("int")).alias("_order"),
+            "_absent", "_bad", "_cut", F.element_at(F.array(*map(F.lit, DATE_ORDERS)), F.col("_order")).alias("_order"),
         )
     status = status.withColumn("reason", F.left(
         F.when(F.col("status") == "no_header", F.lit("no header line"))
@@ -377,24 +398,25 @@ def _finish(parsed: DataFrame, headers: DataFrame) -> Parsed:
         .when(F.col("status") == "bad_dates", F.concat(F.lit("bad date: "), F.col("_bad")))
         .when(F.col("status") == "all_rejected", F.concat(F.lit("no line fits the header, first: "), F.col("_cut"))),
         F.lit(REASON_CHARS)))
-    rejects = parsed.where(F.col("_ragged")).select("file", S.KEY, *ORDER_COLS, "value")
-    return Parsed(status=status.drop("_absent", "_bad", "_cut", "_order"), rejects=rejects, parsed=parsed, heads=headers,
-                  orders=status.select("file", "status", "_order"))
+    rejects = parsed.where(F.col("_ragged")).join(headers.select("file", "_file", S.KEY), "_file").select(
+        "file", S.KEY, *ORDER_COLS, "value")
+    return Parsed(status=status.drop("_file", "_absent", "_bad", "_cut", "_order"), rejects=rejects, parsed=parsed, heads=headers,
+                  orders=status.drop("_absent", "_bad", "_cut"))
 
 
 def accepted_rows(parsed: Parsed, orders: DataFrame | None = None) -> DataFrame:
     """Rows of files whose status is ok (a bad file is dropped whole, S5), with
     the date in their file's order. ``orders`` has one row per file."""
-    good = (parsed.orders if orders is None else orders).where(F.col("status") == "ok").select("file", "_order")
+    good = (parsed.orders if orders is None else orders).where(F.col("status") == "ok").select("file", "_file", S.KEY, "_order")
     date = F.coalesce(*[F.when(F.col("_order") == o, F.col(o)) for o in DATE_ORDERS])
-    return parsed.parsed.where(~F.col("_ragged")).join(good, "file").withColumn(S.DATE, date).where(
+    return parsed.parsed.where(~F.col("_ragged")).join(good, "_file").withColumn(S.DATE, date).where(
         F.col(S.DATE).isNotNull()).select(S.KEY, S.DATE, *S.MEASURES, "file", *ORDER_COLS)
 
 
 def _odd_quotes() -> Column:
     """Whether a line has an odd number of quotes."""
     value = F.col("value")
-    return (F.instr(value, '"') > 0) & ((F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1)
+    return _has_quote(value) & ((F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1)
 
 
 def join_broken(lines: DataFrame, headers: DataFrame) -> DataFrame:
@@ -460,17 +482,19 @@ def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,
     spark = lines.sparkSession
     headers = read_headers(file_heads(lines, metadata_lines), aliases)
     if stage:
-        headers = materialize(spark, headers, "heads")
+        # Written, so a number can stand for the path: lines are grouped and joined by it.
+        headers = materialize(spark, headers.withColumn("_file", F.monotonically_increasing_id()), "heads")
     parsed = _cells_of(lines, headers, aliases, date_formats)
     if stage:
         parsed = materialize(spark, parsed, "parsed-lines")
-        broken = materialize(spark, parsed.where("_odd").select("file").distinct(), "broken-files")
+        broken = materialize(spark, parsed.where("_odd").select("_file").distinct().join(
+            headers.select("file", "_file"), "_file"), "broken-files")
         if not broken.isEmpty():
             whole = join_broken(lines.join(broken, "file", "left_semi"), headers)
             again = materialize(spark, _cells_of(whole, headers, aliases, date_formats), "parsed-again")
-            parsed = parsed.join(broken, "file", "left_anti").unionByName(again)
-    p = _finish(parsed, headers)
-    made = materialize(spark, p.status.join(p.orders.select("file", "_order"), "file"), "file-status")
-    status = made.drop("_order")
+            parsed = parsed.join(broken, "_file", "left_anti").unionByName(again)
+    p = _finish(parsed, headers, stage)
+    made = materialize(spark, p.orders, "file-status")
+    status = made.drop("_file", "_order")
     status = status if files is None else with_empty_files(status, files)
     return accepted_rows(p, made), p.rejects, status

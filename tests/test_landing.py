@@ -371,3 +371,70 @@ def test_text_is_staged_of_rejected_lines_only(spark, tmp_path):
     assert sorted((r["_ragged"], r["value"]) for r in p.parsed.collect()) == [(False, None), (True, "A,cut")]
     assert [(r[S.KEY], r["value"]) for r in p.rejects.collect()] == [("A", "A,cut")]
     assert [(r[S.KEY], r["obra_toma_m3s"], r["vertedor_m3s"]) for r in landing.accepted_rows(p).collect()] == [("A", 3.0, None)]
+
+
+def test_lines_name_their_file_by_number_and_are_counted_by_hash(spark, tmp_path, monkeypatch):
+    """Staged lines hold no path and no key; the counts per file need no sort."""
+    made = {}
+
+    def kept(session, df, name):
+        made[name] = (dict(df.dtypes), df._jdf.queryExecution().executedPlan().toString())
+        return materialize(session, df, name)
+
+    from gaugeflow.session import materialize
+
+    monkeypatch.setattr(landing, "materialize", kept)
+    header = ",".join(S.GAUGE_HEADER)
+    meta = "".join(f"m{i}\n" for i in range(S.GAUGE_METADATA_LINES))
+    write_file(str(tmp_path / "A.csv"), meta + header + '\nA,2020-01-01,"1.5",x,"NULL","",2,3\nA,2020-13-45,1,1,1,1,1,1\nA,cut\n')
+    write_file(str(tmp_path / "B.csv"), meta + header + '\nB,"2020-01-01"," 1.5 ","1,5","2""5",,2,"3"\nB,cut\n')
+    write_file(str(tmp_path / "C.csv"), meta + header + "\nC,cut,first\nC,cut\n")
+    rows, rejects, status = landing.load_lines(landing.scan_lines(spark, str(tmp_path)))
+    types, _ = made["parsed-lines"]
+    assert types["_file"] == "bigint" and "file" not in types and S.KEY not in types
+    _, plan = made["file-counts"]
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert {r[S.KEY]: (r["status"], r["data_rows"], r["rejected_rows"], r["bad_dates"], r["reason"]) for r in status.collect()} == {
+        "A": ("bad_dates", 1, 1, 1, "bad date: 2020-13-45"), "B": ("ok", 1, 1, 0, None),
+        "C": ("all_rejected", 0, 2, 0, "no line fits the header, first: C,cut,first")}
+    assert [(r[S.KEY], str(r[S.DATE]), *[r[m] for m in S.MEASURES]) for r in rows.collect()] == [
+        ("B", "2020-01-01", 1.5, None, None, None, 2.0, 3.0)]
+    assert sorted((r[S.KEY], r["value"]) for r in rejects.collect()) == [("A", "A,cut"), ("B", "B,cut"), ("C", "C,cut"), ("C", "C,cut,first")]
+
+
+def test_whole_quoted_cells_need_no_quote_aware_split(spark):
+    """Lines that the pattern takes have the cells of the full split."""
+    import re
+
+    whole = re.compile(landing.WHOLE_CELLS.format(",").replace(r"\z", r"\Z"))
+    lines = ["", "a", '"a"', 'a,"b",c', '"a","b"', '"",""', ',"",', 'a,"b,c"', '"a""b"', 'x"y"', '"a"x', '"a', 'a,"b', ' "a"', '"a\nb",c']
+    simple = [t for t in lines if whole.match(t)]
+    assert simple == ["", "a", '"a"', 'a,"b",c', '"a","b"', '"",""', ',"",', '"a\nb",c']
+    df = spark.createDataFrame([(t,) for t in simple], "t string")
+    for r in df.select("t", landing.split_cells(F.col("t")).alias("c")).collect():
+        assert r.c == r.t.replace('"', "").split(",")
+
+
+def test_rendered_files_have_their_lines_in_order(spark, tmp_path):
+    """Metadata and header first, then the days, each with its extra line, in
+    one pass over the rows: bundled or not, the same files."""
+    import datetime as dt
+
+    from gaugeflow.plans.fixtures import RENDER_KEY_PATTERN, render_gauge_files
+
+    days = [(k, dt.date(2020, 1, d), *[float(d)] * len(S.MEASURES)) for d in (3, 1, 2) for k in ("D1", "D2")]
+    raw = spark.createDataFrame(days, ", ".join([f"{S.KEY} string", f"{S.DATE} date", *[f"{m} double" for m in S.MEASURES]]))
+    extra = F.when(F.dayofmonth(S.DATE) == 2, F.lit("extra"))
+    seen = []
+    for bundled in (False, True):
+        path = str(tmp_path / f"b{bundled}")
+        render_gauge_files(raw, path, S.GAUGE_HEADER, extra_lines=extra, bundled=bundled)
+        lines = landing.scan_lines(spark, path, RENDER_KEY_PATTERN, "*.txt", recursive=True, members=bundled)
+        got = {}
+        for r in lines.orderBy("file", *landing.ORDER_COLS).collect():
+            got.setdefault(r[S.KEY], []).append(r["value"])
+        seen.append(got)
+    assert seen[0] == seen[1] and set(seen[0]) == {"D1", "D2"}
+    at = S.GAUGE_METADATA_LINES
+    assert seen[0]["D1"][at] == ",".join(S.GAUGE_HEADER) and seen[0]["D1"][0] == "Metadato 1"
+    assert [t[:13] for t in seen[0]["D1"][at + 1:]] == ["D1,2020-01-01", "D1,2020-01-02", "extra", "D1,2020-01-03"]
