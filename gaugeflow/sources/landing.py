@@ -490,7 +490,9 @@ def load_lines(lines: DataFrame, aliases: dict[str, list[str]] | None = None,
         broken = materialize(spark, parsed.where("_odd").select("_file").distinct().join(
             headers.select("file", "_file"), "_file"), "broken-files")
         if not broken.isEmpty():
-            whole = join_broken(lines.join(broken, "file", "left_semi"), headers)
+            # Written: they are read several times, the landed text once more.
+            torn = materialize(spark, lines.join(broken, "file", "left_semi"), "broken-lines")
+            whole = join_broken(torn, headers)
             again = materialize(spark, _cells_of(whole, headers, aliases, date_formats), "parsed-again")
             parsed = parsed.join(broken, "_file", "left_anti").unionByName(again)
     p = _finish(parsed, headers, stage)
