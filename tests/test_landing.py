@@ -438,3 +438,23 @@ def test_rendered_files_have_their_lines_in_order(spark, tmp_path):
     at = S.GAUGE_METADATA_LINES
     assert seen[0]["D1"][at] == ",".join(S.GAUGE_HEADER) and seen[0]["D1"][0] == "Metadato 1"
     assert [t[:13] for t in seen[0]["D1"][at + 1:]] == ["D1,2020-01-01", "D1,2020-01-02", "extra", "D1,2020-01-03"]
+
+
+def test_lines_with_torn_cells_are_written_once(spark, tmp_path, monkeypatch):
+    """Lines of files with an open quote are staged before they are joined, and
+    of those files alone."""
+    from gaugeflow.session import materialize
+
+    made = {}
+
+    def kept(session, df, name):
+        made[name] = materialize(session, df, name)
+        return made[name]
+
+    monkeypatch.setattr(landing, "materialize", kept)
+    write_file(str(tmp_path / "A.csv"), gauge(['"A\nnote",2020-01-01,1,2,3,4,5,6', row("A", "2020-01-02")]))
+    write_file(str(tmp_path / "B.csv"), gauge([row("B", "2020-01-01")]))
+    rows, rejects, status = load(spark, str(tmp_path))
+    assert {r.file.rsplit("/", 1)[1] for r in made["broken-lines"].collect()} == {"A.csv"}
+    assert sorted((r.dam_key, str(r.fecha)) for r in rows.collect()) == [("A", "2020-01-01"), ("A", "2020-01-02"), ("B", "2020-01-01")]
+    assert rejects.isEmpty() and {k: v.data_rows for k, v in status.items()} == {"A": 2, "B": 1}
