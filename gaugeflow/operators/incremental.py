@@ -31,11 +31,13 @@ from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.operators import marts
-from gaugeflow.operators.upsert import PARTITION_COL, drop_partitions, write_partitions
+from gaugeflow.operators.upsert import PARTITION_COL, drop_partitions, part_of, parts_of_year, write_partitions
 from gaugeflow.session import exists, materialize
 
 DIM_COLS = ["state", "namo_oficial_mm3", "name_oficial_mm3"]
 SLICE = [S.KEY, PARTITION_COL]
+PART_ROWS = 1_000_000  # rows of a year per part of it that one task redoes and writes
+LEAST_ROWS = 100_000  # rows that a part of a smaller year has at least
 
 
 def slices_of(fact: DataFrame) -> DataFrame:
@@ -48,10 +50,14 @@ def slices_of(fact: DataFrame) -> DataFrame:
     # is left to aggregate are numbers and dates, so the rows are hashed; the
     # largest text of a group would have them sorted.
     state, numbers = DIM_COLS[0], DIM_COLS[1:]
+    # The sum of the hashes, as sums of their upper and lower halves: a row adds two longs, not a decimal.
+    row = F.xxhash64(*columns, nulls)
+    upper, lower = F.shiftright(row, 32), row.bitwiseAND(F.lit(0xFFFFFFFF))
     per_state = fact.groupBy(S.KEY, F.year(S.DATE).alias(PARTITION_COL), state).agg(
-        F.sum(F.xxhash64(*columns, nulls).cast("decimal(38,0)")).alias("digest"), F.max(S.DATE).alias("last_date"),
+        F.sum(upper).alias("_upper"), F.sum(lower).alias("_lower"), F.max(S.DATE).alias("last_date"),
         F.max_by(S.VOLUME, S.DATE).alias("last_volume"), *[F.max(c).alias(c) for c in numbers])
-    return per_state.groupBy(*SLICE).agg(
+    digest = F.col("_upper").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_lower").cast("decimal(19,0)")
+    return per_state.withColumn("digest", digest.cast("decimal(38,0)")).groupBy(*SLICE).agg(
         F.sum("digest").cast("decimal(38,0)").alias("digest"), F.max("last_date").alias("last_date"),
         F.max_by("last_volume", "last_date").alias("last_volume"), *[F.max(c).alias(c) for c in DIM_COLS])
 
@@ -108,6 +114,7 @@ def changed_slices(source: DataFrame, slices: DataFrame, dim: DataFrame, lookbac
             rows = source.join(marks, S.KEY, "left").where(loaded | F.col("_mark").isNull() | (F.col(S.DATE) > recent))
             ends = slices.join(marks, S.KEY).where(F.col("last_date") > recent)
             changed = rows.select(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).unionByName(ends.select(*SLICE)).distinct()
+        changed = materialize(source.sparkSession, changed, "changed")  # used twice: the source is read for it once
     now = dim.select(S.KEY, *[F.col(c).alias(f"_{c}") for c in DIM_COLS])
     differs = F.lit(False)
     for c in DIM_COLS:
@@ -120,20 +127,37 @@ def changed_slices(source: DataFrame, slices: DataFrame, dim: DataFrame, lookbac
     return known.withColumn("_after", after).where(F.col("_redo") | F.col("_after")).select(*SLICE)
 
 
-def redone_rows(source: DataFrame, slices: DataFrame, dim: DataFrame, redo: DataFrame) -> DataFrame:
-    """Fact rows of the slices ``redo`` (a written table), from the source rows
-    of those years. The first row of a slice takes its previous value from the
-    last row of the key's slice before it, redone or as it stands."""
-    rows = rows_of_slices(source, redo)
-    ends = rows.groupBy(*SLICE).agg(F.max_by(S.VOLUME, S.DATE).alias("last_volume"))
-    stand = slices.join(redo, SLICE, "left_anti").select(*SLICE, "last_volume")
+def slice_ends(source: DataFrame, redo: DataFrame) -> DataFrame:
+    """Rows and last volume of the slices ``redo`` (a written table) that have
+    source rows: a written table. The rows are aggregated first, so the join
+    is one of slices."""
+    years = [r[0] for r in redo.select(PARTITION_COL).distinct().collect()]  # one per year
+    ends = in_years(source, years).groupBy(S.KEY, F.year(S.DATE).alias(PARTITION_COL)).agg(
+        F.max_by(S.VOLUME, S.DATE).alias("last_volume"), F.count(F.lit(1)).alias("rows"))
+    return materialize(source.sparkSession, ends.join(redo.select(*SLICE), SLICE, "left_semi"), "slice-ends")
+
+
+def redone_rows(source: DataFrame, slices: DataFrame, dim: DataFrame, ends: DataFrame) -> DataFrame:
+    """Fact rows of the slices ``ends`` (see :func:`slice_ends`), from the source
+    rows of those years. The first row of a slice takes its previous value from
+    the last row of the key's slice before it, redone or as it stands.
+
+    Each slice sends one row ahead of its own rows, with that value as its
+    volume: it seeds the lag, and slices without one are not redone. So rows are
+    joined with slices by the shuffle and sort of the lag alone. They are dealt
+    by year and by parts of it, so a task writes few years."""
+    counts = ends.groupBy(PARTITION_COL).agg(F.sum("rows").alias("n")).collect()  # one row per year
     before = F.lag("last_volume").over(Window.partitionBy(S.KEY).orderBy(PARTITION_COL))
-    seeds = ends.unionByName(stand).select(*SLICE, before.alias("_seed"))
+    stand = slices.join(ends, SLICE, "left_anti").select(*SLICE, "last_volume", F.lit(False).alias("_redo"))
+    both = ends.select(*SLICE, "last_volume", F.lit(True).alias("_redo")).unionByName(stand)
+    heads = both.withColumn(S.VOLUME, before).where("_redo").select(*SLICE, S.VOLUME, "_redo")
+    rows = in_years(source, [r[PARTITION_COL] for r in counts])
     fact = marts.fact_rows(rows.drop(PARTITION_COL), dim).withColumn(PARTITION_COL, F.year(S.DATE))
-    order = Window.partitionBy(*SLICE).orderBy(S.DATE)
-    first = F.row_number().over(order) == 1
-    lagged = fact.join(seeds, SLICE, "left").withColumn(
-        "volumen_prev_mm3", F.when(first, F.col("_seed")).otherwise(F.lag(S.VOLUME).over(order)))
+    part = part_of([S.KEY], {r[PARTITION_COL]: parts_of_year(r["n"], LEAST_ROWS, PART_ROWS) for r in counts})
+    dealt = fact.unionByName(heads, allowMissingColumns=True).withColumn("_part", part).repartition(PARTITION_COL, "_part")
+    order = Window.partitionBy(S.KEY, PARTITION_COL, "_part").orderBy(F.col(S.DATE).asc_nulls_first())
+    lagged = dealt.withColumns({"volumen_prev_mm3": F.lag(S.VOLUME).over(order), "_of": F.first("_redo").over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow))}).where(F.col("_of") & F.col("_redo").isNull())
     return lagged.withColumn("delta_volumen_mm3", F.col(S.VOLUME) - F.col("volumen_prev_mm3")).select(*S.FACT_COLUMNS)
 
 
@@ -162,7 +186,7 @@ def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame, lookback_
     spark = source.sparkSession
     slices = materialize(spark, slices_of(target), "slices")
     redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since), "redo")
-    return replace_slices(target, redone_rows(source, slices, dim, redo), redo)
+    return replace_slices(target, redone_rows(source, slices, dim, slice_ends(source, redo)), redo)
 
 
 def slices_path(path: str) -> str:
@@ -208,15 +232,23 @@ def refresh_fact_table(spark: SparkSession, source: DataFrame, path: str, dim: D
     years = [r[0] for r in redo.select(PARTITION_COL).distinct().collect()]  # one per year
     if not years:
         return 0
-    fresh = materialize(spark, redone_rows(source, slices, dim, redo), "fact-fresh")
-    touched = read_fact(spark, path).where(F.col(PARTITION_COL).isin(years)).drop(PARTITION_COL)
-    merged = replace_slices(touched, fresh, redo).withColumn(PARTITION_COL, F.year(S.DATE))
-    new_slices = materialize(spark, slices.join(redo, SLICE, "left_anti").unionByName(slices_of(fresh)), "slices")
-    left = {r[0] for r in new_slices.select(PARTITION_COL).distinct().collect()}  # one per year
-    write_partitions(merged, path, dynamic=True)
+    ends = slice_ends(source, redo)
+    stand = slices.join(redo, SLICE, "left_anti")
+    left = {r[0] for r in stand.select(PARTITION_COL).union(ends.select(PARTITION_COL)).distinct().collect()}  # one per year
+    of_years = read_fact(spark, path).where(F.col(PARTITION_COL).isin(years))
+    kept = of_years.join(redo, SLICE, "left_anti").drop(PARTITION_COL)
+    # The kept rows alone are dealt for the write; the fresh ones are already.
+    merged = evolve_union(kept.withColumn(PARTITION_COL, F.year(S.DATE)).hint("rebalance", F.col(PARTITION_COL)),
+                          redone_rows(source, slices, dim, ends).withColumn(PARTITION_COL, F.year(S.DATE)))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(path)
     drop_partitions(spark, path, [y for y in years if y not in left])
-    new_slices.write.mode("overwrite").parquet(slices_path(path))
-    return fresh.count()
+    redone = ends.agg(F.sum("rows")).first()[0] or 0
+    if redone:
+        # Read back from what was written; a slice is cheaper to leave out than its rows.
+        written = read_fact(spark, path).where(F.col(PARTITION_COL).isin(years)).drop(PARTITION_COL)
+        stand = stand.unionByName(slices_of(written).join(ends, SLICE, "left_semi"))
+    materialize(spark, stand, "slices").write.mode("overwrite").parquet(slices_path(path))
+    return redone
 
 
 def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:

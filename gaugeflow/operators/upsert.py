@@ -30,6 +30,8 @@ from gaugeflow.session import exists, materialize
 PARTITION_COL = "year"
 SMALL_FILE = 16 << 20  # bytes under which a file of the table counts as small
 YEAR_PART = 2 * SMALL_FILE  # bytes of a year's files in the table per part of it that one task merges
+FEW_PARTS = 8  # parts up to which a smaller year is cut, so that its merge is not left to one task
+LEAST_PART = 1 << 20  # bytes that such a part has at least
 MOST_SMALL_FILES = 32  # small files with which a year is written anew by the next load
 
 
@@ -111,20 +113,36 @@ def write_partitions(df: DataFrame, target: str, mode: str = "overwrite", dynami
     writer.partitionBy(PARTITION_COL).parquet(target)
 
 
+def part_of(keys: Sequence[str], parts: dict[int, int]) -> Column:
+    """The part of its year that a row is in; ``parts`` has the number of parts
+    of each year (one where it is missing). The first of ``keys`` decides, so
+    that the rows of an entity stay together in one file; without it, all do."""
+    n = F.lit(1)
+    for year, k in parts.items():
+        if k > 1:
+            n = F.when(F.col(PARTITION_COL) == year, F.lit(k)).otherwise(n)
+    return F.pmod(F.when(F.col(keys[0]).isNull(), F.xxhash64(*keys)).otherwise(F.xxhash64(keys[0])), n)
+
+
+def parts_of_year(n: int, least: int, full: int) -> int:
+    """Parts of a year of size ``n``: up to ``FEW_PARTS`` of at least the size
+    ``least``, or more of the size ``full``."""
+    return max(min(n // least, FEW_PARTS), n // full, 1)
+
+
 def merge_partitions(spark: SparkSession, touched: DataFrame, batch: DataFrame, target: str, keys: Sequence[str]) -> None:
     """Replace the years of ``touched`` (their rows in the table at ``target``)
     and ``batch`` (rows of the table, unique on ``keys``) by the upsert of
     both, as :func:`merge_rows` does. The rows are shuffled once: by year and
-    by as many hashes of their keys as the year has ``YEAR_PART`` of files, so
-    that a task has whole keys and writes files of that size."""
+    by :func:`part_of` it, of as many as :func:`parts_of_year` cuts the year
+    into, so that a task has whole keys and writes files of that size."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(target)
-    sizes = files.groupBy(PARTITION_COL).agg(F.sum("length").alias("n")).where("n >= %d" % (2 * YEAR_PART)).collect()  # one row per year
-    parts = F.lit(1)
-    for r in sizes:
-        parts = F.when(F.col(PARTITION_COL) == r[PARTITION_COL], F.lit(int(r["n"] // YEAR_PART))).otherwise(parts)
+    sizes = files.groupBy(PARTITION_COL).agg(F.sum("length").alias("n")).where(F.col(PARTITION_COL).isNotNull()).collect()  # one row per year
+    part = part_of(keys, {r[PARTITION_COL]: parts_of_year(r["n"], LEAST_PART, YEAR_PART) for r in sizes})
     both = touched.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
-    cut = both.withColumn("_part", F.pmod(F.xxhash64(*keys), parts)).repartition(PARTITION_COL, "_part")
-    replaced = F.max("_new").over(Window.partitionBy(PARTITION_COL, "_part", *keys))
+    cut = both.withColumn("_part", part).repartition(PARTITION_COL, "_part")
+    # By the key first, whose first bytes tell most rows apart: a task has few years.
+    replaced = F.max("_new").over(Window.partitionBy(*keys, PARTITION_COL, "_part"))
     # As in a join, a key with a null is like no other.
     alone = F.lit(False)
     for k in keys:
@@ -246,10 +264,16 @@ def create_table(raw: DataFrame, target: str, date_col: str = S.DATE, key: str =
     of the table, and once more all that an earlier table had."""
     spark = raw.sparkSession
     write_partitions(with_partition(raw, date_col), target)
-    loaded = spark.read.schema(raw.schema).parquet(target)
-    watermarks(loaded, key, date_col).write.mode("overwrite").parquet(marks_path(target))
-    slices = with_partition(loaded, date_col).select(key, PARTITION_COL)
+    loaded = with_partition(spark.read.schema(raw.schema).parquet(target), date_col)
+    stamp = F.max("ingested_at") if "ingested_at" in raw.columns else F.lit(None)
+    # Marks, feed and load time from one pass over the table.
+    made = materialize(spark, loaded.groupBy(key, PARTITION_COL).agg(
+        F.max(date_col).alias("max_fecha"), stamp.cast("timestamp").alias("at")), "created-slices")
+    watermarks(made, key, "max_fecha").write.mode("overwrite").parquet(marks_path(target))
+    slices = made.select(key, PARTITION_COL)
     if exists(spark, changes_path(target)):
-        slices = slices.unionByName(spark.read.parquet(changes_path(target)).select(key, PARTITION_COL))
-    at = loaded.agg(F.max("ingested_at")).first()[0] if "ingested_at" in raw.columns else None
-    record_changes(materialize(spark, slices.distinct(), "created-slices"), target, at or dt.datetime.now(), key)
+        # Written first: the feed that it reads is added to.
+        slices = materialize(spark, slices.unionByName(
+            spark.read.parquet(changes_path(target)).select(key, PARTITION_COL)).distinct(), "feed-slices")
+    at = made.agg(F.max("at")).first()[0]
+    record_changes(slices, target, at or dt.datetime.now(), key)

@@ -379,3 +379,49 @@ def test_slices_are_hashed_not_sorted(spark):
     assert [(x.dam_key, x.year, x.last_date, x.last_volume, x.state, x.namo_oficial_mm3) for x in r] == [("A", 2020, D(2020, 1, 3), 3.0, "Y", 6.0)]
     of_rows = [x for x in incremental.slices_of(fact)._jdf.queryExecution().sparkPlan().toString().splitlines() if "xxhash64" in x and "Aggregate" in x]
     assert of_rows and all("HashAggregate" in x for x in of_rows)
+
+
+def test_small_year_is_merged_in_parts_of_whole_entities(spark, monkeypatch):
+    """A year under the size of one full part is not left to one task; the
+    rows of an entity are in one file of the merged year."""
+    target = scratch_path(spark, "t-small-parts")
+    rows = [(f"K{k}", D(2020, 1, d), float(d)) for k in range(40) for d in range(1, 8)]
+    upsert.create_table(_raw(spark, rows), target)
+    monkeypatch.setattr(upsert, "LEAST_PART", 100)
+    seen, part_of = [], upsert.part_of
+
+    def spied(keys, parts):
+        seen.append(parts)
+        return part_of(keys, parts)
+
+    monkeypatch.setattr(upsert, "part_of", spied)
+    batch = _raw(spark, [(f"K{k}", D(2020, 1, 3), -1.0) for k in range(40)]).drop("ingested_at")
+    upsert.upsert_table(spark, target, batch, mode="upsert")
+    assert seen == [{2020: upsert.FEW_PARTS}]
+    got = sorted((r.dam_key, r.fecha, r.volumen_alm_mm3) for r in ingest.read_raw(spark, target).collect())
+    assert got == sorted((k, d, -1.0 if d == D(2020, 1, 3) else v) for k, d, v in rows)
+    files = spark.read.parquet(target).groupBy("dam_key").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert files.where("n > 1").count() == 0
+
+
+def test_redone_rows_join_no_slices(spark, monkeypatch):
+    """Redone rows are joined with the dimension alone: what is redone and the
+    values before come as rows of the lag's window. Slices that are not
+    redone, rows without a key and years cut into parts are right."""
+    monkeypatch.setattr(incremental, "LEAST_ROWS", 1)  # many parts
+    t = "2024-01-01"
+    rows = [(f"K{k}", f"{y}-0{m}-01", float(10 * y + m + k), t) for k in range(12) for y in (2021, 2022, 2023) for m in (1, 2, 3)]
+    source = _days(spark, rows).unionByName(_days(spark, [("-", "2022-05-05", 1.0, t)]).withColumn("dam_key", F.lit(None).cast("string")))
+    dim = spark.createDataFrame([(f"K{k}", f"S{k}", 100.0, 120.0) for k in range(12)], "dam_key string, state string, namo_oficial_mm3 double, name_oficial_mm3 double")
+    full = marts.build_fact(source, dim)
+    slices = incremental.slices_of(full)
+    redo = spark.createDataFrame([(f"K{k}", y) for k in range(6) for y in (2022, 2023)] + [("K9", 2022), ("K9", 2030)], "dam_key string, year int")
+    ends = incremental.slice_ends(source, redo)
+    assert ends.agg(F.sum("rows")).first()[0] == 13 * 3
+    got = incremental.redone_rows(source, slices, dim, ends)
+    want = full.withColumn("year", F.year("fecha")).join(redo, ["dam_key", "year"], "left_semi").select(*S.FACT_COLUMNS)
+    assert got.count() == 39 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    rows_side = incremental.marts.fact_rows(source, dim)._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_side == 1 and plan.split("Window", 1)[1].count("RepartitionByExpression") == 1
+    assert sum("Join LeftSemi" in x for x in plan.splitlines()) == 0
