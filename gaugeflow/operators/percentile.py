@@ -38,7 +38,7 @@ def percentile_of_counts(counts: DataFrame, key: str, value: str, q: float) -> D
     pair standing once."""
     ranged = materialize(counts.sparkSession, counts.repartitionByRange(key, value)
                          .withColumn("_pid", F.spark_partition_id()), "percentile-ranges")
-    inside = Window.partitionBy("_pid", key).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(key, "_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_cum", F.sum("_c").over(inside))
     totals = ranged.groupBy("_pid", key).agg(F.sum("_c").alias("_t"))
     by_key = Window.partitionBy(key)
