@@ -137,9 +137,9 @@ def slice_ends(source: DataFrame, redo: DataFrame) -> DataFrame:
     return materialize(source.sparkSession, ends.join(redo.select(*SLICE), SLICE, "left_semi"), "slice-ends")
 
 
-def redone_rows(source: DataFrame, slices: DataFrame, dim: DataFrame, ends: DataFrame) -> DataFrame:
-    """Fact rows of the slices ``ends`` (see :func:`slice_ends`), from the source
-    rows of those years. The first row of a slice takes its previous value from
+def redone_rows(source: DataFrame, slices: DataFrame, dim: DataFrame, redo: DataFrame, ends: DataFrame) -> DataFrame:
+    """Fact rows of the slices ``redo``, of which ``ends`` (see :func:`slice_ends`)
+    have source rows, from the rows of those years. The first row of a slice takes its previous value from
     the last row of the key's slice before it, redone or as it stands.
 
     Each slice sends one row ahead of its own rows, with that value as its
@@ -148,7 +148,7 @@ def redone_rows(source: DataFrame, slices: DataFrame, dim: DataFrame, ends: Data
     by year and by parts of it, so a task writes few years."""
     counts = ends.groupBy(PARTITION_COL).agg(F.sum("rows").alias("n")).collect()  # one row per year
     before = F.lag("last_volume").over(Window.partitionBy(S.KEY).orderBy(PARTITION_COL))
-    stand = slices.join(ends, SLICE, "left_anti").select(*SLICE, "last_volume", F.lit(False).alias("_redo"))
+    stand = slices.join(redo, SLICE, "left_anti").select(*SLICE, "last_volume", F.lit(False).alias("_redo"))
     both = ends.select(*SLICE, "last_volume", F.lit(True).alias("_redo")).unionByName(stand)
     heads = both.withColumn(S.VOLUME, before).where("_redo").select(*SLICE, S.VOLUME, "_redo")
     rows = in_years(source, [r[PARTITION_COL] for r in counts])
@@ -186,7 +186,7 @@ def refresh_fact(source: DataFrame, target: DataFrame, dim: DataFrame, lookback_
     spark = source.sparkSession
     slices = materialize(spark, slices_of(target), "slices")
     redo = materialize(spark, changed_slices(source, slices, dim, lookback_days, since), "redo")
-    return replace_slices(target, redone_rows(source, slices, dim, slice_ends(source, redo)), redo)
+    return replace_slices(target, redone_rows(source, slices, dim, redo, slice_ends(source, redo)), redo)
 
 
 def slices_path(path: str) -> str:
@@ -239,7 +239,7 @@ def refresh_fact_table(spark: SparkSession, source: DataFrame, path: str, dim: D
     kept = of_years.join(redo, SLICE, "left_anti").drop(PARTITION_COL)
     # The kept rows alone are dealt for the write; the fresh ones are already.
     merged = evolve_union(kept.withColumn(PARTITION_COL, F.year(S.DATE)).hint("rebalance", F.col(PARTITION_COL)),
-                          redone_rows(source, slices, dim, ends).withColumn(PARTITION_COL, F.year(S.DATE)))
+                          redone_rows(source, slices, dim, redo, ends).withColumn(PARTITION_COL, F.year(S.DATE)))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(path)
     drop_partitions(spark, path, [y for y in years if y not in left])
     redone = ends.agg(F.sum("rows")).first()[0] or 0

@@ -414,11 +414,12 @@ def test_redone_rows_join_no_slices(spark, monkeypatch):
     source = _days(spark, rows).unionByName(_days(spark, [("-", "2022-05-05", 1.0, t)]).withColumn("dam_key", F.lit(None).cast("string")))
     dim = spark.createDataFrame([(f"K{k}", f"S{k}", 100.0, 120.0) for k in range(12)], "dam_key string, state string, namo_oficial_mm3 double, name_oficial_mm3 double")
     full = marts.build_fact(source, dim)
-    slices = incremental.slices_of(full)
-    redo = spark.createDataFrame([(f"K{k}", y) for k in range(6) for y in (2022, 2023)] + [("K9", 2022), ("K9", 2030)], "dam_key string, year int")
+    # K9 had rows in 2020 that left the source: they hand on no value.
+    slices = incremental.slices_of(marts.build_fact(source.unionByName(_days(spark, [("K9", "2020-07-01", 999.0, t)])), dim))
+    redo = spark.createDataFrame([(f"K{k}", y) for k in range(6) for y in (2022, 2023)] + [("K9", 2020), ("K9", 2021)], "dam_key string, year int")
     ends = incremental.slice_ends(source, redo)
     assert ends.agg(F.sum("rows")).first()[0] == 13 * 3
-    got = incremental.redone_rows(source, slices, dim, ends)
+    got = incremental.redone_rows(source, slices, dim, redo, ends)
     want = full.withColumn("year", F.year("fecha")).join(redo, ["dam_key", "year"], "left_semi").select(*S.FACT_COLUMNS)
     assert got.count() == 39 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     rows_side = incremental.marts.fact_rows(source, dim)._jdf.queryExecution().optimizedPlan().toString().count("Join ")
