@@ -105,6 +105,9 @@ def render_capacity_report(spark: SparkSession, sf_dir: str, path: str, without:
 RENDER_KEY_PATTERN = r"dam_key=([^/]+)/"
 RENDER_SPAN_DAYS = 4096
 RENDER_EPOCH = "1900-01-01"
+# Days in a compressed bundle, 5 MB of text. No two tasks can share one; what Spark
+# adds per file when it deals files to tasks keeps a task near 128 MB of text.
+BUNDLE_DAYS = 50_000
 
 
 def render_span(date_col: str = S.DATE) -> Column:
@@ -122,7 +125,8 @@ def _cell(c: str) -> Column:
 
 def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = None,
                        cells_override: dict[str, Column] | None = None,
-                       extra_lines: Column | None = None, separator: str = ",", bundled: bool = False) -> None:
+                       extra_lines: Column | None = None, separator: str = ",", bundled: bool = False,
+                       compressed: bool = False) -> None:
     """Write daily rows as gauge CSV text: per (entity, span) one file with 7
     metadata lines, the header line and the rows ordered by date. NULL
     measures become empty cells. Rows are hash-partitioned by (key, span):
@@ -136,7 +140,9 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
     ``bundled`` writes the same files as members of bundles, one per task: each
     line after the name of its file and a tab (see
     :mod:`gaugeflow.sources.landing`), so that the number of landed files
-    follows the bytes and not the entities."""
+    follows the bytes and not the entities. ``compressed`` writes bundles with
+    gzip (``.txt.gz``), their number from that of the rows: a line's name and
+    date repeat those before it, the text is several times its content."""
     header = header or RENDERED_HEADER
     by_header = S.GAUGE_MEASURE_HEADERS
     overrides = cells_override or {}
@@ -170,11 +176,15 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
     # alternate, each in its order), then the line, lines without a date first.
     at = (F.xxhash64("dam_key", "span").bitwiseAND((1 << 36) - 1) * (1 << 26)
           + F.coalesce(F.col("line"), F.lit(-(1 << 24) - 1)) + (1 << 25))
-    lines = lines.withColumn("at", at).repartition("dam_key", "span").sortWithinPartitions("at")
+    parts = [max(1, -(-raw.count() // BUNDLE_DAYS))] if compressed else []
+    lines = lines.withColumn("at", at).repartition(*parts, "dam_key", "span").sortWithinPartitions("at")
     # The name that the file would have in its directories.
     name = F.concat(*[part for c in ("dam_key", "span") for part in (
         F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")), F.lit("/"))],
         F.lit("gauge.txt\t"))
     # A cell's line breaks begin lines too.
     text = F.when(F.instr("value", "\n") > 0, F.replace("value", F.lit("\n"), F.concat(F.lit("\n"), name))).otherwise(F.col("value"))
-    lines.select(F.concat(name, text).alias("value")).write.mode("errorifexists").text(path)
+    writer = lines.select(F.concat(name, text).alias("value")).write.mode("errorifexists")
+    if compressed:
+        writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.text(path)

@@ -61,9 +61,9 @@ def render_messy(raw: DataFrame, root: str) -> list[str]:
     a, b = f"{root}/canonical", f"{root}/reordered"
     d = F.col(S.DATE)
     render_gauge_files(raw.where(d < F.lit(HEADER_SWITCH).cast("date")), a, S.GAUGE_HEADER,
-                       _messy_cells(), _ragged_line(), bundled=True)
+                       _messy_cells(), _ragged_line(), bundled=True, compressed=True)
     render_gauge_files(raw.where(d >= F.lit(HEADER_SWITCH).cast("date")), b, RENDERED_HEADER,
-                       _messy_cells(), _ragged_line(), bundled=True)
+                       _messy_cells(), _ragged_line(), bundled=True, compressed=True)
     return [a, b]
 
 
@@ -73,14 +73,14 @@ def render_broken(raw: DataFrame, root: str) -> dict[str, str]:
     render_gauge_files(bad_rows, bad, S.GAUGE_HEADER, {
         "Fecha": F.when(F.expr(BROKEN_SQL), F.lit("2001-13-45"))
         .otherwise(F.date_format(S.DATE, "yyyy-MM-dd")),
-    }, bundled=True)
+    }, bundled=True, compressed=True)
     var_rows = raw.withColumn(S.KEY, F.concat(S.KEY, F.lit("_VARIANT")))
-    render_gauge_files(var_rows, variant, VARIANT_HEADER, {"Almacenamiento(hm³)": _s(S.VOLUME)}, bundled=True)
+    render_gauge_files(var_rows, variant, VARIANT_HEADER, {"Almacenamiento(hm³)": _s(S.VOLUME)}, bundled=True, compressed=True)
     return {"bad": bad, "variant": variant}
 
 
 def _lines(spark: SparkSession, paths) -> DataFrame:
-    return landing.scan_lines(spark, paths, key_pattern=RENDER_KEY_PATTERN, glob="*.txt", recursive=True,
+    return landing.scan_lines(spark, paths, key_pattern=RENDER_KEY_PATTERN, glob="*.txt.gz", recursive=True,
                               members=True)
 
 
@@ -181,7 +181,7 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = ProxyMarts(spark, sf_dir).raw
     root = scratch_path(spark, "landing")
     good = f"{root}/good"
-    render_gauge_files(raw, good, S.GAUGE_HEADER, bundled=True)
+    render_gauge_files(raw, good, S.GAUGE_HEADER, bundled=True, compressed=True)
     bad = render_broken(raw, root)["bad"]
     rows, _, status = landing.load_lines(_lines(spark, [good, bad]))
     return export.load_stats(rows, status).select(
@@ -226,7 +226,7 @@ def q_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """, raw=PROXY_RAW_SQL))
 def q_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing-tail")
-    render_gauge_files(ProxyMarts(spark, sf_dir).raw, path, S.GAUGE_HEADER, bundled=True)
+    render_gauge_files(ProxyMarts(spark, sf_dir).raw, path, S.GAUGE_HEADER, bundled=True, compressed=True)
     lines = _lines(spark, path)
     # Both are read more than once below.
     heads = materialize(spark, landing.file_heads(lines), "tail-heads")
@@ -254,7 +254,7 @@ def render_dialects(raw: DataFrame, root: str) -> list[str]:
             noted = F.format_string(cell.replace("{0}", "%s"), F.col(S.KEY))
             cells["Estacion"] = F.when(F.dayofmonth(S.DATE) == 1, noted).otherwise(F.col(S.KEY))
         render_gauge_files(raw.where(_dialect() == i), f"{root}/dialect{i}", S.GAUGE_HEADER, cells, separator=sep,
-                           bundled=True)
+                           bundled=True, compressed=True)
         paths.append(f"{root}/dialect{i}")
     return paths
 

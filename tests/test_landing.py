@@ -458,3 +458,47 @@ def test_lines_with_torn_cells_are_written_once(spark, tmp_path, monkeypatch):
     assert {r.file.rsplit("/", 1)[1] for r in made["broken-lines"].collect()} == {"A.csv"}
     assert sorted((r.dam_key, str(r.fecha)) for r in rows.collect()) == [("A", "2020-01-01"), ("A", "2020-01-02"), ("B", "2020-01-01")]
     assert rejects.isEmpty() and {k: v.data_rows for k, v in status.items()} == {"A": 2, "B": 1}
+
+
+def _daily(spark, entities, days):
+    return spark.range(entities * days).selectExpr(
+        f"concat('D', cast(id % {entities} as string)) as dam_key",
+        f"date_add(date'1998-01-01', cast(id div {entities} as int)) as fecha",
+        *[f"cast((id * {7 + i}) % 97 as double) as {m}" for i, m in enumerate(S.MEASURES)])
+
+
+def _landed_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.startswith("part-"))
+
+
+def test_compressed_bundles(spark, tmpdir_path, monkeypatch):
+    """The same gauge files from bundles with and without gzip, each whole in
+    one of many bundles."""
+    from gaugeflow.plans import fixtures
+
+    monkeypatch.setattr(fixtures, "BUNDLE_DAYS", 100)
+    raw = _daily(spark, 40, 30)
+    note = F.when(F.dayofmonth(S.DATE) == 1, F.lit('"a\nb"')).otherwise(F.col(S.KEY))
+    seen, landed = [], []
+    for compressed in (False, True):
+        d = f"{tmpdir_path}/{compressed}"
+        fixtures.render_gauge_files(raw, d, S.GAUGE_HEADER, {"Estacion": note}, F.when(F.dayofmonth(S.DATE) == 3, F.lit("x,1")),
+                                    bundled=True, compressed=compressed)
+        lines = landing.scan_lines(spark, d, fixtures.RENDER_KEY_PATTERN, "*.txt.gz" if compressed else "*.txt", members=True)
+        rows, rejects, status = landing.load_lines(lines)
+        seen.append([sorted(map(tuple, x.collect())) for x in (
+            rows.select(S.KEY, S.DATE, *S.MEASURES), rejects.select(S.KEY, "value"),
+            status.select(S.KEY, F.regexp_extract("file", r"span=(\d+)/", 1), "status", "data_rows", "rejected_rows"))])
+        landed.append(lines.select(F.substring_index("file", landing.MEMBER_MARK, 1)).distinct().count())
+    assert seen[0] == seen[1] and len(seen[1][0]) == 1200 and len(seen[1][2]) == 40
+    assert 6 < landed[1] <= 12
+
+
+def test_registered_landing_files_are_compressed(spark, tmpdir_path):
+    """The rendered files of a query take a fraction of their text on disk."""
+    from gaugeflow.plans import landing_queries as L
+
+    raw = _daily(spark, 20, 400)
+    for path in [*L.render_messy(raw, tmpdir_path), *L.render_broken(raw, tmpdir_path).values()]:
+        text = L._lines(spark, path).select(F.sum(F.length("value") + F.length(S.KEY) + F.lit(len("dam_key=/span=8/gauge.txt")))).first()[0]
+        assert text > 100_000 and _landed_bytes(path) < text / 3
