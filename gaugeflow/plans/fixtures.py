@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
 from gaugeflow.plans.proxy import table
+from gaugeflow.session import shuffles_dropped
 
 # Records per rendered capacity-report array (one JSON array per line).
 REPORT_CHUNK = 1000
@@ -169,8 +170,9 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
     )
     lines = data.unionByName(heads)
     if not bundled:
-        lines.repartition("dam_key", "span").sortWithinPartitions("dam_key", "span", "line").drop("line").write.mode(
-            "errorifexists").partitionBy("dam_key", "span").text(path)
+        ordered = lines.repartition("dam_key", "span").sortWithinPartitions("dam_key", "span", "line").drop("line")
+        with shuffles_dropped(raw.sparkSession):
+            ordered.write.mode("errorifexists").partitionBy("dam_key", "span").text(path)
         return
     # One number to sort by: the file (lines of two files with one hash may
     # alternate, each in its order), then the line, lines without a date first.
@@ -187,4 +189,5 @@ def render_gauge_files(raw: DataFrame, path: str, header: list[str] | None = Non
     writer = lines.select(F.concat(name, text).alias("value")).write.mode("errorifexists")
     if compressed:
         writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-    writer.text(path)
+    with shuffles_dropped(raw.sparkSession):
+        writer.text(path)

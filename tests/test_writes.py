@@ -426,3 +426,29 @@ def test_redone_rows_join_no_slices(spark, monkeypatch):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert rows_side == 1 and plan.split("Window", 1)[1].count("RepartitionByExpression") == 1
     assert sum("Join LeftSemi" in x for x in plan.splitlines()) == 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """Staging and rendering delete the shuffle files of their writes, and set
+    the session back."""
+    import time
+
+    from gaugeflow.session import materialize
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled():
+        return {f for top in dirs for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    before, was = shuffled(), spark.conf.get(setting, None)
+    raw = _raw(spark, [(k, D(2020, 1, i), float(i)) for i in range(1, 11) for k in "ABC"]).drop("ingested_at")
+    dealt = raw.repartition(3, "dam_key")
+    kept = materialize(spark, dealt.groupBy("fecha").count(), "t-shuffled")
+    for bundled in (False, True):
+        render_gauge_files(dealt, f"{scratch_path(spark, 't-rendered')}/landing", S.GAUGE_HEADER, bundled=bundled)
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(setting, None) == was
+    assert kept.agg({"count": "sum"}).first()[0] == 30 and dealt.count() == 30
